@@ -85,10 +85,12 @@ def status_sensor_correlation(mart: DataFrame, readings: DataFrame) -> DataFrame
 def readings_without_mart(readings: DataFrame, mart: DataFrame) -> DataFrame:
     """One row: readings whose machine has no mart row. A NULL machine counts as missing.
 
-    Readings are counted per machine first, so the join sees one row per machine.
+    Readings are counted per machine first, so the join sees one row per machine. An outer join keeps
+    that order; Spark would push an anti join below the counting, onto every reading.
     """
     per_machine = readings.groupBy("machine_id").agg(F.count("*").alias("n"))
-    missing = per_machine.join(mart.select("machine_id"), "machine_id", "left_anti")
+    known = mart.select("machine_id", F.lit(True).alias("known"))
+    missing = per_machine.join(known, "machine_id", "left").filter(F.col("known").isNull())
     return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("missing_readings"))
 
 

@@ -1,8 +1,9 @@
 """Row windows over time that split a machine with very many readings over many tasks.
 
-A plain window puts all rows of a machine into one task. Here machines above a row limit are cut into
-time slices, each its own window group, and each slice is given copies of the rows right before it, so
-that every frame of up to `back` preceding rows is complete. Results equal those of the plain window.
+A plain window puts all rows of a machine into one task. Here a machine above a row limit is cut into
+slices, each a range of the machine's row order and a window group of its own. Each slice is given copies
+of the rows right before it, so every frame of up to `back` preceding rows is complete, and the results
+equal those of the plain window.
 """
 
 from __future__ import annotations
@@ -11,9 +12,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from millwatch.session import workspace
 
 HOT_ROWS = 4_000_000  # rows one window task should sort at most
-_ROUNDS = 4  # a burst inside a slice is cut again; what stays uneven after that is only slower
+_ROUNDS = 6  # a slice that is still too large is cut again; what stays uneven after that is only slower
 
 
 def over_time(
@@ -28,18 +32,16 @@ def over_time(
     """`df` plus `columns(window)`, the window running over time within each key.
 
     `columns` may look at the current row and up to `back` rows before it. Rows with equal time are
-    ordered by their other columns. A missing time counts as latest.
+    ordered by their other columns, which must be numbers. A missing value counts as the highest.
     """
-    ties = [c for c in df.columns if c not in (key, time)]
-    order = _order([time, *ties], descending)
-    sliced, levels = _slice_hot_keys(df, key, time, hot_rows)
+    ordering = [time, *[c for c in df.columns if c not in (key, time)]]
+    sliced, levels = _slice_hot_keys(df, key, ordering, hot_rows)
     if not levels:
-        return df.withColumns(columns(Window.partitionBy(key).orderBy(*order)))
-
-    group = [key, *levels]
-    lead_in = _lead_in(sliced, key, levels, order, _order([time, *ties], not descending), back)
+        return df.withColumns(columns(Window.partitionBy(key).orderBy(*_order(ordering, descending))))
+    lead_in = _lead_in(sliced, key, levels, ordering, descending, back)
     rows = sliced.withColumn("lead_in", F.lit(False)).unionByName(lead_in)
-    window = Window.partitionBy(*group).orderBy(*order)
+    order = [*_order(ordering, descending), F.col("lead_in").desc()]  # before an equal row of the slice
+    window = Window.partitionBy(key, *levels).orderBy(*order)
     return rows.withColumns(columns(window)).filter(~F.col("lead_in")).drop("lead_in", *levels)
 
 
@@ -49,59 +51,108 @@ def _order(columns: list[str], descending: bool) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
+def _axes(df: DataFrame, ordering: list[str]) -> list[Column]:
+    """Numbers whose joint order is the row order: for each column its kind of value, then the value."""
+    axes = []
+    for name in ordering:
+        column = F.col(name)
+        if isinstance(df.schema[name].dataType, (T.TimestampNTZType, T.TimestampType)):
+            column = F.unix_micros(column.cast("timestamp"))
+        value = column.cast("double")
+        endless = F.abs(value) == float("inf")
+        kind = (
+            F.when(value.isNull(), 3).when(F.isnan(value), 2).when(endless, F.signum(value)).otherwise(0)
+        ).cast("double")
+        axes += [kind, F.when(kind == 0, value)]
+    return axes
+
+
 def _slice_hot_keys(
-    df: DataFrame, key: str, time: str, hot_rows: int
+    df: DataFrame, key: str, ordering: list[str], hot_rows: int
 ) -> tuple[DataFrame, list[str]]:
     """`df` with one slice column per round of cutting; NULL in the first column for a key not cut.
 
-    Each round counts rows per group, combined before the shuffle, and cuts the groups above the limit
-    evenly in time. At most total rows / hot_rows groups are above it, which bounds what is broadcast.
+    Each round counts the rows per group, combined before the shuffle, and cuts groups above the limit
+    evenly along the first axis on which their rows differ: time as a rule, the values where many rows
+    share a time. Rows that differ nowhere have no order among them and are dealt out in turn. At most
+    total rows / hot_rows groups are above the limit, which bounds what is broadcast.
     """
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
     levels: list[str] = []
+    counts = df.groupBy(key).agg(F.count("*").alias("n"))  # reads one column; mostly that is all
+    if counts.filter(F.col("n") > hot_rows).isEmpty():
+        return df, levels
+    axes = _axes(df, ordering)
     for level in range(_ROUNDS):
-        group = [key, *levels]
-        busy = (
-            df.groupBy(*group)
-            .agg(F.count("*").alias("n"), F.min(micros).alias("lo"), F.max(micros).alias("hi"))
-            .filter((F.col("n") > hot_rows) & (F.col("hi") > F.col("lo")))
-        )
-        width = F.ceil((F.col("hi") - F.col("lo") + 1) / F.ceil(F.col("n") * 2 / hot_rows))
-        cuts = busy.select(*[F.col(c).alias(f"cut_{c}") for c in group], "lo", width.alias("width"))
+        cuts = _cuts(df, [key, *levels], axes, hot_rows)
         if cuts.isEmpty():
             break
+        match = [F.col(c).eqNullSafe(F.col(f"cut_{c}")) for c in [key, *levels]]
+        axis = F.get(F.array(*axes), F.col("axis"))
+        number = F.coalesce(
+            F.floor((axis - F.col("lo")) / F.col("width")),
+            F.pmod(F.monotonically_increasing_id(), F.col("pieces")),
+        )
         name = f"slice_{level}"
-        match = [F.col(c).eqNullSafe(F.col(f"cut_{c}")) for c in group]
-        number = F.floor((micros - F.col("lo")) / F.col("width"))
+        kept = df.columns
         df = df.join(F.broadcast(cuts), match, "left").select(
-            *df.columns,
-            F.when(F.col("width").isNotNull(), F.coalesce(number, F.lit(-1))).alias(name),
+            *kept, F.when(F.col("pieces").isNotNull(), number).alias(name)
         )
         levels.append(name)
     return df, levels
 
 
+def _cuts(df: DataFrame, group: list[str], axes: list[Column], hot_rows: int) -> DataFrame:
+    """The groups to cut, with axis, first value and width of a piece; no axis for equal rows."""
+    numbers = range(len(axes))
+    stats = df.groupBy(*group).agg(
+        F.count("*").alias("n"),
+        *[F.min(axes[i]).alias(f"lo_{i}") for i in numbers],
+        *[F.max(axes[i]).alias(f"hi_{i}") for i in numbers],
+    )
+    pieces = F.ceil(F.col("n") * 2 / hot_rows)
+    along = [
+        F.when(
+            F.col(f"hi_{i}") > F.col(f"lo_{i}"),
+            F.struct(
+                F.lit(i).alias("axis"),
+                F.col(f"lo_{i}").alias("lo"),
+                ((F.col(f"hi_{i}") - F.col(f"lo_{i}")) / pieces).alias("width"),
+            ),
+        )
+        for i in numbers
+    ]
+    cuts = stats.filter(F.col("n") > hot_rows).select(
+        *[F.col(c).alias(f"cut_{c}") for c in group],
+        pieces.alias("pieces"),
+        F.coalesce(*along).alias("along"),
+    )
+    # Stored: the counting runs once, though both the slices and their lead-ins need it.
+    path = f"{workspace(df.sparkSession)}/cuts"
+    cuts.select("*", "along.*").drop("along").write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _lead_in(
-    sliced: DataFrame, key: str, levels: list[str], order: list[Column], reverse: list[Column], back: int
+    sliced: DataFrame, key: str, levels: list[str], ordering: list[str], descending: bool, back: int
 ) -> DataFrame:
     """Copies of the `back` rows before each slice, labelled with that slice.
 
     They are among the last `back` rows of the slices before it. Of those tails a slice needs a row
     when it begins within the `back` tail rows that follow the row.
     """
-    from_the_end = Window.partitionBy(key, *levels).orderBy(*reverse)
+    from_the_end = Window.partitionBy(key, *levels).orderBy(*_order(ordering, not descending))
     tails = (
         sliced.filter(F.col(levels[0]).isNotNull())
         .withColumn("place", F.row_number().over(from_the_end))
         .filter(F.col("place") <= back)
         .drop("place")
     )
-    following = Window.partitionBy(key).orderBy(*order).rowsBetween(1, back)
+    onward = Window.partitionBy(key).orderBy(*_order(ordering, descending), *levels)
     own = F.struct(*levels)
     return (
-        tails.withColumn("targets", F.collect_set(own).over(following))
+        tails.withColumn("targets", F.collect_set(own).over(onward.rowsBetween(1, back)))
         .withColumn("target", F.explode("targets"))
-        .filter(F.col("target") != own)
+        .filter(~F.col("target").eqNullSafe(own))
         .select(
             *[c for c in sliced.columns if c not in levels],
             *[F.col(f"target.{c}").alias(c) for c in levels],

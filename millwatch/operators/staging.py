@@ -9,42 +9,41 @@ from millwatch import settings as S
 from millwatch.functions import readings as R
 
 
-def validated(history: DataFrame) -> DataFrame:
-    """Readings with impossible sensor values set to NULL, plus signal strength."""
-    clean = {c: R.clamp_to_null(F.col(c), *S.VALID_RANGE[c]) for c in S.SENSORS}
-    return history.select(
-        "machine_id",
-        "event_time",
-        clean["temperature"].alias("avg_temperature"),
-        clean["vibration"].alias("max_vibration"),
-        clean["pressure"].alias("pressure"),
-        "status_code",
-        R.signal_strength(F.col("status_code")).alias("signal_strength"),
-    )
-
-
 def staging_readings(
     history: DataFrame,
     threshold: float = S.ANOMALY_ABOVE["temperature"],
     include_invalid: bool = False,
 ) -> DataFrame:
-    """Staging rows. Rows with an impossible or missing value are left out unless asked for.
+    """Staging rows. Readings with an impossible or missing value are left out unless asked for.
 
-    The whole chain is one projection and one filter over the scan.
+    With `include_invalid` such values show as NULL. Without, the ranges are plain comparisons on stored
+    columns, which the file scan uses to skip row groups, and nothing is left to set to NULL.
     """
-    sensors = [F.col("avg_temperature"), F.col("max_vibration"), F.col("pressure")]
-    rows = validated(history)
-    if not include_invalid:
-        rows = valid_only(rows)
-    rows = rows.withColumn(
-        "is_anomalous", R.is_anomalous(*sensors, F.col("status_code"), threshold=threshold)
+    if include_invalid:
+        sensors = {c: R.clamp_to_null(F.col(c), *S.VALID_RANGE[c]) for c in S.SENSORS}
+    else:
+        history = valid_only(history)
+        sensors = {c: F.col(c) for c in S.SENSORS}
+    rows = history.select(
+        "machine_id",
+        "event_time",
+        sensors["temperature"].alias("avg_temperature"),
+        sensors["vibration"].alias("max_vibration"),
+        sensors["pressure"].alias("pressure"),
+        R.signal_strength(F.col("status_code")).alias("signal_strength"),
+        "status_code",
     )
-    status = R.reading_status(sensors, F.col("is_anomalous"))
-    return rows.withColumn("reading_status", status).drop("status_code")
+    clean = [F.col("avg_temperature"), F.col("max_vibration"), F.col("pressure")]
+    flag = R.is_anomalous(*clean, F.col("status_code"), threshold=threshold)
+    rows = rows.withColumn("is_anomalous", flag).drop("status_code")
+    return rows.withColumn("reading_status", R.reading_status(clean, F.col("is_anomalous")))
 
 
-def valid_only(rows: DataFrame) -> DataFrame:
-    return rows.dropna(subset=["avg_temperature", "max_vibration", "pressure"])
+def valid_only(readings: DataFrame) -> DataFrame:
+    """Readings whose three values all lie in their ranges; NULL and NaN do not."""
+    for sensor, (low, high) in S.VALID_RANGE.items():
+        readings = readings.filter(F.col(sensor).between(low, high))
+    return readings
 
 
 def classification_drift(readings: DataFrame) -> DataFrame:

@@ -798,5 +798,14 @@ def dq_suite_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.contract_suite(readings(spark, sf_dir), staged(spark, sf_dir), mart(spark, sf_dir))
 
 
+@query
+def run_batch_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of the declared checks after the second of two stored runs."""
+    target = store(spark)
+    first, second = runs(spark, sf_dir)
+    B.run_batch(target, first, "batch", 0)
+    return B.run_batch(target, second, "batch", 1)
+
+
 # The flagship goes by the name of its result.
 QUERIES["machine_health"] = QUERIES.pop("machine_health_mart")

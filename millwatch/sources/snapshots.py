@@ -1,11 +1,14 @@
-"""Backup, damage, recovery: versions of a stored landing table."""
+"""Backup, damage, recovery: versions of a stored table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from millwatch.sources.tables import Table
 
+COPIES_PER_TASK = 1_000_000
+
 
 def clone(table: Table, name: str) -> Table:
     """An independent copy under another name; no row is copied."""
@@ -26,5 +29,31 @@ def missing_rows(backup: Table, current: Table) -> DataFrame:
 
     Only folders that the two do not share are compared.
     """
-    kept, now = backup.only_in(current)
-    return kept.exceptAll(now)
+    return all_but(*backup.only_in(current))
+
+
+def all_but(rows: DataFrame, gone: DataFrame, copies: int = COPIES_PER_TASK) -> DataFrame:
+    """Rows without as many equal rows of the other side (EXCEPT ALL).
+
+    Equal rows are counted before the shuffle. Where very many are left they are written out in parts,
+    each by a task of its own, so that a row copied billions of times does not hold up one task.
+    """
+    columns = rows.columns
+    left = (
+        rows.withColumn("n", F.lit(1))
+        .unionByName(gone.withColumn("n", F.lit(-1)))
+        .groupBy(*columns)
+        .agg(F.sum("n").alias("n"))
+        .filter(F.col("n") > 0)
+    )
+    few = left.filter(F.col("n") <= copies)
+    parts = F.sequence(F.lit(0), F.floor((F.col("n") - 1) / copies))
+    many = (
+        left.filter(F.col("n") > copies)
+        .withColumn("part", F.explode(parts))
+        .withColumn("n", F.least(F.lit(copies), F.col("n") - F.col("part") * copies))
+        .repartition("part", *columns)
+        .drop("part")
+    )
+    each = F.explode(F.array_repeat(F.lit(0), F.col("n").cast("int")))
+    return few.unionByName(many).withColumn("copy", each).select(*columns)

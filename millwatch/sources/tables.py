@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _LISTING = "version bigint, schema string, dated boolean, folders array<string>, done map<string,bigint>"
+_MERGED = "merged-"
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 _FOLDER = re.compile(r"commit=[^/]+(?:/event_date=[^/]+)?(?=/[^/]+$)")
 
@@ -95,9 +96,16 @@ class Table:
         after: Listing | None,
     ) -> None:
         version = after.version + 1 if after else 1
-        row = (version, schema.json() if schema else None, dated, sorted(folders), done)
-        path = f"{self._listings}/version={version:012d}"
-        self.spark.createDataFrame([row], _LISTING).coalesce(1).write.mode("error").json(path)
+        listing = {
+            "version": version,
+            "schema": schema.json() if schema else None,
+            "dated": dated,
+            "folders": sorted(folders),
+            "done": done,
+        }
+        # One row in one file: the version is there as a whole or not at all.
+        row = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(listing)).alias("value"))
+        row.write.mode("error").text(f"{self._listings}/version={version:012d}")
 
     # --- reading -------------------------------------------------------------------------------
 
@@ -123,8 +131,8 @@ class Table:
     def newest_day(self) -> DataFrame:
         """Rows of the latest day, where the latest event time is: bounds need not scan the table."""
         now = self.current()
-        days = [d for d in map(day_of, now.folders) if d != _NO_DAY]
-        return self.read([max(days)]) if days else self.read()
+        latest = max((d for d in map(day_of, now.folders) if d != _NO_DAY), default=_NO_DAY)
+        return self._scan(now, [f for f in now.folders if day_of(f) == latest])
 
     def batch_rows(self, writer: str, batch: int) -> DataFrame:
         """The rows one batch appended, as stored."""
@@ -145,7 +153,9 @@ class Table:
 
     def replace(self, df: DataFrame, dated: bool = False, writer: str = "", batch: int = -1) -> None:
         """Drop and rebuild from a DataFrame, which may read this very table."""
-        before = self._newest()
+        self._replace(self._newest(), df, dated, writer, batch)
+
+    def _replace(self, before: Listing | None, df: DataFrame, dated: bool, writer: str, batch: int) -> None:
         folders = self._write(df, dated, writer, batch)
         done = _with_batch(before.done if before else {}, writer, batch)
         self._commit(df.schema, dated, folders, done, before)
@@ -157,7 +167,7 @@ class Table:
         """
         before = self._newest()
         if before is None or before.schema is None:
-            return self.replace(df, dated, writer, batch)
+            return self._replace(before, df, dated, writer, batch)
         if writer and before.done.get(writer, -1) >= batch:
             return
         folders = self._write(df, before.dated, writer, batch)
@@ -172,7 +182,7 @@ class Table:
         """
         before = self._newest()
         if before is None or before.schema is None:
-            return self.replace(df, dated)
+            return self._replace(before, df, dated, "", -1)
         incoming = self._write(df, before.dated)
         after = Listing(before.version, df.schema, before.dated, incoming)
         touched = self._touched(before, keys, incoming)
@@ -208,9 +218,29 @@ class Table:
         kept = [f for f in before.folders if f not in touched]
         self._commit(before.schema, before.dated, kept + survivors, before.done, before)
 
-    def _write(self, df: DataFrame, dated: bool, writer: str = "", batch: int = -1) -> list[str]:
+    def compact(self, at_least: int = 64) -> None:
+        """Merge the folders of small commits, day by day, where there are many of them.
+
+        A merged folder is not merged again, so every row is rewritten once however long the table grows.
+        """
+        now = self.current()
+        by_day: dict[str, list[str]] = {}
+        for folder in now.folders:
+            if not folder.startswith(f"commit={_MERGED}"):
+                by_day.setdefault(day_of(folder), []).append(folder)
+        small = [f for folders in by_day.values() if len(folders) >= at_least for f in folders]
+        if not small:
+            return
+        merged = self._write(self._scan(now, small), now.dated, name=f"{_MERGED}{self.name}")
+        kept = [f for f in now.folders if f not in set(small)]
+        self._commit(now.schema, now.dated, kept + merged, now.done, now)
+
+    def _write(
+        self, df: DataFrame, dated: bool, writer: str = "", batch: int = -1, name: str = ""
+    ) -> list[str]:
         """Write the rows to a folder of their own; returns the folders that got rows."""
-        commit = _commit_id(self.name, writer, batch) if writer else f"{self.name}-{uuid.uuid4().hex}"
+        unique = f"{name or self.name}-{uuid.uuid4().hex}"
+        commit = _commit_id(self.name, writer, batch) if writer else unique
         path = f"{self.store.pool}/commit={commit}"
         if dated:
             # Rebalancing gives each day few files, yet splits a day that holds most of the rows.

@@ -11,6 +11,7 @@ from millwatch.sources.landing import good_rows, parse_landing, rejected_rows, s
 from millwatch.sources.tables import TableStore
 
 WRITER = "stream"
+COMPACT_EVERY = 64  # micro-batches
 
 
 def auto_ingest(
@@ -46,6 +47,10 @@ def stream_build(
         B.build(store, store.table(B.LANDING).batch_rows(WRITER, batch), WRITER, batch)
         if with_alerts:
             B.alert_pass(store, WRITER, batch, now)
+        if batch % COMPACT_EVERY == COMPACT_EVERY - 1:
+            # Last, when no table needs the folder of this batch any more.
+            store.table(B.LANDING).compact(COMPACT_EVERY)
+            store.table(B.HISTORY).compact(COMPACT_EVERY)
 
     return _start(store, path, checkpoint, sep, trigger, on_batch, max_files_per_trigger)
 
