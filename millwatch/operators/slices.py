@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from millwatch.session import workspace
 
 HOT_ROWS = 4_000_000  # rows one window task should sort at most
-_ROUNDS = 6  # a slice that is still too large is cut again; what stays uneven after that is only slower
+_PIECES = 256  # of one cut, or more where the rows need more
+_ROUNDS = 8  # a slice that is still too large is cut again; the microseconds of ten years take six rounds
 
 
 def over_time(
@@ -109,7 +110,7 @@ def _cuts(df: DataFrame, group: list[str], axes: list[Column], hot_rows: int) ->
         *[F.min(axes[i]).alias(f"lo_{i}") for i in numbers],
         *[F.max(axes[i]).alias(f"hi_{i}") for i in numbers],
     )
-    pieces = F.ceil(F.col("n") * 2 / hot_rows)
+    pieces = F.greatest(F.lit(_PIECES), F.ceil(F.col("n") * 2 / hot_rows))
     along = [
         F.when(
             F.col(f"hi_{i}") > F.col(f"lo_{i}"),

@@ -30,12 +30,11 @@ def _bag(columns, rows):
 
 
 def differences(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str:
-    """Empty when both agree in columns, value kinds and rows."""
+    """Empty when both agree in columns and rows."""
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     if sorted(names) != sorted(spark_df.columns):
         return f"columns {sorted(spark_df.columns)} against {sorted(names)}"
-    kinds = {n: str(d[1]) for n, d in zip(names, result.description)}
     want, got = _bag(names, result.fetchall()), _bag(spark_df.columns, spark_df.collect())
     if want != got:
         extra, missing = got - want, want - got
@@ -43,5 +42,4 @@ def differences(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str:
             f"{sum(got.values())} rows against {sum(want.values())}; {sum(extra.values())} only in Spark, "
             f"e.g. {list(extra)[:2]}; {sum(missing.values())} only in SQL, e.g. {list(missing)[:2]}"
         )
-    del kinds
     return ""
