@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from millwatch.session import workspace
 
 HOT_ROWS = 4_000_000  # rows one window task should sort at most
+_BROADCAST_GROUPS = 500_000  # some 40 MB
 _PIECES = 256  # of one cut, or more where the rows need more
 _ROUNDS = 8  # a slice that is still too large is cut again; the microseconds of ten years take six rounds
 
@@ -76,7 +77,8 @@ def _slice_hot_keys(
     Each round counts the rows per group, combined before the shuffle, and cuts groups above the limit
     evenly along the first axis on which their rows differ: time as a rule, the values where many rows
     share a time. Rows that differ nowhere have no order among them and are dealt out in turn. At most
-    total rows / hot_rows groups are above the limit, which bounds what is broadcast.
+    total rows / hot_rows groups are above the limit, one small row each; that number is checked before
+    they are broadcast.
     """
     levels: list[str] = []
     counts = df.groupBy(key).agg(F.count("*").alias("n"))  # reads one column; mostly that is all
@@ -85,7 +87,8 @@ def _slice_hot_keys(
     axes = _axes(df, ordering)
     for level in range(_ROUNDS):
         cuts = _cuts(df, [key, *levels], axes, hot_rows)
-        if cuts.isEmpty():
+        groups, equal = cuts.agg(F.count("*"), F.count_if(F.col("axis").isNull())).first()
+        if groups == 0:
             break
         match = [F.col(c).eqNullSafe(F.col(f"cut_{c}")) for c in [key, *levels]]
         axis = F.get(F.array(*axes), F.col("axis"))
@@ -95,9 +98,12 @@ def _slice_hot_keys(
         )
         name = f"slice_{level}"
         kept = df.columns
-        df = df.join(F.broadcast(cuts), match, "left").select(
+        side = F.broadcast(cuts) if groups <= _BROADCAST_GROUPS else cuts
+        df = df.join(side, match, "left").select(
             *kept, F.when(F.col("pieces").isNotNull(), number).alias(name)
         )
+        if equal:
+            df = _stored(df, "dealt")  # dealing rows out in turn must not happen twice
         levels.append(name)
     return df, levels
 
@@ -128,8 +134,12 @@ def _cuts(df: DataFrame, group: list[str], axes: list[Column], hot_rows: int) ->
         F.coalesce(*along).alias("along"),
     )
     # Stored: the counting runs once, though both the slices and their lead-ins need it.
-    path = f"{workspace(df.sparkSession)}/cuts"
-    cuts.select("*", "along.*").drop("along").write.parquet(path)
+    return _stored(cuts.select("*", "along.*").drop("along"), "cuts")
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = f"{workspace(df.sparkSession)}/{name}"
+    df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -1,20 +1,19 @@
 """Parquet tables with replace, append, upsert, delete and copy-free clones.
 
-Rows lie in immutable folders `pool/commit=<id>[/event_date=<day>]`. The current content of a table is
-the newest file of its folder `tables/<name>`, which lists those folders. A change writes new folders and
-then one small listing, so
+Rows lie in immutable folders `pool/commit=<id>[/event_date=<day>]`. Version n of a table is the file in
+`tables/<name>/version=<n>`, which lists those folders. A change writes new folders and then the next
+version, so
 
 * an append costs what it appends, and an upsert or delete rewrites only the days it touches;
 * a clone is a second listing of the same folders, and later changes on either side are independent;
-* a job that dies half way leaves nothing but folders no listing names.
+* a job that dies half way leaves nothing but folders no version names.
 
-One writer per table at a time: a second writer of the same version fails instead of overwriting.
+A table has one writer at a time and any number of readers.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import uuid
 from dataclasses import dataclass, field
 
@@ -23,10 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LISTING = "version bigint, schema string, dated boolean, folders array<string>, done map<string,bigint>"
+_LISTING = "schema string, dated boolean, folders array<string>, done map<string,bigint>"
 _MERGED = "merged-"
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
-_FOLDER = re.compile(r"commit=[^/]+(?:/event_date=[^/]+)?(?=/[^/]+$)")
 
 
 @dataclass(frozen=True)
@@ -44,13 +42,14 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._tables: dict[str, Table] = {}
 
     @property
     def pool(self) -> str:
         return f"{self.root}/pool"
 
     def table(self, name: str) -> Table:
-        return Table(self, name)
+        return self._tables.setdefault(name, Table(self, name))
 
 
 class Table:
@@ -58,24 +57,42 @@ class Table:
         self.store = store
         self.spark = store.spark
         self.name = name
+        self._known: Listing | None = None  # versions never change, so the last one seen can be kept
 
     # --- listings ------------------------------------------------------------------------------
 
-    @property
-    def _listings(self) -> str:
-        return f"{self.store.root}/tables/{self.name}"
+    def _path(self, version: int) -> str:
+        return f"{self.store.root}/tables/{self.name}/version={version:012d}"
 
-    def _newest(self) -> Listing | None:
-        """The current version, or the mark of a dropped table, or None. Lists files, runs one tiny job."""
+    def _exists(self, version: int) -> bool:
+        """Whether the version was written to the end; what a dead job left has no file."""
         try:
-            files = self.spark.read.schema(_LISTING).json(self._listings).inputFiles()
+            return bool(self.spark.read.schema(_LISTING).json(self._path(version)).inputFiles())
         except AnalysisException:
-            return None
-        if not files:
-            return None
-        row = self.spark.read.schema(_LISTING).json(max(files)).first()
+            return False
+
+    def _newest(self) -> Listing | None:
+        """The current version, or the mark of a dropped table, or None.
+
+        Versions have no gaps, so it is found by looking ahead in growing and then shrinking steps,
+        however many there are. As a rule one look shows that the last one seen is still the newest.
+        """
+        seen = self._known.version if self._known else 0
+        newest, step = seen, 1
+        while self._exists(newest + step):
+            newest, step = newest + step, step * 2
+        while step > 1:
+            step //= 2
+            if self._exists(newest + step):
+                newest += step
+        if newest > seen:
+            self._known = self._load(newest)
+        return self._known
+
+    def _load(self, version: int) -> Listing:
+        row = self.spark.read.schema(_LISTING).json(self._path(version)).first()
         schema = T.StructType.fromJson(json.loads(row["schema"])) if row["schema"] else None
-        return Listing(row["version"], schema, row["dated"], row["folders"] or [], row["done"] or {})
+        return Listing(version, schema, row["dated"], row["folders"] or [], row["done"] or {})
 
     def current(self) -> Listing:
         newest = self._newest()
@@ -97,7 +114,6 @@ class Table:
     ) -> None:
         version = after.version + 1 if after else 1
         listing = {
-            "version": version,
             "schema": schema.json() if schema else None,
             "dated": dated,
             "folders": sorted(folders),
@@ -105,7 +121,8 @@ class Table:
         }
         # One row in one file: the version is there as a whole or not at all.
         row = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(listing)).alias("value"))
-        row.write.mode("error").text(f"{self._listings}/version={version:012d}")
+        row.write.mode("overwrite").text(self._path(version))
+        self._known = Listing(version, schema, dated, sorted(folders), done)
 
     # --- reading -------------------------------------------------------------------------------
 
@@ -241,15 +258,18 @@ class Table:
         """Write the rows to a folder of their own; returns the folders that got rows."""
         unique = f"{name or self.name}-{uuid.uuid4().hex}"
         commit = _commit_id(self.name, writer, batch) if writer else unique
-        path = f"{self.store.pool}/commit={commit}"
-        if dated:
-            # Rebalancing gives each day few files, yet splits a day that holds most of the rows.
-            rows = df.withColumn("event_date", F.to_date("event_time")).hint("rebalance", "event_date")
-            rows.write.mode("overwrite").partitionBy("event_date").parquet(path)
-        else:
+        folder = f"commit={commit}"
+        path = f"{self.store.pool}/{folder}"
+        if not dated:
             df.write.mode("overwrite").parquet(path)
-        written = self.spark.read.schema(df.schema).parquet(path).inputFiles()
-        return sorted({_FOLDER.search(f).group(0) for f in written})
+            return [folder]
+        # Rebalancing gives each day few files, yet splits a day that holds most of the rows.
+        rows = df.withColumn("event_date", F.to_date("event_time")).hint("rebalance", "event_date")
+        rows.write.mode("overwrite").partitionBy("event_date").parquet(path)
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        day = F.regexp_extract("path", "/event_date=([^/]+)/", 1).alias("day")
+        days = files.select(day).distinct().collect()  # names only, a row per day
+        return sorted(f"{folder}/event_date={r['day']}" for r in days)
 
     # --- clones --------------------------------------------------------------------------------
 
