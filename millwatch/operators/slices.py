@@ -33,8 +33,9 @@ def over_time(
 ) -> DataFrame:
     """`df` plus `columns(window)`, the window running over time within each key.
 
-    `columns` may look at the current row and up to `back` rows before it. Rows with equal time are
-    ordered by their other columns, which must be numbers. A missing value counts as the highest.
+    `columns` may look at the current row and up to `back` rows before it. The time is a wall-clock time;
+    rows with equal time are ordered by their other columns, which must be numbers. A missing value
+    counts as the highest.
     """
     ordering = [time, *[c for c in df.columns if c not in (key, time)]]
     sliced, levels = _slice_hot_keys(df, key, ordering, hot_rows)
@@ -58,8 +59,8 @@ def _axes(df: DataFrame, ordering: list[str]) -> list[Column]:
     axes = []
     for name in ordering:
         column = F.col(name)
-        if isinstance(df.schema[name].dataType, (T.TimestampNTZType, T.TimestampType)):
-            column = F.unix_micros(column.cast("timestamp"))
+        if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+            column = _wall_clock_micros(column)
         value = column.cast("double")
         endless = F.abs(value) == float("inf")
         kind = (
@@ -69,6 +70,13 @@ def _axes(df: DataFrame, ordering: list[str]) -> list[Column]:
     return axes
 
 
+def _wall_clock_micros(time: Column) -> Column:
+    """Microseconds since 1970 on the wall clock. A detour over `timestamp` would bend at clock changes."""
+    days = F.date_diff(F.to_date(time), F.lit("1970-01-01").cast("date"))
+    seconds = F.hour(time) * 3600 + F.minute(time) * 60 + F.extract(F.lit("SECOND"), time)
+    return days * 86_400_000_000.0 + seconds.cast("double") * 1_000_000
+
+
 def _slice_hot_keys(
     df: DataFrame, key: str, ordering: list[str], hot_rows: int
 ) -> tuple[DataFrame, list[str]]:

@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 from millwatch.operators import alerts, marts, quality
 from millwatch.operators.history import load_history
 from millwatch.operators.staging import staging_readings
-from millwatch.sources.tables import TableStore
+from millwatch.sources.tables import TableStore, publish_view
 
 LANDING, REJECTS, HISTORY = "landing", "landing_rejects", "history"
 TOTALS, MART, ALERTS = "machine_totals", "machine_health", "alerts"
 STAGING_VIEW = "staging_readings"
 
 
-def land(store: TableStore, good: DataFrame, rejects: DataFrame | None, writer: str, batch: int) -> None:
+def land(store: TableStore, good: DataFrame, rejects: DataFrame, writer: str, batch: int) -> None:
     """Append typed rows and rejected rows to their tables."""
     store.table(LANDING).append(good, writer=writer, batch=batch)
-    if rejects is not None:
-        store.table(REJECTS).append(rejects, writer=writer, batch=batch)
+    aside = store.table(REJECTS)
+    if not (aside.exists() and rejects.isEmpty()):
+        aside.append(rejects, writer=writer, batch=batch)
 
 
 def build(store: TableStore, landing: DataFrame, writer: str, batch: int) -> None:
@@ -52,8 +53,7 @@ def rebuild_mart(store: TableStore) -> None:
 def run_batch(store: TableStore, landing: DataFrame, writer: str, batch: int) -> DataFrame:
     """Build, publish the staging view, and return the results of the declared checks."""
     build(store, landing, writer, batch)
-    staging = staging_readings(store.table(HISTORY).read())
-    staging.createOrReplaceTempView(STAGING_VIEW)
+    staging = publish_view(staging_readings(store.table(HISTORY).read()), STAGING_VIEW)
     return quality.contract_suite(landing, staging, store.table(MART).read())
 
 

@@ -16,12 +16,13 @@ from millwatch import schemas
 from millwatch import settings as S
 from millwatch.functions import readings as R
 from millwatch.functions import text as X
+from millwatch.functions.alerting import register_functions
 from millwatch.operators import alerts, history, overview, quality, staging, summaries, trends
 from millwatch.operators.marts import machine_health
 from millwatch.plans import build as B
 from millwatch.session import workspace
 from millwatch.sources import batches, landing, snapshots, testdata
-from millwatch.sources.tables import Table, TableStore
+from millwatch.sources.tables import Table, TableStore, publish_view
 from millwatch.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -325,6 +326,20 @@ def risk_by_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overview.risk_by_machine(mart(spark, sf_dir))
 
 
+@query
+def readings_of_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summaries.equals(readings(spark, sf_dir), "machine_id", DAMAGED[0])
+
+
+@query
+def staging_view_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staging view as a SQL user reads it."""
+    publish_view(staged(spark, sf_dir), B.STAGING_VIEW)
+    return spark.sql(f"""
+        SELECT reading_status, count(*) AS n, min(event_time) AS first_time, max(event_time) AS last_time
+        FROM {B.STAGING_VIEW} GROUP BY reading_status""")
+
+
 # --- joins -----------------------------------------------------------------------------------------------
 
 
@@ -521,6 +536,12 @@ def dashboard_reading_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_deltas(trends.reading_deltas(recent))
 
 
+@query
+def dashboard_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recent = summaries.recent_readings(readings(spark, sf_dir), S.RECENT_ROWS)
+    return trends.mean_recent(recent).withColumns(rounded(*[f"{c}_mean" for c in S.SENSORS]))
+
+
 # --- sorts and limits --------------------------------------------------------------------------------------
 
 
@@ -657,6 +678,17 @@ def alert_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.render_report(messages, F.lit(REPORT_TIME).cast("timestamp")).drop("machines_data")
 
 
+@query
+def scheduled_alert_call(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the schedule runs each time: the alert function over the view of critical machines."""
+    register_functions(spark)
+    publish_view(alerts.critical_payload(mart(spark, sf_dir)), "critical_machines_list")
+    return spark.sql("""
+        SELECT message_no, outcome.*
+        FROM (SELECT message_no, alert_outcome(coalesce(machines_data, '')) AS outcome
+              FROM critical_machines_list)""")
+
+
 # --- snapshots -----------------------------------------------------------------------------------------------------
 
 

@@ -301,6 +301,12 @@ class Table:
         )
 
 
+def publish_view(df: DataFrame, name: str) -> DataFrame:
+    """Make a DataFrame a view for SQL users, in place of an earlier view of that name."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
+
+
 def day_of(folder: str) -> str:
     """The day in a folder name; the mark for rows without a time where there is none."""
     return folder.partition("/event_date=")[2] or _NO_DAY

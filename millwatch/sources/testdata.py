@@ -64,5 +64,6 @@ def readings_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hourly_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with times cut to the hour, which gives repeated (machine, time) keys."""
-    hour = F.date_trunc("hour", F.col("timestamp")).cast("timestamp_ntz")
+    time = F.col("timestamp")
+    hour = F.to_date(time).cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(time))
     return readings_from_events(spark, sf_dir).withColumn("timestamp", hour)
