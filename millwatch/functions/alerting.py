@@ -67,5 +67,6 @@ _FUNCTIONS = [
 
 def register_functions(spark: SparkSession) -> None:
     """Make `parse_payload`, `alert_outcome` and their helpers known to the session."""
-    for statement in _FUNCTIONS:
-        spark.sql(statement)
+    if not spark.catalog.functionExists("alert_outcome"):
+        for statement in _FUNCTIONS:
+            spark.sql(statement)

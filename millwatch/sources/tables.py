@@ -1,8 +1,9 @@
 """Parquet tables with replace, append, upsert, delete and copy-free clones.
 
-Rows lie in immutable folders `pool/commit=<id>[/event_date=<day>]`. Version n of a table is the file in
-`tables/<name>/version=<n>`, which lists those folders. A change writes new folders and then the next
-version, so
+Rows lie in immutable folders `pool/commit=<id>[/event_date=<day>]`. A version of a table is a list of such
+folders in one small file. Odd and even versions take turns in two slots below `tables/<name>`, and the higher
+of the two is the table's content: while one slot is written the other still holds a whole version. A change
+writes new folders and then the next version, so
 
 * an append costs what it appends, and an upsert or delete rewrites only the days it touches;
 * a clone is a second listing of the same folders, and later changes on either side are independent;
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LISTING = "schema string, dated boolean, folders array<string>, done map<string,bigint>"
+_LISTING = "version bigint, schema string, dated boolean, folders array<string>, done map<string,bigint>"
 _MERGED = "merged-"
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
@@ -57,43 +58,35 @@ class Table:
         self.store = store
         self.spark = store.spark
         self.name = name
-        self._known: Listing | None = None  # versions never change, so the last one seen can be kept
+        self._path = f"{store.root}/tables/{name}"
+        self._files: list[str] = []  # file names are never used twice, so the same files mean
+        self._known: Listing | None = None  # the same version
 
     # --- listings ------------------------------------------------------------------------------
 
-    def _path(self, version: int) -> str:
-        return f"{self.store.root}/tables/{self.name}/version={version:012d}"
-
-    def _exists(self, version: int) -> bool:
-        """Whether the version was written to the end; what a dead job left has no file."""
-        try:
-            return bool(self.spark.read.schema(_LISTING).json(self._path(version)).inputFiles())
-        except AnalysisException:
-            return False
+    def _slots(self) -> tuple[DataFrame, list[str]]:
+        """The slots and their files, at most two. A reader may find one of them replaced just now."""
+        slots = self.spark.read.schema(_LISTING).option("ignoreMissingFiles", True).json(self._path)
+        return slots, sorted(slots.inputFiles())
 
     def _newest(self) -> Listing | None:
-        """The current version, or the mark of a dropped table, or None.
-
-        Versions have no gaps, so it is found by looking ahead in growing and then shrinking steps,
-        however many there are. As a rule one look shows that the last one seen is still the newest.
-        """
-        seen = self._known.version if self._known else 0
-        newest, step = seen, 1
-        while self._exists(newest + step):
-            newest, step = newest + step, step * 2
-        while step > 1:
-            step //= 2
-            if self._exists(newest + step):
-                newest += step
-        if newest > seen:
-            self._known = self._load(newest)
+        """The current version, or the mark of a dropped table, or None."""
+        try:
+            slots, files = self._slots()
+        except AnalysisException:  # no such folder yet
+            return None
+        if files != self._files:
+            rows = slots.collect()
+            if not rows:  # both were replaced since they were listed
+                return self._newest()
+            row = max(rows, key=lambda r: r["version"])
+            schema = T.StructType.fromJson(json.loads(row["schema"])) if row["schema"] else None
+            self._known = Listing(
+                row["version"], schema, row["dated"], row["folders"] or [], row["done"] or {}
+            )
+            self._files = files
         return self._known
 
-    def _load(self, version: int) -> Listing:
-        row = self.spark.read.schema(_LISTING).json(self._path(version)).first()
-        schema = T.StructType.fromJson(json.loads(row["schema"])) if row["schema"] else None
-        return Listing(version, schema, row["dated"], row["folders"] or [], row["done"] or {})
-
     def current(self) -> Listing:
         newest = self._newest()
         if newest is None or newest.schema is None:
@@ -114,6 +107,7 @@ class Table:
     ) -> None:
         version = after.version + 1 if after else 1
         listing = {
+            "version": version,
             "schema": schema.json() if schema else None,
             "dated": dated,
             "folders": sorted(folders),
@@ -121,8 +115,9 @@ class Table:
         }
         # One row in one file: the version is there as a whole or not at all.
         row = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(listing)).alias("value"))
-        row.write.mode("overwrite").text(self._path(version))
+        row.write.mode("overwrite").text(f"{self._path}/slot={version % 2}")
         self._known = Listing(version, schema, dated, sorted(folders), done)
+        self._files = self._slots()[1]
 
     # --- reading -------------------------------------------------------------------------------
 

@@ -1,5 +1,7 @@
 """Every named query against its SQL text, and the driver contract."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from oracle_check import connect, differences
 
@@ -10,10 +12,17 @@ QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
 
 
 @pytest.fixture(scope="module")
-def duck():
-    con = connect(SF)
-    yield con
-    con.close()
+def outcomes(spark):
+    """The comparisons, several at a time, each in a session of its own."""
+    duck = connect(SF)
+
+    def compare(name):
+        return differences(QUERIES[name](spark.newSession(), SF), duck.cursor(), ORACLES[name])
+
+    with ThreadPoolExecutor(6) as pool:
+        futures = {name: pool.submit(compare, name) for name in sorted(ORACLES)}
+        yield futures
+    duck.close()
 
 
 def test_every_oracle_has_a_query_and_all_but_the_free_sample_have_an_oracle():
@@ -30,5 +39,5 @@ def test_sample(spark):
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
-def test_query(spark, duck, name):
-    assert differences(QUERIES[name](spark, SF), duck, ORACLES[name]) == ""
+def test_query(outcomes, name):
+    assert outcomes[name].result() == ""
