@@ -51,9 +51,11 @@ def parse_payload(messages: DataFrame, payload: str = "machines_data") -> DataFr
     """One row per machine of each message, in payload order, beside the message's other columns."""
     register_functions(messages.sparkSession)
     others = [c for c in messages.columns if c != payload]
+    # An inner explode would parse twice: Spark first filters on the size of what it explodes.
     return (
         messages.select(*others, _entries(payload).alias("entries"))
-        .select(*others, F.posexplode("entries").alias("position", "entry"))
+        .select(*others, F.posexplode_outer("entries").alias("position", "entry"))
+        .filter(F.col("position").isNotNull())
         .select(*others, "position", "entry.*")
     )
 

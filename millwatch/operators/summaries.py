@@ -49,7 +49,7 @@ def per_machine_summary(readings: DataFrame) -> DataFrame:
     )
 
 
-def null_profile(readings: DataFrame, label: str = "Data Quality Check") -> DataFrame:
+def null_profile(readings: DataFrame, label: str = "landing profile") -> DataFrame:
     """NULLs per checked column, machines and time range, in one aggregation."""
     return readings.agg(
         F.lit(label).alias("check_type"),

@@ -290,7 +290,7 @@ def anomalous_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def machines_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = summaries.machines_since(readings(spark, sf_dir), DAMAGED, at(DAMAGED_SINCE))
-    return summaries.label(rows, "RECOVERED FROM BACKUP")
+    return summaries.label(rows, "backup")
 
 
 @query
@@ -403,14 +403,14 @@ def machine_health_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def table_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = summaries.table_summary(readings(spark, sf_dir), "FINAL STATE")
+    summary = summaries.table_summary(readings(spark, sf_dir), "final state")
     return summary.withColumns(rounded("avg_temperature"))
 
 
 @query
 def machines_record_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.label(
-        summaries.machines_record_count(readings(spark, sf_dir), DAMAGED), "BACKUP CLONE DATA"
+        summaries.machines_record_count(readings(spark, sf_dir), DAMAGED), "backup"
     )
 
 
@@ -705,9 +705,9 @@ def _damaged(spark: SparkSession, sf_dir: str) -> tuple[Table, Table]:
 @query
 def recovery_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     backup, table = _damaged(spark, sf_dir)
-    versions = {"BEFORE OOPS": backup.read(), "AFTER OOPS": table.read()}
+    versions = {"before damage": backup.read(), "after damage": table.read()}
     table.restore_from(backup.name)
-    versions |= {"AFTER CLONE RECOVERY": table.read(), "FINAL STATE": table.read()}
+    versions |= {"after recovery": table.read(), "final state": table.read()}
     backup.drop()
     return summaries.checkpoint_report(versions).withColumns(rounded("avg_temperature"))
 
