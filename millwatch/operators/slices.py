@@ -89,12 +89,15 @@ def _slice_hot_keys(
     they are broadcast.
     """
     levels: list[str] = []
-    counts = df.groupBy(key).agg(F.count("*").alias("n"))  # reads one column; mostly that is all
-    if counts.filter(F.col("n") > hot_rows).isEmpty():
+    counts = df.groupBy(F.col(key).alias("hot_key")).agg(F.count("*").alias("n"))
+    hot = counts.filter(F.col("n") > hot_rows).select("hot_key")
+    if hot.isEmpty():  # mostly that is all, and it reads one column
         return df, levels
+    hot = _stored(hot, "hot")
+    scope = df.join(_small(hot, hot.count()), F.col(key).eqNullSafe(F.col("hot_key")), "left_semi")
     axes = _axes(df, ordering)
     for level in range(_ROUNDS):
-        cuts = _cuts(df, [key, *levels], axes, hot_rows)
+        cuts = _cuts(scope, [key, *levels], axes, hot_rows)
         groups, equal = cuts.agg(F.count("*"), F.count_if(F.col("axis").isNull())).first()
         if groups == 0:
             break
@@ -106,16 +109,20 @@ def _slice_hot_keys(
         )
         name = f"slice_{level}"
         kept = df.columns
-        side = F.broadcast(cuts) if groups <= _BROADCAST_GROUPS else cuts
-        df = df.join(side, match, "left").select(
+        df = df.join(_small(cuts, groups), match, "left").select(
             *kept, F.when(F.col("pieces").isNotNull(), number).alias(name)
         )
         if equal:
             df = _stored(df, "dealt")  # dealing rows out in turn must not happen twice
         levels.append(name)
+        scope = df.filter(F.col(name).isNotNull())
     return df, levels
 
 
+def _small(groups: DataFrame, number: int) -> DataFrame:
+    return F.broadcast(groups) if number <= _BROADCAST_GROUPS else groups
+
+
 def _cuts(df: DataFrame, group: list[str], axes: list[Column], hot_rows: int) -> DataFrame:
     """The groups to cut, with axis, first value and width of a piece; no axis for equal rows."""
     numbers = range(len(axes))

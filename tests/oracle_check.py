@@ -9,6 +9,16 @@ from pathlib import Path
 import duckdb
 
 
+KINDS = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for f in Path(sf_dir).glob("*.parquet"):
@@ -30,11 +40,16 @@ def _bag(columns, rows):
 
 
 def differences(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str:
-    """Empty when both agree in columns and rows."""
+    """Empty when both agree in columns, types and rows."""
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     if sorted(names) != sorted(spark_df.columns):
         return f"columns {sorted(spark_df.columns)} against {sorted(names)}"
+    kinds = dict(r[:2] for r in con.execute(f"DESCRIBE {sql}").fetchall())
+    result = con.execute(sql)
+    other = {f.name for f in spark_df.schema if KINDS.get(f.dataType.simpleString()) != kinds[f.name]}
+    if other:
+        return f"types of {sorted(other)}"
     want, got = _bag(names, result.fetchall()), _bag(spark_df.columns, spark_df.collect())
     if want != got:
         extra, missing = got - want, want - got
