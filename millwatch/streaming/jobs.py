@@ -21,6 +21,7 @@ def auto_ingest(
 
     def on_batch(raw: DataFrame, batch: int) -> None:
         _land(store, raw, batch)
+        _tidy(store, [B.LANDING, B.REJECTS], batch)
 
     return _start(store, path, checkpoint, sep, trigger, on_batch)
 
@@ -31,7 +32,7 @@ def stream_build(
     checkpoint: str,
     sep: str = ",",
     trigger: dict | None = None,
-    with_alerts: bool = True,
+    with_alerts: bool = False,
     now: Column | None = None,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
@@ -39,6 +40,9 @@ def stream_build(
 
     Late data: what is not later than everything stored before the micro-batch is dropped, while order
     within it does not matter. A watermark cannot say this, since it lags one micro-batch behind.
+
+    With `with_alerts` every micro-batch ends in an alert pass; do not run `alert_schedule` on the same
+    store then, as the alerts table has one writer.
     """
 
     def on_batch(raw: DataFrame, batch: int) -> None:
@@ -47,10 +51,8 @@ def stream_build(
         B.build(store, store.table(B.LANDING).batch_rows(WRITER, batch), WRITER, batch)
         if with_alerts:
             B.alert_pass(store, WRITER, batch, now)
-        if batch % COMPACT_EVERY == COMPACT_EVERY - 1:
-            # Last, when no table needs the folder of this batch any more.
-            store.table(B.LANDING).compact(COMPACT_EVERY)
-            store.table(B.HISTORY).compact(COMPACT_EVERY)
+        grown = [B.LANDING, B.REJECTS, B.HISTORY, *([B.ALERTS] if with_alerts else [])]
+        _tidy(store, grown, batch)  # last, when no table needs the folder of this batch any more
 
     return _start(store, path, checkpoint, sep, trigger, on_batch, max_files_per_trigger)
 
@@ -64,6 +66,12 @@ def _land(store: TableStore, raw: DataFrame, batch: int) -> None:
         parsed.unpersist()
 
 
+def _tidy(store: TableStore, names: list[str], batch: int) -> None:
+    if batch % COMPACT_EVERY == COMPACT_EVERY - 1:
+        for name in names:
+            store.table(name).compact(COMPACT_EVERY)
+
+
 def _start(
     store, path, checkpoint, sep, trigger, on_batch, max_files_per_trigger=None
 ) -> StreamingQuery:
@@ -79,10 +87,18 @@ def _start(
 def alert_schedule(
     store: TableStore, checkpoint: str, every: str = S.ALERT_INTERVAL, writer: str = "schedule"
 ) -> StreamingQuery:
-    """Evaluate the mart at a fixed interval. The rate source is only the clock."""
+    """Evaluate the mart at a fixed interval. The rate source is only the clock.
+
+    A new checkpoint starts to count batches anew, so it needs a new writer name.
+    """
+
+    def on_tick(_: DataFrame, batch: int) -> None:
+        B.alert_pass(store, writer, batch)
+        _tidy(store, [B.ALERTS], batch)
+
     clock = store.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     return (
-        clock.writeStream.foreachBatch(lambda _, batch: B.alert_pass(store, writer, batch))
+        clock.writeStream.foreachBatch(on_tick)
         .option("checkpointLocation", checkpoint)
         .trigger(processingTime=every)
         .start()

@@ -1,5 +1,7 @@
 """Payload text, its parsing, outcome and report."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,6 +36,33 @@ def test_parse(spark, text):
     assert [(r["machine_id"], r["risk_score"], r["issue"]) for r in rows] == CASES[text]
 
 
+def parsed_by_hand(text):
+    """The same rule in plain Python, whose `float` decides what a risk is."""
+    out = []
+    for entry in text.split(";"):
+        parts = entry.split("|")
+        if len(parts) < 3:
+            continue
+        try:
+            risk = float(parts[1]) if parts[1] else 0.0
+        except ValueError:
+            return []
+        out.append((parts[0], repr(risk), parts[2] or "Immediate maintenance required"))
+    return out
+
+
+def test_risks_are_what_python_takes_for_numbers(spark):
+    r = random.Random(11)
+    marks = list("0123456789") + ["_", ".", "e", "E", "+", "-", " ", "d", "f", "x", "inf", "nan", "Infinity"]
+    risks = ["".join(r.choices(marks, k=r.randint(0, 6))) for _ in range(3000)]
+    risks += ["1", "1_0", "1__0", "_1", "1_", "1.", ".5", ".", "1._5", "1_.5", "1e5", "1e+5_0", "e5", "+-1", "1e400", " 7\t"]
+    texts = [f"M{i}|{risk}|worn" for i, risk in enumerate(risks)]
+    rows = alerts.parse_payload(messages(spark, *texts)).collect()
+    got = {r["message_no"]: (r["machine_id"], repr(r["risk_score"]), r["issue"]) for r in rows}
+    want = {i: e for i, text in enumerate(texts) for e in parsed_by_hand(text)}
+    assert got == want and 300 < len(got) < 2500
+
+
 def test_sql_table_function(spark):
     register_functions(spark)
     rows = spark.sql("SELECT * FROM parse_payload('M1|90|x;M2||y')").collect()

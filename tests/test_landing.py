@@ -106,7 +106,8 @@ def stream(spark, tmp_path):
     return folder, store, str(tmp_path / "checkpoint")
 
 
-def run(store, folder, checkpoint, **options):
+def run(store, folder, checkpoint, with_alerts=True, **options):
+    options["with_alerts"] = with_alerts
     jobs.stream_build(store, str(folder), checkpoint, trigger={"availableNow": True}, **options).awaitTermination()
 
 
