@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,34 +13,36 @@ from millwatch import settings as S
 from millwatch.functions.readings import any_of, is_urgent
 from millwatch.operators import overview, summaries
 
-RESULT = ["model", "check", "column", "violations"]
-
 
 @dataclass(frozen=True)
 class Rule:
-    """A row breaks the rule when `broken` is TRUE; unknown passes."""
+    """A row breaks the rule when the SQL condition `broken` is TRUE; unknown passes."""
 
     check: str
     column: str
-    broken: Column
+    broken: str
+
+
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def not_null(column: str) -> Rule:
-    return Rule("not_null", column, F.col(column).isNull())
+    return Rule("not_null", column, f"`{column}` IS NULL")
 
 
 def accepted_values(column: str, values: list[str]) -> Rule:
-    return Rule("accepted_values", column, ~F.col(column).isin(values))
+    listed = ", ".join(map(_text, values))
+    return Rule("accepted_values", column, f"`{column}` NOT IN ({listed})")
 
 
 def accepted_range(column: str, low: float | None = None, high: float | None = None) -> Rule:
     """Both ends belong to the range; either may be open."""
-    value, sides = F.col(column), []
-    if low is not None:
-        sides.append(value < low)
+    sides = [f"`{column}` < {low}"] if low is not None else []
     if high is not None:
-        sides.append(value > high)
-    return Rule("accepted_range", column, any_of(sides))
+        sides.append(f"`{column}` > {high}")
+    return Rule("accepted_range", column, " OR ".join(sides))
 
 
 def violations(df: DataFrame, rule: Rule) -> DataFrame:
@@ -48,19 +50,21 @@ def violations(df: DataFrame, rule: Rule) -> DataFrame:
     return df.filter(rule.broken)
 
 
-def check_rules(df: DataFrame, model: str, rules: list[Rule]) -> DataFrame:
-    """One row per rule with the number of rows that break it: one pass over the table."""
-    counts = df.agg(*[F.count_if(r.broken).alias(f"v{i}") for i, r in enumerate(rules)])
-    results = [
-        F.struct(
-            F.lit(model).alias("model"),
-            F.lit(r.check).alias("check"),
-            F.lit(r.column).alias("column"),
-            F.col(f"v{i}").alias("violations"),
-        )
-        for i, r in enumerate(rules)
-    ]
-    return counts.select(F.inline(F.array(*results)))
+def check_rules(df: DataFrame, model: str, rules: list[Rule], empty_too: bool = False) -> DataFrame:
+    """One row per rule with the number of rows that break it: one pass over the table.
+
+    With `empty_too` the same pass also finds out whether there is any row.
+    """
+    checks = [(r.check, r.column, f"count_if({r.broken})") for r in rules]
+    if empty_too:
+        checks.append(("table_not_empty", "", "if(count(*) = 0, 1L, 0L)"))
+    counts = df.agg(*[F.expr(f"{number} AS v{i}") for i, (_, _, number) in enumerate(checks)])
+    results = ", ".join(
+        f"struct({_text(model)} AS model, {_text(check)} AS `check`, {_text(column)} AS `column`, "
+        f"v{i} AS violations)"
+        for i, (check, column, _) in enumerate(checks)
+    )
+    return counts.selectExpr(f"inline(array({results}))")
 
 
 def unique(df: DataFrame, model: str, column: str) -> DataFrame:
@@ -154,11 +158,9 @@ def contract_suite(landing: DataFrame, staging: DataFrame, mart: DataFrame) -> D
     """Every declared check on the three tables."""
     parts = [
         check_rules(landing, "landing", landing_rules()),
-        check_rules(staging, "staging", staging_rules()),
-        not_empty(staging, "staging"),
-        check_rules(mart, "mart", mart_rules()),
+        check_rules(staging, "staging", staging_rules(), empty_too=True),
+        check_rules(mart, "mart", mart_rules(), empty_too=True),
         unique(mart, "mart", "machine_id"),
-        not_empty(mart, "mart"),
     ]
     return reduce(DataFrame.unionByName, parts)
 

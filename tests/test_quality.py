@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 
+from millwatch import schemas
 from millwatch.operators import quality
 
 MART = "machine_id string, failure_risk_score int, health_status string, maintenance_recommendation string"
@@ -42,6 +43,17 @@ def test_not_empty(spark):
     assert quality.not_empty(df.limit(0), "t").first()["violations"] == 1
 
 
+def test_suite_notices_empty_tables(spark):
+    none = spark.createDataFrame([], schemas.STAGING)
+    suite = quality.contract_suite(
+        spark.createDataFrame([], schemas.LANDING), none, spark.createDataFrame([], schemas.MART)
+    )
+    broken = suite.filter("violations > 0").collect()
+    assert sorted((r["model"], r["check"], r["violations"]) for r in broken) == [
+        ("mart", "table_not_empty", 1), ("staging", "table_not_empty", 1),
+    ]
+
+
 def test_required_columns_ignore_case(spark):
     df = spark.createDataFrame([(1, 2)], "MACHINE_ID int, Health_Status int")
     assert quality.required_columns(df, quality.MART_REQUIRED) == ["failure_risk_score", "maintenance_recommendation"]
