@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwatch.llm import quality_rules, sharding
+from millwatch.llm import quality_rules, sharding, substring_dedup
 from millwatch.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-word windows that a smaller document also has."""
+    cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of near equal bytes, equal texts together."""
@@ -32,3 +39,26 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+ORACLES["op5_substring_dedup"] = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, unnest(range(1, len(words) - 48)) AS start, words FROM docs WHERE len(words) >= 50
+), windows AS (
+  SELECT doc_id, start, md5(array_to_string(words[start:start + 49], ' ')) AS w FROM starts
+), firsts AS (
+  SELECT w, min(doc_id) AS first FROM windows GROUP BY w
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(start, start + 50)) AS at FROM windows JOIN firsts USING (w) WHERE doc_id > first
+), positions AS (
+  SELECT doc_id, unnest(range(1, len(words) + 1)) AS at, unnest(words) AS word FROM docs
+), kept AS (
+  SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.at) AS text, count(*) AS n
+  FROM positions p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.at = g.at GROUP BY p.doc_id
+)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(len(d.words) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (doc_id)
+"""
