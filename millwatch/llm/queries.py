@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwatch.llm import ngram_jaccard, quality_rules, sharding, substring_dedup
+from millwatch.llm import ngram_jaccard, quality_rules, sharding, substring_dedup, suffix_dedup
 from millwatch.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 200-byte strings that also start elsewhere."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of near equal bytes, equal texts together."""

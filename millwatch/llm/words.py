@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 _MASK = (1 << 64) - 1
@@ -93,7 +94,7 @@ def signed(h: np.ndarray) -> np.ndarray:
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about `limit` bytes of `column`, or one row if that is longer."""
     for batch in batches:
-        lengths = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column(column).cast(pa.binary())), 0).to_numpy(zero_copy_only=False))
+        lengths = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column).cast(pa.binary())), 0).to_numpy(zero_copy_only=False))
         start = 0
         while start < batch.num_rows:
             before = lengths[start - 1] if start else 0
