@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwatch.llm import ngram_jaccard, quality_rules, sharding, substring_dedup, suffix_dedup
+from millwatch.llm import decontamination, ngram_jaccard, quality_rules, sharding, substring_dedup, suffix_dedup, url_filter
 from millwatch.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page url with the rule or the model's verdict."""
+    return url_filter.judge(table(spark, sf_dir, "pages")).drop("score")
+
+
 @query
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 200-byte strings that also start elsewhere."""
@@ -53,6 +59,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item whose 5-word shingles it holds to four fifths."""
+    return decontamination.found_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 ORACLES["op3_ngram_jaccard"] = r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
@@ -94,3 +106,19 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(len(d.words) - co
        sha256(coalesce(k.text, '')) AS kept_sha256
 FROM docs d LEFT JOIN kept k USING (doc_id)
 """
+
+ORACLES["op10_decontamination"] = r"""
+WITH docs AS (
+  SELECT doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS words FROM documents
+), items AS (
+  SELECT item_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS words FROM benchmark
+), d AS (
+  SELECT DISTINCT id, array_to_string(words[i:i + 4], ' ') AS s FROM (SELECT id, words, unnest(range(1, len(words) - 3)) AS i FROM docs WHERE len(words) >= 5)
+), b AS (
+  SELECT DISTINCT id, array_to_string(words[i:i + 4], ' ') AS s FROM (SELECT id, words, unnest(range(1, len(words) - 3)) AS i FROM items WHERE len(words) >= 5)
+), sizes AS (
+  SELECT id, count(*) AS n FROM b GROUP BY id
+)
+SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared, n AS n_item
+FROM d JOIN b USING (s) JOIN sizes ON sizes.id = b.id GROUP BY d.id, b.id, n HAVING count(*) * 100 >= 80 * n
+"""
