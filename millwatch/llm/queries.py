@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwatch.llm import decontamination, ngram_jaccard, quality_rules, sharding, substring_dedup, suffix_dedup, url_filter
+from millwatch.llm import decontamination, ngram_jaccard, quality_classifier, quality_rules, sharding, substring_dedup, suffix_dedup, url_filter
 from millwatch.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the probability that its quality label is 1."""
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the component of its 0.9-similar documents, on 3-word shingles."""

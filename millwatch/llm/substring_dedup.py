@@ -112,7 +112,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD)
             tag = pa.array((batch.column("p").to_numpy() & 0x7FFFFFFF).astype(np.int32))
             yield pa.RecordBatch.from_arrays([pa.array(signed(sums)), batch.column("doc").take(index), tag.take(index), pa.array(starts.astype(np.int32))], names=["w", "doc", "tag", "start"])
 
-    found = rows.select("doc", "p", "text").mapInArrow(windows, "w bigint, doc bigint, tag int, start int")
+    found = stored(rows.select("doc", "p", "text").mapInArrow(windows, "w bigint, doc bigint, tag int, start int"))
     firsts = found.groupBy("w").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("w", "first")
     marked = found.join(firsts, "w").where("doc > first").groupBy("doc", "tag").agg(F.collect_list("start").alias("starts"))
     marked = stored(marked)
