@@ -7,9 +7,9 @@ each token a level, and tokens go by (level, hash). The sketch decides only how
 1. Documents with equal sets form a class. Classes with the same size and the same prefix form a group.
 2. Prefix tokens of at least two groups are found by minimum and maximum; a Bloom filter of them holds
    back all other postings.
-3. Hub rounds: per token one group is the hub, and every class is compared with its nearest hubs of other
-   components. Verified links join components, so most of a large group of near copies is joined by a
-   number of comparisons in proportion to its size.
+3. Hub rounds: per token a few classes are hubs; in each round every class is compared with two hubs of other
+   components (the nearest and a random one). Verified links join components, so most of a large group of
+   near copies is joined by a number of comparisons in proportion to its size.
 4. Group pairs that share a token and are not of one component already are filtered by size, position of the
    token and (single members) bitmap, expanded to members, filtered by the members' bitmaps and verified.
 
@@ -137,22 +137,47 @@ def prefixed(df: DataFrame, prefix: str, keep: list[str]) -> DataFrame:
     return df.select(*keep, *(F.col(c).alias(prefix + c) for c in df.columns if c not in keep))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (xc, yc) whose sets are similar, as edges (a, b)."""
-    pairs = stored(pairs.select("xc", "yc").distinct())
-    needed = stored(pairs.select(F.explode(F.array("xc", "yc")).alias("h")).distinct())
-    filled = Bloom(needed, needed.count())
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(filled.has(batch.column("c").to_numpy().view(np.uint64))))
-
-    few = stored(sets.mapInArrow(pick, sets.schema).dropDuplicates(["c"]))
-    x = few.select(F.col("c").alias("xc"), F.col("tokens").alias("xt"))
-    y = few.select(F.col("c").alias("yc"), F.col("tokens").alias("yt"))
-    both = pairs.join(x, "xc").join(y, "yc").withColumn("common", F.size(F.array_intersect("xt", "yt")))
-    union = F.size("xt") + F.size("yt") - F.col("common")
-    return both.where(100 * F.col("common") >= percent * union).select(F.col("xc").alias("a"), F.col("yc").alias("b"))
+class Sets:
+    """Token sets of classes, read from the texts of their smallest documents when first needed, and kept."""
+
+    def __init__(self, rows: DataFrame, facts: DataFrame, shingle: int) -> None:
+        self.rows, self.shingle = rows, shingle
+        self.first = facts.where("c IS NOT NULL").groupBy("c").agg(F.min("doc").alias("doc"))
+        self.kept: DataFrame | None = None
+
+    def of(self, classes: DataFrame) -> DataFrame:
+        """(c, tokens) of the classes (c), and perhaps of others."""
+        missing = classes.join(self.kept.select("c"), "c", "left_anti") if self.kept is not None else classes
+        missing = stored(missing.join(self.first, "c").select("doc").distinct())
+        count = missing.count()
+        if count:
+            filled, shingle = Bloom(missing.select(F.col("doc").alias("h")), count), self.shingle
+
+            def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                memo = WordHashes()
+                for batch in batches:
+                    some = batch.filter(pa.array(filled.has(batch.column("doc").to_numpy().view(np.uint64))))
+                    sets = [s for s in (shingle_set(t, shingle, memo) for t in texts_of(some)) if len(s)]
+                    c = signed(np.array([_set_hash(s) for s in sets], np.uint64))
+                    yield pa.RecordBatch.from_arrays([pa.array(c), pa.array([signed(s) for s in sets], pa.list_(pa.int64()))], names=["c", "tokens"])
+
+            found = self.rows.select("doc", "text").mapInArrow(read, "c bigint, tokens array<bigint>").dropDuplicates(["c"])
+            if self.kept is not None:
+                found = found.join(self.kept.select("c"), "c", "left_anti").unionByName(self.kept)
+            self.kept = stored(found)
+        return self.kept
+
+    def verified(self, pairs: DataFrame, percent: int) -> DataFrame:
+        """The pairs (xc, yc) whose sets are similar, as edges (a, b)."""
+        pairs = stored(pairs.select("xc", "yc").distinct())
+        if pairs.isEmpty():
+            return pairs.select(F.col("xc").alias("a"), F.col("yc").alias("b"))
+        sets = self.of(pairs.select(F.explode(F.array("xc", "yc")).alias("c")).distinct())
+        x = sets.select(F.col("c").alias("xc"), F.col("tokens").alias("xt"))
+        y = sets.select(F.col("c").alias("yc"), F.col("tokens").alias("yt"))
+        both = pairs.join(x, "xc").join(y, "yc").withColumn("common", F.size(F.array_intersect("xt", "yt")))
+        union = F.size("xt") + F.size("yt") - F.col("common")
+        return stored(both.where(100 * F.col("common") >= percent * union).select(F.col("xc").alias("a"), F.col("yc").alias("b")))
 
 
 def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
@@ -190,7 +215,7 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, hub_ro
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
         for batch in batches:
-            out = {k: [] for k in ("h", "own", "pos", "g", "c", "n", "bits", "tokens")}
+            out = {k: [] for k in ("h", "pos", "g", "c", "n", "bits")}
             for text in texts_of(batch):
                 found = shingle_set(text, shingle, memo)
                 if not len(found):
@@ -206,43 +231,42 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, hub_ro
                     out["c"].append(signed(np.array([_set_hash(found)], np.uint64))[0])
                     out["n"].append(len(found))
                     out["bits"].append(parity_bitmap(found))
-                    out["tokens"].append(signed(found))
             arrays = [pa.array(out["h"], pa.list_(pa.int64())), pa.array(out["pos"], pa.list_(pa.int32()))]
             arrays += [pa.array(out[k], pa.int64()) for k in ("g", "c", "n")]
             arrays += [pa.array([b[i] for b in out["bits"]], pa.int64()) for i in range(len(BITS))]
-            arrays += [pa.array(out["tokens"], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["h", "pos", "g", "c", "n", *BITS, "tokens"])
-
-    fields = "h array<bigint>, pos array<int>, g bigint, c bigint, n bigint, " + ", ".join(f"{b} bigint" for b in BITS) + ", tokens array<bigint>"
-    candidates = stored(rows.select("text").mapInArrow(postings, fields))
-    members = stored(candidates.drop("h", "pos", "tokens").dropDuplicates(["c"]))
-    posted = candidates.select("g", "c", F.explode(F.arrays_zip("h", "pos")).alias("at")).select("g", "c", "at.h", "at.pos").dropDuplicates(["c", "h"])
-    posted = stored(posted.join(members.drop("g"), "c"))
-    sets = candidates.select("c", "tokens")
+            yield pa.RecordBatch.from_arrays(arrays, names=["h", "pos", "g", "c", "n", *BITS])
+
+    fields = "h array<bigint>, pos array<int>, g bigint, c bigint, n bigint, " + ", ".join(f"{b} bigint" for b in BITS)
+    candidates = stored(rows.select("text").mapInArrow(postings, fields).dropDuplicates(["c"]))
+    members = candidates.drop("h", "pos")
+    posted = candidates.select("g", "c", F.explode(F.arrays_zip("h", "pos")).alias("at")).select("g", "c", "at.h", "at.pos")
+    sets = Sets(rows, facts, shingle)
     roots = stored(members.select("c", F.col("c").alias("root")))
 
+    chosen = [F.min(F.struct(F.xxhash64("c", F.lit(turn)).alias("o"), "c")).alias(f"hub{turn}") for turn in range(hub_rounds)]
+    hubs = posted.groupBy("h").agg(*chosen).select("h", F.array_distinct(F.array(*(f"hub{turn}.c" for turn in range(hub_rounds)))).alias("hubs"))
+    near = posted.join(hubs, "h").select(F.col("c").alias("xc"), F.explode("hubs").alias("yc")).where("xc <> yc").distinct()
+    near = near.join(prefixed(members.drop("g"), "x", []), "xc").join(prefixed(members.drop("g"), "y", []), "yc").where(close(percent, "x", "y"))
+    near = stored(near.select("xc", "yc", distance("x", "y").alias("d")))
     for turn in range(hub_rounds):
-        now = posted.join(roots, "c")
-        per_hub = F.struct(F.xxhash64("c", F.lit(turn)).alias("o"), "c", "n", *BITS, "root")
-        hubs = now.groupBy("h").agg(F.min(per_hub).alias("hub")).select("h", *(F.col(f"hub.{c}").alias(f"y{c}") for c in ("c", "n", *BITS, "root")))
-        near = prefixed(now, "x", ["h"]).join(hubs, "h").where((F.col("xroot") != F.col("yroot")) & close(percent, "x", "y"))
-        near = near.groupBy("xc").agg(F.min(F.struct(distance("x", "y").alias("d"), "yc")).alias("nearest"), F.min(F.struct(F.xxhash64("xc", "yc").alias("d"), "yc")).alias("any"))
-        pairs = near.select("xc", F.explode(F.array("nearest.yc", "any.yc")).alias("yc"))
-        roots = merged(roots, verified(pairs, sets, percent))
-
-    grouped = members.join(roots, "c").groupBy("g").agg(
+        apart = near.join(roots.select(F.col("c").alias("xc"), F.col("root").alias("xr")), "xc").join(roots.select(F.col("c").alias("yc"), F.col("root").alias("yr")), "yc").where("xr <> yr")
+        apart = apart.groupBy("xc").agg(F.min(F.struct("d", "yc")).alias("nearest"), F.min(F.struct(F.xxhash64("xc", "yc", F.lit(turn)).alias("d"), "yc")).alias("any"))
+        roots = merged(roots, sets.verified(apart.select("xc", F.explode(F.array("nearest.yc", "any.yc")).alias("yc")), percent))
+
+    rooted = stored(members.join(roots, "c"))
+    grouped = rooted.groupBy("g").agg(
         F.min("n").alias("n"), F.count(F.lit(1)).alias("members"), F.min("root").alias("lo"), F.max("root").alias("hi"), *(F.min(b).alias(b) for b in BITS)
     )
-    at_groups = stored(posted.select("h", "g", "pos").distinct().join(grouped, "g"))
+    at_groups = posted.select("h", "g", "pos").distinct().join(grouped, "g")
     one = (F.col("xlo") == F.col("xhi")) & (F.col("ylo") == F.col("yhi")) & (F.col("xlo") == F.col("ylo"))
     reach = F.least(F.col("xn") - F.col("xpos"), F.col("yn") - F.col("ypos")) >= overlap(percent, "x", "y")
     alike = (F.col("xmembers") > 1) | (F.col("ymembers") > 1) | close(percent, "x", "y")
     crossing = prefixed(at_groups, "x", ["h"]).join(prefixed(at_groups, "y", ["h"]), "h").where("xg < yg").where(close(percent, "x", "y", False) & reach & ~one & alike)
     crossing = crossing.select("xg", "yg").distinct().unionByName(grouped.where("members > 1 AND lo < hi").select(F.col("g").alias("xg"), F.col("g").alias("yg")))
-    left = members.join(roots, "c").select(F.col("g").alias("xg"), *(F.col(c).alias(f"x{c}") for c in ("c", "n", "root", *BITS)))
-    right = members.join(roots, "c").select(F.col("g").alias("yg"), *(F.col(c).alias(f"y{c}") for c in ("c", "n", "root", *BITS)))
-    expanded = crossing.join(left, "xg").join(right, "yg").where((F.col("xroot") != F.col("yroot")) & ((F.col("xg") != F.col("yg")) | (F.col("xc") < F.col("yc"))) & close(percent, "x", "y"))
-    roots = merged(roots, verified(expanded, sets, percent))
+    left, right = prefixed(rooted, "x", []), prefixed(rooted, "y", [])
+    inner = (F.col("xg") != F.col("yg")) | (F.col("xc") < F.col("yc"))
+    expanded = crossing.join(left, "xg").join(right, "yg").where((F.col("xroot") != F.col("yroot")) & inner & close(percent, "x", "y"))
+    roots = merged(roots, sets.verified(expanded, percent))
 
     placed = facts.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     smallest = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc").alias("first"))
@@ -252,6 +276,8 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, hub_ro
 
 def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     """roots (c, root) after the links (a, b) between classes."""
+    if links.isEmpty():
+        return roots
     ends = links.join(roots.select(F.col("c").alias("a"), F.col("root").alias("ra")), "a").join(roots.select(F.col("c").alias("b"), F.col("root").alias("rb")), "b")
     moved = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
     return stored(roots.join(moved, roots["root"] == moved["node"], "left").select("c", F.coalesce(moved["root"], roots["root"]).alias("root")))

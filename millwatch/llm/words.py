@@ -52,9 +52,8 @@ def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     total = np.zeros(n, np.uint64)
     for k in range(size):
-        factor = np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1) ** 7 | 1) & _MASK)
-        total = mix(total ^ (hashes[k : k + n] * factor))
-    return total
+        total += hashes[k : k + n] * np.uint64(pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64))
+    return mix(total)
 
 
 def window_sums(values: np.ndarray, size: int, base: int) -> np.ndarray:
