@@ -37,7 +37,7 @@ RUN = 40_000  # suffixes in a sorted run
 BATCH = 16_384  # suffixes compared at once
 PART = 40_000  # suffixes wanted in a range
 MOST_PARTS = 16_384
-SEGMENT = 1 << 22  # bytes of a text looked at together
+SEGMENT = 1 << 19  # bytes of a text looked at together
 _BASE = 0x9E3779B97F4A7C15
 _MULT = 0xD6E8FEB86659FD93
 
