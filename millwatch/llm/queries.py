@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwatch.llm import decontamination, ngram_jaccard, quality_classifier, quality_rules, sharding, substring_dedup, suffix_dedup, url_filter
+from millwatch.llm import decontamination, html_extraction, ngram_jaccard, quality_classifier, quality_rules, sentencepiece_lattice, sharding, substring_dedup, suffix_dedup, url_filter
 from millwatch.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,14 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.link(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as piece ids, and whether they decode to the text again."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    decoded = sentencepiece_lattice.decode(sentencepiece_lattice.encode(documents))
+    return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "ids", (F.col("decoded") == F.col("text")).alias("restored"))
+
+
 @query
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 50-word windows that a smaller document also has."""
@@ -65,6 +73,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with its main text."""
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item whose 5-word shingles it holds to four fifths."""
