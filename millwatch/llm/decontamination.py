@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.shared import stored
+from millwatch.llm.shared import packed, small, stored
 
 SHINGLE = 5
 PERCENT = 80
@@ -39,11 +39,6 @@ def shingles(column: str, size: int) -> Column:
     return F.array_distinct(F.when(F.size(column) >= size, runs).otherwise(F.array().cast("array<string>")))
 
 
-def _checked(df: DataFrame) -> DataFrame:
-    """A stored table as the small side of a join if it is small, else as Spark sees fit."""
-    return F.broadcast(df) if df.count() <= MOST_BROADCAST_ROWS else df
-
-
 def found_items(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document and item it contains: doc_id, item_id, n_shared, n_item (shingles of the item).
 
@@ -51,6 +46,19 @@ def found_items(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, perce
     doc_id, or of one item_id, are judged each and reported once, with the largest n_shared. A null doc_id
     or item_id is reported as null. Empty tables give an empty result.
     """
+    exact = _matches(docs, items, shingle, percent)
+    pairs = packed(docs).select("doc_id", "p").join(small(exact, MOST_BROADCAST_ROWS), "p")
+    return pairs.groupBy("doc_id", "item_id").agg(F.max("n_shared").alias("n_shared"), F.max("n").cast("bigint").alias("n_item"))
+
+
+def without_items(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs` that contain none of the items."""
+    found = small(_matches(docs, items, shingle, percent).select("p").distinct(), MOST_BROADCAST_ROWS)
+    return packed(docs).select("row", "p").join(found, "p", "left_anti").select("row.*")
+
+
+def _matches(docs: DataFrame, items: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(p, item_id, n_shared, n) for each text, by its hash, and item it contains."""
     listed = items.select("item_id", words(F.col("text")).alias("words")).withColumn("texts", shingles("words", shingle))
     listed = listed.withColumn("n", F.size("texts")).where("n > 0").withColumn("item", F.xxhash64("item_id", F.array_sort("texts")))
     listed = listed.withColumn("largest", (2 * F.pow(F.lit(2), F.floor(F.log2("n")))).cast("int") - 1)
@@ -58,19 +66,16 @@ def found_items(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, perce
     listed = listed.withColumn("k", F.least(F.col("n"), (2 * (F.col("largest") - fewest("largest") + 1)).cast("int")))
     listed = stored(listed.withColumn("need", F.col("k") - (F.col("n") - fewest("n"))).dropDuplicates(["item"]))
     hashed = listed.select("item", "need", "k", F.array_sort(F.array_distinct(hashes("words", shingle))).alias("hashes"))
-    sketches = stored(hashed.select("item", "need", F.explode(F.slice(F.col("hashes"), F.lit(1), F.col("k"))).alias("h")))
+    sketches = hashed.select("item", "need", F.explode(F.slice(F.col("hashes"), F.lit(1), F.col("k"))).alias("h"))
 
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    seen = rows.select("doc_id", F.xxhash64("text").alias("p"), words(F.col("text")).alias("words")).select("doc_id", "p", F.explode(hashes("words", shingle)).alias("h"))
-    hits = seen.join(_checked(sketches), "h").groupBy("p", "item").agg(F.count_distinct("h").alias("hits"), F.first("need").alias("need"))
+    rows = packed(docs).select("p", "text")
+    seen = rows.select("p", words(F.col("text")).alias("words")).select("p", F.explode(hashes("words", shingle)).alias("h"))
+    hits = seen.join(small(sketches, MOST_BROADCAST_ROWS), "h").groupBy("p", "item").agg(F.count_distinct("h").alias("hits"), F.first("need").alias("need"))
     candidates = stored(hits.where("hits >= need").select("p", "item"))
 
-    held = candidates.select("p").distinct()
-    chosen = rows.withColumn("p", F.xxhash64("text")).join(_checked(stored(held)), "p", "left_semi").dropDuplicates(["p"])
+    chosen = rows.join(small(candidates.select("p").distinct(), MOST_BROADCAST_ROWS), "p", "left_semi").dropDuplicates(["p"])
     runs = chosen.select("p", words(F.col("text")).alias("words")).select("p", F.explode(shingles("words", shingle)).alias("s"))
-    parts = stored(listed.select("item", F.explode("texts").alias("s")))
-    shared = runs.join(_checked(parts), "s").groupBy("p", "item").agg(F.count(F.lit(1)).alias("n_shared"))
+    parts = listed.select("item", F.explode("texts").alias("s"))
+    shared = runs.join(small(parts, MOST_BROADCAST_ROWS), "s").groupBy("p", "item").agg(F.count(F.lit(1)).alias("n_shared"))
     exact = shared.join(candidates, ["p", "item"]).join(listed.select("item", "item_id", "n"), "item").where(F.col("n_shared") * 100 >= percent * F.col("n"))
-    named = rows.select("doc_id", F.xxhash64("text").alias("p"))
-    pairs = named.join(stored(exact.select("p", "item_id", "n_shared", "n")), "p")
-    return pairs.groupBy("doc_id", "item_id").agg(F.max("n_shared").alias("n_shared"), F.max("n").cast("bigint").alias("n_item"))
+    return exact.select("p", "item_id", "n_shared", "n")

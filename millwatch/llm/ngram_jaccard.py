@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from millwatch.llm.bloom import Bloom
 from millwatch.llm.components import components
-from millwatch.llm.shared import stored
+from millwatch.llm.shared import packed, small, stored
 from millwatch.llm.words import WordHashes, mix, shingle_hashes, signed, texts_of
 
 SHINGLE = 3
@@ -72,11 +72,11 @@ def _set_hash(tokens: np.ndarray) -> int:
 
 
 def measured(rows: DataFrame, id_type: str, shingle: int) -> DataFrame:
-    """Per row doc_id, doc, n, c (hash of the set, null without words); and per task rows (slice, counters) of token counts."""
+    """Per row doc_id, doc, p, n, c (hash of the set, null without words); and per task rows (slice, counters) of token counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, counts, any_row = WordHashes(), np.zeros(COUNTERS, np.uint32), False
-        names = ["doc_id", "doc", "n", "c", "slice", "counters"]
+        names = ["doc_id", "doc", "p", "n", "c", "slice", "counters"]
         id_kind = pa.int64()
         for batch in batches:
             any_row, id_kind = True, batch.column("doc_id").type
@@ -86,13 +86,13 @@ def measured(rows: DataFrame, id_type: str, shingle: int) -> DataFrame:
             c = signed(np.array([_set_hash(s) for s in sets], np.uint64))
             n = np.array([len(s) for s in sets], np.int64)
             nulls = pa.nulls(batch.num_rows, pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("doc"), pa.array(n), pa.array(c, mask=n == 0), nulls, pa.nulls(batch.num_rows, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("doc_id", "doc", "p")), pa.array(n), pa.array(c, mask=n == 0), nulls, pa.nulls(batch.num_rows, pa.binary())], names=names)
         if any_row:
             parts = [part.tobytes() for part in np.split(counts, SLICES)]
             none = pa.nulls(SLICES, pa.int64())
-            yield pa.RecordBatch.from_arrays([none.cast(id_kind), none, none, none, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([none.cast(id_kind), none, none, none, none, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], names=names)
 
-    return stored(rows.select("doc_id", "doc", "text").mapInArrow(run, f"doc_id {id_type}, doc bigint, n bigint, c bigint, slice int, counters binary"))
+    return stored(rows.select("doc_id", "doc", "p", "text").mapInArrow(run, f"doc_id {id_type}, doc bigint, p bigint, n bigint, c bigint, slice int, counters binary"))
 
 
 def token_levels(counted: DataFrame) -> np.ndarray:
@@ -180,6 +180,10 @@ class Sets:
         return stored(both.where(100 * F.col("common") >= percent * union).select(F.col("xc").alias("a"), F.col("yc").alias("b")))
 
 
+_LAST = 2**63 - 1  # stands for a null id
+MOST_BROADCAST_ROWS = 1_000_000  # of two longs each
+
+
 def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links, its own included).
 
@@ -188,11 +192,33 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, hub_ro
     one id are documents of their own; repeated rows are copies. An empty table gives an empty result.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    done = _linked(docs, shingle, percent, hub_rounds)
+    return done.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("first") < _LAST, F.col("first")).cast(id_type).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
+    """The rows of `docs` without those that are linked to a smaller one: of each component the row with the
+    smallest id stays (of equal ids the one with the smallest text hash). Documents without words all stay."""
+    done = stored(_linked(docs, shingle, percent, hub_rounds).select("doc", "p", F.coalesce("root", F.xxhash64("doc", "p")).alias("root"), F.col("root").isNull().alias("empty")))
+    first = done.groupBy("root").agg(F.min(F.struct("doc", "p")).alias("kept"), F.count(F.lit(1)).alias("rows"), F.first("empty").alias("empty")).where("rows > 1 AND NOT empty")
+    first = stored(first)
+    gone = done.join(first.select("root", "kept"), "root").where(~((F.col("doc") == F.col("kept.doc")) & (F.col("p") == F.col("kept.p")))).select("doc", "p").distinct()
+    kept = packed(docs).withColumn("doc", F.coalesce("doc_id", F.lit(_LAST)).cast("bigint"))
+    kept = kept.join(small(gone, MOST_BROADCAST_ROWS), ["doc", "p"], "left_anti")
+    twice = done.where("NOT empty").groupBy("doc", "p").count().where("count > 1").select("doc", "p")
+    twice = small(twice.join(gone, ["doc", "p"], "left_anti"), MOST_BROADCAST_ROWS)
+    once = kept.join(twice, ["doc", "p"], "left_anti").select("row")
+    return once.unionByName(kept.join(twice, ["doc", "p"], "left_semi").dropDuplicates(["doc", "p"]).select("row")).select("row.*")
+
+
+def _linked(docs: DataFrame, shingle: int, percent: int, hub_rounds: int) -> DataFrame:
+    """Per document doc_id, doc, p (hash of the text), n, root (of its component, null without words), first (smallest doc of it)."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
     spark = docs.sparkSession
-    last = 2**63 - 1
-    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(last)).cast("bigint").alias("doc"), "text")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(_LAST)).cast("bigint").alias("doc"), F.xxhash64(text).alias("p"), text.alias("text"))
     counted = measured(rows, id_type, shingle)
-    facts = counted.where("slice IS NULL").select("doc_id", "doc", "n", "c")
+    facts = counted.where("slice IS NULL").select("doc_id", "doc", "p", "n", "c")
     levels = spark.sparkContext.broadcast(token_levels(counted))
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,8 +296,7 @@ def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, hub_ro
 
     placed = facts.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     smallest = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc").alias("first"))
-    done = placed.join(smallest, "root", "left").withColumn("first", F.coalesce("first", "doc"))
-    return done.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("first") < last, F.col("first")).cast(id_type).alias("component_id"))
+    return placed.join(smallest, "root", "left").withColumn("first", F.coalesce("first", "doc"))
 
 
 def merged(roots: DataFrame, links: DataFrame) -> DataFrame:

@@ -173,14 +173,23 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float
     stratum without labels are judged by the base rules alone. An empty table gives an empty result.
     """
     counted = stored(with_counts(docs, ["doc_id"] if stratum == "doc_id" else ["doc_id", stratum]))
-    limits = stored(cutoffs(counted, labels, stratum, risk, delta))
+    judged = _judged(counted, cutoffs(counted, labels, stratum, risk, delta), stratum)
+    return judged.select("doc_id", *COUNTS, "base_failed", "rejected_by", "kept")
+
+
+def kept_rows(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """The rows of `docs` that judge() keeps, with their columns whatever their names. Texts are counted again, not shuffled."""
+    counted = stored(with_counts(docs, ["doc_id"] if stratum == "doc_id" else ["doc_id", stratum]))
+    limits = cutoffs(counted, labels, stratum, risk, delta)
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(stratum).alias("stratum_of"), "text")
+    return _judged(with_counts(packed, ["row", "stratum_of"]), limits, "stratum_of").where("kept").select("row.*")
+
+
+def _judged(counted: DataFrame, limits: DataFrame, stratum: str) -> DataFrame:
+    limits = stored(limits)
     if limits.count() <= MAX_BROADCAST_STRATA:
         limits = F.broadcast(limits)
     judged = counted.join(limits, counted[stratum].eqNullSafe(limits["stratum"]), "left")
     broken = F.coalesce(*(F.when(step(r) >= F.col(f"cutoff_{r}"), F.lit(r)) for r in RULES))
-    return (
-        judged.withColumn("base_failed", base_failed())
-        .withColumn("rejected_by", F.when(~F.col("base_failed"), broken))
-        .withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())
-        .select("doc_id", *COUNTS, "base_failed", "rejected_by", "kept")
-    )
+    judged = judged.withColumn("base_failed", base_failed()).withColumn("rejected_by", F.when(~F.col("base_failed"), broken))
+    return judged.withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())

@@ -61,7 +61,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 200-byte strings that also start elsewhere."""
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept", "kept_text", "p")
 
 
 @query

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millwatch.session import workspace
 
@@ -17,3 +18,15 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{workspace(spark)}/table"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """A stored table with a broadcast hint if it has at most `rows` rows; else Spark joins it as it sees fit."""
+    kept = stored(df)
+    return F.broadcast(kept) if kept.count() <= rows else kept
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, p, text): the whole row in one column, so that names cannot clash, and a 64-bit hash of its text."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", F.xxhash64(text).alias("p"), text.alias("text"))

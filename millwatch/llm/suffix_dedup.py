@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwatch.llm.bloom import Bloom
-from millwatch.llm.shared import stored
+from millwatch.llm.shared import packed, stored
 from millwatch.llm.suffix_runs import decoded, front_coded, merged
 from millwatch.llm.words import mix, signed, slices, texts_of, window_sums
 
@@ -124,7 +124,8 @@ class Context:
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left, null if unchanged).
+    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left, null if unchanged), kept_text (kept
+    without cut characters), p (hash of the text).
 
     Null and empty texts have no bytes. Texts shorter than `length` stay. Repeated rows are equal texts.
     Ids may be null or repeated: results depend on the texts alone. Kept bytes may cut a character. An
@@ -290,7 +291,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed, runs_of, sums, kept = [], [], [], []
+            removed, runs_of, sums, kept, readable = [], [], [], [], []
             for text, found_spans in zip(texts_of(batch), batch.column("spans"), strict=True):
                 bounds = found_spans.values.flatten()
                 first, last = bounds[0].to_numpy(), bounds[1].to_numpy()
@@ -303,10 +304,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 runs_of.append(len(starts))
                 sums.append(hashlib.sha256(left).hexdigest())
                 kept.append(left)
-            yield pa.RecordBatch.from_arrays([batch.column("p"), pa.array(removed, pa.int64()), pa.array(runs_of, pa.int64()), pa.array(sums), pa.array(kept, pa.binary())], names=["p", "n_removed", "n_spans", "kept_sha256", "kept"])
+                readable.append(left.decode("utf-8", "ignore"))
+            yield pa.RecordBatch.from_arrays([batch.column("p"), pa.array(removed, pa.int64()), pa.array(runs_of, pa.int64()), pa.array(sums), pa.array(kept, pa.binary()), pa.array(readable, pa.string())], names=["p", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text"])
 
     touched_texts = texts.select("p", "text").mapInArrow(only_touched, "p bigint, text string")
-    cuts = touched_texts.join(spans, "p").select("p", "text", "spans").mapInArrow(cut, "p bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary").dropDuplicates(["p"])
+    cuts = touched_texts.join(spans, "p").select("p", "text", "spans").mapInArrow(cut, "p bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, kept_text string").dropDuplicates(["p"])
     whole = F.col("copies").isNotNull()
     judged = facts.join(copied.drop("p"), "whole_sha256", "left").join(cuts, "p", "left")
     return judged.select(
@@ -316,4 +318,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("bigint").alias("n_spans"),
         F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "whole_sha256")).alias("kept_sha256"),
         F.when(whole, F.lit(b"")).otherwise(F.col("kept")).alias("kept"),
+        F.when(whole, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"),
+        "p",
     )
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The rows of `docs` with what remove_repeats() leaves of their texts; rows with nothing left go, unless they were empty before."""
+    changed = remove_repeats(docs, length).where("n_removed > 0").select("p", "kept_text").dropDuplicates(["p"])
+    rows = packed(docs).select("row", "p").join(changed, "p", "left").where("kept_text IS NULL OR kept_text <> ''")
+    return rows.select(F.when(F.col("kept_text").isNull(), F.col("row")).otherwise(F.col("row").withField("text", F.col("kept_text"))).alias("row")).select("row.*")
