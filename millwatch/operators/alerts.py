@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from millwatch import settings as S
 from millwatch.functions.alerting import register_functions
 from millwatch.functions.text import escape_html, event_time_text
 
-MACHINES_PER_MESSAGE = 10_000
+def _all_parts() -> WindowSpec:
+    """Over all messages of an alert pass, a fixed few."""
+    return Window.partitionBy(F.lit(0))
+
 
 
 def critical_entries(mart: DataFrame) -> DataFrame:
@@ -21,18 +24,18 @@ def critical_entries(mart: DataFrame) -> DataFrame:
     return mart.filter(F.col("health_status") == "CRITICAL").select("machine_id", entry.alias("entry"))
 
 
-def critical_payload(mart: DataFrame, per_message: int = MACHINES_PER_MESSAGE) -> DataFrame:
+def critical_payload(mart: DataFrame, parts: int = 1) -> DataFrame:
     """The payload text of all CRITICAL machines, in machine order: `(message_no, machines_data)`.
 
-    Up to `per_message` machines there is one message, the empty text when there is no machine. More
-    machines are spread over several messages of about that size, so no task joins them all.
+    One text by default, empty when there is no machine. With `parts` a machine's md5 picks its part; there
+    are always so many messages, whatever the number of machines. `critical_entries` is the form
+    without any text that grows with the machines.
     """
-    entries = critical_entries(mart)
-    messages = F.ceil(entries.agg(F.count("*")).scalar() / per_message)
-    number = F.pmod(F.xxhash64("machine_id"), F.greatest(messages, F.lit(1))).cast("int")
-    # The blank entry, which the text join skips, makes message 0 exist in any case.
-    blank = mart.sparkSession.range(1).select(
-        F.lit(0).alias("message_no"), *[F.lit(None).cast("string").alias(c) for c in entries.columns]
+    number = F.pmod(F.conv(F.substring(F.md5("machine_id"), 1, 8), 16, 10).cast("bigint"), F.lit(parts)).cast("int")
+    entries = critical_entries(mart).filter(F.col("entry").isNotNull())
+    # Blank entries, which the text join skips, make every message exist.
+    blank = mart.sparkSession.range(parts).select(
+        F.col("id").cast("int").alias("message_no"), *[F.lit(None).cast("string").alias(c) for c in entries.columns]
     )
     text = F.expr("listagg(entry, ';') WITHIN GROUP (ORDER BY machine_id)")
     return (
@@ -60,21 +63,37 @@ def parse_payload(messages: DataFrame, payload: str = "machines_data") -> DataFr
     )
 
 
-def alert_outcome(messages: DataFrame, payload: str = "machines_data") -> DataFrame:
-    """The messages with the status, message, machine count and sending decision of each."""
+def alert_outcome(messages: DataFrame, payload: str = "machines_data", together: bool = False) -> DataFrame:
+    """The messages with the status, message, machine count and sending decision of each.
+
+    `together`: the messages are the parts of one payload, and the count is that of all of them.
+    """
     register_functions(messages.sparkSession)
     outcome = F.call_function("alert_outcome", F.col(payload))
-    return messages.withColumn("outcome", outcome).select(*messages.columns, "outcome.*")
+    if not together:
+        return messages.withColumn("outcome", outcome).select(*messages.columns, "outcome.*")
+    total = F.sum("outcome.total_critical_machines").over(_all_parts()).cast("int")
+    return messages.withColumn("outcome", outcome).withColumn("total", total).select(
+        *messages.columns,
+        "outcome.status",
+        F.when(F.col("total") == 0, F.lit(S.NOTHING_CRITICAL)).alias("message"),
+        F.col("total").alias("total_critical_machines"),
+        "outcome.should_send",
+    )
 
 
-def render_report(messages: DataFrame, now: Column, payload: str = "machines_data") -> DataFrame:
+def render_report(
+    messages: DataFrame, now: Column, payload: str = "machines_data", together: bool = False
+) -> DataFrame:
     """The messages with subject, text body and HTML body, NULL where a message names no machine.
 
-    Every message is rendered where it lies; there is no shuffle.
+    Every message is rendered where it lies. `together`: the messages are the parts of one payload, and
+    subject and bodies give the number of machines in all of them.
     """
     register_functions(messages.sparkSession)
     entries = F.col("entries")
-    count, when = F.size(entries), event_time_text(now)
+    named, when = F.size(entries), event_time_text(now)
+    count = F.col("total")
 
     def risk(e: Column) -> Column:
         return e["risk_score"].cast("string")
@@ -90,6 +109,7 @@ def render_report(messages: DataFrame, now: Column, payload: str = "machines_dat
         F.concat(F.lit(S.REPORT_TIME), when),
         F.lit(""),
         F.lit(S.REPORT_LIST),
+        F.lit(""),
         F.array_join(lines, "\n"),
         F.lit(S.REPORT_CALL),
     )
@@ -123,11 +143,13 @@ def render_report(messages: DataFrame, now: Column, payload: str = "machines_dat
     }
     return (
         messages.withColumn("entries", _entries(payload))
-        .withColumns({name: F.when(count > 0, part) for name, part in parts.items()})
-        .drop("entries")
+        .withColumn("total", F.sum(named).over(_all_parts()).cast("int") if together else named)
+        .withColumns({name: F.when(named > 0, part) for name, part in parts.items()})
+        .drop("entries", "total")
     )
 
 
-def alert_messages(mart: DataFrame, now: Column) -> DataFrame:
+def alert_messages(mart: DataFrame, now: Column, parts: int = 1) -> DataFrame:
     """Payload, outcome and report of one alert pass: what the scheduled call returns and sends."""
-    return render_report(alert_outcome(critical_payload(mart)), now).withColumn("reported_at", now)
+    outcomes = alert_outcome(critical_payload(mart, parts), together=True)
+    return render_report(outcomes, now, together=True).withColumn("reported_at", now)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwatch import settings as S
-from millwatch.sources.tables import Table
+from millwatch.sources.tables import Store
 
 
 def rename_cast(landing: DataFrame) -> DataFrame:
@@ -71,14 +71,14 @@ def sync_columns(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.select(*columns)
 
 
-def load_history(landing: DataFrame, history: Table, writer: str = "", batch: int = -1) -> None:
-    """Add a landing DataFrame to the stored history.
+def load_history(landing: DataFrame, store: Store, name: str, load: str) -> None:
+    """Add the landing rows of a load to the stored history.
 
-    Beyond the strict bound no key can already be stored, so the merge on the key is an append. The
-    bound comes from the latest stored day alone.
+    Beyond the strict bound no key can already be stored, so the merge on the key is an append. The bound
+    comes from the latest day stored before this load alone.
     """
-    if history.exists():
-        rows = increment(landing, history.newest_day())
+    if store.exists(name) and not (before := store.before_load(name, load)).isEmpty():
+        rows = increment(landing, before)
     else:
         rows = first_load(landing)
-    history.append(rows, dated=True, writer=writer, batch=batch)
+    store.append(name, rows, load)

@@ -91,7 +91,7 @@ def _result(one_number: DataFrame, model: str, check: str, column: str) -> DataF
 def required_columns(df: DataFrame, names: list[str]) -> list[str]:
     """Required names the table lacks, whatever their case."""
     present = {c.lower() for c in df.columns}
-    return [n for n in names if n not in present]
+    return [n for n in names if n.lower() not in present]
 
 
 def incomplete(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -156,13 +156,24 @@ RISK_BOUNDS = (0, 100)
 
 def contract_suite(landing: DataFrame, staging: DataFrame, mart: DataFrame) -> DataFrame:
     """Every declared check on the three tables."""
-    parts = [
-        check_rules(landing, "landing", landing_rules()),
-        check_rules(staging, "staging", staging_rules(), empty_too=True),
-        check_rules(mart, "mart", mart_rules(), empty_too=True),
-        unique(mart, "mart", "machine_id"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return table_checks(landing, staging).unionByName(mart_checks(mart))
+
+
+def table_checks(landing: DataFrame, staging: DataFrame) -> DataFrame:
+    """The declared checks on rows of landing and staging: their counts add up over parts of a table."""
+    return check_rules(landing, "landing", landing_rules()).unionByName(
+        check_rules(staging, "staging", staging_rules(), empty_too=True)
+    )
+
+
+def mart_checks(mart: DataFrame) -> DataFrame:
+    return check_rules(mart, "mart", mart_rules(), empty_too=True).unionByName(unique(mart, "mart", "machine_id"))
+
+
+def added_up(parts: DataFrame) -> DataFrame:
+    """Results for a whole table from those of its parts: broken rows add up, and it is empty if all parts are."""
+    total = F.when(F.col("check") == "table_not_empty", F.min("violations")).otherwise(F.sum("violations"))
+    return parts.groupBy("model", "check", "column").agg(total.alias("violations"))
 
 
 def shape_check(readings: DataFrame) -> DataFrame:
@@ -180,13 +191,25 @@ def shape_check(readings: DataFrame) -> DataFrame:
 
 def mart_types(mart: DataFrame) -> bool:
     """Whether the score is a number and the texts are texts."""
-    kinds = {f.name: f.dataType for f in mart.schema}
+    kinds = {f.name.lower(): f.dataType for f in mart.schema}
     texts = ["machine_id", "health_status", "maintenance_recommendation"]
     return isinstance(kinds["failure_risk_score"], T.NumericType) and all(
         isinstance(kinds[c], T.StringType) for c in texts
     )
 
 
+def required_column_report(df: DataFrame, names: list[str]) -> DataFrame:
+    """One row per required name: is there such a column, whatever its case, is its type right, how many rows fill it."""
+    lacking = required_columns(df, names)
+    typed = not lacking and mart_types(df.select(*names))
+    counts = df.agg(*[(F.lit(0) if n in lacking else F.count(n)).cast("bigint").alias(n) for n in names])
+    rows = [
+        F.struct(F.lit(n).alias("column"), F.lit(n not in lacking).alias("present"), F.lit(typed).alias("types_ok"), F.col(n).alias("filled_rows"))
+        for n in names
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def completeness(mart: DataFrame) -> DataFrame:
     """One row: mart rows with a NULL in a required column."""
     return incomplete(mart, MART_REQUIRED).agg(F.count("*").alias("incomplete_rows"))
@@ -223,7 +246,7 @@ def no_duplicates(mart: DataFrame) -> DataFrame:
     return summaries.duplicates(mart, MART_REQUIRED)
 
 
-def distribution_bounds(mart: DataFrame) -> DataFrame:
+def distribution_bounds(mart: DataFrame, machines: tuple[int, int] = MACHINES_ALLOWED) -> DataFrame:
     """One row: are machines, recommendations, the CRITICAL share and all shares within bounds."""
     shares = summaries.distribution(mart, "health_status").agg(
         F.coalesce(
@@ -237,7 +260,7 @@ def distribution_bounds(mart: DataFrame) -> DataFrame:
         F.coalesce(F.try_divide(critical, F.count("*")), F.lit(0.0)).alias("critical_share"),
     ).select(
         "machines",
-        F.col("machines").between(*MACHINES_ALLOWED).alias("machines_ok"),
+        F.col("machines").between(*machines).alias("machines_ok"),
         "recommendations",
         F.col("recommendations").between(*RECOMMENDATIONS_ALLOWED).alias("recommendations_ok"),
         "critical_share",

@@ -1,9 +1,9 @@
-"""Row windows over time that split a machine with very many readings over many tasks.
+"""Row windows over time in blocks of bounded size, so that one machine's readings are no single task's work.
 
-A plain window puts all rows of a machine into one task. Here a machine above a row limit is cut into
-slices, each a range of the machine's row order and a window group of its own. Each slice is given copies
-of the rows right before it, so every frame of up to `back` preceding rows is complete, and the results
-equal those of the plain window.
+Rows are numbered over time within each key: first inside time slots of fixed length, then the sizes of the
+earlier slots are added. The number picks a block of BLOCK_ROWS rows; the last rows of a block are copied to the next
+one, so every frame of up to `back` preceding rows is complete. The plan is the same at any size and nothing
+runs while it is built.
 """
 
 from __future__ import annotations
@@ -12,14 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from millwatch.session import workspace
-
-HOT_ROWS = 4_000_000  # rows one window task should sort at most
-_BROADCAST_GROUPS = 500_000  # some 40 MB
-_PIECES = 256  # of one cut, or more where the rows need more
-_ROUNDS = 8  # a slice that is still too large is cut again; the microseconds of ten years take six rounds
+BLOCK_ROWS = 1_000_000
 
 
 def over_time(
@@ -29,159 +23,38 @@ def over_time(
     back: int,
     columns: Callable[[WindowSpec], dict[str, Column]],
     descending: bool = False,
-    hot_rows: int = HOT_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """`df` plus `columns(window)`, the window running over time within each key.
 
-    `columns` may look at the current row and up to `back` rows before it. The time is a wall-clock time;
-    rows with equal time are ordered by their other columns, which must be numbers. A missing value
-    counts as the highest.
+    `columns` may look at the current row and up to `back` rows before it. Rows with equal time are ordered by
+    their other columns. A missing value counts as the highest.
     """
+    if back >= block_rows:
+        raise ValueError("a block must be longer than a frame")
     ordering = [time, *[c for c in df.columns if c not in (key, time)]]
-    sliced, levels = _slice_hot_keys(df, key, ordering, hot_rows)
-    if not levels:
-        return df.withColumns(columns(Window.partitionBy(key).orderBy(*_order(ordering, descending))))
-    lead_in = _lead_in(sliced, key, levels, ordering, descending, back)
-    rows = sliced.withColumn("lead_in", F.lit(False)).unionByName(lead_in)
-    order = [*_order(ordering, descending), F.col("lead_in").desc()]  # before an equal row of the slice
-    window = Window.partitionBy(key, *levels).orderBy(*order)
-    return rows.withColumns(columns(window)).filter(~F.col("lead_in")).drop("lead_in", *levels)
+    slot = F.date_diff(F.to_date(time), F.lit("1970-01-01").cast("date")) * 24 + F.hour(time)
+    slotted = df.withColumn("slot", slot)
+    sizes = slotted.groupBy(F.col(key).alias("of_key"), F.col("slot").alias("of_slot")).agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("of_key").orderBy(*_order(["of_slot"], descending)).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("of_key", "of_slot", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    within = Window.partitionBy(key, "slot").orderBy(*_order(ordering, descending))
+    ranked = slotted.withColumn("place", F.row_number().over(within) - 1)
+    match = F.col(key).eqNullSafe(F.col("of_key")) & F.col("slot").eqNullSafe(F.col("of_slot"))
+    numbered = ranked.join(offsets, match).withColumn("place", F.col("place") + F.col("before"))
+    own = F.floor(F.col("place") / block_rows)
+    near_end = F.col("place") % block_rows >= block_rows - back
+    blocks = F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))
+    spread = numbered.withColumn("own", own).withColumn("block", F.explode(blocks))
+    window = Window.partitionBy(key, "block").orderBy("place")
+    return (
+        spread.withColumns(columns(window))
+        .filter(F.col("block") == F.col("own"))
+        .drop("slot", "of_key", "of_slot", "before", "place", "own", "block")
+    )
 
 
 def _order(columns: list[str], descending: bool) -> list[Column]:
     if descending:
         return [F.col(c).desc_nulls_first() for c in columns]
     return [F.col(c).asc_nulls_last() for c in columns]
-
-
-def _axes(df: DataFrame, ordering: list[str]) -> list[Column]:
-    """Numbers whose joint order is the row order: for each column its kind of value, then the value."""
-    axes = []
-    for name in ordering:
-        column = F.col(name)
-        if isinstance(df.schema[name].dataType, T.TimestampNTZType):
-            column = _wall_clock_micros(column)
-        value = column.cast("double")
-        endless = F.abs(value) == float("inf")
-        kind = (
-            F.when(value.isNull(), 3).when(F.isnan(value), 2).when(endless, F.signum(value)).otherwise(0)
-        ).cast("double")
-        axes += [kind, F.when(kind == 0, value)]
-    return axes
-
-
-def _wall_clock_micros(time: Column) -> Column:
-    """Microseconds since 1970 on the wall clock. A detour over `timestamp` would bend at clock changes."""
-    days = F.date_diff(F.to_date(time), F.lit("1970-01-01").cast("date"))
-    seconds = F.hour(time) * 3600 + F.minute(time) * 60 + F.extract(F.lit("SECOND"), time)
-    return days * 86_400_000_000.0 + seconds.cast("double") * 1_000_000
-
-
-def _slice_hot_keys(
-    df: DataFrame, key: str, ordering: list[str], hot_rows: int
-) -> tuple[DataFrame, list[str]]:
-    """`df` with one slice column per round of cutting; NULL in the first column for a key not cut.
-
-    Each round counts the rows per group, combined before the shuffle, and cuts groups above the limit
-    evenly along the first axis on which their rows differ: time as a rule, the values where many rows
-    share a time. Rows that differ nowhere have no order among them and are dealt out in turn. At most
-    total rows / hot_rows groups are above the limit, one small row each; that number is checked before
-    they are broadcast.
-    """
-    levels: list[str] = []
-    counts = df.groupBy(F.col(key).alias("hot_key")).agg(F.count("*").alias("n"))
-    hot = counts.filter(F.col("n") > hot_rows).select("hot_key")
-    if hot.isEmpty():  # mostly that is all, and it reads one column
-        return df, levels
-    hot = _stored(hot, "hot")
-    scope = df.join(_small(hot, hot.count()), F.col(key).eqNullSafe(F.col("hot_key")), "left_semi")
-    axes = _axes(df, ordering)
-    for level in range(_ROUNDS):
-        cuts = _cuts(scope, [key, *levels], axes, hot_rows)
-        groups, equal = cuts.agg(F.count("*"), F.count_if(F.col("axis").isNull())).first()
-        if groups == 0:
-            break
-        match = [F.col(c).eqNullSafe(F.col(f"cut_{c}")) for c in [key, *levels]]
-        axis = F.get(F.array(*axes), F.col("axis"))
-        number = F.coalesce(
-            F.floor((axis - F.col("lo")) / F.col("width")),
-            F.pmod(F.monotonically_increasing_id(), F.col("pieces")),
-        )
-        name = f"slice_{level}"
-        kept = df.columns
-        df = df.join(_small(cuts, groups), match, "left").select(
-            *kept, F.when(F.col("pieces").isNotNull(), number).alias(name)
-        )
-        if equal:
-            df = _stored(df, "dealt")  # dealing rows out in turn must not happen twice
-        levels.append(name)
-        scope = df.filter(F.col(name).isNotNull())
-    return df, levels
-
-
-def _small(groups: DataFrame, number: int) -> DataFrame:
-    return F.broadcast(groups) if number <= _BROADCAST_GROUPS else groups
-
-
-def _cuts(df: DataFrame, group: list[str], axes: list[Column], hot_rows: int) -> DataFrame:
-    """The groups to cut, with axis, first value and width of a piece; no axis for equal rows."""
-    numbers = range(len(axes))
-    stats = df.groupBy(*group).agg(
-        F.count("*").alias("n"),
-        *[F.min(axes[i]).alias(f"lo_{i}") for i in numbers],
-        *[F.max(axes[i]).alias(f"hi_{i}") for i in numbers],
-    )
-    pieces = F.greatest(F.lit(_PIECES), F.ceil(F.col("n") * 2 / hot_rows))
-    along = [
-        F.when(
-            F.col(f"hi_{i}") > F.col(f"lo_{i}"),
-            F.struct(
-                F.lit(i).alias("axis"),
-                F.col(f"lo_{i}").alias("lo"),
-                ((F.col(f"hi_{i}") - F.col(f"lo_{i}")) / pieces).alias("width"),
-            ),
-        )
-        for i in numbers
-    ]
-    cuts = stats.filter(F.col("n") > hot_rows).select(
-        *[F.col(c).alias(f"cut_{c}") for c in group],
-        pieces.alias("pieces"),
-        F.coalesce(*along).alias("along"),
-    )
-    # Stored: the counting runs once, though both the slices and their lead-ins need it.
-    return _stored(cuts.select("*", "along.*").drop("along"), "cuts")
-
-
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = f"{workspace(df.sparkSession)}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def _lead_in(
-    sliced: DataFrame, key: str, levels: list[str], ordering: list[str], descending: bool, back: int
-) -> DataFrame:
-    """Copies of the `back` rows before each slice, labelled with that slice.
-
-    They are among the last `back` rows of the slices before it. Of those tails a slice needs a row
-    when it begins within the `back` tail rows that follow the row.
-    """
-    from_the_end = Window.partitionBy(key, *levels).orderBy(*_order(ordering, not descending))
-    tails = (
-        sliced.filter(F.col(levels[0]).isNotNull())
-        .withColumn("place", F.row_number().over(from_the_end))
-        .filter(F.col("place") <= back)
-        .drop("place")
-    )
-    onward = Window.partitionBy(key).orderBy(*_order(ordering, descending), *levels)
-    own = F.struct(*levels)
-    return (
-        tails.withColumn("targets", F.collect_set(own).over(onward.rowsBetween(1, back)))
-        .withColumn("target", F.explode("targets"))
-        .filter(~F.col("target").eqNullSafe(own))
-        .select(
-            *[c for c in sliced.columns if c not in levels],
-            *[F.col(f"target.{c}").alias(c) for c in levels],
-            F.lit(True).alias("lead_in"),
-        )
-    )

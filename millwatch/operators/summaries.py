@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millwatch import settings as S
+
 
 def table_summary(readings: DataFrame, label: str) -> DataFrame:
     """One labelled row of totals, in one aggregation."""
@@ -49,7 +51,7 @@ def per_machine_summary(readings: DataFrame) -> DataFrame:
     )
 
 
-def null_profile(readings: DataFrame, label: str = "landing profile") -> DataFrame:
+def null_profile(readings: DataFrame, label: str = S.PROFILE_LABEL) -> DataFrame:
     """NULLs per checked column, machines and time range, in one aggregation."""
     return readings.agg(
         F.lit(label).alias("check_type"),
@@ -84,8 +86,25 @@ def machines_since(readings: DataFrame, ids: list[str], since: Column) -> DataFr
 
 
 def recent_readings(readings: DataFrame, n: int) -> DataFrame:
-    """The n latest readings over all machines, latest first; a missing time counts as latest."""
-    return readings.orderBy(F.col("timestamp").desc_nulls_first(), "machine_id").limit(n)
+    """The n latest readings over all machines, latest first; a missing time counts as latest.
+
+    Equal times are ordered by all other columns, so the result is determined up to equal rows.
+    """
+    others = [c for c in ["machine_id", *S.SENSORS, "status_code"] if c in readings.columns]
+    return readings.orderBy(F.col("timestamp").desc_nulls_first(), *others).limit(n)
+
+
+def days_of_recent(dated: DataFrame, n: int, day: str = "event_date") -> DataFrame:
+    """The newest days of a table partitioned by `day` that hold n rows, and the rows without a day.
+
+    The day to begin with comes from the numbers of rows per day, which need no column of the files, and
+    reaches the listing of folders as a filter on the partition.
+    """
+    days = dated.filter(F.col(day).isNotNull()).groupBy(day).agg(F.count("*").alias("n"))
+    later = Window.orderBy(F.col(day).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    needed = days.withColumn("later", F.coalesce(F.sum("n").over(later), F.lit(0))).filter(F.col("later") < n)
+    first = needed.agg(F.coalesce(F.min(day), F.lit("0001-01-01").cast("date")).alias("first"))
+    return dated.filter((F.col(day) >= first.scalar()) | F.col(day).isNull())
 
 
 def recent_for(readings: DataFrame, ids: list[str], n: int = 10) -> DataFrame:
@@ -101,15 +120,15 @@ def sample(df: DataFrame, n: int) -> DataFrame:
     return df.limit(n)
 
 
-def row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("record_count"))
+def sampled_from(rows: DataFrame, source: DataFrame) -> DataFrame:
+    """One row: how many rows a sample has, and how many of them are rows of the source."""
+    same = [rows[c].eqNullSafe(source[c]) for c in rows.columns]
+    found = rows.join(source, same, "left_semi")
+    return rows.agg(F.count("*").alias("n_rows")).withColumn("n_from_source", found.agg(F.count("*")).scalar())
 
 
-def describe(df: DataFrame) -> DataFrame:
-    """Column names in lower case, with their types."""
-    return df.sparkSession.createDataFrame(
-        [(f.name.lower(), f.dataType.simpleString()) for f in df.schema], "column string, type string"
-    )
+def row_count(df: DataFrame) -> DataFrame:
+    return df.agg(F.count("*").alias("record_count"))
 
 
 def equals(df: DataFrame, column: str, value: str) -> DataFrame:

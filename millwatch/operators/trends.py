@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millwatch import settings as S
 from millwatch.functions import readings as R
-from millwatch.operators.slices import HOT_ROWS, over_time
+from millwatch.operators.slices import BLOCK_ROWS, over_time
 
 _NOISE = 1e-9  # on a constant run the distance and the deviation differ by rounding noise only
 
@@ -18,14 +18,14 @@ def rolling_anomalies(
     rows: int = S.ROLLING_ROWS,
     sigmas: float | None = S.ROLLING_SIGMAS,
     order: str = "desc",
-    hot_rows: int = HOT_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Rolling mean, sample deviation and flag per metric, each machine on its own.
 
     A point is compared with the frame of `rows` readings it belongs to. In "desc" order the frame is
     the point and the *later* readings, as the dashboard shows it; in "asc" order only earlier readings
     count. Mean and deviation are NULL until the frame holds `rows` values; NULL never flags, and
-    without `sigmas` nothing does. All metrics share one shuffle and one sort.
+    without `sigmas` nothing does. NaN is no value. All metrics share the shuffles.
     """
 
     def columns(window: WindowSpec) -> dict[str, Column]:
@@ -40,9 +40,10 @@ def rolling_anomalies(
             out[f"{m}_anomaly"] = F.coalesce(beyond, F.lit(False)) if sigmas else F.lit(False)
         return out
 
-    wanted = readings.select("machine_id", "timestamp", *metrics)
+    values = [F.when(~F.isnan(m), F.col(m)).alias(m) for m in metrics]
+    wanted = readings.select("machine_id", "timestamp", *values)
     return over_time(
-        wanted, "machine_id", "timestamp", rows - 1, columns, order == "desc", hot_rows
+        wanted, "machine_id", "timestamp", rows - 1, columns, order == "desc", block_rows
     )
 
 
@@ -56,13 +57,16 @@ def current_readings(readings: DataFrame, which: str = "oldest") -> DataFrame:
     """One reading per machine out of a set of recent ones.
 
     The dashboard shows the last row of a newest-first list, hence the "oldest"; "latest" is the other
-    end. The columns have a fixed width, so this is a hash aggregation combined before the shuffle.
+    end. Of readings at the same time the one with the smallest (largest) values is taken. Readings
+    without a time are left out.
     """
-    pick = {"oldest": F.min_by, "latest": F.max_by}[which]
-    time = {"oldest": F.min, "latest": F.max}[which]
-    return readings.groupBy("machine_id").agg(
-        time("timestamp").alias("timestamp"), *[pick(c, "timestamp").alias(c) for c in S.SENSORS]
-    )
+    return readings.groupBy("machine_id").agg(_picked(which).alias("picked")).select("machine_id", "picked.*")
+
+
+def _picked(which: str) -> Column:
+    """The first or last reading as a struct, in the total order of time and values."""
+    reading = F.when(F.col("timestamp").isNotNull(), F.struct("timestamp", *S.SENSORS))
+    return {"oldest": F.min, "latest": F.max}[which](reading)
 
 
 def reading_deltas(readings: DataFrame, which: str = "oldest") -> DataFrame:
@@ -70,10 +74,11 @@ def reading_deltas(readings: DataFrame, which: str = "oldest") -> DataFrame:
 
     Current value and mean come from one aggregation.
     """
-    pick = {"oldest": F.min_by, "latest": F.max_by}[which]
     pairs = readings.groupBy("machine_id").agg(
-        *[pick(c, "timestamp").alias(c) for c in S.SENSORS],
-        *[F.avg(c).alias(f"{c}_mean") for c in S.SENSORS],
+        _picked(which).alias("picked"), *[F.avg(c).alias(f"{c}_mean") for c in S.SENSORS]
+    )
+    pairs = pairs.select(
+        "machine_id", *[f"picked.{c}" for c in S.SENSORS], *[f"{c}_mean" for c in S.SENSORS]
     )
     deltas = pairs.withColumns({f"{c}_delta": F.col(c) - F.col(f"{c}_mean") for c in S.SENSORS})
     return deltas.withColumns(

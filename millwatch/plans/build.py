@@ -1,4 +1,8 @@
-"""One run from new landing rows to history, mart, checks and alerts."""
+"""One run from new landing rows to history, mart, checks and alerts.
+
+Every table takes the rows of a run (a load) in place of those the same load wrote before, so a run that is
+repeated after a failure ends like one that did not fail.
+"""
 
 from __future__ import annotations
 
@@ -8,58 +12,66 @@ from pyspark.sql import functions as F
 from millwatch.operators import alerts, marts, quality
 from millwatch.operators.history import load_history
 from millwatch.operators.staging import staging_readings
-from millwatch.sources.tables import TableStore, publish_view
+from millwatch.sources.landing import good_rows, rejected_rows
+from millwatch.sources.tables import DAY, LOAD, WHOLE, Store, publish_view
 
 LANDING, REJECTS, HISTORY = "landing", "landing_rejects", "history"
-TOTALS, MART, ALERTS = "machine_totals", "machine_health", "alerts"
+TOTALS, MART, CHECKS = "machine_totals", "machine_health", "check_results"
+ALERTS, CRITICAL = "alerts", "critical_machines"
 STAGING_VIEW = "staging_readings"
 
 
-def land(store: TableStore, good: DataFrame, rejects: DataFrame, writer: str, batch: int) -> None:
-    """Append typed rows and rejected rows to their tables."""
-    store.table(LANDING).append(good, writer=writer, batch=batch)
-    aside = store.table(REJECTS)
-    if not (aside.exists() and rejects.isEmpty()):
-        aside.append(rejects, writer=writer, batch=batch)
+def land(store: Store, parsed: DataFrame, load: str) -> None:
+    """Typed rows, with load time and file name where known, and rejected rows."""
+    store.append(LANDING, good_rows(parsed), load)
+    store.append(REJECTS, rejected_rows(parsed), load)
 
 
-def build(store: TableStore, landing: DataFrame, writer: str, batch: int) -> None:
-    """Bring history and mart up to date with a batch of landing rows.
+def build(store: Store, landing: DataFrame, load: str) -> None:
+    """Bring history, mart and check results up to date with the landing rows of a load.
 
-    Every table remembers the last batch of a writer, so a batch that is run again after a failure
-    goes on with the first table that misses it. Mart totals of the batch are merged into the stored
-    totals: the cost follows the batch and the number of machines, not the length of the history.
+    Totals and check results of the load are added to the stored ones: the cost follows the load and the
+    number of machines, not the length of the history.
     """
-    history, totals = store.table(HISTORY), store.table(TOTALS)
-    if not history.has_batch(writer, batch):
-        load_history(landing, history, writer, batch)
-    if not totals.has_batch(writer, batch):
-        fresh = marts.machine_totals(staging_readings(history.batch_rows(writer, batch)))
-        if totals.exists():
-            fresh = marts.merge_totals(totals.read(), fresh)
-        totals.replace(fresh, writer=writer, batch=batch)
-    mart = store.table(MART)
-    if not mart.has_batch(writer, batch):
-        mart.replace(marts.assess(totals.read()), writer=writer, batch=batch)
-
-
-def rebuild_mart(store: TableStore) -> None:
-    """Totals and mart from the whole history, for use after an upsert, delete or restore."""
-    totals = store.table(TOTALS)
-    totals.replace(marts.machine_totals(staging_readings(store.table(HISTORY).read())))
-    store.table(MART).replace(marts.assess(totals.read()))
-
-
-def run_batch(store: TableStore, landing: DataFrame, writer: str, batch: int) -> DataFrame:
-    """Build, publish the staging view, and return the results of the declared checks."""
-    build(store, landing, writer, batch)
-    staging = publish_view(staging_readings(store.table(HISTORY).read()), STAGING_VIEW)
-    return quality.contract_suite(landing, staging, store.table(MART).read())
-
-
-def alert_pass(store: TableStore, writer: str, batch: int, now: Column | None = None) -> None:
-    """Evaluate the mart once and append the outcome to the alerts table."""
-    messages = alerts.alert_messages(store.table(MART).read(), F.current_timestamp() if now is None else now)
-    store.table(ALERTS).append(
-        messages.withColumn("batch", F.lit(batch).cast("bigint")), writer=writer, batch=batch
-    )
+    load_history(landing, store, HISTORY, load)
+    staging = staging_readings(store.load(HISTORY, load))
+    store.append(TOTALS, marts.machine_totals(staging), load)
+    store.replace(MART, marts.assess(marts.merge_totals(store.read(TOTALS))))
+    store.append(CHECKS, quality.table_checks(landing, staging), load)
+
+
+def rebuild(store: Store) -> None:
+    """Totals, mart and check results from the whole tables, for use after an upsert, delete or restore."""
+    staging = staging_readings(store.read(HISTORY))
+    store.replace(TOTALS, marts.machine_totals(staging))
+    store.replace(MART, marts.assess(marts.merge_totals(store.read(TOTALS))))
+    if store.exists(LANDING):
+        store.replace(CHECKS, quality.table_checks(store.read(LANDING), staging))
+
+
+def fold_totals(store: Store, keep: str) -> None:
+    """One row per machine for all loads but `keep`, the one that may yet be run again."""
+    rows = store.read(TOTALS, with_folders=True)
+    old = marts.merge_totals(rows.filter(F.col(LOAD) != keep).drop(DAY, LOAD)).withColumn(LOAD, F.lit(WHOLE))
+    store.put_loads(TOTALS, old.unionByName(rows.filter(F.col(LOAD) == keep).drop(DAY)))
+
+
+def check_results(store: Store) -> DataFrame:
+    """Every declared check on the whole tables: stored counts of landing and staging added up, and the mart as it is."""
+    return quality.added_up(store.read(CHECKS)).unionByName(quality.mart_checks(store.read(MART)))
+
+
+def run_batch(store: Store, landing: DataFrame, load: str) -> DataFrame:
+    """Land and build, publish the staging view, and return the results of the declared checks on the whole tables."""
+    store.append(LANDING, landing, load)
+    build(store, store.load(LANDING, load), load)
+    publish_view(staging_readings(store.read(HISTORY)), STAGING_VIEW)
+    return check_results(store)
+
+
+def alert_pass(store: Store, load: str, batch: int, now: Column | None = None, parts: int = 1) -> None:
+    """Evaluate the mart once: the critical machines, one row each, and the messages about them."""
+    mart = store.read(MART)
+    store.replace(CRITICAL, alerts.critical_entries(mart))
+    messages = alerts.alert_messages(mart, F.current_timestamp() if now is None else now, parts)
+    store.append(ALERTS, messages.withColumn("batch", F.lit(batch).cast("bigint")), load)

@@ -22,7 +22,7 @@ from millwatch.operators.marts import machine_health
 from millwatch.plans import build as B
 from millwatch.session import workspace
 from millwatch.sources import batches, landing, snapshots, testdata
-from millwatch.sources.tables import Table, TableStore, publish_view
+from millwatch.sources.tables import Store, publish_view
 from millwatch.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,7 @@ RUN_2_FROM = "2024-01-18"  # ... the second what is not earlier than this, so tw
 DAMAGED = ["M00001", "M00002"]
 DAMAGED_SINCE = "2024-01-20"
 REPORT_TIME = "2024-02-01 08:00:00"
+PARTS = 4  # of a payload that is given in parts
 
 
 def query(run: Query) -> Query:
@@ -71,8 +72,8 @@ def runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return rows.filter(F.col("timestamp") < at(RUN_1_BEFORE)), rows.filter(F.col("timestamp") >= at(RUN_2_FROM))
 
 
-def store(spark: SparkSession) -> TableStore:
-    return TableStore(spark, workspace(spark))
+def store(spark: SparkSession) -> Store:
+    return Store(spark, workspace(spark))
 
 
 def damage(time: str) -> Column:
@@ -95,7 +96,7 @@ def _cells(rows: DataFrame) -> list[Column]:
 
 
 @cache
-def _faulty_landing(application: str, sf_dir: str) -> str:
+def _faulty_landing(application: str, sf_dir: str, sep: str) -> str:
     """Daily batch folders of all readings with planted faults. Written once per session."""
     spark = SparkSession.active()
     k = F.col("k")
@@ -103,25 +104,38 @@ def _faulty_landing(application: str, sf_dir: str) -> str:
     device, time, temperature, vibration, pressure, status = _cells(rows)
     temperature = F.when(k == 14, "null").when(k == 24, "").otherwise(temperature)
     cells = F.concat_ws(
-        ",",
+        sep,
         F.when(k == 8, F.concat(device, F.repeat(F.lit("X"), F.lit(50)))).otherwise(device),
         F.when(k == 6, "yesterday").otherwise(time),
         temperature,
         vibration,
         F.when(k == 5, "n/a").otherwise(pressure),
     )
-    line = F.when(k == 7, cells).when(k == 17, F.concat_ws(",", cells, status, F.lit("spare")))
+    line = F.when(k == 7, cells).when(k == 17, F.concat_ws(sep, cells, status, F.lit("spare")))
     lines = rows.select(
         _batch_name(F.col("timestamp")).alias("batch"),
-        line.otherwise(F.concat_ws(",", cells, status)).alias("line"),
+        line.otherwise(F.concat_ws(sep, cells, status)).alias("line"),
     )
     path = f"{workspace(spark)}/landing"
-    landing.write_landing_batches(lines, path)
+    landing.write_landing_batches(lines, path, sep)
     return path
 
 
-def faulty_landing(spark: SparkSession, sf_dir: str) -> str:
-    return _faulty_landing(spark.sparkContext.applicationId, sf_dir)
+def faulty_landing(spark: SparkSession, sf_dir: str, sep: str = ",") -> str:
+    return _faulty_landing(spark.sparkContext.applicationId, sf_dir, sep)
+
+
+def single_file_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Daily batches of one file each, in the order of the events."""
+    rows = testdata.readings_with_detail(spark, sf_dir)
+    line = F.concat_ws(",", *_cells(rows))
+    lines = rows.select("event_id", _batch_name(F.col("timestamp")).alias("batch"), line.alias("line"))
+    lines = lines.repartition("batch").sortWithinPartitions("batch", "event_id").select("batch", "line")
+    path = f"{workspace(spark)}/landing"
+    header = ",".join(f.name for f in schemas.LANDING)
+    writer = lines.withColumnRenamed("line", header).write.partitionBy("batch").option("header", True)
+    writer.option("sep", "\u0001").option("quote", "").csv(path)
+    return path
 
 
 def write_run(rows: DataFrame, path: str) -> None:
@@ -140,10 +154,31 @@ def copy_into_good(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good
 
 
+def _reject_cells(bad: DataFrame, sep: str) -> DataFrame:
+    """The whole rejected line, cell by cell; numbers as numbers, for text forms of numbers differ between engines."""
+    cells = F.split("raw_line", sep)
+    names = [*(f.name for f in schemas.LANDING), "spare"]
+    texts = {n: F.get(cells, F.lit(i)) for i, n in enumerate(names)}
+    columns = [F.size(cells).alias("n_cells")]
+    for name, text in texts.items():
+        if name in S.SENSORS:
+            columns.append(X.to_number(text).alias(name))
+            text = F.when(X.to_number(text).isNull(), text)
+        columns.append(text.alias(f"{name}_text"))
+    return bad.select("reject_reason", *columns)
+
+
 @query
 def copy_into_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, bad = landing.copy_into(landing.read_landing_csv(spark, faulty_landing(spark, sf_dir)))
-    return bad.select("reject_reason", F.substring_index("raw_line", ",", 1).alias("machine_id"))
+    return _reject_cells(bad, ",")
+
+
+@query
+def copy_into_rejects_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with another separator: the kept line has it, too."""
+    raw = landing.read_landing_csv(spark, faulty_landing(spark, sf_dir, ";"), sep=";")
+    return _reject_cells(landing.copy_into(raw, ";")[1], ";")
 
 
 @query
@@ -185,12 +220,21 @@ def batch_resume_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.batch_resume_point(spark, faulty_landing(spark, sf_dir), order="time")
 
 
+@query
+def batch_resume_point_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the last row of the latest batch file."""
+    return batches.batch_resume_point(spark, single_file_landing(spark, sf_dir), order="file")
+
+
 @query
 def new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Against the cursor that the run before kept."""
+    target = store(spark)
     current = batches.list_landing_files(spark, faulty_landing(spark, sf_dir))
-    processed = batches.numbered(current).filter(F.col("batch_no") < 20)
-    fresh = batches.new_files(current, processed)
-    return fresh.select(batches.batch_name().alias("batch")).distinct()
+    batches.take_new(target, batches.numbered(current).filter(F.col("batch_no") < 20))
+    fresh = batches.take_new(target, current)
+    again = batches.take_new(target, current).agg(F.count("*").alias("n"))
+    return fresh.select(batches.batch_name().alias("batch")).distinct().withColumn("new_after_that", again.scalar())
 
 
 @query
@@ -215,46 +259,58 @@ def upsert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through a stored table: only days of the second run are rewritten."""
     first, second = runs(spark, sf_dir)
-    table = store(spark).table(B.HISTORY)
-    table.replace(history.first_load(first), dated=True)
-    table.upsert(history.first_load(second), S.HISTORY_KEY)
-    return _payload(table.read())
+    target = store(spark)
+    target.replace(B.HISTORY, history.first_load(first))
+    target.upsert(B.HISTORY, history.first_load(second), S.HISTORY_KEY)
+    return _payload(target.read(B.HISTORY))
 
 
 @query
 def sync_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The earlier run lacks the pressure and has a column that is gone by the second run."""
+    """The earlier run lacks the pressure and has a column that is gone by the second run; the rows of both."""
     first, second = runs(spark, sf_dir)
     old = _payload(history.first_load(first)).drop("pressure").withColumn("site", F.lit("north"))
     new = _payload(history.first_load(second))
-    return history.sync_columns(old, new)
+    return history.sync_columns(old, new).unionByName(new)
+
+
+def _three_loads(spark: SparkSession, sf_dir: str) -> tuple[Store, list[DataFrame]]:
+    """An empty store and the history of three parts of the time."""
+    rows = _payload(history.first_load(testdata.hourly_readings(spark, sf_dir)))
+    day = F.to_date("event_time")
+    early, late = F.lit("2024-01-10").cast("date"), F.lit("2024-01-20").cast("date")
+    return store(spark), [rows.filter(day < early), rows.filter((day >= early) & (day < late)), rows.filter(day >= late)]
 
 
 @query
-def stored_table_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same for a stored table: an append changes its columns without rewriting its rows."""
-    first, second = runs(spark, sf_dir)
-    table = store(spark).table(B.HISTORY)
-    old = _payload(history.first_load(first)).drop("pressure").withColumn("site", F.lit("north"))
-    table.replace(old, dated=True)
-    table.append(_payload(history.increment(second, table.newest_day())))
-    return table.read()
+def column_readded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that one load drops and the next brings back is NULL in the rows stored before."""
+    target, (first, second, third) = _three_loads(spark, sf_dir)
+    target.append(B.HISTORY, first.withColumn("site", F.lit("north")), "a")
+    target.append(B.HISTORY, second, "b")
+    target.append(B.HISTORY, third.withColumn("site", F.lit("south")), "c")
+    return target.read(B.HISTORY)
 
 
 @query
-def table_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An empty landing table takes the place of a filled one and is then filled with the mart's rows."""
-    table = store(spark).table("replaced")
-    table.replace(readings(spark, sf_dir))
-    table.create_or_replace(schemas.MART)
-    emptied = table.read().agg(F.count("*").alias("n"))
-    table.replace(mart(spark, sf_dir).select(schemas.MART.names))
-    return summaries.row_count(table.read()).withColumn("records_when_emptied", emptied.scalar())
+def type_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column comes as a whole number first and as a decimal one later."""
+    target, (first, second, third) = _three_loads(spark, sf_dir)
+    target.append(B.HISTORY, first.withColumn("pressure", F.floor("pressure")), "a")
+    target.append(B.HISTORY, second.unionByName(third), "b")
+    return target.read(B.HISTORY)
 
 
 @query
-def describe_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summaries.describe(mart(spark, sf_dir))
+def table_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty landing table takes the place of a filled one and is then filled with the mart's rows."""
+    target = store(spark)
+    target.replace("replaced", readings(spark, sf_dir))
+    target.create("replaced", schemas.MART)
+    emptied = target.read("replaced").count()
+    target.replace("replaced", mart(spark, sf_dir).select(schemas.MART.names))
+    rows = target.read("replaced").withColumns(rounded("avg_temperature"))
+    return rows.withColumn("records_when_emptied", F.lit(emptied).cast("bigint"))
 
 
 # --- projections, filters, predicates ------------------------------------------------------------------
@@ -300,10 +356,10 @@ def incomplete_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = store(spark).table(B.HISTORY)
-    table.replace(history.rename_cast(readings(spark, sf_dir)), dated=True)
-    table.delete_where(damage("event_time"))
-    return table.read()
+    target = store(spark)
+    target.replace(B.HISTORY, history.rename_cast(readings(spark, sf_dir)))
+    target.delete_where(B.HISTORY, damage("event_time"), since=DAMAGED_SINCE)
+    return target.read(B.HISTORY)
 
 
 @query
@@ -350,22 +406,28 @@ def high_water_mark_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.after_high_water_mark(history.rename_cast(second), bound)
 
 
-def _first_day(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.col("event_time") < at("2024-01-02"))
+def _second_source(rows: DataFrame, letter: str, broken: bool) -> DataFrame:
+    """The same readings as those of other machines, all of them invalid if so wanted."""
+    renamed = rows.withColumn("machine_id", F.concat(F.lit(letter), "machine_id"))
+    return renamed.withColumn("temperature", F.lit(-1.0)) if broken else renamed
 
 
 @query
 def readings_without_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Against the mart as it was after the first day."""
-    early = machine_health(_first_day(staged(spark, sf_dir)))
-    return overview.readings_without_mart(readings(spark, sf_dir), early)
+    """With a second source whose readings are all invalid, so its machines have no mart row."""
+    rows = readings(spark, sf_dir)
+    both = rows.unionByName(_second_source(rows, "X", broken=True))
+    both_mart = machine_health(staging.staging_readings(history.rename_cast(both)))
+    return overview.readings_without_mart(both, both_mart)
 
 
 @query
 def mart_without_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Against a landing table that was lost after the first day."""
-    early = _first_day(history.rename_cast(readings(spark, sf_dir)))
-    return overview.mart_without_readings(mart(spark, sf_dir), early)
+    """With a second source in the mart that the landing table has lost."""
+    rows = readings(spark, sf_dir)
+    both = rows.unionByName(_second_source(rows, "S", broken=False))
+    both_mart = machine_health(staging.staging_readings(history.rename_cast(both)))
+    return overview.mart_without_readings(both_mart, rows)
 
 
 @query
@@ -387,18 +449,18 @@ def machine_health_from_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two stored runs, then the mart over the whole history."""
     target = store(spark)
     for batch, rows in enumerate(runs(spark, sf_dir)):
-        B.build(target, rows, "batch", batch)
-    B.rebuild_mart(target)
-    return target.table(B.MART).read().withColumns(rounded("avg_temperature"))
+        B.build(target, rows, f"batch-{batch}")
+    B.rebuild(target)
+    return target.read(B.MART).withColumns(rounded("avg_temperature"))
 
 
 @query
 def machine_health_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same mart kept up to date by merging the totals of each run."""
+    """The same mart kept up to date by adding the totals of each run."""
     target = store(spark)
     for batch, rows in enumerate(runs(spark, sf_dir)):
-        B.build(target, rows, "batch", batch)
-    return target.table(B.MART).read().withColumns(rounded("avg_temperature"))
+        B.build(target, rows, f"batch-{batch}")
+    return target.read(B.MART).withColumns(rounded("avg_temperature"))
 
 
 @query
@@ -455,6 +517,17 @@ def critical_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.critical_payload(mart(spark, sf_dir))
 
 
+@query
+def critical_payload_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alerts.critical_payload(mart(spark, sf_dir), PARTS)
+
+
+@query
+def critical_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The critical machines, one row each: what a message is made of."""
+    return alerts.critical_entries(mart(spark, sf_dir))
+
+
 @query
 def status_sensor_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = overview.status_sensor_correlation(mart(spark, sf_dir), readings(spark, sf_dir))
@@ -556,9 +629,20 @@ def recent_readings_for_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.recent_for(readings(spark, sf_dir), DAMAGED, 10)
 
 
+@query
+def recent_stored_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recent readings of a stored landing table, from its newest days only."""
+    target = store(spark)
+    target.replace(B.LANDING, readings(spark, sf_dir))
+    newest = summaries.days_of_recent(target.read(B.LANDING, with_folders=True), S.RECENT_ROWS)
+    return summaries.recent_readings(newest, S.RECENT_ROWS).select(schemas.LANDING.names)
+
+
 @query
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summaries.sample(readings(spark, sf_dir), 5)
+    """How many rows a free sample has, and how many of them are readings."""
+    rows = readings(spark, sf_dir)
+    return summaries.sampled_from(summaries.sample(rows, 5), rows)
 
 
 # --- set operations, scalars ---------------------------------------------------------------------------------
@@ -590,10 +674,10 @@ def scalar_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -------------------------------------------------------------------------------------------------
 
 
-def _streamed(spark: SparkSession, sf_dir: str, alerts_too: bool) -> TableStore:
+def _streamed(spark: SparkSession, sf_dir: str, alerts_too: bool = False, parts: int = 1) -> Store:
     """Both runs as files, each taken up by one micro-batch of the same stream."""
     folder = workspace(spark)
-    target = TableStore(spark, f"{folder}/store")
+    target = Store(spark, f"{folder}/store")
     for rows in runs(spark, sf_dir):
         write_run(rows, f"{folder}/landing")
         jobs.stream_build(
@@ -603,32 +687,102 @@ def _streamed(spark: SparkSession, sf_dir: str, alerts_too: bool) -> TableStore:
             trigger={"availableNow": True},
             with_alerts=alerts_too,
             now=F.lit(REPORT_TIME).cast("timestamp"),
+            alert_parts=parts,
         ).awaitTermination()
     return target
 
 
 @query
 def stream_incremental_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _payload(_streamed(spark, sf_dir, False).table(B.HISTORY).read())
+    return _payload(_streamed(spark, sf_dir).read(B.HISTORY))
 
 
 @query
 def stream_machine_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _streamed(spark, sf_dir, False).table(B.MART).read()
-    return rows.withColumns(rounded("avg_temperature"))
+    return _streamed(spark, sf_dir).read(B.MART).withColumns(rounded("avg_temperature"))
 
 
 @query
-def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _streamed(spark, sf_dir, True).table(B.ALERTS).read()
-    return rows.select(
+def stream_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Check results on the whole tables, added up from those of the micro-batches."""
+    return B.check_results(_streamed(spark, sf_dir))
+
+
+def _alert_rows(target: Store) -> DataFrame:
+    return target.read(B.ALERTS).select(
         "batch", "message_no", "machines_data", "status", "message", "total_critical_machines", "should_send"
     )
 
 
+@query
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _alert_rows(_streamed(spark, sf_dir, True))
+
+
+@query
+def stream_alerts_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _alert_rows(_streamed(spark, sf_dir, True, PARTS))
+
+
+@query
+def stream_second_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second stream with a checkpoint and files of its own on the same store: nothing of either is lost."""
+    folder = workspace(spark)
+    target = Store(spark, f"{folder}/store")
+    for n, rows in enumerate(runs(spark, sf_dir)):
+        write_run(rows, f"{folder}/landing-{n}")
+        jobs.stream_build(
+            target, f"{folder}/landing-{n}", f"{folder}/checkpoint-{n}", trigger={"availableNow": True}
+        ).awaitTermination()
+    return _payload(target.read(B.HISTORY))
+
+
+@query
+def ingest_then_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that another job has landed still reach the history of the build; rows per table."""
+    folder = workspace(spark)
+    target = Store(spark, f"{folder}/store")
+    write_run(readings(spark, sf_dir), f"{folder}/landing")
+    for n, job in enumerate((jobs.auto_ingest, jobs.stream_build)):
+        job(target, f"{folder}/landing", f"{folder}/checkpoint-{n}", trigger={"availableNow": True}).awaitTermination()
+    return _payload(target.read(B.HISTORY))
+
+
+@query
+def stream_on_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream on its polling interval: it takes up files that come while it runs."""
+    folder = workspace(spark)
+    target = Store(spark, f"{folder}/store")
+    first, second = runs(spark, sf_dir)
+    write_run(first, f"{folder}/landing")
+    stream = jobs.stream_build(target, f"{folder}/landing", f"{folder}/checkpoint")
+    try:
+        stream.processAllAvailable()
+        write_run(second, f"{folder}/landing")
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    return _payload(target.read(B.HISTORY))
+
+
+@query
+def scheduled_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the alert schedule stores at a tick."""
+    target = store(spark)
+    target.replace(B.MART, mart(spark, sf_dir))
+    now = F.lit(REPORT_TIME).cast("timestamp")
+    clock = jobs.alert_schedule(target, f"{workspace(spark)}/checkpoint", "1 second", now, PARTS)
+    try:
+        while not (target.exists(B.ALERTS) and target.exists(B.CRITICAL)) and clock.isActive:
+            clock.awaitTermination(1)
+    finally:
+        clock.stop()
+    return _alert_rows(target).drop("batch").distinct()
+
+
 @query
 def stream_landing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Automatic ingest of the faulty files: typed rows land, bad ones are kept aside."""
+    """Automatic ingest of the faulty files: typed rows with their provenance."""
     target = store(spark)
     jobs.auto_ingest(
         target,
@@ -636,8 +790,13 @@ def stream_landing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{workspace(spark)}/checkpoint",
         trigger={"availableNow": True},
     ).awaitTermination()
-    good = summaries.row_count(target.table(B.LANDING).read())
-    return good.withColumn("rejected", target.table(B.REJECTS).read().agg(F.count("*")).scalar())
+    rejected = target.read(B.REJECTS).agg(F.count("*"))
+    return target.read(B.LANDING).select(
+        *schemas.LANDING.names,
+        F.col("_file_name").endswith(".csv").alias("has_file"),
+        F.col("_loaded_at").isNotNull().alias("has_load_time"),
+        rejected.scalar().alias("rejected"),
+    )
 
 
 # --- alert functions ---------------------------------------------------------------------------------------------
@@ -672,12 +831,25 @@ def alert_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.alert_outcome(_payload_texts(spark, sf_dir)).drop("machines_data")
 
 
+@query
+def alert_outcome_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = alerts.critical_payload(mart(spark, sf_dir), PARTS)
+    return alerts.alert_outcome(messages, together=True).drop("machines_data")
+
+
 @query
 def alert_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = alerts.critical_payload(mart(spark, sf_dir))
     return alerts.render_report(messages, F.lit(REPORT_TIME).cast("timestamp")).drop("machines_data")
 
 
+@query
+def alert_report_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = alerts.critical_payload(mart(spark, sf_dir), PARTS)
+    now = F.lit(REPORT_TIME).cast("timestamp")
+    return alerts.render_report(messages, now, together=True).drop("machines_data")
+
+
 @query
 def scheduled_alert_call(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the schedule runs each time: the alert function over the view of critical machines."""
@@ -692,37 +864,47 @@ def scheduled_alert_call(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- snapshots -----------------------------------------------------------------------------------------------------
 
 
-def _damaged(spark: SparkSession, sf_dir: str) -> tuple[Table, Table]:
-    """(backup, damaged table)"""
-    table = store(spark).table(B.LANDING)
-    rows = readings(spark, sf_dir).withColumn("event_time", F.col("timestamp"))
-    table.replace(rows, dated=True)
-    backup = table.clone_as("landing_backup")
-    table.delete_where(damage("timestamp"))
-    return backup, table
+def _damaged(spark: SparkSession, sf_dir: str) -> tuple[Store, list[str | None]]:
+    """A store whose landing table has lost rows, with a backup of the days concerned; and those days."""
+    target = store(spark)
+    target.replace(B.LANDING, readings(spark, sf_dir))
+    rows = target.read(B.LANDING, with_folders=True)
+    days = target.days(rows.filter(F.col("event_date") >= F.lit(DAMAGED_SINCE).cast("date")).filter(damage("timestamp")))
+    snapshots.back_up(target, B.LANDING, "landing_backup", days)
+    target.delete_where(B.LANDING, damage("timestamp"), since=DAMAGED_SINCE)
+    return target, days
 
 
 @query
 def recovery_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    backup, table = _damaged(spark, sf_dir)
-    versions = {"before damage": backup.read(), "after damage": table.read()}
-    table.restore_from(backup.name)
-    versions |= {"after recovery": table.read(), "final state": table.read()}
-    backup.drop()
-    return summaries.checkpoint_report(versions).withColumns(rounded("avg_temperature"))
+    target, days = _damaged(spark, sf_dir)
+    stages = {"before damage": readings(spark, sf_dir)}
+    damaged = target.read(B.LANDING)
+    target.replace("as_damaged", damaged)
+    snapshots.restore(target, B.LANDING, "landing_backup", days)
+    stages |= {"after damage": target.read("as_damaged"), "final state": target.read(B.LANDING)}
+    return summaries.checkpoint_report(stages).withColumns(rounded("avg_temperature"))
+
+
+@query
+def restored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole landing table after damage and recovery."""
+    target, days = _damaged(spark, sf_dir)
+    snapshots.restore(target, B.LANDING, "landing_backup", days)
+    return target.read(B.LANDING)
 
 
 @query
 def recovery_missing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    backup, table = _damaged(spark, sf_dir)
-    return snapshots.missing_rows(backup, table).drop("event_time")
+    target, days = _damaged(spark, sf_dir)
+    return snapshots.missing_rows(target, B.LANDING, "landing_backup", days)
 
 
 @query
 def recovery_remaining(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the damage left of the affected machines."""
-    _, table = _damaged(spark, sf_dir)
-    rows = table.read().filter(F.col("machine_id").isin(DAMAGED))
+    target, _ = _damaged(spark, sf_dir)
+    rows = target.read(B.LANDING).filter(F.col("machine_id").isin(DAMAGED))
     return summaries.per_machine_summary(rows).withColumns(rounded("avg_temp"))
 
 
@@ -785,6 +967,18 @@ def dq_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.shape_check(readings(spark, sf_dir))
 
 
+@query
+def dq_required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Required columns of the mart, asked for in capitals, and one that does not exist."""
+    names = [c.upper() for c in quality.MART_REQUIRED]
+    return quality.required_column_report(mart(spark, sf_dir), [*names, "NO_SUCH_COLUMN"])
+
+
+@query
+def dq_mart_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.required_column_report(mart(spark, sf_dir), quality.MART_REQUIRED)
+
+
 @query
 def dq_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.completeness(mart(spark, sf_dir))
@@ -802,7 +996,9 @@ def dq_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_no_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.no_duplicates(mart(spark, sf_dir))
+    """With the critical machines of the mart in it twice."""
+    rows = mart(spark, sf_dir)
+    return quality.no_duplicates(rows.unionByName(rows.filter(F.col("health_status") == "CRITICAL")))
 
 
 @query
@@ -832,11 +1028,11 @@ def dq_suite_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def run_batch_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Results of the declared checks after the second of two stored runs."""
+    """Results of the declared checks on the whole tables after the second of two stored runs."""
     target = store(spark)
     first, second = runs(spark, sf_dir)
-    B.run_batch(target, first, "batch", 0)
-    return B.run_batch(target, second, "batch", 1)
+    B.run_batch(target, first, "batch-0")
+    return B.run_batch(target, second, "batch-1")
 
 
 # The flagship goes by the name of its result.

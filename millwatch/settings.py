@@ -69,6 +69,9 @@ NULL_TOKENS = ["NULL", "null", ""]
 TEXT_LIMITS = {"machine_id": 50, "status_code": 10}
 BATCH_FILE_PATTERN = r"sensor_data_batch_(\d+).csv"
 
+PROFILE_LABEL = "Data Quality Check"
+RUN_KEY_PREFIX = "s3_files_"
+
 FIRST_EVENT_TIME = "1900-01-01 00:00:00"  # bound of an empty history
 FILE_POLL_INTERVAL = "15 seconds"
 ALERT_INTERVAL = "30 seconds"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millwatch import settings as S
 from millwatch.sources.landing import parse_landing, read_landing_csv
+from millwatch.sources.tables import Store
 
 
 def list_landing_files(spark: SparkSession, path: str, glob: str = S.LANDING_GLOB) -> DataFrame:
@@ -47,9 +48,25 @@ def new_files(current: DataFrame, processed: DataFrame) -> DataFrame:
 
 
 def run_key(files: DataFrame) -> DataFrame:
-    """One row naming a run by its new files, in sorted order; NULL when there are none."""
+    """One row naming a run by its new files, in sorted order; NULL when there are none.
+
+    It is one text by its nature, as long as the names of the files of one run together.
+    """
     names = F.array_sort(F.collect_list("path"))
-    return files.agg(F.when(F.size(names) > 0, F.array_join(names, "_")).alias("run_key"))
+    key = F.concat(F.lit(S.RUN_KEY_PREFIX), F.array_join(names, "_"))
+    return files.agg(F.when(F.size(names) > 0, key).alias("run_key"))
+
+
+CURSOR = "file_cursor"
+
+
+def take_new(store: Store, current: DataFrame) -> DataFrame:
+    """The paths that the stored cursor has not seen; the listing becomes the cursor if there are any."""
+    seen = store.read(CURSOR) if store.exists(CURSOR) else current.limit(0)
+    fresh = store.kept(new_files(current, seen))
+    if not fresh.isEmpty():
+        store.replace(CURSOR, current.select("path").distinct())
+    return fresh
 
 
 def batch_resume_point(
@@ -57,15 +74,15 @@ def batch_resume_point(
 ) -> DataFrame:
     """One row `(next_batch, last_timestamp)`; `(1, NULL)` when there is no batch yet.
 
-    Only the files of the latest batch are read. `order="file"` takes the timestamp of the last
-    physical row (for a batch that is one file), `order="time"` the latest timestamp.
+    `order="file"` takes the timestamp of the last physical row of the latest batch (for a batch that is one
+    file), `order="time"` its latest timestamp. The batch is a condition on the file names.
     """
     files = numbered(list_landing_files(spark, path, glob))
     top = files.agg(F.max("batch_no").alias("n")).first()["n"]
     if top is None:
         return spark.createDataFrame([(1, None)], "next_batch int, last_timestamp timestamp_ntz")
-    paths = [r["path"] for r in files.filter(F.col("batch_no") == top).select("path").collect()]
-    raw = read_landing_csv(spark, paths, glob=glob)
+    number = F.regexp_extract(F.col("_metadata.file_path"), S.BATCH_FILE_PATTERN, 1)
+    raw = read_landing_csv(spark, path, glob=glob).filter(number.try_cast("int") == top)
     if order == "time":
         last = F.max("timestamp")
     else:

@@ -68,7 +68,7 @@ def _parse(name: str, kind: T.DataType, cell: Column) -> Column:
     return F.when(F.length(cell) <= limit, cell)
 
 
-def parse_landing(raw: DataFrame) -> DataFrame:
+def parse_landing(raw: DataFrame, sep: str = ",") -> DataFrame:
     """Typed columns plus `reject_reason`, NULL for a good row. One projection over the scan.
 
     A row is bad when its number of cells is wrong, a filled cell does not parse, or a text is too
@@ -82,13 +82,14 @@ def parse_landing(raw: DataFrame) -> DataFrame:
     return raw.select(
         *[typed[n].alias(n) for n in cells],
         reason.alias("reject_reason"),
-        F.when(reason.isNotNull(), F.coalesce(RAW_LINE, _rebuilt_line())).alias("raw_line"),
+        F.when(reason.isNotNull(), F.coalesce(RAW_LINE, _rejoined_line(sep))).alias("raw_line"),
         *extra,
     )
 
 
-def _rebuilt_line() -> Column:
-    return F.concat_ws(",", *[F.coalesce(F.col(f.name), F.lit("")) for f in schemas.LANDING])
+def _rejoined_line(sep: str) -> Column:
+    """The line as it was: with quotes off, cells are what stood between the separators."""
+    return F.concat_ws(sep, *[F.coalesce(F.col(f.name), F.lit("")) for f in schemas.LANDING])
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:
@@ -99,18 +100,18 @@ def rejected_rows(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("reject_reason").isNotNull()).select("reject_reason", "raw_line")
 
 
-def copy_into(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows in the landing schema, rejected rows with reason and line)."""
-    parsed = parse_landing(raw)
+def copy_into(raw: DataFrame, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """(good rows in the landing schema, rejected rows with reason and line). `sep` is that of the files."""
+    parsed = parse_landing(raw, sep)
     return good_rows(parsed), rejected_rows(parsed)
 
 
-def write_landing_batches(lines: DataFrame, path: str) -> None:
+def write_landing_batches(lines: DataFrame, path: str, sep: str = ",") -> None:
     """Write `line` texts as one folder of CSV part files per `batch` name, each with the header.
 
     Rebalancing on the batch splits a batch that is much larger than the others over many tasks.
     """
-    header = ",".join(f.name for f in schemas.LANDING)
+    header = sep.join(f.name for f in schemas.LANDING)
     (
         lines.select("batch", F.col("line").alias(header))
         .hint("rebalance", "batch")

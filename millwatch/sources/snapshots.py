@@ -1,35 +1,30 @@
-"""Backup, damage, recovery: versions of a stored table."""
+"""Backup, damage, recovery of the days of a stored table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.sources.tables import Table
+from millwatch.sources.tables import DAY, Store
 
 COPIES_PER_TASK = 1_000_000
 
 
-def clone(table: Table, name: str) -> Table:
-    """An independent copy under another name; no row is copied."""
-    return table.clone_as(name)
+def back_up(store: Store, name: str, backup: str, days: list[str | None]) -> None:
+    """Copy the days that are about to change to an ordinary table."""
+    rows = store.read(name, with_folders=True)
+    store.replace(backup, store.of_days(rows, days).drop(DAY, "load_id"))
 
 
-def restore(table: Table, name: str) -> None:
-    """Replace a damaged table by a clone of it."""
-    table.restore_from(name)
+def restore(store: Store, name: str, backup: str, days: list[str | None]) -> None:
+    """Put the backed up days in place of the damaged ones."""
+    store.put_days(name, store.read(backup), days)
 
 
-def drop_clone(table: Table) -> None:
-    table.drop()
-
-
-def missing_rows(backup: Table, current: Table) -> DataFrame:
-    """Rows, with their multiplicity, that only the backup still has.
-
-    Only folders that the two do not share are compared.
-    """
-    return all_but(*backup.only_in(current))
+def missing_rows(store: Store, name: str, backup: str, days: list[str | None]) -> DataFrame:
+    """Rows, with their multiplicity, that only the backup of these days still has."""
+    now = store.of_days(store.read(name, with_folders=True), days).drop(DAY, "load_id")
+    return all_but(store.read(backup), now)
 
 
 def all_but(rows: DataFrame, gone: DataFrame, copies: int = COPIES_PER_TASK) -> DataFrame:

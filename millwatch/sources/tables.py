@@ -1,315 +1,226 @@
-"""Parquet tables with replace, append, upsert, delete and copy-free clones.
+"""Stored tables: plain Parquet folders, partitioned by day and load.
 
-Rows lie in immutable folders `pool/commit=<id>[/event_date=<day>]`. A version of a table is a list of such
-folders in one small file. Odd and even versions take turns in two slots below `tables/<name>`, and the higher
-of the two is the table's content: while one slot is written the other still holds a whole version. A change
-writes new folders and then the next version, so
+    <root>/<table>/event_date=<day>/load_id=<load>/*.parquet
 
-* an append costs what it appends, and an upsert or delete rewrites only the days it touches;
-* a clone is a second listing of the same folders, and later changes on either side are independent;
-* a job that dies half way leaves nothing but folders no version names.
-
-A table has one writer at a time and any number of readers.
+The day is that of a row's time; a table without times has one folder for the missing day. A load is one run of
+a job: a micro-batch of a stream (the stream's own id and the batch number) or a named batch. Writing a load
+overwrites the folders of that load only (Spark's dynamic partition overwrite), so a load that is run again
+after a failure does not add its rows twice, and loads of different streams never meet. Upserts and deletes
+rewrite the days they touch: the new content is written aside, then each day's folder is overwritten with its
+part; run again after a failure they come to the same end. A table has one writer at a time.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
-from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LISTING = "version bigint, schema string, dated boolean, folders array<string>, done map<string,bigint>"
-_MERGED = "merged-"
+DAY, LOAD = "event_date", "load_id"
+WHOLE = "whole"  # load of rows that no single run wrote
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+_TIMES = ("event_time", "timestamp")
 
 
-@dataclass(frozen=True)
-class Listing:
-    """One version of a table."""
-
-    version: int
-    schema: T.StructType | None  # None: the table has been dropped
-    dated: bool
-    folders: list[str]
-    done: dict[str, int] = field(default_factory=dict)  # writer -> last batch it committed
+class Store:
+    """The tables below one folder."""
 
-
-class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._tables: dict[str, Table] = {}
 
-    @property
-    def pool(self) -> str:
-        return f"{self.root}/pool"
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
-    def table(self, name: str) -> Table:
-        return self._tables.setdefault(name, Table(self, name))
+    def _schema_path(self, name: str) -> str:
+        return f"{self.root}/schemas/{name}"
 
+    # --- reading -------------------------------------------------------------------------------
 
-class Table:
-    def __init__(self, store: TableStore, name: str):
-        self.store = store
-        self.spark = store.spark
-        self.name = name
-        self._path = f"{store.root}/tables/{name}"
-        self._files: list[str] = []  # file names are never used twice, so the same files mean
-        self._known: Listing | None = None  # the same version
+    def schema(self, name: str) -> T.StructType | None:
+        """The columns of a table, without those of its folders; None if there is no such table."""
+        try:
+            return self.spark.read.parquet(self._schema_path(name)).schema
+        except AnalysisException:
+            return None
 
-    # --- listings ------------------------------------------------------------------------------
+    def exists(self, name: str) -> bool:
+        return self.schema(name) is not None
 
-    def _slots(self) -> tuple[DataFrame, list[str]]:
-        """The slots and their files, at most two. A reader may find one of them replaced just now."""
-        slots = self.spark.read.schema(_LISTING).option("ignoreMissingFiles", True).json(self._path)
-        return slots, sorted(slots.inputFiles())
+    def read(self, name: str, with_folders: bool = False) -> DataFrame:
+        """The rows of a table; `with_folders` adds event_date and load_id, for pruning."""
+        schema = self.schema(name)
+        if schema is None:
+            raise LookupError(f"no table {name}")
+        rows = self._rows(name, schema)
+        return rows if with_folders else rows.select(schema.names)
 
-    def _newest(self) -> Listing | None:
-        """The current version, or the mark of a dropped table, or None."""
+    def _rows(self, name: str, schema: T.StructType) -> DataFrame:
+        columns = T.StructType(schema.fields).add(DAY, "date").add(LOAD, "string")
         try:
-            slots, files = self._slots()
-        except AnalysisException:  # no such folder yet
-            return None
-        if files != self._files:
-            rows = slots.collect()
-            if not rows:  # both were replaced since they were listed
-                return self._newest()
-            row = max(rows, key=lambda r: r["version"])
-            schema = T.StructType.fromJson(json.loads(row["schema"])) if row["schema"] else None
-            self._known = Listing(
-                row["version"], schema, row["dated"], row["folders"] or [], row["done"] or {}
-            )
-            self._files = files
-        return self._known
-
-    def current(self) -> Listing:
-        newest = self._newest()
-        if newest is None or newest.schema is None:
-            raise LookupError(f"no table {self.name}")
-        return newest
-
-    def exists(self) -> bool:
-        newest = self._newest()
-        return newest is not None and newest.schema is not None
-
-    def _commit(
-        self,
-        schema: T.StructType | None,
-        dated: bool,
-        folders: list[str],
-        done: dict[str, int],
-        after: Listing | None,
-    ) -> None:
-        version = after.version + 1 if after else 1
-        listing = {
-            "version": version,
-            "schema": schema.json() if schema else None,
-            "dated": dated,
-            "folders": sorted(folders),
-            "done": done,
-        }
-        # One row in one file: the version is there as a whole or not at all.
-        row = self.spark.range(0, 1, 1, 1).select(F.lit(json.dumps(listing)).alias("value"))
-        row.write.mode("overwrite").text(f"{self._path}/slot={version % 2}")
-        self._known = Listing(version, schema, dated, sorted(folders), done)
-        self._files = self._slots()[1]
+            return self.spark.read.schema(columns).parquet(self.path(name))
+        except AnalysisException:  # a table that never got a row
+            return self.spark.createDataFrame([], columns)
 
-    # --- reading -------------------------------------------------------------------------------
+    def load(self, name: str, load: str) -> DataFrame:
+        """The rows one load wrote."""
+        return self.read(name, with_folders=True).filter(F.col(LOAD) == load).drop(DAY, LOAD)
+
+    def before_load(self, name: str, load: str) -> DataFrame:
+        """The newest day of what a table had before a load: the latest time is there."""
+        rows = self.read(name, with_folders=True).filter(F.col(LOAD) != load)
+        newest = rows.agg(F.max(DAY).alias(DAY))
+        return rows.filter(F.col(DAY) == newest.scalar()).drop(DAY, LOAD)
+
+    # --- whole tables --------------------------------------------------------------------------
+
+    def create(self, name: str, schema: T.StructType) -> None:
+        """An empty table; earlier content is gone."""
+        self.replace(name, self.spark.createDataFrame([], schema))
+
+    def replace(self, name: str, df: DataFrame, load: str = WHOLE) -> None:
+        """Drop and rebuild a table from a DataFrame, which must not read this table."""
+        self._set_schema(name, df.schema)
+        self._whole(name, placed(df, load))
+
+    def _whole(self, name: str, df: DataFrame) -> None:
+        _balanced(df).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(DAY, LOAD).parquet(self.path(name))
+
+    def _set_schema(self, name: str, schema: T.StructType) -> None:
+        self.spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(self._schema_path(name))
+
+    # --- loads ---------------------------------------------------------------------------------
+
+    def append(self, name: str, df: DataFrame, load: str) -> None:
+        """Add the rows of a load, or put them in place of those that this load wrote before.
 
-    def read(self, days: list[str] | None = None) -> DataFrame:
-        """The table now; with `days`, only the folders of those days are even listed."""
-        now = self.current()
-        folders = now.folders if days is None else [f for f in now.folders if day_of(f) in days]
-        return self._scan(now, folders)
-
-    def _scan(self, listing: Listing, folders: list[str]) -> DataFrame:
-        if not folders:
-            return self.spark.createDataFrame([], listing.schema)
-        columns = listing.schema.fields + [T.StructField("commit", T.StringType())]
-        if listing.dated:
-            columns.append(T.StructField("event_date", T.DateType()))
-        return (
-            self.spark.read.schema(T.StructType(columns))
-            .option("basePath", self.store.pool)
-            .parquet(*[f"{self.store.pool}/{f}" for f in folders])
-            .select(listing.schema.names)
-        )
-
-    def newest_day(self) -> DataFrame:
-        """Rows of the latest day, where the latest event time is: bounds need not scan the table."""
-        now = self.current()
-        latest = max((d for d in map(day_of, now.folders) if d != _NO_DAY), default=_NO_DAY)
-        return self._scan(now, [f for f in now.folders if day_of(f) == latest])
-
-    def batch_rows(self, writer: str, batch: int) -> DataFrame:
-        """The rows one batch appended, as stored."""
-        now = self.current()
-        mark = f"commit={_commit_id(self.name, writer, batch)}"
-        return self._scan(now, [f for f in now.folders if f.split("/")[0] == mark])
-
-    def has_batch(self, writer: str, batch: int) -> bool:
-        newest = self._newest()
-        return newest is not None and newest.done.get(writer, -1) >= batch
-
-    # --- changing ------------------------------------------------------------------------------
-
-    def create_or_replace(self, schema: T.StructType, dated: bool = False) -> None:
-        """An empty table; earlier content is gone from this table."""
-        before = self._newest()
-        self._commit(schema, dated, [], before.done if before else {}, before)
-
-    def replace(self, df: DataFrame, dated: bool = False, writer: str = "", batch: int = -1) -> None:
-        """Drop and rebuild from a DataFrame, which may read this very table."""
-        self._replace(self._newest(), df, dated, writer, batch)
-
-    def _replace(self, before: Listing | None, df: DataFrame, dated: bool, writer: str, batch: int) -> None:
-        folders = self._write(df, dated, writer, batch)
-        done = _with_batch(before.done if before else {}, writer, batch)
-        self._commit(df.schema, dated, folders, done, before)
-
-    def append(self, df: DataFrame, dated: bool = False, writer: str = "", batch: int = -1) -> None:
-        """Add rows. New columns become part of the table, columns gone from `df` leave it.
-
-        A batch that a writer has already committed is skipped.
+        New columns become part of the table and are NULL in older rows; columns gone from `df` leave it; a
+        changed type is cast. The latter two rewrite the stored rows, and a cast that loses a value fails
+        before anything is changed.
         """
-        before = self._newest()
-        if before is None or before.schema is None:
-            return self._replace(before, df, dated, writer, batch)
-        if writer and before.done.get(writer, -1) >= batch:
-            return
-        folders = self._write(df, before.dated, writer, batch)
-        done = _with_batch(before.done, writer, batch)
-        self._commit(df.schema, before.dated, before.folders + folders, done, before)
-
-    def upsert(self, df: DataFrame, keys: list[str], dated: bool = False) -> None:
+        before = self.schema(name)
+        if before is None:
+            self._set_schema(name, df.schema)
+        elif shape(before) != shape(df.schema):
+            self._evolve(name, before, df.schema)
+        self._overwrite(name, placed(df, load))
+
+    def _evolve(self, name: str, before: T.StructType, after: T.StructType) -> None:
+        kinds = {f.name: f.dataType for f in before}
+        kept = [f for f in after if f.name in kinds]
+        if len(kept) < len(before) or any(kinds[f.name] != f.dataType for f in kept):
+            columns = [
+                F.col(f.name).cast(f.dataType) if f.name in kinds else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in after
+            ]
+            self._whole(name, self._aside(self._rows(name, before).select(*columns, DAY, LOAD)))
+        self._set_schema(name, after)
+
+    def _aside(self, df: DataFrame) -> DataFrame:
+        """Written to a folder of its own, by day, and read back."""
+        path = f"{self.root}/aside/{uuid.uuid4().hex}"
+        _balanced(df).write.partitionBy(DAY).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def kept(self, df: DataFrame) -> DataFrame:
+        """The rows as they are now, whatever becomes of the tables they come from."""
+        return self._aside(placed(df, WHOLE)).select(df.columns)
+
+    def _overwrite(self, name: str, df: DataFrame) -> None:
+        _balanced(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY, LOAD).parquet(self.path(name))
+
+    # --- changing days -------------------------------------------------------------------------
+
+    def days(self, rows: DataFrame) -> list[str | None]:
+        """The days of some rows: at most one value per day of history."""
+        return sorted((r["day"] for r in rows.select(F.col(DAY).cast("string").alias("day")).distinct().collect()), key=str)
+
+    def upsert(self, name: str, df: DataFrame, keys: list[str]) -> None:
         """Rows of `df` take the place of rows with the same key; all others are added.
 
-        `df` must hold a key once. On a dated table whose key has the event time, rows with equal keys
-        share a day, so only days present in `df` are read and rewritten. A NULL in a key matches nothing.
+        `df` must hold a key once. The key of a dated table must have its time, so equal keys share a day and
+        only days present in `df` are read and rewritten. A NULL in a key matches nothing.
         """
-        before = self._newest()
-        if before is None or before.schema is None:
-            return self._replace(before, df, dated, "", -1)
-        incoming = self._write(df, before.dated)
-        after = Listing(before.version, df.schema, before.dated, incoming)
-        touched = self._touched(before, keys, incoming)
-        kept = [f for f in before.folders if f not in touched]
-        survivors = []
-        if touched:
-            rest = self._scan(before, touched).join(
-                self._scan(after, incoming).select(*keys), keys, "left_anti"
-            )
-            survivors = self._write(rest, before.dated)
-        self._commit(df.schema, before.dated, kept + survivors + incoming, before.done, before)
-
-    def _touched(self, before: Listing, keys: list[str], incoming: list[str]) -> list[str]:
-        if not (before.dated and "event_time" in keys):
-            return before.folders if incoming else []
-        days = {day_of(f) for f in incoming} - {_NO_DAY}
-        return [f for f in before.folders if day_of(f) in days]
-
-    def delete_where(self, condition: Column) -> None:
-        """Remove the rows for which the condition is TRUE; rows where it is unknown stay."""
-        before = self.current()
-        rows = self._scan(before, before.folders)
-        touched = before.folders
-        if before.dated:
-            day = F.coalesce(F.to_date("event_time").cast("string"), F.lit(_NO_DAY))
-            hit = rows.filter(condition).select(day.alias("day")).distinct()
-            days = {r["day"] for r in hit.collect()}  # at most one row per day of history
-            touched = [f for f in before.folders if day_of(f) in days]
-        if not touched:
-            return
-        rest = self._scan(before, touched).filter(~F.coalesce(condition, F.lit(False)))
-        survivors = self._write(rest, before.dated)
-        kept = [f for f in before.folders if f not in touched]
-        self._commit(before.schema, before.dated, kept + survivors, before.done, before)
-
-    def compact(self, at_least: int = 64) -> None:
-        """Merge the folders of small commits, day by day, where there are many of them.
-
-        A merged folder is not merged again, so every row is rewritten once however long the table grows.
+        schema = self.schema(name)
+        if schema is None:
+            return self.append(name, df, WHOLE)
+        if shape(schema) != shape(df.schema):
+            self._evolve(name, schema, df.schema)
+        time = time_column(df.schema)
+        if time and time not in keys:
+            raise ValueError(f"the key of a dated table must have {time}")
+        incoming = self._aside(placed(df, WHOLE))
+        days = self.days(incoming)
+        rest = self.of_days(self.read(name, with_folders=True), days).join(incoming.select(*keys), keys, "left_anti")
+        self._put_days(name, self._aside(rest.unionByName(incoming)), days)
+
+    def delete_where(self, name: str, condition: Column, since: str | None = None) -> None:
+        """Remove the rows for which the condition is TRUE; rows where it is unknown stay.
+
+        `since`, a day before which the condition is never TRUE, keeps earlier days from being read.
         """
-        now = self.current()
-        by_day: dict[str, list[str]] = {}
-        for folder in now.folders:
-            if not folder.startswith(f"commit={_MERGED}"):
-                by_day.setdefault(day_of(folder), []).append(folder)
-        small = [f for folders in by_day.values() if len(folders) >= at_least for f in folders]
-        if not small:
-            return
-        merged = self._write(self._scan(now, small), now.dated, name=f"{_MERGED}{self.name}")
-        kept = [f for f in now.folders if f not in set(small)]
-        self._commit(now.schema, now.dated, kept + merged, now.done, now)
-
-    def _write(
-        self, df: DataFrame, dated: bool, writer: str = "", batch: int = -1, name: str = ""
-    ) -> list[str]:
-        """Write the rows to a folder of their own; returns the folders that got rows."""
-        unique = f"{name or self.name}-{uuid.uuid4().hex}"
-        commit = _commit_id(self.name, writer, batch) if writer else unique
-        folder = f"commit={commit}"
-        path = f"{self.store.pool}/{folder}"
-        if not dated:
-            df.write.mode("overwrite").parquet(path)
-            return [folder]
-        # Rebalancing gives each day few files, yet splits a day that holds most of the rows.
-        rows = df.withColumn("event_date", F.to_date("event_time")).hint("rebalance", "event_date")
-        rows.write.mode("overwrite").partitionBy("event_date").parquet(path)
-        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        day = F.regexp_extract("path", "/event_date=([^/]+)/", 1).alias("day")
-        days = files.select(day).distinct().collect()  # names only, a row per day
-        return sorted(f"{folder}/event_date={r['day']}" for r in days)
-
-    # --- clones --------------------------------------------------------------------------------
-
-    def clone_as(self, name: str) -> Table:
-        """A copy under another name that shares every stored row."""
-        now = self.current()
-        other = self.store.table(name)
-        other._commit(now.schema, now.dated, now.folders, now.done, other._newest())
-        return other
-
-    def restore_from(self, name: str) -> None:
-        """Make this table what the other one is."""
-        self.store.table(name).clone_as(self.name)
-
-    def drop(self) -> None:
-        """Forget the table; rows it shares with clones are untouched."""
-        now = self.current()
-        self._commit(None, False, [], {}, now)
-
-    def only_in(self, other: Table) -> tuple[DataFrame, DataFrame]:
-        """(rows of the folders only this table has, rows of the folders only the other has).
-
-        Shared folders hold the same rows on both sides, so a comparison can leave them out.
-        """
-        mine, theirs = self.current(), other.current()
-        return (
-            self._scan(mine, [f for f in mine.folders if f not in set(theirs.folders)]),
-            self._scan(theirs, [f for f in theirs.folders if f not in set(mine.folders)]),
-        )
+        rows = self.read(name, with_folders=True)
+        scope = rows if since is None else rows.filter(F.col(DAY) >= F.lit(since).cast("date"))
+        days = self.days(scope.filter(condition))
+        rest = self.of_days(rows, days).filter(~F.coalesce(condition, F.lit(False)))
+        self._put_days(name, self._aside(rest), days)
 
+    def put_days(self, name: str, rows: DataFrame, days: list[str | None], load: str = WHOLE) -> None:
+        """Make these days of a table what `rows` has of them; `rows` must not read this table."""
+        self._put_days(name, self._aside(self.of_days(placed(rows, load), days)), days)
 
-def publish_view(df: DataFrame, name: str) -> DataFrame:
-    """Make a DataFrame a view for SQL users, in place of an earlier view of that name."""
-    df.createOrReplaceTempView(name)
-    return df.sparkSession.table(name)
+    def put_loads(self, name: str, rows: DataFrame) -> None:
+        """Make a table without times what `rows` (with load_id) says; `rows` may read this table."""
+        self._put_days(name, self._aside(rows.withColumn(DAY, F.lit(None).cast("date"))), [None])
+
+    def _put_days(self, name: str, content: DataFrame, days: list[str | None]) -> None:
+        """Overwrite the folder of each day with its rows of `content`, which lies aside."""
+        for day in days:
+            rows = content.filter(F.col(DAY).eqNullSafe(F.lit(day).cast("date"))).drop(DAY)
+            folder = f"{self.path(name)}/{DAY}={day or _NO_DAY}"
+            rows.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(LOAD).parquet(folder)
+
+    def of_days(self, rows: DataFrame, days: list[str | None]) -> DataFrame:
+        """The rows of these days, None standing for rows without a time."""
+        dates = [F.lit(d).cast("date") for d in days if d is not None]
+        match = F.col(DAY).isin(dates) if dates else F.lit(False)
+        return rows.filter(match | F.col(DAY).isNull()) if None in days else rows.filter(match)
+
+    def merge_loads(self, name: str, keep: str, at_least: int) -> None:
+        """Give days with `at_least` loads one folder for all loads but `keep`, the one that may yet be run again."""
+        rows = self.read(name, with_folders=True).filter(F.col(LOAD) != keep)
+        loads = rows.groupBy(DAY).agg(F.count_distinct(LOAD).alias("n"))
+        days = self.days(loads.filter(F.col("n") >= at_least))
+        if days:
+            mark = F.when(F.col(LOAD) == keep, F.col(LOAD)).otherwise(F.lit(WHOLE))
+            self._put_days(name, self._aside(self.of_days(self.read(name, with_folders=True), days).withColumn(LOAD, mark)), days)
 
 
-def day_of(folder: str) -> str:
-    """The day in a folder name; the mark for rows without a time where there is none."""
-    return folder.partition("/event_date=")[2] or _NO_DAY
+def _balanced(df: DataFrame) -> DataFrame:
+    """Few files for each day, yet a day that holds most of the rows is split."""
+    return df.hint("rebalance", DAY)
 
 
-def _commit_id(table: str, writer: str, batch: int) -> str:
-    return f"{table}-{writer}-{batch:012d}"
+def time_column(schema: T.StructType) -> str | None:
+    """The column that dates a row."""
+    return next((t for t in _TIMES if t in schema.names), None)
 
 
-def _with_batch(done: dict[str, int], writer: str, batch: int) -> dict[str, int]:
-    return {**done, writer: batch} if writer else dict(done)
+def placed(df: DataFrame, load: str) -> DataFrame:
+    """The rows with the folder they belong to."""
+    time = time_column(df.schema)
+    day = F.to_date(time) if time else F.lit(None).cast("date")
+    return df.withColumn(DAY, day).withColumn(LOAD, F.lit(load))
+
+
+def shape(schema: T.StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema]
+
+
+def publish_view(df: DataFrame, name: str) -> DataFrame:
+    """Make a DataFrame a view for SQL users, in place of an earlier view of that name."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)

@@ -1,42 +1,54 @@
-"""Continuous ingest, history, mart and alerts."""
+"""Continuous ingest, history, mart, checks and alerts.
+
+A micro-batch writes loads named by the stream's own id, which lives in its checkpoint, and the batch number.
+A stream with a new checkpoint is a new stream: its batches do not meet those of an earlier one.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
 from millwatch import settings as S
 from millwatch.plans import build as B
-from millwatch.sources.landing import good_rows, parse_landing, rejected_rows, stream_landing_csv
-from millwatch.sources.tables import TableStore
+from millwatch.sources.landing import parse_landing, stream_landing_csv, with_provenance
+from millwatch.sources.tables import Store
 
-WRITER = "stream"
-COMPACT_EVERY = 64  # micro-batches
+MERGE_EVERY = 64  # micro-batches
+FILES_PER_BATCH = 1000  # so that the first run over a backlog is not one batch
 
 
 def auto_ingest(
-    store: TableStore, path: str, checkpoint: str, sep: str = ",", trigger: dict | None = None
+    store: Store,
+    path: str,
+    checkpoint: str,
+    sep: str = ",",
+    trigger: dict | None = None,
+    max_files_per_trigger: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Append each new landing file once to the landing table, and its bad rows to the rejects."""
 
-    def on_batch(raw: DataFrame, batch: int) -> None:
-        _land(store, raw, batch)
-        _tidy(store, [B.LANDING, B.REJECTS], batch)
+    def on_batch(raw: DataFrame, load: str, batch: int) -> None:
+        B.land(store, parse_landing(raw, sep), load)
+        _tidy(store, [B.LANDING, B.REJECTS], load, batch)
 
-    return _start(store, path, checkpoint, sep, trigger, on_batch)
+    return _start(store, path, checkpoint, sep, trigger, on_batch, max_files_per_trigger)
 
 
 def stream_build(
-    store: TableStore,
+    store: Store,
     path: str,
     checkpoint: str,
     sep: str = ",",
     trigger: dict | None = None,
     with_alerts: bool = False,
     now: Column | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = FILES_PER_BATCH,
+    alert_parts: int = 1,
 ) -> StreamingQuery:
-    """Land new files and bring history, mart and alerts up to date in the same micro-batch.
+    """Land new files and bring history, mart, check results and alerts up to date in the same micro-batch.
 
     Late data: what is not later than everything stored before the micro-batch is dropped, while order
     within it does not matter. A watermark cannot say this, since it lags one micro-batch behind.
@@ -45,61 +57,63 @@ def stream_build(
     store then, as the alerts table has one writer.
     """
 
-    def on_batch(raw: DataFrame, batch: int) -> None:
-        _land(store, raw, batch)
-        # Read back what was landed: the files are parsed once and a retry sees the same rows.
-        B.build(store, store.table(B.LANDING).batch_rows(WRITER, batch), WRITER, batch)
+    def on_batch(raw: DataFrame, load: str, batch: int) -> None:
+        B.land(store, parse_landing(raw, sep), load)
+        # Read back what was landed: a retry sees the same rows.
+        B.build(store, store.load(B.LANDING, load), load)
         if with_alerts:
-            B.alert_pass(store, WRITER, batch, now)
-        grown = [B.LANDING, B.REJECTS, B.HISTORY, *([B.ALERTS] if with_alerts else [])]
-        _tidy(store, grown, batch)  # last, when no table needs the folder of this batch any more
+            B.alert_pass(store, load, batch, now, alert_parts)
+        if batch % MERGE_EVERY == MERGE_EVERY - 1:
+            B.fold_totals(store, load)
+        _tidy(store, [B.LANDING, B.REJECTS, B.HISTORY, *([B.ALERTS] if with_alerts else [])], load, batch)
 
     return _start(store, path, checkpoint, sep, trigger, on_batch, max_files_per_trigger)
 
 
-def _land(store: TableStore, raw: DataFrame, batch: int) -> None:
-    # Good and bad rows are two writes of one parse; keep it for the second.
-    parsed = parse_landing(raw).persist()
-    try:
-        B.land(store, good_rows(parsed), rejected_rows(parsed), WRITER, batch)
-    finally:
-        parsed.unpersist()
-
-
-def _tidy(store: TableStore, names: list[str], batch: int) -> None:
-    if batch % COMPACT_EVERY == COMPACT_EVERY - 1:
+def _tidy(store: Store, names: list[str], load: str, batch: int) -> None:
+    if batch % MERGE_EVERY == MERGE_EVERY - 1:
         for name in names:
-            store.table(name).compact(COMPACT_EVERY)
+            store.merge_loads(name, load, MERGE_EVERY)
 
 
 def _start(
-    store, path, checkpoint, sep, trigger, on_batch, max_files_per_trigger=None
+    store: Store,
+    path: str,
+    checkpoint: str,
+    sep: str,
+    trigger: dict | None,
+    on_batch: Callable[[DataFrame, str, int], None],
+    max_files: int,
+) -> StreamingQuery:
+    raw = with_provenance(stream_landing_csv(store.spark, path, sep, max_files_per_trigger=max_files))
+    return _run(raw, checkpoint, trigger, on_batch)
+
+
+def _run(
+    rows: DataFrame, checkpoint: str, trigger: dict | None, on_batch: Callable[[DataFrame, str, int], None]
 ) -> StreamingQuery:
-    raw = stream_landing_csv(store.spark, path, sep, max_files_per_trigger=max_files_per_trigger)
     return (
-        raw.writeStream.foreachBatch(on_batch)
+        rows.writeStream.foreachBatch(lambda df, batch: on_batch(df, load_name(df, checkpoint, batch), batch))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": S.FILE_POLL_INTERVAL}))
         .start()
     )
 
 
+def load_name(df: DataFrame, checkpoint: str, batch: int) -> str:
+    """The stream's id, which Spark keeps in the checkpoint, and the number of the micro-batch."""
+    stream = df.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
+    return f"{stream}-{batch:012d}"
+
+
 def alert_schedule(
-    store: TableStore, checkpoint: str, every: str = S.ALERT_INTERVAL, writer: str = "schedule"
+    store: Store, checkpoint: str, every: str = S.ALERT_INTERVAL, now: Column | None = None, parts: int = 1
 ) -> StreamingQuery:
-    """Evaluate the mart at a fixed interval. The rate source is only the clock.
+    """Evaluate the mart at a fixed interval. The rate source is only the clock."""
 
-    A new checkpoint starts to count batches anew, so it needs a new writer name.
-    """
-
-    def on_tick(_: DataFrame, batch: int) -> None:
-        B.alert_pass(store, writer, batch)
-        _tidy(store, [B.ALERTS], batch)
+    def on_tick(_: DataFrame, load: str, batch: int) -> None:
+        B.alert_pass(store, load, batch, now, parts)
+        _tidy(store, [B.ALERTS], load, batch)
 
     clock = store.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-    return (
-        clock.writeStream.foreachBatch(on_tick)
-        .option("checkpointLocation", checkpoint)
-        .trigger(processingTime=every)
-        .start()
-    )
+    return _run(clock, checkpoint, {"processingTime": every}, on_tick)

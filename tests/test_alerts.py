@@ -36,31 +36,23 @@ def test_parse(spark, text):
     assert [(r["machine_id"], r["risk_score"], r["issue"]) for r in rows] == CASES[text]
 
 
-def parsed_by_hand(text):
-    """The same rule in plain Python, whose `float` decides what a risk is."""
-    out = []
-    for entry in text.split(";"):
-        parts = entry.split("|")
-        if len(parts) < 3:
-            continue
-        try:
-            risk = float(parts[1]) if parts[1] else 0.0
-        except ValueError:
-            return []
-        out.append((parts[0], repr(risk), parts[2] or "Immediate maintenance required"))
-    return out
+def accepted(risk):
+    """What Python makes of a risk text; None where it is no number."""
+    try:
+        return float(risk)
+    except ValueError:
+        return None
 
 
 def test_risks_are_what_python_takes_for_numbers(spark):
     r = random.Random(11)
     marks = list("0123456789") + ["_", ".", "e", "E", "+", "-", " ", "d", "f", "x", "inf", "nan", "Infinity"]
-    risks = ["".join(r.choices(marks, k=r.randint(0, 6))) for _ in range(3000)]
+    risks = ["".join(r.choices(marks, k=r.randint(1, 6))) for _ in range(3000)]
     risks += ["1", "1_0", "1__0", "_1", "1_", "1.", ".5", ".", "1._5", "1_.5", "1e5", "1e+5_0", "e5", "+-1", "1e400", " 7\t"]
-    texts = [f"M{i}|{risk}|worn" for i, risk in enumerate(risks)]
-    rows = alerts.parse_payload(messages(spark, *texts)).collect()
+    rows = alerts.parse_payload(messages(spark, *[f"M{i}|{risk}|worn" for i, risk in enumerate(risks)])).collect()
     got = {r["message_no"]: (r["machine_id"], repr(r["risk_score"]), r["issue"]) for r in rows}
-    want = {i: e for i, text in enumerate(texts) for e in parsed_by_hand(text)}
-    assert got == want and 300 < len(got) < 2500
+    known = {i: (f"M{i}", repr(accepted(risk)), "worn") for i, risk in enumerate(risks) if accepted(risk) is not None}
+    assert got == known and 300 < len(got) < 2500
 
 
 def test_sql_table_function(spark):
@@ -91,18 +83,37 @@ def test_payload_entries(spark):
     assert alerts.critical_payload(mart).first()["machines_data"] == "M1|90|Stop;M2|90|Immediate maintenance required"
 
 
-def test_many_machines_make_several_messages_that_lose_nothing(spark):
-    mart = spark.range(1000).select(
+def critical(spark, n):
+    return spark.range(n).select(
         F.concat(F.lit("M"), F.col("id").cast("string")).alias("machine_id"),
         F.lit(90).alias("failure_risk_score"),
         F.lit("CRITICAL").alias("health_status"),
         F.lit("Stop").alias("maintenance_recommendation"),
     )
-    payload = alerts.critical_payload(mart, per_message=100)
+
+
+@pytest.mark.parametrize("parts", [1, 8])
+def test_the_layout_of_a_payload_does_not_depend_on_its_size(spark, parts):
+    mart = critical(spark, 10_001)
+    payload = alerts.critical_payload(mart, parts)
+    assert [r["message_no"] for r in payload.orderBy("message_no").collect()] == list(range(parts))
     parsed = alerts.parse_payload(payload)
-    assert payload.count() == 10
-    assert parsed.select("machine_id").distinct().count() == parsed.count() == 1000
-    assert parsed.groupBy("message_no").count().agg({"count": "max"}).first()[0] < 200
+    assert parsed.select("machine_id").distinct().count() == parsed.count() == 10_001
+    sent = alerts.alert_messages(mart, F.lit("2024-02-01 08:00:00").cast("timestamp"), parts).collect()
+    assert {r["subject"] for r in sent} == {"CRITICAL ALERT: 10001 Machines Require Immediate Attention"}
+    assert {r["total_critical_machines"] for r in sent} == {10_001}
+    assert alerts.critical_entries(mart).count() == 10_001
+
+
+def test_parts_without_machines(spark):
+    sent = alerts.alert_messages(critical(spark, 1), F.lit("2024-02-01").cast("timestamp"), 3).collect()
+    assert sorted((r["should_send"], r["subject"] is not None, r["total_critical_machines"]) for r in sent) == [
+        (False, False, 1), (False, False, 1), (True, True, 1),
+    ]
+    none = alerts.alert_messages(critical(spark, 0), F.lit("2024-02-01").cast("timestamp"), 3).collect()
+    assert {(r["message"], r["should_send"], r["total_critical_machines"]) for r in none} == {
+        ("No critical machines found", False, 0)
+    }
 
 
 def test_report(spark):
@@ -111,5 +122,6 @@ def test_report(spark):
     assert full["subject"] == "CRITICAL ALERT: 2 Machines Require Immediate Attention"
     assert "- Machine ID: M<1\n  Risk Score: 90.0%\n  Issue: a & b\n" in full["body_text"]
     assert "Report Generated: 2024-02-01 08:00:00" in full["body_text"]
+    assert "CRITICAL MACHINES:\n\n- Machine ID: M<1\n" in full["body_text"]
     assert "<td>M&lt;1</td><td>90.0%</td><td>a &amp; b</td>" in full["body_html"]
     assert (empty["subject"], empty["body_text"], empty["body_html"]) == (None, None, None)

@@ -10,7 +10,7 @@ from millwatch.operators import history
 from millwatch.plans import build as B
 from millwatch.session import workspace
 from millwatch.sources import snapshots
-from millwatch.sources.tables import TableStore
+from millwatch.sources.tables import Store
 
 LANDING = "machine_id string, timestamp timestamp_ntz, temperature double, vibration double, pressure double, status_code string"
 T0 = datetime(2024, 5, 13, 10)
@@ -24,7 +24,7 @@ def landing(spark, *rows):
 
 @pytest.fixture
 def store(spark):
-    return TableStore(spark, workspace(spark))
+    return Store(spark, workspace(spark))
 
 
 def keys(df):
@@ -75,76 +75,88 @@ def dated(spark, *rows):
     return history.rename_cast(landing(spark, *rows))
 
 
+def files(store, name):
+    return set(store.read(name).inputFiles())
+
+
 def test_stored_upsert_rewrites_only_touched_days(spark, store):
-    table = store.table("t")
-    table.replace(dated(spark, ("M1", T0, 1.0, "AOK"), ("M2", T0, 1.0, "AOK"), ("M1", T0 + DAY, 1.0, "AOK")), dated=True)
-    before = {f for f in table.current().folders if f.endswith("2024-05-14")}
-    table.upsert(dated(spark, ("M1", T0, 2.0, "AOK"), ("M3", T0 + 2 * DAY, 2.0, "AOK")), ["machine_id", "event_time"])
-    assert before <= set(table.current().folders)
-    rows = sorted((r["machine_id"], r["event_time"].day, r["temperature"]) for r in table.read().collect())
+    store.replace("t", dated(spark, ("M1", T0, 1.0, "AOK"), ("M2", T0, 1.0, "AOK"), ("M1", T0 + DAY, 1.0, "AOK")))
+    before = {f for f in files(store, "t") if "event_date=2024-05-14" in f}
+    store.upsert("t", dated(spark, ("M1", T0, 2.0, "AOK"), ("M3", T0 + 2 * DAY, 2.0, "AOK")), ["machine_id", "event_time"])
+    assert before and before <= files(store, "t")
+    rows = sorted((r["machine_id"], r["event_time"].day, r["temperature"]) for r in store.read("t").collect())
     assert rows == [("M1", 13, 2.0), ("M1", 14, 1.0), ("M2", 13, 1.0), ("M3", 15, 2.0)]
 
 
 def test_stored_upsert_on_another_key(spark, store):
-    table = store.table("t")
-    table.replace(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"))
-    table.upsert(spark.createDataFrame([("a", 2), ("c", 2)], "k string, v int"), ["k"])
-    assert sorted(map(tuple, table.read().collect())) == [("a", 2), ("b", 1), ("c", 2)]
+    store.replace("t", spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"))
+    store.upsert("t", spark.createDataFrame([("a", 2), ("c", 2)], "k string, v int"), ["k"])
+    assert sorted(map(tuple, store.read("t").collect())) == [("a", 2), ("b", 1), ("c", 2)]
+    store.replace("dated", dated(spark, ("M1", T0, 1.0, "AOK")))
+    with pytest.raises(ValueError):
+        store.upsert("dated", dated(spark, ("M1", T0, 1.0, "AOK")), ["machine_id"])
 
 
 def test_delete_keeps_rows_where_the_condition_is_unknown(spark, store):
-    table = store.table("t")
-    table.replace(dated(spark, ("M1", T0, 1.0, "AOK"), ("M1", None, 1.0, "AOK"), ("M2", T0, 1.0, "AOK"), ("M1", T0 - DAY, 1.0, "AOK")), dated=True)
-    untouched = {f for f in table.current().folders if f.endswith("2024-05-12")}
-    table.delete_where((F.col("machine_id") == "M1") & (F.col("event_time") >= F.lit(T0)))
-    assert keys_with_none(table.read()) == [("M1", "2024-05-12 10:00:00"), ("M1", "None"), ("M2", "2024-05-13 10:00:00")]
-    assert untouched <= set(table.current().folders)
-    version = table.current().version
-    table.delete_where(F.col("machine_id") == "nobody")
-    assert table.current().version == version
+    store.replace("t", dated(spark, ("M1", T0, 1.0, "AOK"), ("M1", None, 1.0, "AOK"), ("M2", T0, 1.0, "AOK"), ("M1", T0 - DAY, 1.0, "AOK")))
+    untouched = {f for f in files(store, "t") if "event_date=2024-05-12" in f}
+    store.delete_where("t", (F.col("machine_id") == "M1") & (F.col("event_time") >= F.lit(T0)), since="2024-05-13")
+    assert keys_with_none(store.read("t")) == [("M1", "2024-05-12 10:00:00"), ("M1", "None"), ("M2", "2024-05-13 10:00:00")]
+    assert untouched and untouched <= files(store, "t")
+    now = files(store, "t")
+    store.delete_where("t", F.col("machine_id") == "nobody")
+    assert files(store, "t") == now
+    store.delete_where("t", F.col("machine_id") == "M2")  # the day is empty now
+    assert keys_with_none(store.read("t")) == [("M1", "2024-05-12 10:00:00"), ("M1", "None")]
 
 
 def keys_with_none(df):
     return sorted((r["machine_id"], str(r["event_time"])) for r in df.collect())
 
 
-def test_append_evolves_columns_and_remembers_batches(spark, store):
-    table = store.table("t")
-    table.append(spark.createDataFrame([(1, "x")], "a int, gone string"), writer="w", batch=0)
-    table.append(spark.createDataFrame([(2, 0.5)], "a int, new double"), writer="w", batch=1)
-    table.append(spark.createDataFrame([(2, 0.5)], "a int, new double"), writer="w", batch=1)  # again
-    assert table.read().columns == ["a", "new"]
-    assert sorted(map(tuple, table.read().collect())) == [(1, None), (2, 0.5)]
-    assert table.has_batch("w", 1) and not table.has_batch("w", 2) and not table.has_batch("other", 0)
-    assert [r["a"] for r in table.batch_rows("w", 1).collect()] == [2]
+def test_append_evolves_columns_and_repeats_loads(spark, store):
+    store.append("t", spark.createDataFrame([(1, "x")], "a int, gone string"), "w-0")
+    store.append("t", spark.createDataFrame([(2, 0.5)], "a int, new double"), "w-1")
+    store.append("t", spark.createDataFrame([(2, 0.5)], "a int, new double"), "w-1")  # again
+    assert store.read("t").columns == ["a", "new"]
+    assert sorted(map(tuple, store.read("t").collect())) == [(1, None), (2, 0.5)]
+    assert [r["a"] for r in store.load("t", "w-1").collect()] == [2]
+    store.append("t", spark.createDataFrame([(3, "y")], "a int, gone string"), "w-2")
+    assert sorted(map(tuple, store.read("t").collect())) == [(1, None), (2, None), (3, "y")]
+
 
+def test_a_changed_type_is_cast_or_refused(spark, store):
+    store.append("t", spark.createDataFrame([(1, "7"), (2, "8")], "a bigint, b string"), "w-0")
+    store.append("t", spark.createDataFrame([(1.5, "9")], "a double, b string"), "w-1")
+    assert sorted(map(tuple, store.read("t").collect())) == [(1.0, "7"), (1.5, "9"), (2.0, "8")]
+    store.append("t", spark.createDataFrame([(2.5, "word")], "a double, b string"), "w-2")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        store.append("t", spark.createDataFrame([(3.5, 1)], "a double, b int"), "w-3")
+    assert store.read("t").count() == 4
 
-def test_create_or_replace_and_drop(spark, store):
-    table = store.table("t")
-    assert not table.exists()
+
+def test_create_and_replace(spark, store):
+    assert not store.exists("t")
     with pytest.raises(LookupError):
-        table.read()
-    table.replace(spark.range(3))
-    table.create_or_replace(schemas.LANDING)
-    assert table.read().isEmpty() and table.read().schema == schemas.LANDING
-    snapshots.drop_clone(table)
-    assert not table.exists()
-    table.replace(spark.range(2))
-    assert table.read().count() == 2
-
-
-def test_clone_shares_folders_and_is_independent(spark, store):
-    table = store.table("t")
-    table.replace(dated(spark, ("M1", T0, 1.0, "AOK"), ("M2", T0 + DAY, 1.0, "AOK"), ("M1", T0, 1.0, "AOK")), dated=True)
-    backup = snapshots.clone(table, "backup")
-    assert backup.current().folders == table.current().folders
-    table.delete_where(F.col("machine_id") == "M1")
-    assert (table.read().count(), backup.read().count()) == (1, 3)
-    lost = snapshots.missing_rows(backup, table).collect()
+        store.read("t")
+    store.replace("t", spark.range(3))
+    store.create("t", schemas.LANDING)
+    assert store.read("t").isEmpty() and store.read("t").schema == schemas.LANDING
+    store.replace("t", spark.range(2))
+    assert store.read("t").count() == 2
+
+
+def test_backup_and_restore_of_days(spark, store):
+    store.replace("t", dated(spark, ("M1", T0, 1.0, "AOK"), ("M2", T0 + DAY, 1.0, "AOK"), ("M1", T0, 1.0, "AOK")))
+    days = ["2024-05-13"]
+    snapshots.back_up(store, "t", "backup", days)
+    store.delete_where("t", F.col("machine_id") == "M1")
+    store.append("t", dated(spark, ("M3", T0, 1.0, "AOK")), "later")
+    assert (store.read("t").count(), store.read("backup").count()) == (2, 2)
+    lost = snapshots.missing_rows(store, "t", "backup", days).collect()
     assert [r["machine_id"] for r in lost] == ["M1", "M1"]
-    snapshots.restore(table, "backup")
-    backup.drop()
-    assert table.read().count() == 3
+    snapshots.restore(store, "t", "backup", days)
+    assert sorted(r["machine_id"] for r in store.read("t").collect()) == ["M1", "M1", "M2"]
 
 
 def test_rows_left_in_parts(spark):
@@ -154,52 +166,62 @@ def test_rows_left_in_parts(spark):
     assert {r["x"]: r["count"] for r in left} == {"a": 21, "b": 2}
 
 
-def test_compact_merges_small_folders_once(spark, store):
-    table = store.table("t")
+def test_small_loads_are_merged_but_for_the_last(spark, store):
     for i in range(5):
-        table.append(dated(spark, (f"M{i}", T0, 1.0, "AOK")), dated=True, writer="w", batch=i)
-    table.append(dated(spark, ("M9", T0 + DAY, 1.0, "AOK")), dated=True)
-    rows = keys(table.read())
-    table.compact(at_least=4)
-    assert len(table.current().folders) == 2
-    assert keys(table.read()) == rows
-    version = table.current().version
-    table.compact(at_least=2)
-    assert table.current().version == version and table.has_batch("w", 4)
+        store.append("t", dated(spark, (f"M{i}", T0, 1.0, "AOK")), f"w-{i}")
+    rows = keys(store.read("t"))
+    store.merge_loads("t", "w-4", at_least=4)
+    assert store.read("t", with_folders=True).select("load_id").distinct().count() == 2
+    store.append("t", dated(spark, ("M4", T0, 1.0, "AOK")), "w-4")  # the last load once more
+    assert keys(store.read("t")) == rows
+
+
+def test_folded_totals_give_the_same_mart(spark, store):
+    for batch in range(3):
+        B.build(store, landing(spark, ("M1", T0 + batch * H, 70.0 + batch, "AOK")), f"w-{batch}")
+    mart = store.kept(store.read(B.MART)).collect()
+    B.fold_totals(store, "w-2")
+    B.build(store, landing(spark, ("M1", T0 + 2 * H, 72.0, "AOK")), "w-2")
+    assert store.read(B.MART).collect() == mart and store.read(B.TOTALS).count() == 2
 
 
 def test_newest_day_is_enough_for_the_bound(spark, store):
-    table = store.table("t")
-    table.replace(dated(spark, ("M1", T0, 1.0, "AOK"), ("M1", T0 + DAY, 1.0, "AOK"), ("M1", None, 1.0, "AOK")), dated=True)
-    assert keys(table.newest_day()) == [("M1", T0 + DAY)]
+    store.append("t", dated(spark, ("M1", T0, 1.0, "AOK"), ("M1", T0 + DAY, 1.0, "AOK"), ("M1", None, 1.0, "AOK")), "w-0")
+    store.append("t", dated(spark, ("M1", T0 + 2 * DAY, 1.0, "AOK")), "w-1")
+    assert keys(store.before_load("t", "w-1")) == [("M1", T0 + DAY)]
 
 
 def test_a_run_repeated_after_a_failure(spark, store):
-    """The history has the batch, totals and mart do not: the repetition catches up."""
-    first = landing(spark, ("M1", T0, 95.0, "AOK"))
+    """The history has the load, totals and mart do not: the repetition catches up."""
+    first = landing(spark, ("M1", T0, 95.0, "AOK"), ("M1", None, 95.0, "AOK"))
     second = landing(spark, ("M1", T0 + H, 60.0, "AOK"), ("M2", T0 + H, 60.0, "AOK"))
-    B.build(store, first, "w", 0)
-    history.load_history(second, store.table(B.HISTORY), "w", 1)
     for _ in range(2):
-        B.build(store, second, "w", 1)
-    mart = {r["machine_id"]: r["total_readings"] for r in store.table(B.MART).read().collect()}
-    assert mart == {"M1": 2, "M2": 1}
-    assert store.table(B.HISTORY).read().count() == 3
+        B.build(store, first, "w-0")
+    history.load_history(second, store, B.HISTORY, "w-1")
+    for _ in range(2):
+        B.build(store, second, "w-1")
+    mart = {r["machine_id"]: r["total_readings"] for r in store.read(B.MART).collect()}
+    assert mart == {"M1": 3, "M2": 1}
+    assert store.read(B.HISTORY).count() == 4
 
 
 def test_rebuild_equals_incremental(spark, store):
     for batch in range(3):
         rows = [(f"M{i}", T0 + batch * H + timedelta(minutes=i), 70.0 + i + batch, "AOK") for i in range(10)]
-        B.build(store, landing(spark, *rows), "w", batch)
-    incremental = sorted(store.table(B.MART).read().collect())
-    B.rebuild_mart(store)
-    assert sorted(store.table(B.MART).read().collect()) == incremental
+        B.build(store, landing(spark, *rows), f"w-{batch}")
+    incremental = sorted(store.read(B.MART).collect())
+    B.rebuild(store)
+    assert sorted(store.read(B.MART).collect()) == incremental
 
 
 def test_run_batch_publishes_the_view_and_reports_checks(spark, store):
     bad = landing(spark, ("M1", T0, 95.0, "AOK"), ("M2", T0, None, "ODD"))
-    found = {(r["model"], r["check"], r["column"]): r["violations"] for r in B.run_batch(store, bad, "w", 0).collect()}
+    for _ in range(2):
+        results = B.run_batch(store, bad, "w-0").collect()
+    found = {(r["model"], r["check"], r["column"]): r["violations"] for r in results}
     assert found["landing", "not_null", "temperature"] == 1
     assert found["landing", "accepted_values", "status_code"] == 1
     assert sum(found.values()) == 2
+    more = B.run_batch(store, landing(spark, ("M3", T0 + H, None, "AOK")), "w-1").collect()
+    assert {(r["check"], r["column"]): r["violations"] for r in more if r["model"] == "landing"}["not_null", "temperature"] == 2
     assert spark.table(B.STAGING_VIEW).count() == 1

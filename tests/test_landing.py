@@ -10,7 +10,7 @@ from millwatch.operators import quality, summaries
 from millwatch.plans import build as B
 from millwatch.session import workspace
 from millwatch.sources import batches, landing
-from millwatch.sources.tables import TableStore
+from millwatch.sources.tables import Store
 from millwatch.streaming import jobs
 
 HEADER = "machine_id,timestamp,temperature,vibration,pressure,status_code"
@@ -56,6 +56,13 @@ def test_wrong_separator_loads_nothing_and_is_noticed(spark, tmp_path):
     assert quality.not_empty(good, "landing").first()["violations"] == 1
 
 
+def test_the_rejected_line_is_the_line(spark, tmp_path):
+    lines = ["M1;yesterday;65.3;;99.6;AOK", "M2;2024-05-13T10:00:04Z;65.3", "M3;2024-05-13T10:00:04Z;hot;0.1;1;AOK"]
+    (tmp_path / "a.csv").write_text("\n".join([HEADER.replace(",", ";"), *lines]) + "\n")
+    _, bad = landing.copy_into(landing.read_landing_csv(spark, str(tmp_path), sep=";"), ";")
+    assert sorted(r["raw_line"] for r in bad.collect()) == sorted(lines)
+
+
 def test_provenance(spark, tmp_path):
     write(tmp_path, "a.csv", "M001,2024-05-13T10:00:04Z,65.3,0.02,99.6,AOK")
     row = landing.with_provenance(landing.read_landing_csv(spark, str(tmp_path))).first()
@@ -92,17 +99,29 @@ def test_new_files_and_run_key(spark):
         return spark.createDataFrame([(n,) for n in names], "path string")
 
     fresh = batches.new_files(paths("b", "c", "a"), paths("a", "gone"))
-    assert batches.run_key(fresh).first()[0] == "b_c"
+    assert batches.run_key(fresh).first()[0] == "s3_files_b_c"
     # A file that left and came back is new again: the cursor is the last listing, not all of them.
     assert batches.new_files(paths("a"), paths("b", "c")).count() == 1
     assert batches.run_key(paths().limit(0)).first()[0] is None
 
 
+def test_the_cursor_is_the_last_listing(spark):
+    store = Store(spark, workspace(spark))
+
+    def listing(*names):
+        return spark.createDataFrame([(n,) for n in names], "path string")
+
+    assert batches.take_new(store, listing("a", "b")).count() == 2
+    assert batches.take_new(store, listing("a", "b")).isEmpty()
+    assert [r["path"] for r in batches.take_new(store, listing("b", "c")).collect()] == ["c"]
+    assert [r["path"] for r in batches.take_new(store, listing("a", "b")).collect()] == ["a"]  # it came back
+
+
 @pytest.fixture
 def stream(spark, tmp_path):
     folder = tmp_path / "landing"
     folder.mkdir()
-    store = TableStore(spark, workspace(spark))
+    store = Store(spark, workspace(spark))
     return folder, store, str(tmp_path / "checkpoint")
 
 
@@ -124,13 +143,13 @@ def test_stream_drops_what_is_not_later_than_the_last_batch(spark, stream):
     )
     run(store, folder, checkpoint)
     run(store, folder, checkpoint)  # nothing new
-    seconds = sorted(r["event_time"].second for r in store.table(B.HISTORY).read().collect())
+    seconds = sorted(r["event_time"].second for r in store.read(B.HISTORY).collect())
     assert seconds == [5, 10, 11]
-    assert store.table(B.LANDING).read().count() == 5
-    assert store.table(B.REJECTS).read().count() == 1
-    mart = store.table(B.MART).read().collect()
+    assert store.read(B.LANDING).count() == 5
+    assert store.read(B.REJECTS).count() == 1
+    mart = store.read(B.MART).collect()
     assert [(r["machine_id"], r["total_readings"], r["health_status"]) for r in mart] == [("M1", 3, "CRITICAL")]
-    alerts = store.table(B.ALERTS).read()
+    alerts = store.read(B.ALERTS)
     assert sorted(r["batch"] for r in alerts.collect()) == [0, 1]
     assert alerts.first()["machines_data"] == "M1|90|Immediate maintenance required"
 
@@ -138,25 +157,46 @@ def test_stream_drops_what_is_not_later_than_the_last_batch(spark, stream):
 def test_stream_of_single_files_equals_batch_runs(spark, stream):
     folder, store, checkpoint = stream
     lines = [f"M{i % 3},2024-05-13T10:00:{i:02d}Z,{60 + i},0.02,99.6,AOK" for i in range(12)]
-    other = TableStore(spark, workspace(spark))
+    other = Store(spark, workspace(spark))
     for n in range(3):
         part = lines[n * 4 : n * 4 + 4][::-1] + lines[n * 4 - 1 : n * 4]
         write(folder, f"{n}.csv", *part)
         raw = landing.read_landing_csv(spark, str(folder / f"{n}.csv"))
-        B.build(other, landing.copy_into(raw)[0], "batch", n)
+        B.build(other, landing.copy_into(raw)[0], f"batch-{n}")
         run(store, folder, checkpoint, with_alerts=False, max_files_per_trigger=1)
     for name in (B.HISTORY, B.MART):
-        got, want = store.table(name).read(), other.table(name).read()
+        got, want = store.read(name), other.read(name)
         assert sorted(got.drop("_loaded_at").collect()) == sorted(want.drop("_loaded_at").collect())
 
 
+def test_streams_with_checkpoints_of_their_own_lose_nothing(spark, stream, tmp_path):
+    folder, store, checkpoint = stream
+    write(folder, "1.csv", "M1,2024-05-13T10:00:05Z,65,0.02,99.6,AOK")
+    run(store, folder, checkpoint, with_alerts=False)
+    other = tmp_path / "other"
+    other.mkdir()
+    write(other, "1.csv", "M2,2024-05-13T10:00:06Z,65,0.02,99.6,AOK", "M3,2024-05-13T10:00:07Z,65,0.02,99.6,AOK")
+    run(store, other, checkpoint + "-2", with_alerts=False)
+    assert sorted(r["machine_id"] for r in store.read(B.HISTORY).collect()) == ["M1", "M2", "M3"]
+    assert store.read(B.LANDING).count() == 3
+    assert sorted(r["machine_id"] for r in store.read(B.MART).collect()) == ["M1", "M2", "M3"]
+
+
+def test_landed_rows_carry_their_file(spark, stream):
+    folder, store, checkpoint = stream
+    write(folder, "1.csv", "M1,2024-05-13T10:00:05Z,65,0.02,99.6,AOK")
+    jobs.auto_ingest(store, str(folder), checkpoint, trigger={"availableNow": True}).awaitTermination()
+    row = store.read(B.LANDING).first()
+    assert row["_file_name"] == "1.csv" and row["_loaded_at"] is not None
+
+
 def test_auto_ingest_reads_each_file_once(spark, stream):
     folder, store, checkpoint = stream
     for n in range(2):
         write(folder, f"{n}.csv", f"M{n},2024-05-13T10:00:05Z,65,0.02,99.6,AOK")
         for _ in range(2):
             jobs.auto_ingest(store, str(folder), checkpoint, trigger={"availableNow": True}).awaitTermination()
-        assert summaries.row_count(store.table(B.LANDING).read()).first()[0] == n + 1
+        assert summaries.row_count(store.read(B.LANDING)).first()[0] == n + 1
 
 
 def test_alert_schedule(spark, stream):
@@ -166,9 +206,9 @@ def test_alert_schedule(spark, stream):
     clock = jobs.alert_schedule(store, checkpoint + "-alerts", every="1 second")
     try:
         for _ in range(60):
-            if store.table(B.ALERTS).exists():
+            if store.exists(B.ALERTS):
                 break
             clock.awaitTermination(1)
     finally:
         clock.stop()
-    assert store.table(B.ALERTS).read().first()["should_send"]
+    assert store.read(B.ALERTS).first()["should_send"]

@@ -6,9 +6,10 @@ import pytest
 from oracle_check import connect, differences
 
 import __spark_entry__ as driver
+from millwatch.plans import oracle, queries
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = queries.QUERIES, oracle.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -25,19 +26,15 @@ def outcomes(spark):
     duck.close()
 
 
-def test_every_oracle_has_a_query_and_all_but_the_free_sample_have_an_oracle():
-    assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"sample_rows"}
+def test_every_query_has_an_oracle():
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):
     assert driver.entry(spark).count() == 15
 
 
-def test_sample(spark):
-    assert QUERIES["sample_rows"](spark, SF).count() == 5
-
-
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(outcomes, name):
     assert outcomes[name].result() == ""

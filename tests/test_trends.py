@@ -1,4 +1,4 @@
-"""Rolling windows against pandas, and sliced windows against plain ones."""
+"""Rolling windows against pandas, and windows in blocks against plain ones."""
 
 import random
 from datetime import datetime, timedelta
@@ -6,7 +6,9 @@ from datetime import datetime, timedelta
 import pandas as pd
 import pytest
 
-from millwatch.operators import slices, trends
+from pyspark.sql import functions as F
+
+from millwatch.operators import trends
 
 SCHEMA = "machine_id string, timestamp timestamp_ntz, temperature double, vibration double, pressure double"
 T0 = datetime(2024, 1, 1)
@@ -26,8 +28,8 @@ def by_pandas(rows, metric, window, descending):
 
 
 @pytest.mark.parametrize("order", ["desc", "asc"])
-@pytest.mark.parametrize("hot_rows", [10**9, 30])
-def test_rolling_equals_pandas(spark, order, hot_rows):
+@pytest.mark.parametrize("block_rows", [10**9, 30])
+def test_rolling_equals_pandas(spark, order, block_rows):
     r = random.Random(7)
     rows = []
     for machine, n in [("M1", 150), ("M2", 19), ("M3", 20), ("M4", 60)]:
@@ -35,7 +37,7 @@ def test_rolling_equals_pandas(spark, order, hot_rows):
             value = None if machine == "M4" and i == 30 else 70 + r.gauss(0, 1) + (15 if i % 37 == 36 else 0)
             rows.append((machine, T0 + timedelta(seconds=i * i), value, 0.5, 100.0))
     df = spark.createDataFrame(rows, SCHEMA)
-    got = trends.rolling_anomalies(df, ["temperature", "vibration"], order=order, hot_rows=hot_rows).collect()
+    got = trends.rolling_anomalies(df, ["temperature", "vibration"], order=order, block_rows=block_rows).collect()
     want = by_pandas(rows, "temperature", 20, order == "desc")
     assert len(got) == len(rows)
     for row in got:
@@ -88,26 +90,38 @@ def bag(df):
 
 
 @pytest.mark.parametrize("order", ["desc", "asc"])
-@pytest.mark.parametrize("hot_rows", [100, 16])
-def test_slicing_a_hot_machine_changes_nothing(spark, order, hot_rows):
+@pytest.mark.parametrize("block_rows", [100, 7])
+def test_blocks_change_nothing(spark, order, block_rows):
     df = spark.createDataFrame(hot_rows_of_every_kind(3), SCHEMA)
-    plain = trends.rolling_anomalies(df, rows=7, order=order)
-    sliced = trends.rolling_anomalies(df, rows=7, order=order, hot_rows=hot_rows)
-    assert bag(sliced) == bag(plain)
+    whole = trends.rolling_anomalies(df, rows=7, order=order)
+    blocks = trends.rolling_anomalies(df, rows=7, order=order, block_rows=block_rows)
+    assert bag(blocks) == bag(whole)
+    assert blocks.count() == df.count()
 
 
-def test_slices_are_small(spark):
+def test_building_a_window_starts_no_job(spark):
     df = spark.createDataFrame(hot_rows_of_every_kind(5), SCHEMA)
-    ordering = ["timestamp", "temperature", "vibration", "pressure"]
-    sliced, levels = slices._slice_hot_keys(df, "machine_id", ordering, 50)
-    largest = sliced.groupBy("machine_id", *levels).count().agg({"count": "max"}).first()[0]
-    assert largest <= 60
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("windows", "building only")
+    trends.rolling_anomalies(df, rows=7)
+    jobs = tracker.getJobIdsForGroup("windows")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
 
 
-def test_no_hot_machine_means_a_plain_window(spark):
-    df = spark.createDataFrame(hot_rows_of_every_kind(5), SCHEMA)
-    sliced, levels = slices._slice_hot_keys(df, "machine_id", ["timestamp"], 10**6)
-    assert levels == [] and sliced is df
+def test_nan_is_no_value(spark):
+    rows = [("M1", T0 + timedelta(seconds=i), float("nan") if i == 5 else float(i % 3), 0.5, 1.0) for i in range(40)]
+    flagged = trends.rolling_anomalies(spark.createDataFrame(rows, SCHEMA), ["temperature"], rows=10, order="asc")
+    assert flagged.filter(F.isnan("temperature_mean") | F.isnan("temperature_std")).isEmpty()
+    by_time = {r["timestamp"]: r["temperature_mean"] for r in flagged.collect()}
+    assert by_time[T0 + timedelta(seconds=14)] is None and by_time[T0 + timedelta(seconds=15)] is not None
+
+
+def test_readings_at_one_time_have_an_order(spark):
+    rows = [("M1", T0, t, 0.1, 100.0) for t in (65.0, 60.0, 70.0)] + [("M1", None, 1.0, 0.1, 100.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert trends.current_readings(df).first()["temperature"] == 60.0
+    assert trends.current_readings(df, "latest").first()["temperature"] == 70.0
 
 
 def test_current_reading_and_deltas(spark):
