@@ -14,8 +14,8 @@ each token a level, and tokens go by (level, hash). The sketch decides only how
    token and (single members) bitmap, expanded to members, filtered by the members' bitmaps and verified.
 
 Links inside a component are not needed for the components, so none of that is lost. Bitmaps hold the parity of the
-tokens per bit: their distance is at most the symmetric difference, so the filter loses nothing. Token and
-class hashes have 64 bits.
+tokens per bit: their distance is at most the symmetric difference, so the filter loses nothing. A short bitmap
+filters pairs where they arise, a longer one what is left of them. Token and class hashes have 64 bits.
 """
 
 from __future__ import annotations
@@ -37,8 +37,10 @@ SHINGLE = 3
 PERCENT = 90
 COUNTERS = 1 << 20
 SLICES = 16
-BITMAP = 256
-HUB_ROUNDS = 3
+SHORT, LONG = 4, 16  # longs of the two bitmaps
+HUB_ROUNDS = 2
+HUBS = 3  # per token
+MOST_BROADCAST_ROWS = 1_000_000  # of two longs each
 _GROUP = 0x9AF1_0C5E_77D3_2B69
 
 
@@ -57,13 +59,15 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def ordered_prefix(tokens: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
-    """The rarest tokens, in the common order."""
-    return tokens[np.lexsort((tokens, levels[counter_of(tokens)]))][: prefix_length(len(tokens), percent)]
+    """The rarest tokens, in the common order: the level and the leading bits of the hash, as one number each."""
+    order = (levels[counter_of(tokens)].astype(np.uint64) << np.uint64(56)) | (tokens >> np.uint64(8))
+    n = prefix_length(len(tokens), percent)
+    return np.sort(np.partition(order, n - 1)[:n])
 
 
 def parity_bitmap(tokens: np.ndarray) -> np.ndarray:
-    """BITMAP bits as longs; each token flips one."""
-    bits = np.bincount((mix(tokens) & np.uint64(BITMAP - 1)).astype(np.int64), minlength=BITMAP) & 1
+    """64 * LONG bits as longs; each token flips one."""
+    bits = np.bincount((mix(tokens) & np.uint64(64 * LONG - 1)).astype(np.int64), minlength=64 * LONG) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
@@ -112,16 +116,13 @@ def token_levels(counted: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-BITS = [f"b{i}" for i in range(BITMAP // 64)]
-
-
-def close(percent: int, x: str, y: str, bitmaps: bool = True) -> Column:
-    """What two sets must satisfy to be similar, by sizes and (optionally) bitmaps of columns prefixed x and y."""
+def close(percent: int, x: str, y: str, bits: str = "") -> Column:
+    """What two sets must satisfy to be similar, by sizes and (optionally) the bitmap `bits` of columns prefixed x and y."""
     nx, ny = F.col(f"{x}n"), F.col(f"{y}n")
     fits = 100 * F.least(nx, ny) >= percent * F.greatest(nx, ny)
-    if not bitmaps:
+    if not bits:
         return fits
-    return fits & (distance(x, y) <= nx + ny - 2 * overlap(percent, x, y))
+    return fits & (distance(x, y, bits) <= nx + ny - 2 * overlap(percent, x, y))
 
 
 def overlap(percent: int, x: str, y: str) -> Column:
@@ -129,8 +130,10 @@ def overlap(percent: int, x: str, y: str) -> Column:
     return F.expr(f"({percent} * ({x}n + {y}n) + {99 + percent}) div {100 + percent}")
 
 
-def distance(x: str, y: str) -> Column:
-    return sum((F.bit_count(F.col(x + b).bitwiseXOR(F.col(y + b))) for b in BITS), F.lit(0))
+def distance(x: str, y: str, bits: str) -> Column:
+    """Differing bits of two bitmaps, arrays of longs."""
+    size = SHORT if bits == "short" else LONG
+    return sum((F.bit_count(F.get(x + bits, F.lit(i)).bitwiseXOR(F.get(y + bits, F.lit(i)))) for i in range(size)), F.lit(0))
 
 
 def prefixed(df: DataFrame, prefix: str, keep: list[str]) -> DataFrame:
@@ -169,19 +172,19 @@ class Sets:
 
     def verified(self, pairs: DataFrame, percent: int) -> DataFrame:
         """The pairs (xc, yc) whose sets are similar, as edges (a, b)."""
-        pairs = stored(pairs.select("xc", "yc").distinct())
+        pairs = small(pairs.select("xc", "yc").distinct(), MOST_BROADCAST_ROWS)
         if pairs.isEmpty():
             return pairs.select(F.col("xc").alias("a"), F.col("yc").alias("b"))
         sets = self.of(pairs.select(F.explode(F.array("xc", "yc")).alias("c")).distinct())
         x = sets.select(F.col("c").alias("xc"), F.col("tokens").alias("xt"))
         y = sets.select(F.col("c").alias("yc"), F.col("tokens").alias("yt"))
-        both = pairs.join(x, "xc").join(y, "yc").withColumn("common", F.size(F.array_intersect("xt", "yt")))
+        needed = pairs.select("yc").distinct()
+        both = x.join(pairs, "xc").join(y.join(needed, "yc", "left_semi"), "yc").withColumn("common", F.size(F.array_intersect("xt", "yt")))
         union = F.size("xt") + F.size("yt") - F.col("common")
         return stored(both.where(100 * F.col("common") >= percent * union).select(F.col("xc").alias("a"), F.col("yc").alias("b")))
 
 
 _LAST = 2**63 - 1  # stands for a null id
-MOST_BROADCAST_ROWS = 1_000_000  # of two longs each
 
 
 def link(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
@@ -241,58 +244,72 @@ def _linked(docs: DataFrame, shingle: int, percent: int, hub_rounds: int) -> Dat
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
         for batch in batches:
-            out = {k: [] for k in ("h", "pos", "g", "c", "n", "bits")}
-            for text in texts_of(batch):
-                found = shingle_set(text, shingle, memo)
-                if not len(found):
-                    continue
-                prefix = ordered_prefix(found, levels.value, percent)
-                group = np.array([xxhash.xxh3_64_intdigest(prefix.tobytes(), seed=len(found))], np.uint64)
-                keys = np.concatenate([prefix, mix(group ^ np.uint64(_GROUP))])
-                at = np.flatnonzero(filled.has(keys))
-                if len(at):
-                    out["h"].append(signed(keys[at]))
-                    out["pos"].append(np.where(at < len(prefix), at, 0).astype(np.int32))
-                    out["g"].append(signed(group)[0])
-                    out["c"].append(signed(np.array([_set_hash(found)], np.uint64))[0])
-                    out["n"].append(len(found))
-                    out["bits"].append(parity_bitmap(found))
+            sets = [s for s in (shingle_set(t, shingle, memo) for t in texts_of(batch)) if len(s)]
+            prefixes = [ordered_prefix(s, levels.value, percent) for s in sets]
+            groups = np.array([xxhash.xxh3_64_intdigest(p.tobytes(), seed=len(s)) for p, s in zip(prefixes, sets, strict=True)], np.uint64)
+            ends = np.cumsum([len(p) for p in prefixes])
+            found = filled.has(np.concatenate([np.empty(0, np.uint64), *prefixes]))
+            in_group = filled.has(mix(groups ^ np.uint64(_GROUP)))
+            out: dict[str, list] = {k: [] for k in ("h", "pos", "g", "c", "n", "long")}
+            for i, tokens in enumerate(sets):
+                at = np.flatnonzero(found[ends[i] - len(prefixes[i]) : ends[i]])
+                if len(at) or in_group[i]:
+                    keys, places = prefixes[i][at], at.astype(np.int32)
+                    if in_group[i]:
+                        keys = np.append(keys, mix(groups[i : i + 1] ^ np.uint64(_GROUP)))
+                        places = np.append(places, np.int32(0))
+                    out["h"].append(signed(keys))
+                    out["pos"].append(places)
+                    out["g"].append(groups[i])
+                    out["c"].append(_set_hash(tokens))
+                    out["n"].append(len(tokens))
+                    out["long"].append(parity_bitmap(tokens))
             arrays = [pa.array(out["h"], pa.list_(pa.int64())), pa.array(out["pos"], pa.list_(pa.int32()))]
-            arrays += [pa.array(out[k], pa.int64()) for k in ("g", "c", "n")]
-            arrays += [pa.array([b[i] for b in out["bits"]], pa.int64()) for i in range(len(BITS))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["h", "pos", "g", "c", "n", *BITS])
+            arrays += [pa.array(signed(np.array(out[k], np.uint64))) for k in ("g", "c")]
+            arrays += [pa.array(out["n"], pa.int64()), pa.array(out["long"], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["h", "pos", "g", "c", "n", "long"])
 
-    fields = "h array<bigint>, pos array<int>, g bigint, c bigint, n bigint, " + ", ".join(f"{b} bigint" for b in BITS)
+    fields = "h array<bigint>, pos array<int>, g bigint, c bigint, n bigint, long array<bigint>"
     candidates = stored(rows.select("text").mapInArrow(postings, fields).dropDuplicates(["c"]))
-    members = candidates.drop("h", "pos")
+    folded = [F.get("long", F.lit(i)) for i in range(LONG)]
+    for i in range(SHORT, LONG):
+        folded[i % SHORT] = folded[i % SHORT].bitwiseXOR(folded[i])
+    members = candidates.select("c", "g", "n", F.array(*folded[:SHORT]).alias("short"))
+    long = candidates.select("c", "n", "long")
+
+    def narrowed(pairs: DataFrame) -> DataFrame:
+        """Pairs (xc, yc) that the long bitmap lets pass, with their distance d."""
+        few = small(pairs.select("xc", "yc"), MOST_BROADCAST_ROWS)
+        wide = prefixed(long, "y", []).join(prefixed(long, "x", []).join(few, "xc"), "yc").where(close(percent, "x", "y", "long"))
+        return wide.select("xc", "yc", distance("x", "y", "long").alias("d"))
+
     posted = candidates.select("g", "c", F.explode(F.arrays_zip("h", "pos")).alias("at")).select("g", "c", "at.h", "at.pos")
     sets = Sets(rows, facts, shingle)
     roots = stored(members.select("c", F.col("c").alias("root")))
 
-    chosen = [F.min(F.struct(F.xxhash64("c", F.lit(turn)).alias("o"), "c")).alias(f"hub{turn}") for turn in range(hub_rounds)]
-    hubs = posted.groupBy("h").agg(*chosen).select("h", F.array_distinct(F.array(*(f"hub{turn}.c" for turn in range(hub_rounds)))).alias("hubs"))
+    chosen = [F.min(F.struct(F.xxhash64("c", F.lit(i)).alias("o"), "c")).alias(f"hub{i}") for i in range(HUBS)]
+    hubs = posted.groupBy("h").agg(*chosen).select("h", F.array_distinct(F.array(*(f"hub{i}.c" for i in range(HUBS)))).alias("hubs"))
     near = posted.join(hubs, "h").select(F.col("c").alias("xc"), F.explode("hubs").alias("yc")).where("xc <> yc").distinct()
-    near = near.join(prefixed(members.drop("g"), "x", []), "xc").join(prefixed(members.drop("g"), "y", []), "yc").where(close(percent, "x", "y"))
-    near = stored(near.select("xc", "yc", distance("x", "y").alias("d")))
+    near = near.join(prefixed(members.drop("g"), "x", []), "xc").join(prefixed(members.drop("g"), "y", []), "yc").where(close(percent, "x", "y", "short"))
+    near = stored(narrowed(near))
+    sets.of(near.select(F.explode(F.array("xc", "yc")).alias("c")).distinct())
     for turn in range(hub_rounds):
         apart = near.join(roots.select(F.col("c").alias("xc"), F.col("root").alias("xr")), "xc").join(roots.select(F.col("c").alias("yc"), F.col("root").alias("yr")), "yc").where("xr <> yr")
         apart = apart.groupBy("xc").agg(F.min(F.struct("d", "yc")).alias("nearest"), F.min(F.struct(F.xxhash64("xc", "yc", F.lit(turn)).alias("d"), "yc")).alias("any"))
         roots = merged(roots, sets.verified(apart.select("xc", F.explode(F.array("nearest.yc", "any.yc")).alias("yc")), percent))
 
     rooted = stored(members.join(roots, "c"))
-    grouped = rooted.groupBy("g").agg(
-        F.min("n").alias("n"), F.count(F.lit(1)).alias("members"), F.min("root").alias("lo"), F.max("root").alias("hi"), *(F.min(b).alias(b) for b in BITS)
-    )
+    grouped = rooted.groupBy("g").agg(F.min("n").alias("n"), F.count(F.lit(1)).alias("members"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("short").alias("short"))
     at_groups = posted.select("h", "g", "pos").distinct().join(grouped, "g")
     one = (F.col("xlo") == F.col("xhi")) & (F.col("ylo") == F.col("yhi")) & (F.col("xlo") == F.col("ylo"))
     reach = F.least(F.col("xn") - F.col("xpos"), F.col("yn") - F.col("ypos")) >= overlap(percent, "x", "y")
-    alike = (F.col("xmembers") > 1) | (F.col("ymembers") > 1) | close(percent, "x", "y")
-    crossing = prefixed(at_groups, "x", ["h"]).join(prefixed(at_groups, "y", ["h"]), "h").where("xg < yg").where(close(percent, "x", "y", False) & reach & ~one & alike)
+    alike = (F.col("xmembers") > 1) | (F.col("ymembers") > 1) | close(percent, "x", "y", "short")
+    crossing = prefixed(at_groups, "x", ["h"]).join(prefixed(at_groups, "y", ["h"]), "h").where("xg < yg").where(close(percent, "x", "y") & reach & ~one & alike)
     crossing = crossing.select("xg", "yg").distinct().unionByName(grouped.where("members > 1 AND lo < hi").select(F.col("g").alias("xg"), F.col("g").alias("yg")))
     left, right = prefixed(rooted, "x", []), prefixed(rooted, "y", [])
     inner = (F.col("xg") != F.col("yg")) | (F.col("xc") < F.col("yc"))
-    expanded = crossing.join(left, "xg").join(right, "yg").where((F.col("xroot") != F.col("yroot")) & inner & close(percent, "x", "y"))
-    roots = merged(roots, sets.verified(expanded, percent))
+    expanded = small(crossing, MOST_BROADCAST_ROWS).join(left, "xg").join(right, "yg").where((F.col("xroot") != F.col("yroot")) & inner & close(percent, "x", "y", "short"))
+    roots = merged(roots, sets.verified(narrowed(expanded), percent))
 
     placed = facts.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     smallest = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc").alias("first"))
