@@ -1,15 +1,15 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 A space is put before each text, as the model's normaliser does, and stands for the piece table's U+2581. Texts are
-cut into words: a run of spaces with the run of other characters after it, at most 16 + 48 characters (longer runs
-are cut there), and again wherever no piece holds the two characters around a place. No piece crosses
-these cuts, so the best segmentation of a text is that of its words.
+cut into words: a run of spaces with the run of other characters after it, and again wherever no piece holds the two
+characters around a place. No piece crosses these cuts, so the best segmentation of a text is that of its
+words. Words of more than MOST_CHARS characters are cut there, too.
 
-1. The distinct words are counted. Every substring of a word up to the longest piece is exploded and equi-joined
-   to the piece table; a single character without a piece gets an edge with the score of an unknown one, to
+1. The distinct words are counted. Every substring of a word, up to the longest piece with its first three
+   characters, is exploded and equi-joined to the piece table; a single character without a piece gets an edge with the score of an unknown one, to
    be spelled in byte pieces. The edges are grouped by word (rows keep the partitioning by word, so nothing is
-   shuffled again) and folded with `aggregate`: the best score and path up to each character. Of equal scores
-   the longer last piece wins.
+   shuffled again) and folded in the order of their ends with `aggregate`: the best score and path up to each
+   character. Of equal scores the longer last piece wins.
 2. Words go back into the texts in order. The most frequent MOST_WORDS words travel as one compact broadcast; words
    beyond that bound are joined to the documents that have them.
 
@@ -20,23 +20,27 @@ in a text are spelled in bytes.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwatch.llm.shared import stored
-from millwatch.llm.words import signed, slices
+from millwatch.llm.words import slices, texts_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MOST_WORDS = 6_000_000  # about 25 bytes each
 UNKNOWN_PENALTY = 10.0
-KEEP = 300_000  # words a task remembers; only saves time
-_WORD = re.compile(" {0,16}[^ \n]{1,48}| {1,64}|\n{1,64}")
+MOST_CHARS = 64
+KEEP = 150_000  # words a task remembers; only saves time
+BOUNDS = 1 << 15
+SLICE = 2 << 20  # bytes of texts looked at together
+_WORD = re.compile(rb" *[^ \n]+| +|\n+")
 
 
 class Pieces:
@@ -63,22 +67,40 @@ class Pieces:
         if any(" " in piece.lstrip(" ") or "\n" in piece for piece, _, _ in self.rows):
             raise ValueError("a piece crosses the words: spaces may only begin a piece")
         self.pairs = frozenset(p[i : i + 2] for p, _, _ in self.rows for i in range(len(p) - 1))
-        self.longest = max(len(p) for p, _, _ in self.rows)
+        self.scores = [0.0] * size
+        self.bounds = [2] * BOUNDS  # the longest piece by a hash of its first three characters
+        for p, i, score in self.rows:
+            self.scores[i] = score
+            if len(p) > 2:
+                at = zlib.crc32(p[:3].encode()) % BOUNDS
+                self.bounds[at] = max(self.bounds[at], len(p))
         self.unknown = min(s for _, _, s in self.rows) - UNKNOWN_PENALTY
 
     def cut(self, word: str) -> list[str]:
         """The parts of a word between places that no piece covers."""
         out, start = [], 0
         for i in range(1, len(word)):
-            if word[i - 1 : i + 1] not in self.pairs:
+            if word[i - 1 : i + 1] not in self.pairs or i - start == MOST_CHARS:
                 out.append(word[start:i])
                 start = i
         out.append(word[start:])
         return out
 
-    def words(self, text: str) -> list[str]:
-        """The words of a text before they are cut."""
-        return _WORD.findall(" " + text) if text else []
+    def words(self, text: bytes) -> list[bytes]:
+        """The words of a text before they are cut, as keys that word_of() reads.
+
+        A key that begins with neither space nor line break stands for itself after one space: so most texts are
+        simply split. One space before a key marks the word after it as it is.
+        """
+        if not text:
+            return []
+        lines = b" " + text.replace(b"\n", b" \n")
+        if b"  " in lines:
+            return [b" " + w for w in _WORD.findall(b" " + text)]
+        return lines[1:].split(b" ")
+
+    def word_of(self, key: bytes) -> str:
+        return (key[1:] if key[:1] == b" " else key if key[:1] == b"\n" else b" " + key).decode("utf-8", "replace")
 
     def spelled(self, word: str, path: list[int]) -> list[int]:
         """The ids of a path; a negative number stands for the character at that place, in bytes."""
@@ -88,85 +110,109 @@ class Pieces:
         return out
 
 
+def constant(values: list, kind: str) -> Column:
+    """An array known when the query is planned: one text that the optimiser takes apart once."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
 def counted_words(docs: DataFrame, pieces: Pieces) -> DataFrame:
-    """(word, n): the distinct words of all texts with their numbers of occurrences."""
-    cut, words = pieces.cut, pieces.words
+    """(word, n): the distinct words of all texts, and how many batches of texts have them."""
+    cut, words, word_of = pieces.cut, pieces.words, pieces.word_of
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole: Counter[str] = Counter()
+        keys: set[bytes] = set()
 
         def send() -> pa.RecordBatch:
-            parts: Counter[str] = Counter()
-            for word, n in whole.items():
-                for part in cut(word):
-                    parts[part] += n
-            whole.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.string()), pa.array(list(parts.values()), pa.int64())], names=["word", "n"])
-
-        for batch in slices(batches, "text"):
-            for text in batch.column("text").to_pylist():
-                if text:
-                    whole.update(words(text))
-            if len(whole) > KEEP:
+            parts = {p for k in keys for p in cut(word_of(k))}
+            keys.clear()
+            return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.string())], names=["word"])
+
+        for batch in slices(batches, "text", SLICE):
+            for text in texts_of(batch):
+                keys.update(words(text))
+            if len(keys) > 2 * KEEP:
                 yield send()
-        if whole:
+        if keys:
             yield send()
 
-    return docs.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "word string").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def best_paths(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """(word, n, path): the best segmentation of each word, by the lattice."""
+    """(word, n, path): the best segmentation of each word, by the lattice.
+
+    An edge is one number: its end, its length and its piece. Edges of a word sorted by end are folded once; a
+    single character always has an edge, so the ends follow each other without a gap.
+    """
     spark = words.sparkSession
-    table = spark.createDataFrame(pieces.rows, "piece string, id int, score double")
-    starts = words.select("word", "n", F.posexplode(F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.substr(F.col("word"), i, F.lit(pieces.longest)))).alias("start", "rest"))
-    substrings = starts.select("word", "n", "start", F.explode(F.transform(F.sequence(F.lit(1), F.length("rest")), lambda k: F.substr(F.col("rest"), F.lit(1), k))).alias("piece"))
-    edges = substrings.join(F.broadcast(table), "piece", "left").withColumn("len", F.length("piece")).where("id IS NOT NULL OR len = 1")
-    edge = F.struct(
-        (F.col("start") + F.col("len")).alias("last"), "len", F.coalesce("score", F.lit(pieces.unknown)).alias("score"), F.coalesce("id", -F.col("start") - 1).alias("id")
-    )
-    lattice = edges.groupBy("word").agg(F.first("n").alias("n"), F.collect_list(edge).alias("edges"))
-    begin = "array(named_struct('score', 0D, 'len', 0, 'path', cast(array() AS array<int>)))"
-    into = "transform(filter(edges, e -> e.last = j), e -> named_struct('score', get(best, j - e.len).score + e.score, 'len', e.len, 'path', array_append(get(best, j - e.len).path, e.id)))"
-    fold = f"aggregate(sequence(1, length(word)), {begin}, (best, j) -> array_append(best, array_max({into})), best -> get(best, length(word)).path)"
-    return lattice.select("word", "n", F.expr(fold).alias("path"))
-
-
-class Dictionary:
-    """Words to ids as sorted 64-bit hashes and joined ids: what travels to the tasks."""
-
-    def __init__(self, encoded: DataFrame, spell) -> None:
-        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                words = batch.column("word").to_pylist()
-                ids = [spell(w, p) for w, p in zip(words, batch.column("path").to_pylist(), strict=True)]
-                keys = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-                flat = np.array([i for x in ids for i in x], np.int32)
-                columns = [keys.tobytes(), np.array([len(x) for x in ids], np.uint16).tobytes(), flat.tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], names=["keys", "lengths", "ids"])
-
-        blocks = encoded.select("word", "path").mapInArrow(pack, "keys binary, lengths binary, ids binary")
-        parts = [(np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["lengths"], np.uint16), np.frombuffer(r["ids"], np.int32)) for r in blocks.toLocalIterator()]
-        keys = np.concatenate([np.empty(0, np.uint64), *(p[0] for p in parts)])
-        lengths = np.concatenate([np.empty(0, np.int64), *(p[1] for p in parts)]).astype(np.int64)
-        ids = np.concatenate([np.empty(0, np.int32), *(p[2] for p in parts)])
-        del parts
-        order = np.argsort(keys)
-        starts = np.cumsum(lengths) - lengths
-        self.keys, moved = keys[order], lengths[order]
-        self.ends = np.cumsum(moved).astype(np.uint32 if len(ids) < 1 << 32 else np.int64)
-        at = np.repeat(starts[order] - (np.cumsum(moved) - moved), moved) + np.arange(len(ids))
-        self.ids = ids[at].astype(np.uint16 if len(ids) == 0 or ids.max() < 1 << 16 else np.int32)
-
-    def find(self, words: list[str]) -> list[np.ndarray | None]:
-        """The ids of each word, None where it has none."""
-        if not len(self.keys):
-            return [None] * len(words)
-        keys = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        hit = self.keys[at] == keys
-        starts = np.where(at > 0, self.ends[at - 1], 0)
-        return [self.ids[a:b].astype(np.int32) if h else None for h, a, b in zip(hit.tolist(), starts.tolist(), self.ends[at].tolist(), strict=True)]
+    table = spark.createDataFrame([(p, i) for p, i, _ in pieces.rows], "piece string, id int")
+    word, bounds = F.col("word"), constant(pieces.bounds, "int")
+
+    starts = words.select("word", "n", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("start"))
+    starts = starts.withColumn("rest", F.substr(word, F.col("start"), F.lit(max(pieces.bounds))))
+    bound = F.get(bounds, F.pmod(F.crc32(F.left("rest", F.lit(3))), F.lit(BOUNDS)).cast("int"))
+    ended = starts.select("word", "n", "start", "rest", F.explode(F.sequence(F.lit(1), F.least(bound, F.length("rest")))).alias("len"))
+    substrings = ended.select("word", "n", (F.col("start") + F.col("len") - 1).alias("last"), "len", F.left("rest", F.col("len")).alias("piece"))
+    edges = substrings.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR len = 1")
+    edge = F.col("last").cast("bigint") * 2**40 + F.col("len") * 2**32 + F.coalesce(F.col("id") + 1, F.lit(0))
+    lattice = edges.groupBy("word").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(edge)).alias("edges"))
+    last, length, piece = "int(shiftright(e, 40))", "int(shiftright(e, 32) & 255)", "int(e & 4294967295) - 1"
+    path = "array<int>"
+    start = f"named_struct('best', cast(array() AS array<struct<score:double,path:{path}>>), 'last', 0, 'score', 0D, 'path', cast(array() AS {path}))"
+    done = "array_append(s.best, named_struct('score', s.score, 'path', s.path))"
+    # s: the best of all earlier ends, and of the end at hand so far. b: the same once the edge's end is the one at hand.
+    moved = f"if(s.last < {last}, named_struct('best', {done}, 'last', {last}, 'score', double('-Infinity'), 'path', cast(array() AS {path})), s)"
+    gain = f"if({piece} < 0, {pieces.unknown}D, get(scores, {piece}))"
+    other = f"get(b.best, {last} - {length})"
+    better = f"{other}.score + {gain} >= b.score"
+    id_of = f"if({piece} < 0, -{last}, {piece})"
+    taken = f"if({better}, named_struct('best', b.best, 'last', b.last, 'score', {other}.score + {gain}, 'path', array_append({other}.path, {id_of})), b)"
+    fold = f"aggregate(edges, {start}, (s, e) -> get(transform(array({moved}), b -> {taken}), 0), s -> s.path)"
+    return lattice.withColumn("scores", constant(pieces.scores, "double")).select("word", "n", F.expr(fold).alias("path"))
+
+
+Words = tuple[np.ndarray, np.ndarray, np.ndarray]  # sorted 64-bit hashes, ends of their ids, joined ids
+
+
+def packed_words(encoded: DataFrame, spell: Callable[[str, list[int]], list[int]]) -> Words:
+    """Words and their ids in compact form: what travels to the tasks."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("word").to_pylist()
+            ids = [spell(w, p) for w, p in zip(words, batch.column("path").to_pylist(), strict=True)]
+            keys = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+            flat = np.array([i for x in ids for i in x], np.int32)
+            columns = [keys.tobytes(), np.array([len(x) for x in ids], np.uint16).tobytes(), flat.tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], names=["keys", "lengths", "ids"])
+
+    blocks = encoded.select("word", "path").mapInArrow(pack, "keys binary, lengths binary, ids binary")
+    parts = [(np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["lengths"], np.uint16), np.frombuffer(r["ids"], np.int32)) for r in blocks.toLocalIterator()]
+    keys = np.concatenate([np.empty(0, np.uint64), *(p[0] for p in parts)])
+    lengths = np.concatenate([np.empty(0, np.int64), *(p[1] for p in parts)]).astype(np.int64)
+    ids = np.concatenate([np.empty(0, np.int32), *(p[2] for p in parts)])
+    del parts
+    order = np.argsort(keys)
+    starts, moved = (np.cumsum(lengths) - lengths)[order], lengths[order]
+    ends = np.cumsum(moved)
+    ids = ids[np.repeat(starts - (ends - moved), moved) + np.arange(len(ids))]
+    return keys[order], ends, ids.astype(np.uint16 if len(ids) == 0 or ids.max() < 1 << 16 else np.int32)
+
+
+def find_words(packed: Words, words: list[str]) -> list[bytes | None]:
+    """The ids of each word as 32-bit numbers, None where it has none."""
+    all_keys, ends, ids = packed
+    if not len(all_keys) or not words:
+        return [None] * len(words)
+    keys = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+    at = np.minimum(np.searchsorted(all_keys, keys), len(all_keys) - 1)
+    hit = all_keys[at] == keys
+    starts = np.where(at > 0, ends[at - 1], 0)
+    lengths = ends[at] - starts
+    stops = np.cumsum(lengths)
+    flat = ids[np.repeat(starts - (stops - lengths), lengths) + np.arange(int(stops[-1]))].astype(np.int32).tobytes()
+    stops = (4 * stops).tolist()
+    return [flat[a:b] if h else None for h, a, b in zip(hit.tolist(), [0, *stops[:-1]], stops, strict=True)]
 
 
 def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) -> DataFrame:
@@ -188,19 +234,19 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
             least = row["grade"]
         common = (grade >= least) if least is not None else F.lit(False)
         frequent, rare = encoded.where(common), encoded.where(~common).select("word", "path")
-    sent = spark.sparkContext.broadcast(Dictionary(frequent, pieces.spelled))
-    cut, words, spelled = pieces.cut, pieces.words, pieces.spelled
+    sent = spark.sparkContext.broadcast(packed_words(frequent, pieces.spelled))
+    cut, words, word_of, spelled = pieces.cut, pieces.words, pieces.word_of, pieces.spelled
     base = docs.drop("ids")
 
     if rare is not None:
         base = base.withColumn("_row", F.xxhash64("text"))
 
         def unknown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches, "text"):
+            for batch in slices(batches, "text", SLICE):
                 rows, missing = [], []
-                for key, text in zip(batch.column("_row").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                    parts = sorted({p for w in set(words(text or "")) for p in cut(w)})
-                    gone = [p for p, ids in zip(parts, sent.value.find(parts), strict=True) if ids is None]
+                for key, text in zip(batch.column("_row").to_pylist(), texts_of(batch), strict=True):
+                    parts = sorted({p for k in set(words(text)) for p in cut(word_of(k))})
+                    gone = [p for p, ids in zip(parts, find_words(sent.value, parts), strict=True) if ids is None]
                     rows += [key] * len(gone)
                     missing += gone
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(missing, pa.string())], names=["_row", "word"])
@@ -209,39 +255,39 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
         extra = needed.join(rare, "word").groupBy("_row").agg(F.collect_list(F.struct("word", "path")).alias("_extra"))
         base = base.join(extra, "_row", "left").drop("_row")
     columns = [f for f in base.schema if f.name != "_extra"]
+    all_frequent = rare is None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, bytes] = {}
-
-        def ids_of(text: str, extra: dict[str, bytes]) -> bytes:
-            found = words(text)
-            new = [w for w in set(found) if w not in known]
-            if new:
-                if len(known) > KEEP:
-                    known.clear()
-                    new = list(set(found))
-                parts = [cut(w) for w in new]
-                flat = sent.value.find([p for x in parts for p in x])
-                at = 0
-                for w, x in zip(new, parts, strict=True):
-                    ids = flat[at : at + len(x)]
-                    at += len(x)
-                    whole = b"".join(i.tobytes() if i is not None else extra[p] for i, p in zip(ids, x, strict=True))
-                    if all(i is not None for i in ids):
-                        known[w] = whole
-                    else:
-                        extra[w + "\n "] = whole  # no part of a word looks like that
-            return b"".join([known[w] if w in known else extra[w + "\n "] for w in found])
-
-        for batch in slices(batches, "text"):
+        known: dict[bytes, bytes] = {}
+
+        def learn(new: list[bytes], extra: dict[str, bytes]) -> dict[bytes, bytes]:
+            """Ids of new keys; what only this text's own words give is returned, the rest becomes known."""
+            own: dict[bytes, bytes] = {}
+            parts = [cut(word_of(k)) for k in new]
+            flat = iter(find_words(sent.value, [p for x in parts for p in x]))
+            for key, x in zip(new, parts, strict=True):
+                ids = [next(flat) for _ in x]
+                into = own if None in ids else known
+                into[key] = b"".join([i if i is not None else extra[p] for i, p in zip(ids, x, strict=True)])
+            return own
+
+        for batch in slices(batches, "text", SLICE):
             names = batch.schema.names
             extras = batch.column("_extra").to_pylist() if "_extra" in names else [None] * batch.num_rows
-            lengths, data = [], []
-            for text, more in zip(batch.column("text").to_pylist(), extras, strict=True):
-                extra = {e["word"]: np.array(spelled(e["word"], e["path"]), np.int32).tobytes() for e in more or ()}
-                data.append(ids_of(text or "", extra))
-                lengths.append(len(data[-1]) // 4)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+            keys = [words(t) for t in texts_of(batch)]
+            if all_frequent:
+                learn(list(set().union(*keys).difference(known)), {})
+            data = []
+            for found, more in zip(keys, extras, strict=True):
+                ids = known
+                if not all_frequent:
+                    extra = {e["word"]: np.array(spelled(e["word"], e["path"]), np.int32).tobytes() for e in more or ()}
+                    own = learn([k for k in set(found) if k not in known], extra)
+                    ids = known if not own else {k: own[k] if k in own else known[k] for k in set(found)}
+                data.append(b"".join([ids[k] for k in found]))
+            if len(known) > KEEP:
+                known.clear()
+            offsets = pa.array(np.concatenate([[0], np.cumsum([len(d) // 4 for d in data])]).astype(np.int32))
             ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(data), np.int32)))
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in columns), ids], names=[*(f.name for f in columns), "ids"])
 
@@ -252,22 +298,11 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """The rows of `encoded` with a column `decoded` (string) made of `ids`; null ids give null, no ids an empty text.
 
-    Bytes that are no UTF-8 become U+FFFD; that does not happen to ids that encode() made.
+    The pieces' bytes are joined as hexadecimal digits, in the JVM. Bytes that are no UTF-8 become U+FFFD; that
+    does not happen to ids that encode() made.
     """
-    table = Pieces(model).bytes_of
-    base = encoded.drop("decoded")
-    columns = [f for f in base.schema]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts: list[str | None] = []
-            for ids in batch.column("ids"):
-                if not ids.is_valid:
-                    texts.append(None)
-                    continue
-                data = b"".join([table[i] for i in ids.values.to_pylist()])
-                texts.append(data.removeprefix(b" ").decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in columns), pa.array(texts, pa.string())], names=[*(f.name for f in columns), "decoded"])
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in columns), "decoded string"])
-    return base.mapInArrow(run, schema)
+    digits = constant([b.hex() for b in Pieces(model).bytes_of], "string")
+    joined = F.unhex(F.array_join(F.transform("ids", lambda i: F.get(digits, i)), ""))
+    text = F.make_valid_utf8(joined.cast("string"))
+    first = F.when(F.startswith(text, F.lit(" ")), F.substr(text, F.lit(2))).otherwise(text)
+    return encoded.drop("decoded").withColumn("decoded", first)
