@@ -291,7 +291,7 @@ def _linked(docs: DataFrame, shingle: int, percent: int, hub_rounds: int) -> Dat
     hubs = posted.groupBy("h").agg(*chosen).select("h", F.array_distinct(F.array(*(f"hub{i}.c" for i in range(HUBS)))).alias("hubs"))
     near = posted.join(hubs, "h").select(F.col("c").alias("xc"), F.explode("hubs").alias("yc")).where("xc <> yc").distinct()
     near = near.join(prefixed(members.drop("g"), "x", []), "xc").join(prefixed(members.drop("g"), "y", []), "yc").where(close(percent, "x", "y", "short"))
-    near = stored(narrowed(near))
+    near = small(narrowed(near), MOST_BROADCAST_ROWS)
     sets.of(near.select(F.explode(F.array("xc", "yc")).alias("c")).distinct())
     for turn in range(hub_rounds):
         apart = near.join(roots.select(F.col("c").alias("xc"), F.col("root").alias("xr")), "xc").join(roots.select(F.col("c").alias("yc"), F.col("root").alias("yr")), "yc").where("xr <> yr")
@@ -320,6 +320,7 @@ def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     """roots (c, root) after the links (a, b) between classes."""
     if links.isEmpty():
         return roots
-    ends = links.join(roots.select(F.col("c").alias("a"), F.col("root").alias("ra")), "a").join(roots.select(F.col("c").alias("b"), F.col("root").alias("rb")), "b")
-    moved = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    ends = roots.select(F.col("c").alias("a"), F.col("root").alias("ra")).join(small(links, MOST_BROADCAST_ROWS), "a")
+    ends = roots.select(F.col("c").alias("b"), F.col("root").alias("rb")).join(small(ends, MOST_BROADCAST_ROWS), "b")
+    moved = small(components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b"))), MOST_BROADCAST_ROWS)
     return stored(roots.join(moved, roots["root"] == moved["node"], "left").select("c", F.coalesce(moved["root"], roots["root"]).alias("root")))

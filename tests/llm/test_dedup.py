@@ -165,11 +165,12 @@ def test_one_of_each_component_stays(documents, clashing):
     assert kept.columns == docs.columns
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_components(spark, few):
     edges = [(1, 2), (2, 3), (9, 3), (5, 6), (6, 5), (4, 4), *((100 + i, 101 + i) for i in range(40))]
-    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint"), few).collect()}
     assert got == {2: 1, 3: 1, 9: 1, 6: 5, **{101 + i: 100 for i in range(40)}}
-    assert components(spark.createDataFrame([], "a bigint, b bigint")).isEmpty()
+    assert components(spark.createDataFrame([], "a bigint, b bigint"), few).isEmpty()
 
 
 @pytest.mark.parametrize("operator", [substring_dedup.remove_repeats, suffix_dedup.remove_repeats, ngram_jaccard.link])
