@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwatch.llm import decontamination, html_extraction, ngram_jaccard, quality_classifier, quality_rules, sentencepiece_lattice, sharding, substring_dedup, suffix_dedup, url_filter
+from millwatch.llm import decontamination, html_extraction, ngram_jaccard, oracles, quality_classifier, quality_rules, sentencepiece_lattice, sharding, substring_dedup, suffix_dedup, url_filter
 from millwatch.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,6 @@ WITH docs AS (
 SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared, n AS n_item
 FROM d JOIN b USING (s) JOIN sizes ON sizes.id = b.id GROUP BY d.id, b.id, n HAVING count(*) * 100 >= 80 * n
 """
+
+ORACLES["op1_quality_rules"] = oracles.quality_rules()
+ORACLES["op6_url_filter"] = oracles.url_filter()
