@@ -8,8 +8,7 @@ words. Words of more than MOST_CHARS characters are cut there, too.
 1. The distinct words are counted. Every substring of a word, up to the longest piece with its first three
    characters, is exploded and equi-joined to the piece table; a single character without a piece gets an edge with the score of an unknown one, to
    be spelled in byte pieces. The edges are grouped by word (rows keep the partitioning by word, so nothing is
-   shuffled again) and folded in the order of their ends with `aggregate`: the best score and path up to each
-   character. Of equal scores the longer last piece wins.
+   shuffled again) and folded with `aggregate`: the best score and path up to each character. Of equal scores the longer last piece wins.
 2. Words go back into the texts in order. The most frequent MOST_WORDS words travel as one compact broadcast; words
    beyond that bound are joined to the documents that have them.
 
@@ -23,6 +22,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MOST_WORDS = 6_000_000  # about 25 bytes each
 UNKNOWN_PENALTY = 10.0
 MOST_CHARS = 64
+GROUPS = 50_000
 KEEP = 150_000  # words a task remembers; only saves time
 BOUNDS = 1 << 15
 SLICE = 2 << 20  # bytes of texts looked at together
@@ -141,8 +142,8 @@ def counted_words(docs: DataFrame, pieces: Pieces) -> DataFrame:
 def best_paths(words: DataFrame, pieces: Pieces) -> DataFrame:
     """(word, n, path): the best segmentation of each word, by the lattice.
 
-    An edge is one number: its end, its length and its piece. Edges of a word sorted by end are folded once; a
-    single character always has an edge, so the ends follow each other without a gap.
+    An edge is one number: its end, its length and its piece. The fold goes from character to character: among the
+    edges that end there it takes the best score, of equal ones the longest piece.
     """
     spark = words.sparkSession
     table = spark.createDataFrame([(p, i) for p, i, _ in pieces.rows], "piece string, id int")
@@ -155,19 +156,14 @@ def best_paths(words: DataFrame, pieces: Pieces) -> DataFrame:
     substrings = ended.select("word", "n", (F.col("start") + F.col("len") - 1).alias("last"), "len", F.left("rest", F.col("len")).alias("piece"))
     edges = substrings.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR len = 1")
     edge = F.col("last").cast("bigint") * 2**40 + F.col("len") * 2**32 + F.coalesce(F.col("id") + 1, F.lit(0))
-    lattice = edges.groupBy("word").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(edge)).alias("edges"))
-    last, length, piece = "int(shiftright(e, 40))", "int(shiftright(e, 32) & 255)", "int(e & 4294967295) - 1"
-    path = "array<int>"
-    start = f"named_struct('best', cast(array() AS array<struct<score:double,path:{path}>>), 'last', 0, 'score', 0D, 'path', cast(array() AS {path}))"
-    done = "array_append(s.best, named_struct('score', s.score, 'path', s.path))"
-    # s: the best of all earlier ends, and of the end at hand so far. b: the same once the edge's end is the one at hand.
-    moved = f"if(s.last < {last}, named_struct('best', {done}, 'last', {last}, 'score', double('-Infinity'), 'path', cast(array() AS {path})), s)"
-    gain = f"if({piece} < 0, {pieces.unknown}D, get(scores, {piece}))"
-    other = f"get(b.best, {last} - {length})"
-    better = f"{other}.score + {gain} >= b.score"
-    id_of = f"if({piece} < 0, -{last}, {piece})"
-    taken = f"if({better}, named_struct('best', b.best, 'last', b.last, 'score', {other}.score + {gain}, 'path', array_append({other}.path, {id_of})), b)"
-    fold = f"aggregate(edges, {start}, (s, e) -> get(transform(array({moved}), b -> {taken}), 0), s -> s.path)"
+    lattice = edges.groupBy("word").agg(F.first("n").alias("n"), F.collect_list(edge).alias("edges"))
+    length, piece = "int(shiftright(e, 32) & 255)", "int(e & 4294967295) - 1"
+    begin = "array(named_struct('score', 0D, 'len', 0, 'path', cast(array() AS array<int>)))"
+    before = f"get(best, j - {length})"
+    score = f"{before}.score + if({piece} < 0, {pieces.unknown}D, get(scores, {piece}))"
+    path = f"array_append({before}.path, if({piece} < 0, -j, {piece}))"
+    ending = f"transform(filter(edges, e -> shiftright(e, 40) = j), e -> named_struct('score', {score}, 'len', {length}, 'path', {path}))"
+    fold = f"aggregate(sequence(1, length(word)), {begin}, (best, j) -> array_append(best, array_max({ending})), best -> get(best, length(word)).path)"
     return lattice.withColumn("scores", constant(pieces.scores, "double")).select("word", "n", F.expr(fold).alias("path"))
 
 
@@ -215,6 +211,18 @@ def find_words(packed: Words, words: list[str]) -> list[bytes | None]:
     return [flat[a:b] if h else None for h, a, b in zip(hit.tolist(), [0, *stops[:-1]], stops, strict=True)]
 
 
+@contextmanager
+def many_groups(spark: SparkSession) -> Iterator[None]:
+    """Lets lists be collected by hash for GROUPS groups in a task before Spark sorts: words are short, so that is little memory."""
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(GROUPS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) -> DataFrame:
     """The rows of `docs` with a column `ids` (array<int>) after their own columns; a column of that name is replaced.
 
@@ -222,7 +230,8 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
     """
     spark: SparkSession = docs.sparkSession
     pieces = Pieces(model)
-    encoded = stored(best_paths(counted_words(docs, pieces), pieces))
+    with many_groups(spark):
+        encoded = stored(best_paths(counted_words(docs, pieces), pieces))
     frequent, rare = encoded, None
     if encoded.count() > most_words:
         grade = F.floor(8 * F.log2("n"))
