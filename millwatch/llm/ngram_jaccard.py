@@ -35,7 +35,7 @@ from millwatch.llm.words import WordHashes, mix, shingle_hashes, signed, texts_o
 
 SHINGLE = 3
 PERCENT = 90
-COUNTERS = 1 << 20
+COUNTERS = 1 << 22  # 8 MB for each task, 4 MB as levels
 SLICES = 16
 SHORT, LONG = 4, 16  # longs of the two bitmaps
 HUB_ROUNDS = 2
@@ -51,7 +51,7 @@ def shingle_set(text: bytes, size: int, memo: WordHashes) -> np.ndarray:
 
 
 def counter_of(tokens: np.ndarray) -> np.ndarray:
-    return (tokens >> np.uint64(44)).astype(np.int64)
+    return (tokens >> np.uint64(42)).astype(np.int64)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -92,7 +92,7 @@ def measured(rows: DataFrame, id_type: str, shingle: int) -> DataFrame:
             nulls = pa.nulls(batch.num_rows, pa.int32())
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in ("doc_id", "doc", "p")), pa.array(n), pa.array(c, mask=n == 0), nulls, pa.nulls(batch.num_rows, pa.binary())], names=names)
         if any_row:
-            parts = [part.tobytes() for part in np.split(counts, SLICES)]
+            parts = [part.tobytes() for part in np.split(np.minimum(counts, 0xFFFF).astype(np.uint16), SLICES)]
             none = pa.nulls(SLICES, pa.int64())
             yield pa.RecordBatch.from_arrays([none.cast(id_kind), none, none, none, none, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], names=names)
 
@@ -100,14 +100,14 @@ def measured(rows: DataFrame, id_type: str, shingle: int) -> DataFrame:
 
 
 def token_levels(counted: DataFrame) -> np.ndarray:
-    """The level of each of the COUNTERS: twice the logarithm of its count, rounded down."""
+    """The level of each of the COUNTERS: four times the binary logarithm of its count, rounded down."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for s, part in zip(batch.column("slice").to_pylist(), batch.column("counters").to_pylist(), strict=True):
-                sums[s] = sums.get(s, 0) + np.frombuffer(part, np.uint32).astype(np.float64)
-        levels = [np.floor(2 * np.log2(x + 1)).astype(np.uint8).tobytes() for x in sums.values()]
+                sums[s] = sums.get(s, 0) + np.frombuffer(part, np.uint16).astype(np.float64)
+        levels = [np.minimum(np.floor(4 * np.log2(x + 1)), 255).astype(np.uint8).tobytes() for x in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary())], names=["slice", "levels"])
 
     out = np.zeros((SLICES, COUNTERS // SLICES), np.uint8)
