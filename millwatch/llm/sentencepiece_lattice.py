@@ -23,6 +23,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +80,8 @@ class Pieces:
 
     def cut(self, word: str) -> list[str]:
         """The parts of a word between places that no piece covers."""
+        if len(word) <= MOST_CHARS and self.pairs.issuperset(map(add, word, word[1:])):
+            return [word]
         out, start = [], 0
         for i in range(1, len(word)):
             if word[i - 1 : i + 1] not in self.pairs or i - start == MOST_CHARS:
@@ -269,7 +272,7 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, bytes] = {}
 
-        def learn(new: list[bytes], extra: dict[str, bytes]) -> dict[bytes, bytes]:
+        def learn(new: list[bytes], extra: dict[str, bytes], known: dict[bytes, bytes]) -> dict[bytes, bytes]:
             """Ids of new keys; what only this text's own words give is returned, the rest becomes known."""
             own: dict[bytes, bytes] = {}
             parts = [cut(word_of(k)) for k in new]
@@ -285,17 +288,17 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
             extras = batch.column("_extra").to_pylist() if "_extra" in names else [None] * batch.num_rows
             keys = [words(t) for t in texts_of(batch)]
             if all_frequent:
-                learn(list(set().union(*keys).difference(known)), {})
+                learn(list(set().union(*keys).difference(known)), {}, known)
             data = []
             for found, more in zip(keys, extras, strict=True):
                 ids = known
                 if not all_frequent:
                     extra = {e["word"]: np.array(spelled(e["word"], e["path"]), np.int32).tobytes() for e in more or ()}
-                    own = learn([k for k in set(found) if k not in known], extra)
+                    own = learn([k for k in set(found) if k not in known], extra, known)
                     ids = known if not own else {k: own[k] if k in own else known[k] for k in set(found)}
                 data.append(b"".join([ids[k] for k in found]))
-            if len(known) > KEEP:
-                known.clear()
+            if len(known) > 2 * KEEP:  # those of the last texts are the likeliest to come again
+                known = {k: known[k] for k in set().union(*keys) if k in known}
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(d) // 4 for d in data])]).astype(np.int32))
             ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(data), np.int32)))
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in columns), ids], names=[*(f.name for f in columns), "ids"])
