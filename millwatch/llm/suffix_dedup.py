@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -66,8 +67,19 @@ def places(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int,
     return at, sums[at]
 
 
-def sampled(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(text number, places, hashes) of each text that has places; long texts come in overlapping segments."""
+def sampled(texts: list[bytes], length: int, gram: int, segment: int = SEGMENT) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(text number, places, hashes), once for each text that has places; no place comes twice."""
+    for number, found in groupby(_segments(texts, length, gram, segment), lambda x: x[0]):
+        parts = list(found)
+        if len(parts) > 1:  # neighbouring segments may both report a place
+            at, first = np.unique(np.concatenate([a for _, a, _ in parts]), return_index=True)
+            yield number, at, np.concatenate([h for _, _, h in parts])[first]
+        else:
+            yield parts[0]
+
+
+def _segments(texts: list[bytes], length: int, gram: int, segment: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(text number, places, hashes) in the order of the texts; long texts come in overlapping segments."""
     group: list[tuple[int, int, bytes]] = []
     size = 0
 
@@ -81,12 +93,12 @@ def sampled(texts: list[bytes], length: int, gram: int) -> Iterator[tuple[int, n
                 yield number, at[a:b] - start + offset, hashes[a:b]
 
     for number, text in enumerate(texts):
-        for offset in range(0, max(1, len(text) - length + 1), SEGMENT):
-            part = text[offset : offset + SEGMENT + length - 1]
+        for offset in range(0, max(1, len(text) - length + 1), segment):
+            part = text[offset : offset + segment + length - 1]
             if len(part) >= length:
                 group.append((number, offset, part))
                 size += len(part)
-            if size >= SEGMENT:
+            if size >= segment:
                 yield from flush()
                 group, size = [], 0
     if group:

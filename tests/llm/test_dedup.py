@@ -95,6 +95,24 @@ def test_suffix_dedup_equals_brute_force(documents, clashing, monkeypatch, lengt
     assert Counter(tuple(r[i] for i in range(5)) for r in got) == Counter(removed_bytes(rows, length))
 
 
+def test_a_repeat_inside_one_text_longer_than_a_segment(documents):
+    r = random.Random(4)
+    some = ["".join(r.choices("abcdefgh ", k=k)) for k in (1000, suffix_dedup.SEGMENT + 50_000, 1000, 300)]
+    text = f"{some[0]}1{some[3]}2{some[1]}3{some[3]}4{some[2]}"
+    row = suffix_dedup.remove_repeats(documents((1, text), (2, some[0][::-1]))).where("doc_id = 1").first()
+    assert (row["n_removed"], row["n_spans"]) == (600, 2)
+    assert row["kept_text"] == f"{some[0]}12{some[1]}34{some[2]}"
+
+
+def test_segments_of_a_text_give_the_places_of_the_whole(documents):
+    r = random.Random(5)
+    texts = [bytes(r.choices(b"abcd", k=k)) for k in (10, 5000, 30, 299, 4000)]
+    whole, cut = list(suffix_dedup.sampled(texts, 30, 15)), list(suffix_dedup.sampled(texts, 30, 15, 100))
+    assert [n for n, _, _ in cut] == [n for n, _, _ in whole] == [1, 2, 3, 4]
+    for (_, at, h), (_, other, k) in zip(whole, cut, strict=True):
+        assert np.array_equal(at, other) and np.array_equal(h, k)
+
+
 def test_suffix_dedup_keeps_whole_characters_in_texts(documents, clashing):
     body = "é" * 150
     docs = clashing(documents((1, "a" + body + "ü"), (2, "ü" + body + "b"), (3, "alone"), (4, "")))
