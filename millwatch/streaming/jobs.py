@@ -17,7 +17,7 @@ from millwatch.sources.landing import parse_landing, stream_landing_csv, with_pr
 from millwatch.sources.tables import Store
 
 MERGE_EVERY = 64  # micro-batches
-FILES_PER_BATCH = 1000  # so that the first run over a backlog is not one batch
+FILES_PER_BATCH = 1000  # so that the first ingest of a backlog is not one batch; no bound on times there
 
 
 def auto_ingest(
@@ -45,13 +45,15 @@ def stream_build(
     trigger: dict | None = None,
     with_alerts: bool = False,
     now: Column | None = None,
-    max_files_per_trigger: int = FILES_PER_BATCH,
+    max_files_per_trigger: int | None = None,
     alert_parts: int = 1,
 ) -> StreamingQuery:
     """Land new files and bring history, mart, check results and alerts up to date in the same micro-batch.
 
     Late data: what is not later than everything stored before the micro-batch is dropped, while order
-    within it does not matter. A watermark cannot say this, since it lags one micro-batch behind.
+    within it does not matter. A watermark cannot say this, since it lags one micro-batch behind. So all files
+    at hand are one micro-batch, else the first files of a backlog would make the others late; a caller that sets
+    `max_files_per_trigger` says that files come in the order of their times.
 
     With `with_alerts` every micro-batch ends in an alert pass; do not run `alert_schedule` on the same
     store then, as the alerts table has one writer.
@@ -83,7 +85,7 @@ def _start(
     sep: str,
     trigger: dict | None,
     on_batch: Callable[[DataFrame, str, int], None],
-    max_files: int,
+    max_files: int | None,
 ) -> StreamingQuery:
     raw = with_provenance(stream_landing_csv(store.spark, path, sep, max_files_per_trigger=max_files))
     return _run(raw, checkpoint, trigger, on_batch)

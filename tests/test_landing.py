@@ -1,5 +1,6 @@
 """Landing files: parsing, rejects, batches, streams."""
 
+import os
 from datetime import datetime
 
 import pytest
@@ -169,6 +170,19 @@ def test_stream_of_single_files_equals_batch_runs(spark, stream):
         assert sorted(got.drop("_loaded_at").collect()) == sorted(want.drop("_loaded_at").collect())
 
 
+def test_a_backlog_of_many_files_is_not_late_to_itself(spark, stream):
+    folder, store, checkpoint = stream
+    write(folder, "first.csv", *(f"M{i},2024-05-13T11:00:00Z,65,0.02,99.6,AOK" for i in range(3)))
+    os.utime(folder / "first.csv", (1_700_000_000, 1_700_000_000))
+    for n in range(jobs.FILES_PER_BATCH - 1):
+        write(folder, f"empty-{n}.csv")
+        os.utime(folder / f"empty-{n}.csv", (1_700_000_100, 1_700_000_100))
+    write(folder, "last.csv", "M1,2024-05-13T10:00:00Z,65,0.02,99.6,AOK", "M2,,65,0.02,99.6,AOK")
+    run(store, folder, checkpoint, with_alerts=False)
+    hours = sorted(str(r["event_time"])[11:13] for r in store.read(B.HISTORY).collect())
+    assert hours == ["", "10", "11", "11", "11"]
+
+
 def test_streams_with_checkpoints_of_their_own_lose_nothing(spark, stream, tmp_path):
     folder, store, checkpoint = stream
     write(folder, "1.csv", "M1,2024-05-13T10:00:05Z,65,0.02,99.6,AOK")
