@@ -3,7 +3,8 @@
 A space is put before each text, as the model's normaliser does, and stands for the piece table's U+2581. Texts are
 cut into words: a run of spaces with the run of other characters after it, and again wherever no piece holds the two
 characters around a place. No piece crosses these cuts, so the best segmentation of a text is that of its
-words. Words of more than MOST_CHARS characters are cut there, too.
+words. Words of more than MOST_CHARS characters, for which an array of paths would grow with the square of the
+length, are segmented where their text is read, by the same rule with back pointers; they are cut nowhere else.
 
 1. The distinct words are counted. Every substring of a word, up to the longest piece with its first three
    characters, is exploded and equi-joined to the piece table; a single character without a piece gets an edge with the score of an unknown one, to
@@ -20,9 +21,11 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import cached_property
 from operator import add
 
 import numpy as np
@@ -37,7 +40,7 @@ from millwatch.llm.words import slices, texts_of
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MOST_WORDS = 6_000_000  # about 25 bytes each
 UNKNOWN_PENALTY = 10.0
-MOST_CHARS = 64
+MOST_CHARS = 64  # of a word in the lattice
 GROUPS = 50_000
 KEEP = 150_000  # words a task remembers; only saves time
 BOUNDS = 1 << 15
@@ -84,7 +87,7 @@ class Pieces:
             return [word]
         out, start = [], 0
         for i in range(1, len(word)):
-            if word[i - 1 : i + 1] not in self.pairs or i - start == MOST_CHARS:
+            if word[i - 1 : i + 1] not in self.pairs:
                 out.append(word[start:i])
                 start = i
         out.append(word[start:])
@@ -106,6 +109,37 @@ class Pieces:
     def word_of(self, key: bytes) -> str:
         return (key[1:] if key[:1] == b" " else key if key[:1] == b"\n" else b" " + key).decode("utf-8", "replace")
 
+    @cached_property
+    def table(self) -> dict[str, int]:
+        return {piece: i for piece, i, _ in self.rows}
+
+    def long_path(self, word: str) -> bytes:
+        """The ids of the best segmentation as 32-bit numbers, by the rule of best_paths(), in time and memory linear in the word."""
+        ids, scores, unknown, n = self.table, self.scores, self.unknown, len(word)
+        ring = max(self.bounds) + 1
+        best = [0.0] * ring  # of the last places
+        last, chosen = array("i", [0]) * (n + 1), array("i", [0]) * (n + 1)
+        ending: list[list[tuple[int, int]]] = [[] for _ in range(ring)]  # (length, piece) of the edges to the next places
+        for j in range(n + 1):
+            if j:
+                edges = ending[j % ring]
+                _, last[j], chosen[j] = top = max((best[(j - k) % ring] + (unknown if i < 0 else scores[i]), k, i) for k, i in edges)
+                best[j % ring] = top[0]
+                edges.clear()
+            if j < n:
+                bound = min(self.bounds[zlib.crc32(word[j : j + 3].encode()) % BOUNDS], n - j)
+                ending[(j + 1) % ring].append((1, ids.get(word[j], -1)))
+                for k in range(2, bound + 1):
+                    i = ids.get(word[j : j + k])
+                    if i is not None:
+                        ending[(j + k) % ring].append((k, i))
+        out, j = array("i"), n
+        while j:
+            out.extend((chosen[j],) if chosen[j] >= 0 else [self.byte_ids[b] for b in reversed(word[j - 1].encode())])
+            j -= last[j]
+        out.reverse()
+        return out.tobytes()
+
     def spelled(self, word: str, path: list[int]) -> list[int]:
         """The ids of a path; a negative number stands for the character at that place, in bytes."""
         out: list[int] = []
@@ -120,14 +154,14 @@ def constant(values: list, kind: str) -> Column:
 
 
 def counted_words(docs: DataFrame, pieces: Pieces) -> DataFrame:
-    """(word, n): the distinct words of all texts, and how many batches of texts have them."""
+    """(word, n): the distinct words of all texts up to MOST_CHARS characters, and how many batches of texts have them."""
     cut, words, word_of = pieces.cut, pieces.words, pieces.word_of
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: set[bytes] = set()
 
         def send() -> pa.RecordBatch:
-            parts = {p for k in keys for p in cut(word_of(k))}
+            parts = {p for k in keys for p in cut(word_of(k)) if len(p) <= MOST_CHARS}
             keys.clear()
             return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.string())], names=["word"])
 
@@ -247,7 +281,7 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
         common = (grade >= least) if least is not None else F.lit(False)
         frequent, rare = encoded.where(common), encoded.where(~common).select("word", "path")
     sent = spark.sparkContext.broadcast(packed_words(frequent, pieces.spelled))
-    cut, words, word_of, spelled = pieces.cut, pieces.words, pieces.word_of, pieces.spelled
+    cut, words, word_of, spelled, long_path = pieces.cut, pieces.words, pieces.word_of, pieces.spelled, pieces.long_path
     base = docs.drop("ids")
 
     if rare is not None:
@@ -257,7 +291,7 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
             for batch in slices(batches, "text", SLICE):
                 rows, missing = [], []
                 for key, text in zip(batch.column("_row").to_pylist(), texts_of(batch), strict=True):
-                    parts = sorted({p for k in set(words(text)) for p in cut(word_of(k))})
+                    parts = sorted({p for k in set(words(text)) for p in cut(word_of(k)) if len(p) <= MOST_CHARS})
                     gone = [p for p, ids in zip(parts, find_words(sent.value, parts), strict=True) if ids is None]
                     rows += [key] * len(gone)
                     missing += gone
@@ -273,13 +307,13 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
         known: dict[bytes, bytes] = {}
 
         def learn(new: list[bytes], extra: dict[str, bytes], known: dict[bytes, bytes]) -> dict[bytes, bytes]:
-            """Ids of new keys; what only this text's own words give is returned, the rest becomes known."""
+            """Ids of new keys; those of long words and what only this text's own words give are returned, the rest becomes known."""
             own: dict[bytes, bytes] = {}
             parts = [cut(word_of(k)) for k in new]
-            flat = iter(find_words(sent.value, [p for x in parts for p in x]))
+            flat = iter(find_words(sent.value, [p for x in parts for p in x if len(p) <= MOST_CHARS]))
             for key, x in zip(new, parts, strict=True):
-                ids = [next(flat) for _ in x]
-                into = own if None in ids else known
+                ids = [next(flat) if len(p) <= MOST_CHARS else long_path(p) for p in x]
+                into = own if None in ids or (len(key) >= MOST_CHARS and max(map(len, x)) > MOST_CHARS) else known
                 into[key] = b"".join([i if i is not None else extra[p] for i, p in zip(ids, x, strict=True)])
             return own
 
@@ -287,8 +321,9 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
             names = batch.schema.names
             extras = batch.column("_extra").to_pylist() if "_extra" in names else [None] * batch.num_rows
             keys = [words(t) for t in texts_of(batch)]
+            own = {}
             if all_frequent:
-                learn(list(set().union(*keys).difference(known)), {}, known)
+                known.update(own := learn(list(set().union(*keys).difference(known)), {}, known))
             data = []
             for found, more in zip(keys, extras, strict=True):
                 ids = known
@@ -297,6 +332,9 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
                     own = learn([k for k in set(found) if k not in known], extra, known)
                     ids = known if not own else {k: own[k] if k in own else known[k] for k in set(found)}
                 data.append(b"".join([ids[k] for k in found]))
+            if all_frequent:
+                for key in own:
+                    del known[key]
             if len(known) > 2 * KEEP:  # those of the last texts are the likeliest to come again
                 known = {k: known[k] for k in set().union(*keys) if k in known}
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(d) // 4 for d in data])]).astype(np.int32))

@@ -257,6 +257,17 @@ def test_long_runs_are_cut_and_still_decode(documents):
     assert sentencepiece_lattice.encode(documents()).isEmpty()
 
 
+@pytest.mark.parametrize("most_words", [6_000_000, 0])
+def test_words_beyond_the_lattice_have_the_best_path(documents, most_words):
+    r = random.Random(6)
+    compound = "".join(r.choices(["inter", "national", "ization", "believ", "able", "schaft", "ungen", "pre", "é", "x"], k=400))
+    texts = [compound, f"a {compound[:101]} b {compound[:64]} {compound[:65]}", " " * 150 + "word", "=" * 333 + "日" * 90, "the " * 40 + "-" * 70, "\n" * 100, compound]
+    pieces = sentencepiece_lattice.Pieces(sentencepiece_lattice.MODEL)
+    rows = sentencepiece_lattice.decode(sentencepiece_lattice.encode(documents(*enumerate(texts)), most_words=most_words)).collect()
+    assert {r["doc_id"]: list(r["ids"]) for r in rows} == {i: best_path(t, pieces) for i, t in enumerate(texts)}
+    assert {r["doc_id"]: r["decoded"] for r in rows} == dict(enumerate(texts))
+
+
 # --- bloom ------------------------------------------------------------------------------------------
 
 
