@@ -7,14 +7,15 @@ suffix at the same place; it keeps 2 of about 100 suffixes.
 1. The hashes at the places are counted; a hash that occurs once belongs to no repeat. A Bloom filter of the
    others picks the suffixes that are sorted (the distinguishing step of a distributed string sort).
 2. Each task sorts its suffixes - the bytes after the place, then those before it, backwards - and sends the
-   sorted run, front-coded, cut at splitters. A task merges the pieces of its range with a loser tree that
+   sorted run, front-coded, cut at splitters; equal suffixes of a run are sent once, marked as several. A task merges the pieces of its range with a loser tree that
    carries common prefix lengths and never compares known prefixes again.
 3. In the merged order, neighbours with a common prefix of GRAM bytes or more form a group. All windows that
    contain the place are compared inside the group: by their bytes before and after the place, in batches of
    bounded size. Groups that a batch or a range border cuts leave their windows to a count in Spark.
-4. Bytes of windows found twice go. Texts that are equal as a whole go whole.
+4. What is found for a suffix goes back to all its places by a join on a hash of it.
+5. Bytes of windows found twice go. Texts that are equal as a whole go whole.
 
-Hashes of windows have 64 bits.
+Hashes of windows and of suffixes have 64 bits.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,6 +107,28 @@ def _segments(texts: list[bytes], length: int, gram: int, segment: int) -> Itera
         yield from flush()
 
 
+Suffix = tuple[bytes, int, int, int]  # key, bytes of it after the place, text, place
+
+
+def representatives(run: list[Suffix]) -> tuple[list[bytes], list[int], list[int]]:
+    """The distinct suffixes of a run in order, the bytes after their places, and 1 or, for several places, 2."""
+    keys: list[bytes] = []
+    rights: list[int] = []
+    many: list[int] = []
+    for key, right, *_ in sorted(set(run)):  # copies of one text give equal suffixes
+        if keys and right == rights[-1] and key == keys[-1]:
+            many[-1] = 2
+        else:
+            keys.append(key)
+            rights.append(right)
+            many.append(1)
+    return keys, rights, many
+
+
+def suffix_hash(key: bytes, right: int) -> int:
+    return xxhash.xxh3_64_intdigest(key, right)
+
+
 class Context:
     """How suffix keys are made and taken apart."""
 
@@ -166,8 +190,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     n_shared = shared.count()
     filled = Bloom(shared, n_shared)
 
-    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, int, int, int]]:
-        """(key, bytes of it after the place, text, place) of the suffixes that may be repeated."""
+    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[Suffix]:
+        """The suffixes that may be repeated."""
         for batch in slices(batches, "text"):
             p, data = batch.column("p").to_pylist(), texts_of(batch)
             for number, at, hashes in sampled(data, length, gram):
@@ -187,18 +211,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import bisect
 
-        def send(run: list[tuple[bytes, int, int, int]]) -> pa.RecordBatch:
-            run = sorted(set(run))  # copies of one text give equal suffixes
-            borders = [0, *(bisect.bisect_left(run, (s,)) for s in splitters), len(run)]
-            pieces = [(i, run[a:b]) for i, (a, b) in enumerate(zip(borders[:-1], borders[1:], strict=True)) if b > a]
-            coded = [front_coded([k for k, *_ in piece], make.width) for _, piece in pieces]
-            columns = [pa.array([i for i, _ in pieces], pa.int32())]
+        def send(run: list[Suffix]) -> pa.RecordBatch:
+            keys, rights, many = representatives(run)
+            borders = [0, *(bisect.bisect_left(keys, s) for s in splitters), len(keys)]
+            pieces = [(i, a, b) for i, (a, b) in enumerate(zip(borders[:-1], borders[1:], strict=True)) if b > a]
+            coded = [front_coded(keys[a:b], make.width) for _, a, b in pieces]
+            columns = [pa.array([i for i, _, _ in pieces], pa.int32())]
             columns += [pa.array([c[j] for c in coded], pa.binary()) for j in range(3)]
-            for j in (1, 2, 3):
-                columns.append(pa.array([np.array([x[j] for x in piece], np.int64).tobytes() for _, piece in pieces], pa.binary()))
-            return pa.RecordBatch.from_arrays(columns, names=["part", "shared", "lengths", "tails", "rights", "p", "at"])
+            for numbers, kind in ((rights, np.uint16), (many, np.uint8)):
+                columns.append(pa.array([np.array(numbers[a:b], kind).tobytes() for _, a, b in pieces], pa.binary()))
+            return pa.RecordBatch.from_arrays(columns, names=["part", "shared", "lengths", "tails", "rights", "many"])
 
-        run: list[tuple[bytes, int, int, int]] = []
+        run: list[Suffix] = []
         for suffix in suffixes(batches):
             run.append(suffix)
             if len(run) >= RUN:
@@ -207,10 +231,27 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         if run:
             yield send(run)
 
-    blocks = "part int, shared binary, lengths binary, tails binary, rights binary, p binary, at binary"
+    blocks = "part int, shared binary, lengths binary, tails binary, rights binary, many binary"
+
+    def owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(k, p, at): the hash of each suffix and its place."""
+
+        def send(run: list[Suffix]) -> pa.RecordBatch:
+            rows = sorted(set(run))
+            hashes = np.array([suffix_hash(key, right) for key, right, *_ in rows], np.uint64)
+            return pa.RecordBatch.from_arrays([pa.array(signed(hashes)), *(pa.array([x[j] for x in rows], pa.int64()) for j in (2, 3))], names=["k", "p", "at"])
+
+        run: list[Suffix] = []
+        for suffix in suffixes(batches):
+            run.append(suffix)
+            if len(run) >= RUN:
+                yield send(run)
+                run = []
+        if run:
+            yield send(run)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Repeated windows as (p, start, end); windows of cut groups as (p, start, end, hash, weight) besides."""
+        """(suffix, bytes before its place, after it) of repeated windows; windows of cut groups with hash and weight besides."""
         pieces: dict[int, list[dict]] = {}
         for batch in batches:
             for piece in batch.to_pylist():
@@ -219,29 +260,25 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield from merged_range(pieces.pop(part))
 
     def merged_range(pieces: list[dict]) -> Iterator[pa.RecordBatch]:
-        owners = [list(zip(*(np.frombuffer(piece[c], np.int64).tolist() for c in ("rights", "p", "at")), strict=True)) for piece in pieces]
-        taken = [0] * len(pieces)
+        owners = [zip(np.frombuffer(piece["rights"], np.uint16).tolist(), np.frombuffer(piece["many"], np.uint8).tolist(), strict=True) for piece in pieces]
         keys: list[bytes] = []
         rights: list[int] = []
+        weights: list[int] = []
         group: list[int] = []
-        items: list[tuple[int, int, int]] = []  # (number of the key, text, place)
         number, first_open = 0, True
 
         def compare(last_open: bool) -> pa.RecordBatch:
             """Windows of the batch; its first and last group are cut if so marked."""
-            r, g = np.array(rights, np.int64), np.array(group, np.int64)
-            own = np.array([k for k, _, _ in items], np.int64)
-            p, at = np.array([x for _, x, _ in items], np.int64), np.array([x for _, _, x in items], np.int64)
-            many = np.bincount(own, minlength=len(keys))
+            r, g, many = np.array(rights, np.int64), np.array(group, np.int64), np.array(weights, np.int64)
             sizes = np.bincount(g - g[0], weights=many)
             cut = np.zeros(len(keys), bool)
             cut |= (g == g[0]) & first_open
             cut |= (g == g[-1]) & last_open
             use = np.flatnonzero(cut | (sizes[g - g[0]] > 1))
             far_left, far_right = np.full(len(keys), -1, np.int64), np.full(len(keys), -1, np.int64)
-            open_p, open_start, open_hash, open_weight = [], [], [], []
-            first_item = np.full(len(keys), len(items), np.int64)
-            np.minimum.at(first_item, own, np.arange(len(items)))
+            hashed = np.zeros(len(keys), np.uint64)
+            hashed[use] = [suffix_hash(keys[i], rights[i]) for i in use]
+            open_key, open_before, open_hash, open_weight = [], [], [], []
             if len(use):
                 for before, hashes, has in make.window_hashes([keys[i] for i in use], r[use]):
                     mine = use[has]
@@ -255,45 +292,43 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     heads[np.unique(inverse, return_index=True)[1]] = True
                     sent = lone_cut | (heads & (total > 1) & cut[mine])
                     if sent.any():
-                        who = first_item[mine[sent]]
-                        open_p.append(p[who])
-                        open_start.append(at[who] - before)
+                        open_key.append(hashed[mine[sent]])
+                        open_before.append(np.full(int(sent.sum()), before, np.int64))
                         open_hash.append(signed(mix(hashes[has][sent] + np.uint64(before))))
                         open_weight.append(np.minimum(total[sent], 2).astype(np.int32))
-            hit = far_left[own] >= 0
-            n_open = sum(map(len, open_p))
+            hit = far_left >= 0
+            known, n_open = int(hit.sum()), sum(map(len, open_key))
             empty = np.empty(0, np.int64)
-            starts = np.concatenate([at[hit] - far_left[own[hit]], *open_start, empty]).astype(np.int64)
-            ends = np.concatenate([at[hit] + far_right[own[hit]], *(s + length for s in open_start), empty]).astype(np.int64)
-            known = int(hit.sum())
+            lefts = np.concatenate([far_left[hit], *open_before, empty])
+            afters = np.concatenate([far_right[hit], *(length - before for before in open_before), empty])
             hashes = pa.array(np.concatenate([np.zeros(known, np.int64), *open_hash, empty]).astype(np.int64), mask=np.arange(known + n_open) < known)
-            weights = pa.array(np.concatenate([np.full(known, 2, np.int32), *open_weight]).astype(np.int32))
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([p[hit], *open_p, empty]).astype(np.int64)), pa.array(starts), pa.array(ends), hashes, weights], names=["p", "first", "last", "w", "weight"])
+            found = pa.array(np.concatenate([np.full(known, 2, np.int32), *open_weight]).astype(np.int32))
+            return pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate([hashed[hit], *open_key]))), pa.array(lefts), pa.array(afters), hashes, found], names=["k", "before", "after", "w", "weight"])
 
         decoders = [decoded(piece["shared"], piece["lengths"], piece["tails"]) for piece in pieces]
         for prefix, key, run in merged(decoders):
-            right, p, at = owners[run][taken[run]]
-            taken[run] += 1
+            right, many = next(owners[run])
+            if keys and prefix == len(key) == len(keys[-1]) and right == rights[-1]:
+                weights[-1] += many
+                continue
             if prefix < gram:
                 number += 1
-                if len(items) >= BATCH:
-                    yield compare(False)
-                    keys, rights, group, items, first_open = [], [], [], [], False
-            elif len(items) >= BATCH and not (keys and prefix == len(key) == len(keys[-1]) and right == rights[-1]):
-                yield compare(True)
-                keys, rights, group, items, first_open = [], [], [], [], True
-            if not (keys and prefix == len(key) == len(keys[-1]) and right == rights[-1]):
-                keys.append(key)
-                rights.append(right)
-                group.append(number)
-            items.append((len(keys) - 1, p, at))
-        if items:
+            if len(keys) >= BATCH:
+                yield compare(prefix >= gram)
+                keys, rights, weights, group, first_open = [], [], [], [], prefix >= gram
+            keys.append(key)
+            rights.append(right)
+            weights.append(many)
+            group.append(number)
+        if keys:
             yield compare(True)
 
     sorted_runs = texts.mapInArrow(runs, blocks).repartition(max(1, len(splitters) + 1), "part")
-    found = stored(sorted_runs.mapInArrow(merge, "p bigint, first bigint, last bigint, w bigint, weight int"))
+    found = stored(sorted_runs.mapInArrow(merge, "k bigint, before bigint, after bigint, w bigint, weight int"))
     twice = found.where("w IS NOT NULL").groupBy("w").agg(F.sum("weight").alias("total")).where("total > 1").select("w")
-    spans = found.where("w IS NULL").select("p", "first", "last").unionByName(found.where("weight = 1").join(twice, "w").select("p", "first", "last"))
+    judged = found.where("w IS NULL").select("k", "before", "after").unionByName(found.where("weight = 1").join(twice, "w").select("k", "before", "after"))
+    judged = stored(judged.groupBy("k").agg(F.max("before").alias("before"), F.max("after").alias("after")))  # windows of a place overlap there
+    spans = texts.mapInArrow(owned, "k bigint, p bigint, at bigint").join(judged, "k").select("p", (F.col("at") - F.col("before")).alias("first"), (F.col("at") + F.col("after")).alias("last"))
     spans = stored(spans.join(copied.select("p"), "p", "left_anti").groupBy("p").agg(F.collect_set(F.struct("first", "last")).alias("spans")))
     touched = Bloom(spans.select(F.col("p").alias("h")), spans.count())
 
@@ -322,8 +357,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     touched_texts = texts.select("p", "text").mapInArrow(only_touched, "p bigint, text string")
     cuts = touched_texts.join(spans, "p").select("p", "text", "spans").mapInArrow(cut, "p bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, kept_text string").dropDuplicates(["p"])
     whole = F.col("copies").isNotNull()
-    judged = facts.join(copied.drop("p"), "whole_sha256", "left").join(cuts, "p", "left")
-    return judged.select(
+    rated = facts.join(copied.drop("p"), "whole_sha256", "left").join(cuts, "p", "left")
+    return rated.select(
         "doc_id",
         "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("bigint").alias("n_removed"),

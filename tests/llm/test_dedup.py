@@ -104,6 +104,16 @@ def test_a_repeat_inside_one_text_longer_than_a_segment(documents):
     assert row["kept_text"] == f"{some[0]}12{some[1]}34{some[2]}"
 
 
+def test_a_passage_of_many_texts_is_sent_once_in_a_run(documents):
+    hot = [(b"k" * 300, 200, p, at) for p in range(500) for at in (7, 7)]
+    assert suffix_dedup.representatives([*hot, (b"a" * 300, 200, 1, 9), (b"a" * 300, 200, 1, 9)]) == ([b"a" * 300, b"k" * 300], [200, 200], [1, 2])
+    r = random.Random(7)
+    passage = " ".join(r.choices(WORDS, k=150))
+    rows = [(i, f"{' '.join(r.choices(WORDS, k=60))} {passage} {' '.join(r.choices(WORDS, k=60))}") for i in range(120)]
+    got = suffix_dedup.remove_repeats(documents(*rows)).collect()
+    assert Counter(tuple(x[i] for i in range(5)) for x in got) == Counter(removed_bytes(rows, 200))
+
+
 def test_segments_of_a_text_give_the_places_of_the_whole(documents):
     r = random.Random(5)
     texts = [bytes(r.choices(b"abcd", k=k)) for k in (10, 5000, 30, 299, 4000)]
