@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwatch.llm import decontamination, html_extraction, ngram_jaccard, oracles, quality_classifier, quality_rules, sentencepiece_lattice, sharding, substring_dedup, suffix_dedup, url_filter
+from millwatch.llm import decontamination, html_extraction, ngram_jaccard, oracles, quality_classifier, quality_rules, sentencepiece_lattice, sharding, substring_dedup, suffix_dedup, token_alignment, url_filter, word_bpe
 from millwatch.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.found_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the groups and links of its tokens under two tokenizers."""
+    aligned = token_alignment.align(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
+@query
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by the word BPE and decoded again."""
+    decoded = word_bpe.decode(word_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    ids = F.array_join("ids", " ")
+    return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 ORACLES["op3_ngram_jaccard"] = r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
