@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwatch.llm import decontamination, html_extraction, ngram_jaccard, oracles, quality_classifier, quality_rules, sentencepiece_lattice, sharding, substring_dedup, suffix_dedup, token_alignment, url_filter, word_bpe
+from millwatch.llm import decontamination, embedding_whitening, html_extraction, ngram_jaccard, oracles, quality_classifier, quality_rules, sentencepiece_lattice, sharding, substring_dedup, suffix_dedup, token_alignment, url_filter, word_bpe
 from millwatch.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,12 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
 
 
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable embedding projected on the 16 leading components, each of unit variance."""
+    return embedding_whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by the word BPE and decoded again."""
