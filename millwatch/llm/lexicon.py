@@ -43,8 +43,15 @@ class Lexicon:
         out[order[found]] = total[found]
         return out
 
-    def ids_of(self, number: int) -> list[int]:
-        return self.ids[self.offsets[number] : self.offsets[number + 1]].tolist()
+    def packed(self, words: list[bytes]) -> list[bytes | None]:
+        """The ids of each word as 32-bit numbers, None where it is not in the lexicon."""
+        numbers = self.numbers(words)
+        starts, stops = self.offsets[numbers], self.offsets[numbers + 1]
+        sizes = np.where(numbers >= 0, stops - starts, 0)
+        ends = np.cumsum(sizes)
+        flat = self.ids[np.repeat(starts - (ends - sizes), sizes) + np.arange(int(sizes.sum()))].astype(np.int32).tobytes()
+        ends = (4 * ends).tolist()
+        return [flat[a:b] if n >= 0 else None for n, a, b in zip(numbers.tolist(), [0, *ends], ends)]
 
 
 def compiled(entries: Iterable[tuple[bytes, list[int]]]) -> np.ndarray:

@@ -2,7 +2,8 @@
 
 The model file (tokenizers, JSON) is read where the job is set up: its vocabulary, merges and special strings. A text is
 cut at the special strings; what lies between is composed (NFC), lower-cased character by character and split into words;
-white space is dropped. The words of all texts are counted. Those that occur most, at most MOST_WORDS, are merged and
+white space is dropped. All of this can be done run by run of what lies between white space, so a run is split once in a
+task however often it occurs. The words of all texts are counted. Those that occur most, at most MOST_WORDS, are merged and
 compiled into a minimal acyclic transducer, which Spark sends to every executor as a file and every task maps into its
 memory. A word it lacks is merged where it stands: the merge of lowest rank first, of equal ones the leftmost.
 
@@ -20,6 +21,7 @@ import re
 import tempfile
 import unicodedata
 import uuid
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
@@ -36,10 +38,10 @@ from millwatch.llm.shared import ship, stored
 from millwatch.llm.words import slices, texts_of
 
 MODEL = "/opt/tokenizers/word_bpe_49k.json"
-MOST_WORDS = 100_000
+MOST_WORDS = 400_000
 MOST_BYTES = 64  # of a word in the lexicon
 SLICE = 4 << 20  # bytes of texts looked at together
-KEEP = 300_000  # words a task counts or remembers at once; only saves time
+KEEP = 600_000  # runs a task counts or remembers at once; only saves time
 SHORT = 48  # symbols up to which a list is searched instead of a heap
 _ID, _NONE = 20, 1 << 62  # bits of an id; no merge
 
@@ -88,7 +90,7 @@ class WordBpe:
         self._library = None
 
     def words(self, text: bytes) -> list[bytes]:
-        """The words of a text, UTF-8; a special string is a word that begins with a space."""
+        """The words of a text or of a run of it, UTF-8; a special string is a word that begins with a space."""
         if b"<|" not in text:
             return self._plain_words(text)
         pattern = "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True))
@@ -166,19 +168,22 @@ def counted_words(docs: DataFrame, bpe: WordBpe) -> DataFrame:
     words = bpe.words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
+        runs: Counter[bytes] = Counter()
 
         def send() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-            counts.clear()
-            return out
+            counts: dict[bytes, int] = {}
+            for run, n in runs.items():
+                for word in words(run):
+                    counts[word] = counts.get(word, 0) + n
+            runs.clear()
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
         for batch in slices(batches, "text", SLICE):
             for text in texts_of(batch):
-                counts.update(words(text))
-                if len(counts) > KEEP:
+                runs.update(text.split())
+                if len(runs) > KEEP:
                     yield send()
-        if counts:
+        if runs:
             yield send()
 
     return docs.select("text").mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
@@ -204,10 +209,16 @@ def lexicon_file(docs: DataFrame, bpe: WordBpe, most_words: int) -> str:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = batch.column("word").to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array([merged(w) for w in words], pa.list_(pa.int32()))], names=["word", "ids"])
-
-    frequent = frequent_words(stored(counted_words(docs, bpe)), most_words).mapInArrow(run, "word binary, ids array<int>")
-    entries = sorted((bytes(r["word"]), list(r["ids"])) for r in frequent.toLocalIterator())
+            ids = [merged(w) for w in words]
+            columns = b"\n".join(words), np.array(list(map(len, ids)), np.int32).tobytes(), np.array([i for x in ids for i in x], np.int32).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], names=["words", "sizes", "ids"])
+
+    frequent = frequent_words(stored(counted_words(docs, bpe)), most_words)
+    entries = []
+    for block in frequent.mapInArrow(run, "words binary, sizes binary, ids binary").toLocalIterator():
+        stops, ids = np.cumsum(np.frombuffer(block["sizes"], np.int32)).tolist(), np.frombuffer(block["ids"], np.int32).tolist()
+        entries += [(w, ids[a:b]) for w, a, b in zip(bytes(block["words"]).split(b"\n"), [0, *stops], stops)]
+    entries.sort()
     name = f"lexicon-{uuid.uuid4().hex}.npy"
     path = os.path.join(tempfile.mkdtemp(), name)
     np.save(path, compiled(entries))
@@ -227,16 +238,24 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, lexicon = sent.value, Lexicon(np.load(SparkFiles.get(name), mmap_mode="r"))
-        known: dict[bytes, bytes] = {}  # ids as 32-bit numbers
+        known: dict[bytes, bytes] = {}  # ids of runs as 32-bit numbers
+        merged: dict[bytes, bytes] = {}  # of words that the lexicon lacks
 
         for batch in slices(batches, "text", SLICE):
-            words = [bpe.words(t) for t in texts_of(batch)]
+            runs = [t.split() for t in texts_of(batch)]
             if len(known) > KEEP:
                 known.clear()
-            new = list(set().union(*words).difference(known))
-            for word, number in zip(new, lexicon.numbers(new).tolist(), strict=True):
-                known[word] = np.array(lexicon.ids_of(number) if number >= 0 else bpe.merged(word), np.int32).tobytes()
-            data = [b"".join(map(known.__getitem__, w)) for w in words]
+                merged.clear()
+            new = list(set().union(*runs).difference(known))
+            words = [bpe.words(x) for x in new]
+            wanted = list(set().union(*words).difference(merged))
+            found = dict(zip(wanted, lexicon.packed(wanted)))
+            for word in [w for w, ids in found.items() if ids is None]:
+                del found[word]
+                merged[word] = array("i", bpe.merged(word)).tobytes()
+            for x, parts in zip(new, words, strict=True):
+                known[x] = b"".join([found[w] if w in found else merged[w] for w in parts])
+            data = [b"".join(map(known.__getitem__, x)) for x in runs]
             offsets = np.concatenate([[0], np.cumsum([len(d) // 4 for d in data])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(data), np.int32)))
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in columns), ids], names=[*(f.name for f in columns), "ids"])

@@ -20,9 +20,9 @@ def test_lexicon_holds_its_words_and_no_others():
     lexicon = Lexicon(compiled(zip(words, ids)))
     numbers = lexicon.numbers(words)
     assert numbers.tolist() == list(range(len(words)))
-    assert [lexicon.ids_of(n) for n in numbers] == ids
+    assert [np.frombuffer(x, np.int32).tolist() for x in lexicon.packed(words)] == ids
     others = [w + b"a" for w in words if w + b"a" not in set(words)] + [b"", b"zz", b"a" * 100]
-    assert set(lexicon.numbers(others).tolist()) == {-1}
+    assert set(lexicon.numbers(others).tolist()) == {-1} and set(lexicon.packed(others)) == {None}
     assert Lexicon(compiled([])).numbers([b"a"]).tolist() == [-1]
 
 
