@@ -3,15 +3,17 @@
 A space is put before each text, as the model's normaliser does, and stands for the piece table's U+2581. Texts are
 cut into words: a run of spaces with the run of other characters after it, and again wherever no piece holds the two
 characters around a place. No piece crosses these cuts, so the best segmentation of a text is that of its
-words. Words of more than MOST_CHARS characters, for which an array of paths would grow with the square of the
-length, are segmented where their text is read, by the same rule with back pointers; they are cut nowhere else.
+words, whatever their length.
 
-1. The distinct words are counted. Every substring of a word, up to the longest piece with its first three
-   characters, is exploded and equi-joined to the piece table; a single character without a piece gets an edge with the score of an unknown one, to
-   be spelled in byte pieces. The edges are grouped by word (rows keep the partitioning by word, so nothing is
+1. The distinct words are counted. From each place of a word the substrings up to the longest piece with the same first
+   three characters are exploded and equi-joined to the piece table; a single character without a piece gets an edge with the score of an
+   unknown one, to be spelled in byte pieces. The edges are grouped by word (rows keep the partitioning by word, so nothing is
    shuffled again) and folded with `aggregate`: the best score and path up to each character. Of equal scores the longer last piece wins.
-2. Words go back into the texts in order. The most frequent MOST_WORDS words travel as one compact broadcast; words
-   beyond that bound are joined to the documents that have them.
+2. A word of more than MOST_CHARS characters is named by its hash and goes in chunks of CHUNK characters: edges are grouped
+   by word and chunk, and the fold over the chunks hands on the scores of the last places, as many as a piece is long. It keeps
+   back pointers instead of paths, so work and memory are linear in the word.
+3. Words go back into the texts in order. The most frequent ones, MOST_WORDS in all (a long word counts as
+   several), travel as one compact broadcast; words beyond that bound are joined to the documents that have them.
 
 Decoding joins the pieces' bytes and drops the first space. It restores every text exactly: U+2581 and line breaks
 in a text are spelled in bytes.
@@ -19,13 +21,12 @@ in a text are spelled in bytes.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
-from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from functools import cached_property
 from operator import add
 
 import numpy as np
@@ -34,17 +35,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwatch.llm.shared import stored
+from millwatch.llm.shared import free_names, release, ship, stored
 from millwatch.llm.words import slices, texts_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MOST_WORDS = 6_000_000  # about 25 bytes each
 UNKNOWN_PENALTY = 10.0
-MOST_CHARS = 64  # of a word in the lattice
-GROUPS = 50_000
+MOST_CHARS = 64  # of a word that is its own key and is folded in one go
+CHUNK = 32  # characters of a longer word folded together
+GROUPS = 20_000
 KEEP = 150_000  # words a task remembers; only saves time
-BOUNDS = 1 << 15
-SLICE = 2 << 20  # bytes of texts looked at together
+BUCKETS = 1 << 15
+UNKNOWN = 1 << 30  # plus the code point: a character without a piece
+SLICE = 1 << 20  # bytes of texts looked at together
 _WORD = re.compile(rb" *[^ \n]+| +|\n+")
 
 
@@ -73,24 +76,24 @@ class Pieces:
             raise ValueError("a piece crosses the words: spaces may only begin a piece")
         self.pairs = frozenset(p[i : i + 2] for p, _, _ in self.rows for i in range(len(p) - 1))
         self.scores = [0.0] * size
-        self.bounds = [2] * BOUNDS  # the longest piece by a hash of its first three characters
-        for p, i, score in self.rows:
+        self.bounds = sorted({len(p) for p, _, _ in self.rows})  # the lengths pieces have
+        for _, i, score in self.rows:
             self.scores[i] = score
-            if len(p) > 2:
-                at = zlib.crc32(p[:3].encode()) % BOUNDS
-                self.bounds[at] = max(self.bounds[at], len(p))
         self.unknown = min(s for _, _, s in self.rows) - UNKNOWN_PENALTY
 
     def cut(self, word: str) -> list[str]:
         """The parts of a word between places that no piece covers."""
-        if len(word) <= MOST_CHARS and self.pairs.issuperset(map(add, word, word[1:])):
-            return [word]
-        out, start = [], 0
-        for i in range(1, len(word)):
-            if word[i - 1 : i + 1] not in self.pairs:
-                out.append(word[start:i])
-                start = i
-        out.append(word[start:])
+        pairs = self.pairs
+        places = [i for i, pair in enumerate(map(add, word, word[1:]), 1) if pair not in pairs]
+        return [word[a:b] for a, b in zip([0, *places], [*places, len(word)])] if places else [word]
+
+    def longest_by_start(self) -> list[int]:
+        """The longest piece, by a hash of its first three characters."""
+        out = [2] * BUCKETS
+        for p, _, _ in self.rows:
+            if len(p) > 2:
+                at = zlib.crc32(p[:3].encode()) % BUCKETS
+                out[at] = max(out[at], len(p))
         return out
 
     def words(self, text: bytes) -> list[bytes]:
@@ -109,43 +112,22 @@ class Pieces:
     def word_of(self, key: bytes) -> str:
         return (key[1:] if key[:1] == b" " else key if key[:1] == b"\n" else b" " + key).decode("utf-8", "replace")
 
-    @cached_property
-    def table(self) -> dict[str, int]:
-        return {piece: i for piece, i, _ in self.rows}
-
-    def long_path(self, word: str) -> bytes:
-        """The ids of the best segmentation as 32-bit numbers, by the rule of best_paths(), in time and memory linear in the word."""
-        ids, scores, unknown, n = self.table, self.scores, self.unknown, len(word)
-        ring = max(self.bounds) + 1
-        best = [0.0] * ring  # of the last places
-        last, chosen = array("i", [0]) * (n + 1), array("i", [0]) * (n + 1)
-        ending: list[list[tuple[int, int]]] = [[] for _ in range(ring)]  # (length, piece) of the edges to the next places
-        for j in range(n + 1):
-            if j:
-                edges = ending[j % ring]
-                _, last[j], chosen[j] = top = max((best[(j - k) % ring] + (unknown if i < 0 else scores[i]), k, i) for k, i in edges)
-                best[j % ring] = top[0]
-                edges.clear()
-            if j < n:
-                bound = min(self.bounds[zlib.crc32(word[j : j + 3].encode()) % BOUNDS], n - j)
-                ending[(j + 1) % ring].append((1, ids.get(word[j], -1)))
-                for k in range(2, bound + 1):
-                    i = ids.get(word[j : j + k])
-                    if i is not None:
-                        ending[(j + k) % ring].append((k, i))
-        out, j = array("i"), n
-        while j:
-            out.extend((chosen[j],) if chosen[j] >= 0 else [self.byte_ids[b] for b in reversed(word[j - 1].encode())])
-            j -= last[j]
-        out.reverse()
-        return out.tobytes()
-
-    def spelled(self, word: str, path: list[int]) -> list[int]:
-        """The ids of a path; a negative number stands for the character at that place, in bytes."""
-        out: list[int] = []
-        for i in path:
-            out.extend([i] if i >= 0 else (self.byte_ids[b] for b in word[-i - 1].encode()))
-        return out
+    def spelled(self, path: list[int]) -> list[int]:
+        """The ids of a path: its pieces in order, or back pointers (length * 2^32 + piece), which are followed from the last one."""
+        if path[0] >> 32:
+            pointers, path, j = path, [], len(path)
+            while j:
+                path.append(pointers[j - 1] & 0xFFFFFFFF)
+                j -= pointers[j - 1] >> 32
+            path.reverse()
+        if max(path) < UNKNOWN:
+            return path
+        return [i for last in path for i in ([last] if last < UNKNOWN else [self.byte_ids[b] for b in chr(last - UNKNOWN).encode()])]
+
+
+def key_of(word: str) -> str:
+    """What names a word in tables: itself, or its hash after a line break, which no word of several kinds of characters begins with."""
+    return word if len(word) <= MOST_CHARS else "\n" + hashlib.sha256(word.encode()).hexdigest()
 
 
 def constant(values: list, kind: str) -> Column:
@@ -154,73 +136,112 @@ def constant(values: list, kind: str) -> Column:
 
 
 def counted_words(docs: DataFrame, pieces: Pieces) -> DataFrame:
-    """(word, n): the distinct words of all texts up to MOST_CHARS characters, and how many batches of texts have them."""
+    """(word, n, size): the distinct words of all texts, how many batches of texts have them, and their length.
+
+    The length is an aggregate, so a filter on it stays above the shuffle, which all readers of the words then share.
+    """
     cut, words, word_of = pieces.cut, pieces.words, pieces.word_of
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: set[bytes] = set()
 
         def send() -> pa.RecordBatch:
-            parts = {p for k in keys for p in cut(word_of(k)) if len(p) <= MOST_CHARS}
+            parts = {p for k in keys for p in cut(word_of(k))}
             keys.clear()
             return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.string())], names=["word"])
 
         for batch in slices(batches, "text", SLICE):
             for text in texts_of(batch):
                 keys.update(words(text))
-            if len(keys) > 2 * KEEP:
+            if len(keys) > KEEP:
                 yield send()
         if keys:
             yield send()
+        release()
 
-    return docs.select("text").mapInArrow(run, "word string").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return docs.select("text").mapInArrow(run, "word string").groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("word")).alias("size"))
 
 
-def best_paths(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """(word, n, path): the best segmentation of each word, by the lattice.
+def edges_of(places: DataFrame, pieces: Pieces, *keep: str) -> DataFrame:
+    """(key, *keep, at, edge): the lattice. `places` has key, off, text: characters of a word after the first `off`.
 
-    An edge is one number: its end, its length and its piece. The fold goes from character to character: among the
-    edges that end there it takes the best score, of equal ones the longest piece.
+    Edges start at the first CHUNK characters of longer texts, else at all. `at` is the place of the edge's last character
+    in its word, counted from zero. An edge is one number: the place of its end in its chunk, its length and its piece.
     """
-    spark = words.sparkSession
-    table = spark.createDataFrame([(p, i) for p, i, _ in pieces.rows], "piece string, id int")
-    word, bounds = F.col("word"), constant(pieces.bounds, "int")
-
-    starts = words.select("word", "n", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("start"))
-    starts = starts.withColumn("rest", F.substr(word, F.col("start"), F.lit(max(pieces.bounds))))
-    bound = F.get(bounds, F.pmod(F.crc32(F.left("rest", F.lit(3))), F.lit(BOUNDS)).cast("int"))
-    ended = starts.select("word", "n", "start", "rest", F.explode(F.sequence(F.lit(1), F.least(bound, F.length("rest")))).alias("len"))
-    substrings = ended.select("word", "n", (F.col("start") + F.col("len") - 1).alias("last"), "len", F.left("rest", F.col("len")).alias("piece"))
+    table = places.sparkSession.createDataFrame([(p, i) for p, i, _ in pieces.rows], "piece string, id int")
+    longest = F.get(constant(pieces.longest_by_start(), "int"), F.pmod(F.crc32(F.left("rest", F.lit(3))), F.lit(BUCKETS)).cast("int"))
+    count = F.when(F.length("text") <= MOST_CHARS, F.length("text")).otherwise(CHUNK)
+    starts = places.select("key", *keep, "off", "text", F.explode(F.sequence(F.lit(1), count)).alias("start"))
+    starts = starts.withColumn("rest", F.substr("text", F.col("start"), F.lit(pieces.bounds[-1])))
+    ended = starts.select("key", *keep, "off", "start", "rest", F.explode(F.sequence(F.lit(1), F.least(longest, F.length("rest")))).alias("len"))
+    substrings = ended.select("key", *keep, (F.col("off") + F.col("start") + F.col("len") - 2).alias("at"), "len", F.left("rest", F.col("len")).alias("piece"))
     edges = substrings.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR len = 1")
-    edge = F.col("last").cast("bigint") * 2**40 + F.col("len") * 2**32 + F.coalesce(F.col("id") + 1, F.lit(0))
-    lattice = edges.groupBy("word").agg(F.first("n").alias("n"), F.collect_list(edge).alias("edges"))
-    length, piece = "int(shiftright(e, 32) & 255)", "int(e & 4294967295) - 1"
-    begin = "array(named_struct('score', 0D, 'len', 0, 'path', cast(array() AS array<int>)))"
-    before = f"get(best, j - {length})"
-    score = f"{before}.score + if({piece} < 0, {pieces.unknown}D, get(scores, {piece}))"
-    path = f"array_append({before}.path, if({piece} < 0, -j, {piece}))"
-    ending = f"transform(filter(edges, e -> shiftright(e, 40) = j), e -> named_struct('score', {score}, 'len', {length}, 'path', {path}))"
-    fold = f"aggregate(sequence(1, length(word)), {begin}, (best, j) -> array_append(best, array_max({ending})), best -> get(best, length(word)).path)"
-    return lattice.withColumn("scores", constant(pieces.scores, "double")).select("word", "n", F.expr(fold).alias("path"))
+    return edges.select("key", *keep, "at", "len", F.coalesce(F.col("id"), UNKNOWN + F.ascii("piece")).alias("last"))
+
+
+def packed_edge(chunk: int) -> Column:
+    """(place of the end in its chunk) * 2^40 + length * 2^32 + piece."""
+    return (F.col("at") % chunk + 1).cast("bigint") * 2**40 + F.col("len") * 2**32 + F.col("last")
+
+
+def best_paths(words: DataFrame, pieces: Pieces) -> DataFrame:
+    """(word, n, path): the best segmentation of each word, by the lattice; `word` is its key, spelled() reads the path.
+
+    The fold goes from character to character: among the edges that end there it takes the best score, of equal ones
+    the longest piece.
+    """
+    length, last = "int(shiftright(e, 32) & 255)", "int(e & 4294967295)"
+    score = f"get(best, size(best) - {length}).score + if({last} >= {UNKNOWN}, {pieces.unknown}D, get(scores, {last}))"
+    begin = "array(named_struct('score', 0D, 'len', 0, 'last', 0))"
+
+    def step(edges: str) -> str:
+        ending = f"transform(filter({edges}, e -> shiftright(e, 40) = j), e -> named_struct('score', {score}, 'len', {length}, 'last', {last}))"
+        return f"(best, j) -> array_append(best, array_max({ending}))"
+
+    def pointers(places: str) -> str:
+        return f"transform({places}, b -> bigint(b.len) * 4294967296 + b.last)"
+
+    scores = constant(pieces.scores, "double")
+    short = words.where(F.col("size") <= MOST_CHARS).select(F.col("word").alias("key"), "n", F.lit(0).alias("off"), F.col("word").alias("text"))
+    lattice = edges_of(short, pieces, "n").groupBy("key").agg(F.first("n").alias("n"), F.collect_list(packed_edge(MOST_CHARS)).alias("edges"))
+    start = "array(named_struct('score', 0D, 'len', 0, 'path', cast(array() AS array<bigint>)))"  # such words are short enough to carry paths
+    before, last_piece = f"get(best, j - {length})", "e & 4294967295"
+    sum_ = f"{before}.score + if({last} >= {UNKNOWN}, {pieces.unknown}D, get(scores, {last}))"
+    ending = f"transform(filter(edges, e -> shiftright(e, 40) = j), e -> named_struct('score', {sum_}, 'len', {length}, 'path', array_append({before}.path, {last_piece})))"
+    fold = f"aggregate(sequence(1, length(key)), {start}, (best, j) -> array_append(best, array_max({ending})), best -> get(best, length(key)).path)"
+    folded = lattice.withColumn("scores", scores).select(F.col("key").alias("word"), "n", F.expr(fold).alias("path"))
+
+    most = pieces.bounds[-1]
+    chunks = f"transform(sequence(0, (length(word) - 1) div {CHUNK}), c -> named_struct('off', c * {CHUNK}, 'text', rpad(substr(word, c * {CHUNK} + 1, {CHUNK + most - 1}), {MOST_CHARS + most}, '\0')))"
+    name = F.concat(F.lit("\n"), F.sha2("word", 256))
+    long = words.where(F.col("size") > MOST_CHARS).select(name.alias("key"), "n", "size", F.explode(F.expr(chunks)).alias("c"))
+    parts = edges_of(long.select("key", "n", "size", "c.*"), pieces, "n", "size").where(F.col("at") < F.col("size"))
+    by_chunk = parts.groupBy("key", F.floor(F.col("at") / CHUNK).alias("chunk")).agg(F.first("n").alias("n"), F.max(F.col("at") % CHUNK + 1).alias("size"), F.collect_list(packed_edge(CHUNK)).alias("edges"))
+    whole = by_chunk.groupBy("key").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("chunk", "size", "edges"))).alias("chunks"))
+    out = pointers("slice(best, size(acc.window) + 1, c.size)")
+    after = f"best -> named_struct('window', slice(best, greatest(1, size(best) - {most - 1}), {most}), 'out', array_append(acc.out, {out}))"
+    chunk = f"(acc, c) -> aggregate(sequence(1, c.size), acc.window, {step('c.edges')}, {after})"
+    fold = f"aggregate(chunks, named_struct('window', {begin}, 'out', cast(array() AS array<array<bigint>>)), {chunk}, acc -> flatten(acc.out))"
+    return folded.unionByName(whole.withColumn("scores", scores).select(F.col("key").alias("word"), "n", F.expr(fold).alias("path")))
 
 
 Words = tuple[np.ndarray, np.ndarray, np.ndarray]  # sorted 64-bit hashes, ends of their ids, joined ids
 
 
-def packed_words(encoded: DataFrame, spell: Callable[[str, list[int]], list[int]]) -> Words:
+def packed_words(encoded: DataFrame, spell: Callable[[list[int]], list[int]]) -> Words:
     """Words and their ids in compact form: what travels to the tasks."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = batch.column("word").to_pylist()
-            ids = [spell(w, p) for w, p in zip(words, batch.column("path").to_pylist(), strict=True)]
+            ids = [spell(p) for p in batch.column("path").to_pylist()]
             keys = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
             flat = np.array([i for x in ids for i in x], np.int32)
-            columns = [keys.tobytes(), np.array([len(x) for x in ids], np.uint16).tobytes(), flat.tobytes()]
+            columns = [keys.tobytes(), np.array([len(x) for x in ids], np.uint32).tobytes(), flat.tobytes()]
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], names=["keys", "lengths", "ids"])
 
     blocks = encoded.select("word", "path").mapInArrow(pack, "keys binary, lengths binary, ids binary")
-    parts = [(np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["lengths"], np.uint16), np.frombuffer(r["ids"], np.int32)) for r in blocks.toLocalIterator()]
+    parts = [(np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["lengths"], np.uint32), np.frombuffer(r["ids"], np.int32)) for r in blocks.toLocalIterator()]
     keys = np.concatenate([np.empty(0, np.uint64), *(p[0] for p in parts)])
     lengths = np.concatenate([np.empty(0, np.int64), *(p[1] for p in parts)]).astype(np.int64)
     ids = np.concatenate([np.empty(0, np.int32), *(p[2] for p in parts)])
@@ -266,80 +287,82 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
     Null and empty texts have no ids. Repeated rows are encoded each. An empty table gives an empty result.
     """
     spark: SparkSession = docs.sparkSession
+    ship(spark)
     pieces = Pieces(model)
     with many_groups(spark):
         encoded = stored(best_paths(counted_words(docs, pieces), pieces))
     frequent, rare = encoded, None
-    if encoded.count() > most_words:
+    room = F.sum(1 + F.floor(F.size("path") / MOST_CHARS)).alias("room")
+    if (encoded.agg(room).first()["room"] or 0) > most_words:
         grade = F.floor(8 * F.log2("n"))
         kept, least = 0, None
-        for row in encoded.groupBy(grade.alias("grade")).count().orderBy(F.desc("grade")).collect():  # a few hundred rows at most
-            kept += row["count"]
+        for row in encoded.groupBy(grade.alias("grade")).agg(room).orderBy(F.desc("grade")).collect():  # a few hundred rows at most
+            kept += row["room"]
             if kept > most_words:
                 break
             least = row["grade"]
         common = (grade >= least) if least is not None else F.lit(False)
         frequent, rare = encoded.where(common), encoded.where(~common).select("word", "path")
     sent = spark.sparkContext.broadcast(packed_words(frequent, pieces.spelled))
-    cut, words, word_of, spelled, long_path = pieces.cut, pieces.words, pieces.word_of, pieces.spelled, pieces.long_path
+    cut, words, word_of, spelled = pieces.cut, pieces.words, pieces.word_of, pieces.spelled
     base = docs.drop("ids")
+    columns = list(base.schema)
+    row_key, own_words = free_names(base, "row", "own")
 
     if rare is not None:
-        base = base.withColumn("_row", F.xxhash64("text"))
+        base = base.withColumn(row_key, F.xxhash64("text"))
 
         def unknown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, "text", SLICE):
                 rows, missing = [], []
-                for key, text in zip(batch.column("_row").to_pylist(), texts_of(batch), strict=True):
-                    parts = sorted({p for k in set(words(text)) for p in cut(word_of(k)) if len(p) <= MOST_CHARS})
+                for key, text in zip(batch.column(row_key).to_pylist(), texts_of(batch), strict=True):
+                    parts = sorted({key_of(p) for k in set(words(text)) for p in cut(word_of(k))})
                     gone = [p for p, ids in zip(parts, find_words(sent.value, parts), strict=True) if ids is None]
                     rows += [key] * len(gone)
                     missing += gone
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(missing, pa.string())], names=["_row", "word"])
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(missing, pa.string())], names=[row_key, "word"])
 
-        needed = base.select("_row", "text").mapInArrow(unknown, "_row bigint, word string").distinct()
-        extra = needed.join(rare, "word").groupBy("_row").agg(F.collect_list(F.struct("word", "path")).alias("_extra"))
-        base = base.join(extra, "_row", "left").drop("_row")
-    columns = [f for f in base.schema if f.name != "_extra"]
+        needed = base.select(row_key, "text").mapInArrow(unknown, f"`{row_key}` bigint, word string").distinct()
+        extra = needed.join(rare, "word").groupBy(row_key).agg(F.collect_list(F.struct("word", "path")).alias(own_words))
+        base = base.join(extra, row_key, "left").drop(row_key)
     all_frequent = rare is None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, bytes] = {}
 
-        def learn(new: list[bytes], extra: dict[str, bytes], known: dict[bytes, bytes]) -> dict[bytes, bytes]:
-            """Ids of new keys; those of long words and what only this text's own words give are returned, the rest becomes known."""
+        def learn(new: list[bytes], extra: dict[str, bytes]) -> dict[bytes, bytes]:
+            """Ids of new keys become known, but for what only this text's own words give: that is returned."""
             own: dict[bytes, bytes] = {}
-            parts = [cut(word_of(k)) for k in new]
-            flat = iter(find_words(sent.value, [p for x in parts for p in x if len(p) <= MOST_CHARS]))
+            parts = [[key_of(p) for p in cut(word_of(k))] for k in new]
+            flat = iter(find_words(sent.value, [p for x in parts for p in x]))
             for key, x in zip(new, parts, strict=True):
-                ids = [next(flat) if len(p) <= MOST_CHARS else long_path(p) for p in x]
-                into = own if None in ids or (len(key) >= MOST_CHARS and max(map(len, x)) > MOST_CHARS) else known
+                ids = [next(flat) for _ in x]
+                into = own if None in ids or len(key) > 1 << 10 else known
                 into[key] = b"".join([i if i is not None else extra[p] for i, p in zip(ids, x, strict=True)])
             return own
 
         for batch in slices(batches, "text", SLICE):
-            names = batch.schema.names
-            extras = batch.column("_extra").to_pylist() if "_extra" in names else [None] * batch.num_rows
+            extras = [None] * batch.num_rows if all_frequent else batch.column(own_words).to_pylist()
             keys = [words(t) for t in texts_of(batch)]
-            own = {}
-            if all_frequent:
-                known.update(own := learn(list(set().union(*keys).difference(known)), {}, known))
             data = []
+            own = learn(list(set().union(*keys).difference(known)), {}) if all_frequent else {}
+            known.update(own)
             for found, more in zip(keys, extras, strict=True):
                 ids = known
                 if not all_frequent:
-                    extra = {e["word"]: np.array(spelled(e["word"], e["path"]), np.int32).tobytes() for e in more or ()}
-                    own = learn([k for k in set(found) if k not in known], extra, known)
-                    ids = known if not own else {k: own[k] if k in own else known[k] for k in set(found)}
-                data.append(b"".join([ids[k] for k in found]))
-            if all_frequent:
-                for key in own:
-                    del known[key]
+                    extra = {e["word"]: np.array(spelled(e["path"]), np.int32).tobytes() for e in more or ()}
+                    alone = learn([k for k in set(found) if k not in known], extra)
+                    ids = known if not alone else {k: alone[k] if k in alone else known[k] for k in set(found)}
+                data.append(b"".join(map(ids.__getitem__, found)))
+            for key in own:
+                del known[key]
             if len(known) > 2 * KEEP:  # those of the last texts are the likeliest to come again
                 known = {k: known[k] for k in set().union(*keys) if k in known}
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(d) // 4 for d in data])]).astype(np.int32))
             ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(data), np.int32)))
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in columns), ids], names=[*(f.name for f in columns), "ids"])
+        known.clear()
+        release()
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in columns), "ids array<int>"])
     return base.mapInArrow(run, schema)

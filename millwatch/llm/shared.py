@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +58,22 @@ def packed(docs: DataFrame) -> DataFrame:
     """(row, doc_id, p, text): the whole row in one column, so that names cannot clash, and a 64-bit hash of its text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", F.xxhash64(text).alias("p"), text.alias("text"))
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """These names, each made longer until no column of `df` has it, whatever the case of its letters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
+def release() -> None:
+    """Give memory that a Python worker no longer uses back to the system: Spark keeps the worker for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only one C library has it
+        ctypes.CDLL(None).malloc_trim(0)

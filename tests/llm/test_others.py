@@ -268,6 +268,13 @@ def test_words_beyond_the_lattice_have_the_best_path(documents, most_words):
     assert {r["doc_id"]: r["decoded"] for r in rows} == dict(enumerate(texts))
 
 
+@pytest.mark.parametrize("most_words", [6_000_000, 0])
+def test_pieces_leave_columns_of_any_name_alone(documents, most_words):
+    docs = documents((1, "one two"), (2, None)).withColumns({c: F.lit(c) for c in ["_extra", "_row", "row", "own", "_own"]})
+    rows = sentencepiece_lattice.encode(docs, most_words=most_words).collect()
+    assert len(rows) == 2 and all(r[c] == c for r in rows for c in ["_extra", "_row", "row", "own", "_own"])
+
+
 # --- bloom ------------------------------------------------------------------------------------------
 
 
