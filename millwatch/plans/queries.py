@@ -773,8 +773,7 @@ def scheduled_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = F.lit(REPORT_TIME).cast("timestamp")
     clock = jobs.alert_schedule(target, f"{workspace(spark)}/checkpoint", "1 second", now, PARTS)
     try:
-        while not (target.exists(B.ALERTS) and target.exists(B.CRITICAL)) and clock.isActive:
-            clock.awaitTermination(1)
+        jobs.await_batch(clock)
     finally:
         clock.stop()
     return _alert_rows(target).drop("batch").distinct()

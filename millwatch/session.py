@@ -38,3 +38,26 @@ def workspace(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="millwatch-")
     return f"{shared.rstrip('/')}/millwatch-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path, as Spark itself finds it, and the path."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, in order; none if there is no such folder."""
+    system, folder = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(folder)) if system.exists(folder) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it, if it is there."""
+    system, folder = _file_system(spark, path)
+    system.delete(folder, True)
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a Spark job has written this folder to its end."""
+    return "_SUCCESS" in children(spark, path)

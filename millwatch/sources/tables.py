@@ -1,13 +1,23 @@
 """Stored tables: plain Parquet folders, partitioned by day and load.
 
-    <root>/<table>/event_date=<day>/load_id=<load>/*.parquet
+    <root>/<table>/<generation>/event_date=<day>/load_id=<load>/*.parquet
+    <root>/schemas/<table>/<number>-<generation>      an empty Parquet file with the columns: what the table is now
+    <root>/redo/<table>, <root>/aside/<table>/...     a change of days that is under way
 
 The day is that of a row's time; a table without times has one folder for the missing day. A load is one run of
 a job: a micro-batch of a stream (the stream's own id and the batch number) or a named batch. Writing a load
 overwrites the folders of that load only (Spark's dynamic partition overwrite), so a load that is run again
-after a failure does not add its rows twice, and loads of different streams never meet. Upserts and deletes
-rewrite the days they touch: the new content is written aside, then each day's folder is overwritten with its
-part; run again after a failure they come to the same end. A table has one writer at a time.
+after a failure does not add its rows twice, and loads of different streams never meet.
+
+Replacing a table writes a new generation and then names it in a new schema entry, which is the moment of the change. Readers
+take the newest finished entry; GENERATIONS earlier ones stay, so a DataFrame planned before ends with the rows it was
+planned on.
+
+Upserts and deletes rewrite the days they touch: the new content is written aside, a record of the days and of that folder
+is written, the days' folders are removed and written anew in one job, and the record is removed. While the record is there,
+readers take those days from aside. A write that dies leaves it behind, and the next change of the table, or repair(), first
+brings it to its end. So days are never lost: before the record is finished the table is as it was, after it as it should be.
+A table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -19,10 +29,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millwatch.session import children, finished, remove
+
 DAY, LOAD = "event_date", "load_id"
 WHOLE = "whole"  # load of rows that no single run wrote
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 _TIMES = ("event_time", "timestamp")
+GENERATIONS = 4  # kept besides the newest one
+_RECORD = "generation int, days array<string>, content string"
 
 
 class Store:
@@ -31,21 +45,36 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._schemas: dict[str, T.StructType] = {}  # by the path of their entry, which never changes
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        """The folder of the newest generation."""
+        return self._generation_path(name, self._entry(name)[1])
+
+    def _generation_path(self, name: str, generation: int) -> str:
+        return f"{self.root}/{name}/{generation:08d}"
 
-    def _schema_path(self, name: str) -> str:
-        return f"{self.root}/schemas/{name}"
+    def _entries(self, name: str) -> list[str]:
+        return [e for e in children(self.spark, f"{self.root}/schemas/{name}") if not e.startswith(("_", "."))]
+
+    def _entry(self, name: str) -> tuple[str | None, int]:
+        """The newest finished schema entry and its generation; (None, 1) if there is none."""
+        for entry in reversed(self._entries(name)):
+            if finished(self.spark, f"{self.root}/schemas/{name}/{entry}"):
+                return entry, int(entry.split("-")[1])
+        return None, 1
 
     # --- reading -------------------------------------------------------------------------------
 
     def schema(self, name: str) -> T.StructType | None:
         """The columns of a table, without those of its folders; None if there is no such table."""
-        try:
-            return self.spark.read.parquet(self._schema_path(name)).schema
-        except AnalysisException:
+        entry, _ = self._entry(name)
+        if entry is None:
             return None
+        path = f"{self.root}/schemas/{name}/{entry}"
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self._schemas[path]
 
     def exists(self, name: str) -> bool:
         return self.schema(name) is not None
@@ -59,10 +88,18 @@ class Store:
         return rows if with_folders else rows.select(schema.names)
 
     def _rows(self, name: str, schema: T.StructType) -> DataFrame:
-        columns = T.StructType(schema.fields).add(DAY, "date").add(LOAD, "string")
+        columns = with_folders(schema)
+        rows = self._files(self.path(name), columns)
+        change = self._change(name)
+        if change is None:
+            return rows
+        touched = self._match(change["days"])
+        return rows.filter(~touched).unionByName(self._files(change["content"], columns))
+
+    def _files(self, path: str, columns: T.StructType) -> DataFrame:
         try:
-            return self.spark.read.schema(columns).parquet(self.path(name))
-        except AnalysisException:  # a table that never got a row
+            return self.spark.read.schema(columns).parquet(path).select(columns.names)
+        except AnalysisException:  # a folder that never got a row
             return self.spark.createDataFrame([], columns)
 
     def load(self, name: str, load: str) -> DataFrame:
@@ -82,15 +119,29 @@ class Store:
         self.replace(name, self.spark.createDataFrame([], schema))
 
     def replace(self, name: str, df: DataFrame, load: str = WHOLE) -> None:
-        """Drop and rebuild a table from a DataFrame, which must not read this table."""
-        self._set_schema(name, df.schema)
-        self._whole(name, placed(df, load))
-
-    def _whole(self, name: str, df: DataFrame) -> None:
-        _balanced(df).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(DAY, LOAD).parquet(self.path(name))
-
-    def _set_schema(self, name: str, schema: T.StructType) -> None:
-        self.spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(self._schema_path(name))
+        """Rebuild a table from a DataFrame, which may read this table. Readers see the old rows until the new ones are all there."""
+        self._whole(name, placed(df, load), df.schema)
+
+    def _whole(self, name: str, rows: DataFrame, schema: T.StructType) -> None:
+        entry, newest = self._entry(name)
+        generation = newest + 1 if entry else 1
+        self._write(rows, self._generation_path(name, generation), "static")  # what an unfinished attempt left goes
+        self._set_schema(name, schema, generation)
+
+    def _write(self, rows: DataFrame, path: str, mode: str) -> None:
+        _balanced(rows).write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(DAY, LOAD).parquet(path)
+
+    def _set_schema(self, name: str, schema: T.StructType, generation: int) -> None:
+        """A new entry: from now on the table is this generation with these columns. Entries and generations long past go."""
+        entries = self._entries(name)
+        number = int(entries[-1].split("-")[0]) + 1 if entries else 1
+        path = f"{self.root}/schemas/{name}/{number:08d}-{generation:08d}"
+        self.spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
+        for old in entries[: -2 * GENERATIONS]:
+            remove(self.spark, f"{self.root}/schemas/{name}/{old}")
+        for old in children(self.spark, f"{self.root}/{name}"):
+            if old.isdigit() and int(old) < generation - GENERATIONS:
+                remove(self.spark, f"{self.root}/{name}/{old}")
 
     # --- loads ---------------------------------------------------------------------------------
 
@@ -103,10 +154,11 @@ class Store:
         """
         before = self.schema(name)
         if before is None:
-            self._set_schema(name, df.schema)
-        elif shape(before) != shape(df.schema):
+            return self._whole(name, placed(df, load), df.schema)  # the schema last: a table exists when it has its rows
+        self.repair(name)
+        if shape(before) != shape(df.schema):
             self._evolve(name, before, df.schema)
-        self._overwrite(name, placed(df, load))
+        self._write(placed(df, load), self.path(name), "dynamic")
 
     def _evolve(self, name: str, before: T.StructType, after: T.StructType) -> None:
         kinds = {f.name: f.dataType for f in before}
@@ -116,21 +168,22 @@ class Store:
                 F.col(f.name).cast(f.dataType) if f.name in kinds else F.lit(None).cast(f.dataType).alias(f.name)
                 for f in after
             ]
-            self._whole(name, self._aside(self._rows(name, before).select(*columns, DAY, LOAD)))
-        self._set_schema(name, after)
+            self._whole(name, self._rows(name, before).select(*columns, DAY, LOAD), after)
+        else:
+            self._set_schema(name, after, self._entry(name)[1])
 
-    def _aside(self, df: DataFrame) -> DataFrame:
-        """Written to a folder of its own, by day, and read back."""
-        path = f"{self.root}/aside/{uuid.uuid4().hex}"
-        _balanced(df).write.partitionBy(DAY).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+    def _aside(self, name: str, df: DataFrame) -> str:
+        """Written to a folder of its own, by day and load."""
+        path = f"{self.root}/aside/{name}/{uuid.uuid4().hex}"
+        self._write(df, path, "static")
+        return path
+
+    def _from_aside(self, name: str, df: DataFrame) -> DataFrame:
+        return self._files(self._aside(name, df), with_folders(df.drop(DAY, LOAD).schema))
 
     def kept(self, df: DataFrame) -> DataFrame:
         """The rows as they are now, whatever becomes of the tables they come from."""
-        return self._aside(placed(df, WHOLE)).select(df.columns)
-
-    def _overwrite(self, name: str, df: DataFrame) -> None:
-        _balanced(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY, LOAD).parquet(self.path(name))
+        return self._from_aside("kept", placed(df, WHOLE)).select(df.columns)
 
     # --- changing days -------------------------------------------------------------------------
 
@@ -147,56 +200,96 @@ class Store:
         schema = self.schema(name)
         if schema is None:
             return self.append(name, df, WHOLE)
+        self.repair(name)
         if shape(schema) != shape(df.schema):
             self._evolve(name, schema, df.schema)
         time = time_column(df.schema)
         if time and time not in keys:
             raise ValueError(f"the key of a dated table must have {time}")
-        incoming = self._aside(placed(df, WHOLE))
+        incoming = self._from_aside(name, placed(df, WHOLE))
         days = self.days(incoming)
         rest = self.of_days(self.read(name, with_folders=True), days).join(incoming.select(*keys), keys, "left_anti")
-        self._put_days(name, self._aside(rest.unionByName(incoming)), days)
+        self._put_days(name, self._aside(name, rest.unionByName(incoming)), days)
 
     def delete_where(self, name: str, condition: Column, since: str | None = None) -> None:
         """Remove the rows for which the condition is TRUE; rows where it is unknown stay.
 
         `since`, a day before which the condition is never TRUE, keeps earlier days from being read.
         """
+        self.repair(name)
         rows = self.read(name, with_folders=True)
         scope = rows if since is None else rows.filter(F.col(DAY) >= F.lit(since).cast("date"))
         days = self.days(scope.filter(condition))
         rest = self.of_days(rows, days).filter(~F.coalesce(condition, F.lit(False)))
-        self._put_days(name, self._aside(rest), days)
+        self._put_days(name, self._aside(name, rest), days)
 
     def put_days(self, name: str, rows: DataFrame, days: list[str | None], load: str = WHOLE) -> None:
-        """Make these days of a table what `rows` has of them; `rows` must not read this table."""
-        self._put_days(name, self._aside(self.of_days(placed(rows, load), days)), days)
+        """Make these days of a table what `rows` has of them."""
+        self.repair(name)
+        self._put_days(name, self._aside(name, self.of_days(placed(rows, load), days)), days)
 
     def put_loads(self, name: str, rows: DataFrame) -> None:
         """Make a table without times what `rows` (with load_id) says; `rows` may read this table."""
-        self._put_days(name, self._aside(rows.withColumn(DAY, F.lit(None).cast("date"))), [None])
-
-    def _put_days(self, name: str, content: DataFrame, days: list[str | None]) -> None:
-        """Overwrite the folder of each day with its rows of `content`, which lies aside."""
-        for day in days:
-            rows = content.filter(F.col(DAY).eqNullSafe(F.lit(day).cast("date"))).drop(DAY)
-            folder = f"{self.path(name)}/{DAY}={day or _NO_DAY}"
-            rows.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(LOAD).parquet(folder)
+        self.repair(name)
+        self._put_days(name, self._aside(name, rows.withColumn(DAY, F.lit(None).cast("date"))), [None])
+
+    def _put_days(self, name: str, content: str, days: list[str | None]) -> None:
+        """Make these days of a table the rows of the folder `content`, and no others."""
+        if not days:
+            return
+        change = self.spark.createDataFrame([(self._entry(name)[1], days, content)], _RECORD)
+        change.coalesce(1).write.mode("overwrite").json(self._change_path(name))
+        self.repair(name)
+
+    def _change_path(self, name: str) -> str:
+        return f"{self.root}/redo/{name}"
+
+    def _change(self, name: str) -> dict | None:
+        """The change of days that is under way, if its record is finished and is about the newest generation."""
+        if not finished(self.spark, self._change_path(name)):
+            return None
+        record = self.spark.read.schema(_RECORD).json(self._change_path(name)).first()
+        return record.asDict() if record and record["generation"] == self._entry(name)[1] else None
+
+    def repair(self, name: str) -> None:
+        """Bring a change of days to its end: its own, or one that an earlier attempt left. Does nothing if there is none."""
+        change = self._change(name)
+        if change is not None:
+            self._fill(name, change)
+            remove(self.spark, self._change_path(name))
+            last = change["content"].rsplit("/", 1)[1]  # stays until the next change: it may be being read
+            for old in children(self.spark, f"{self.root}/aside/{name}"):
+                if old != last:
+                    remove(self.spark, f"{self.root}/aside/{name}/{old}")
+
+    def _fill(self, name: str, change: dict) -> None:
+        """Remove the days' folders and write all of them anew, in one job. Run again it comes to the same end."""
+        path = self.path(name)
+        for day in change["days"]:
+            remove(self.spark, f"{path}/{DAY}={day or _NO_DAY}")
+        columns = with_folders(self.schema(name))
+        self._write(self._files(change["content"], columns), path, "dynamic")
 
     def of_days(self, rows: DataFrame, days: list[str | None]) -> DataFrame:
         """The rows of these days, None standing for rows without a time."""
+        return rows.filter(self._match(days))
+
+    @staticmethod
+    def _match(days: list[str | None]) -> Column:
+        """Whether a row is of one of these days: TRUE or FALSE."""
         dates = [F.lit(d).cast("date") for d in days if d is not None]
-        match = F.col(DAY).isin(dates) if dates else F.lit(False)
-        return rows.filter(match | F.col(DAY).isNull()) if None in days else rows.filter(match)
+        match = F.coalesce(F.col(DAY).isin(dates), F.lit(False)) if dates else F.lit(False)
+        return match | F.col(DAY).isNull() if None in days else match
 
     def merge_loads(self, name: str, keep: str, at_least: int) -> None:
         """Give days with `at_least` loads one folder for all loads but `keep`, the one that may yet be run again."""
+        self.repair(name)
         rows = self.read(name, with_folders=True).filter(F.col(LOAD) != keep)
         loads = rows.groupBy(DAY).agg(F.count_distinct(LOAD).alias("n"))
         days = self.days(loads.filter(F.col("n") >= at_least))
         if days:
             mark = F.when(F.col(LOAD) == keep, F.col(LOAD)).otherwise(F.lit(WHOLE))
-            self._put_days(name, self._aside(self.of_days(self.read(name, with_folders=True), days).withColumn(LOAD, mark)), days)
+            self._put_days(name, self._aside(name, self.of_days(self.read(name, with_folders=True), days).withColumn(LOAD, mark)), days)
 
 
 def _balanced(df: DataFrame) -> DataFrame:
@@ -204,6 +297,11 @@ def _balanced(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", DAY)
 
 
+def with_folders(schema: T.StructType) -> T.StructType:
+    """These columns, then those of the folders."""
+    return T.StructType([*schema.fields, T.StructField(DAY, T.DateType()), T.StructField(LOAD, T.StringType())])
+
+
 def time_column(schema: T.StructType) -> str | None:
     """The column that dates a row."""
     return next((t for t in _TIMES if t in schema.names), None)

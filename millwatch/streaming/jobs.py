@@ -6,6 +6,7 @@ A stream with a new checkpoint is a new stream: its batches do not meet those of
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -119,3 +120,17 @@ def alert_schedule(
 
     clock = store.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     return _run(clock, checkpoint, {"processingTime": every}, on_tick)
+
+
+def await_batch(query: StreamingQuery, seconds: float = 600.0) -> None:
+    """Wait until a micro-batch of the query has been run to its end.
+
+    The signal is Spark's own progress report, which follows the commit of a batch; what a batch writes may be visible before.
+    A query that fails or ends without a batch raises.
+    """
+    until = time.monotonic() + seconds
+    while not any("addBatch" in p["durationMs"] for p in query.recentProgress):
+        if time.monotonic() > until:
+            raise TimeoutError("no micro-batch was finished in time")
+        if query.awaitTermination(1) and not any("addBatch" in p["durationMs"] for p in query.recentProgress):
+            raise RuntimeError("the query ended without a micro-batch")

@@ -219,10 +219,7 @@ def test_alert_schedule(spark, stream):
     run(store, folder, checkpoint, with_alerts=False)
     clock = jobs.alert_schedule(store, checkpoint + "-alerts", every="1 second")
     try:
-        for _ in range(60):
-            if store.exists(B.ALERTS):
-                break
-            clock.awaitTermination(1)
+        jobs.await_batch(clock, 120)
     finally:
         clock.stop()
     assert store.read(B.ALERTS).first()["should_send"]
