@@ -18,6 +18,7 @@ from millwatch.sources.tables import DAY, LOAD, WHOLE, Store, publish_view
 LANDING, REJECTS, HISTORY = "landing", "landing_rejects", "history"
 TOTALS, MART, CHECKS = "machine_totals", "machine_health", "check_results"
 ALERTS, CRITICAL = "alerts", "critical_machines"
+DEDUPLICATED = "deduplicated"
 STAGING_VIEW = "staging_readings"
 
 

@@ -33,6 +33,7 @@ RUN_2_FROM = "2024-01-18"  # ... the second what is not earlier than this, so tw
 DAMAGED = ["M00001", "M00002"]
 DAMAGED_SINCE = "2024-01-20"
 REPORT_TIME = "2024-02-01 08:00:00"
+WATERMARK_DELAY = "1 day"
 PARTS = 4  # of a payload that is given in parts
 
 
@@ -697,6 +698,17 @@ def stream_incremental_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _payload(_streamed(spark, sf_dir).read(B.HISTORY))
 
 
+@query
+def dedup_stream_watermarked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of both runs, each taken up by one micro-batch, that came no later than a day behind what was there."""
+    folder = workspace(spark)
+    target = Store(spark, f"{folder}/store")
+    for rows in runs(spark, sf_dir):
+        write_run(rows, f"{folder}/landing")
+        jobs.dedup_stream(target, f"{folder}/landing", f"{folder}/checkpoint", WATERMARK_DELAY, trigger={"availableNow": True}).awaitTermination()
+    return target.read(B.DEDUPLICATED).select("machine_id", "event_time")
+
+
 @query
 def stream_machine_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir).read(B.MART).withColumns(rounded("avg_temperature"))

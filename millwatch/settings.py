@@ -75,6 +75,7 @@ RUN_KEY_PREFIX = "s3_files_"
 FIRST_EVENT_TIME = "1900-01-01 00:00:00"  # bound of an empty history
 FILE_POLL_INTERVAL = "15 seconds"
 ALERT_INTERVAL = "30 seconds"
+WATERMARK_DELAY = "1 hour"
 
 NOTHING_CRITICAL = "No critical machines found"
 REPORT_SUBJECT = "CRITICAL ALERT: %d Machines Require Immediate Attention"

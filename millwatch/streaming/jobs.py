@@ -10,11 +10,13 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from millwatch import settings as S
+from millwatch.operators.history import rename_cast
 from millwatch.plans import build as B
-from millwatch.sources.landing import parse_landing, stream_landing_csv, with_provenance
+from millwatch.sources.landing import good_rows, parse_landing, stream_landing_csv, with_provenance
 from millwatch.sources.tables import Store
 
 MERGE_EVERY = 64  # micro-batches
@@ -73,6 +75,33 @@ def stream_build(
     return _start(store, path, checkpoint, sep, trigger, on_batch, max_files_per_trigger)
 
 
+def dedup_stream(
+    store: Store,
+    path: str,
+    checkpoint: str,
+    delay: str = S.WATERMARK_DELAY,
+    sep: str = ",",
+    trigger: dict | None = None,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Append each new reading once to the deduplicated table, with keys kept in Spark's state store.
+
+    The looser form of `stream_build`: a reading is late only if it is `delay` or more behind the latest time of earlier micro-batches,
+    so slow machines may come after fast ones. A key is remembered for that long, and a repetition of it is dropped
+    within a micro-batch and across them. Which of several rows with one key stays is not fixed. Readings without a
+    time have no place in the order and are left out.
+    """
+
+    def on_batch(rows: DataFrame, load: str, batch: int) -> None:
+        store.append(B.DEDUPLICATED, rows.withColumn("event_time", F.col("event_time").cast("timestamp_ntz")), load)
+        _tidy(store, [B.DEDUPLICATED], load, batch)
+
+    raw = with_provenance(stream_landing_csv(store.spark, path, sep, max_files_per_trigger=max_files_per_trigger))
+    timed = rename_cast(good_rows(parse_landing(raw, sep))).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    kept = timed.where("event_time IS NOT NULL").withWatermark("event_time", delay).dropDuplicatesWithinWatermark(S.HISTORY_KEY)
+    return _run(kept, checkpoint, trigger, on_batch)
+
+
 def _tidy(store: Store, names: list[str], load: str, batch: int) -> None:
     if batch % MERGE_EVERY == MERGE_EVERY - 1:
         for name in names:

@@ -223,3 +223,27 @@ def test_alert_schedule(spark, stream):
     finally:
         clock.stop()
     assert store.read(B.ALERTS).first()["should_send"]
+
+
+def test_dedup_stream_keeps_what_the_watermark_lets_through(spark, stream):
+    folder, store, checkpoint = stream
+    key = "65,0.02,99.6,AOK"
+
+    def ingest(name, *lines):
+        write(folder, name, *lines)
+        jobs.dedup_stream(store, str(folder), checkpoint, "1 hour", trigger={"availableNow": True}).awaitTermination()
+        return sorted((r["machine_id"], str(r["event_time"])[11:16]) for r in store.read(B.DEDUPLICATED).collect())
+
+    first = ingest("1.csv", f"M1,2024-05-13T12:00:00Z,{key}", f"M1,2024-05-13T12:00:00Z,{key}", f"M2,2024-05-13T08:00:00Z,{key}", f"M3,,{key}")
+    assert first == [("M1", "12:00"), ("M2", "08:00")]  # within a micro-batch nothing is late
+    second = ingest(
+        "2.csv",
+        f"M1,2024-05-13T12:00:00Z,{key}",  # a repetition of an earlier micro-batch
+        f"M3,2024-05-13T11:00:01Z,{key}",  # just inside the delay
+        f"M4,2024-05-13T11:00:00Z,{key}",  # at the bound: late
+        f"M5,2024-05-13T09:00:00Z,{key}",
+        f"M6,2024-05-13T13:30:00Z,{key}",
+    )
+    assert second == sorted([*first, ("M3", "11:00"), ("M6", "13:30")])
+    third = ingest("3.csv", f"M1,2024-05-13T12:00:00Z,{key}", f"M3,2024-05-13T12:31:00Z,{key}")
+    assert third == sorted([*second, ("M3", "12:31")])
