@@ -2,7 +2,8 @@
 
 Rows are numbered over time within each key: first inside time slots of fixed length, then the sizes of the
 earlier slots are added. The number picks a block of BLOCK_ROWS rows; the last rows of a block are copied to the next
-one, so every frame of up to `back` preceding rows is complete. The plan is the same at any size and nothing
+one, so every frame of up to `back` preceding rows is complete. The ranks inside one slot of one key are one task's work,
+whatever its size. The plan is the same at any size and nothing
 runs while it is built.
 """
 
