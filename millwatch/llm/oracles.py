@@ -47,26 +47,38 @@ WITH docs AS (
 ), marks AS (
   SELECT doc_id, min(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
 ), held AS (
-  SELECT s.*, m.quality FROM steps s JOIN marks m USING (doc_id)
-), strata AS (
-  SELECT count(*) AS n FROM (SELECT DISTINCT lang FROM held)
+  SELECT s.doc_id, lang, rule, max(step) AS step, any_value(quality) AS quality, md5(CAST(s.doc_id AS VARCHAR))[1] < '4' AS proposes
+  FROM steps s JOIN marks USING (doc_id) GROUP BY s.doc_id, lang, rule
 ), grid AS (
-  SELECT lang, rule, step, count(*) FILTER (quality = 1) AS clean, count(*) FILTER (quality <> 1) AS junk FROM held WHERE step IS NOT NULL GROUP BY lang, rule, step
+  SELECT lang, rule, step, count(*) FILTER (quality = 1) AS clean, count(*) FILTER (quality <> 1) AS junk
+  FROM held WHERE proposes AND step IS NOT NULL GROUP BY lang, rule, step
 ), above AS (
-  SELECT lang, rule, step, sum(clean) OVER down AS c, sum(junk) OVER down AS j, sum(clean) OVER (PARTITION BY lang, rule) AS n
+  SELECT lang, rule, step, sum(junk) OVER down - 10 * sum(clean) OVER down AS balance
   FROM grid WINDOW down AS (PARTITION BY lang, rule ORDER BY step DESC)
+), proposed AS (
+  SELECT lang, rule, max_by(step, balance * 1000 + step) AS cutoff FROM above WHERE step >= 1 AND balance > 0 GROUP BY lang, rule
+), strata AS (
+  SELECT count(*) AS n FROM (SELECT DISTINCT lang FROM grid)
+), margins AS (
+  SELECT h.doc_id, h.lang, max(h.step - p.cutoff) AS margin
+  FROM held h LEFT JOIN proposed p ON h.lang IS NOT DISTINCT FROM p.lang AND h.rule = p.rule
+  WHERE h.quality = 1 AND NOT h.proposes GROUP BY h.doc_id, h.lang
+), raises AS (
+  SELECT m.lang, t, count(*) AS n, count(*) FILTER (margin >= t) AS c FROM margins m, range(0, 256) AS r(t) GROUP BY m.lang, t
 ), tails AS (
-  SELECT *, (SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.03) + (n - i) * ln(0.97))) FROM (SELECT unnest(range(0, CAST(c AS BIGINT) + 1)) AS i)) AS p
-  FROM above WHERE step >= 1 AND n > 0
+  SELECT lang, t, (SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.03) + (n - i) * ln(0.97))) FROM (SELECT unnest(range(0, c + 1)) AS i)) AS p
+  FROM raises
+), raised AS (
+  SELECT lang, min(t) AS t FROM (SELECT lang, t, max(p) OVER (PARTITION BY lang ORDER BY t DESC) AS worst FROM tails)
+  WHERE worst <= 0.05 / (SELECT n FROM strata) GROUP BY lang
 ), cutoffs AS (
-  SELECT lang, rule, max_by(step, (j - 10 * c) * 1000 + step) AS cutoff
-  FROM tails WHERE p <= 0.05 / ({len(_RULES)} * (SELECT n FROM strata)) AND j - 10 * c > 0 GROUP BY lang, rule
+  SELECT p.lang, p.rule, p.cutoff + r.t AS cutoff FROM proposed p JOIN raised r ON p.lang IS NOT DISTINCT FROM r.lang
 ), rejected AS (
   SELECT s.doc_id, min_by(s.rule, CASE s.rule {order} END) AS rule
   FROM steps s JOIN cutoffs k ON s.lang IS NOT DISTINCT FROM k.lang AND s.rule = k.rule WHERE s.step >= k.cutoff GROUP BY s.doc_id
 )
-SELECT c.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_upper, base_failed,
-       r.rule AS rejected_by, NOT base_failed AND r.rule IS NULL AS kept
+SELECT c.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND r.rule IS NULL AS kept,
+       n_lines, n_upper, r.rule AS rejected_by
 FROM counted c LEFT JOIN rejected r USING (doc_id)
 """
 

@@ -1,15 +1,16 @@
 """Quality rules with risk-controlled cutoffs.
 
-Each rule is a ratio of two counts of a text, larger for worse texts, put on a fixed grid of GRID steps.
-Documents labelled clean are the holdout: no rule is fitted to them, they only certify cutoffs. A cutoff j of
-a rule rejects what lies at step j or above. For a stratum with n clean documents, c of them at or above j,
-the exact binomial bound P(Bin(n, risk) <= c) is the p-value of "j rejects more than `risk` of the clean
-documents of this stratum". Cutoffs are tested from the most lenient one down and testing stops at the
-first that fails (fixed sequence, so no correction along the grid); the error `delta` is divided by the number
-of rules and strata (Bonferroni). With probability 1 - delta no certified cutoff of any rule in any stratum
-rejects more than `risk` of the clean documents. Among certified cutoffs the one with the best balance
-(labelled junk rejected, less WEIGHT times clean documents rejected) is used, the most lenient of equals; a rule
-without a certified cutoff of positive balance rejects nothing there.
+Each rule is a ratio of two counts of a text, larger for worse texts, put on a fixed grid of GRID steps. In
+each stratum the labelled documents are split by a hash of their id. The smaller part proposes: a rule's cutoff
+is the step with the best balance (junk rejected, less WEIGHT times clean documents rejected), the most lenient of
+equals; a rule without a positive balance rejects nothing there. The other part is the holdout, which only certifies:
+all proposed cutoffs, raised together by t steps, are one candidate, and a document's margin is the largest
+t that still rejects it. With n clean documents in the holdout, c of them with a margin of t or more, the exact
+binomial bound P(Bin(n, risk) <= c) is the p-value of "the rules raised by t reject more than `risk` of the clean
+documents of this stratum". Candidates are tested from the most lenient one down and testing stops at the first
+that fails (fixed sequence, so no correction along it); the last that passed is used. The error `delta` is divided by the
+number of strata (Bonferroni). So with probability 1 - delta, in no stratum do all rules together reject more
+than `risk` of the clean documents that pass the base rules.
 """
 
 from __future__ import annotations
@@ -31,8 +32,9 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
 GRID = 256  # steps of every rule; the last one holds all larger values
-RISK = 0.03  # largest share of clean documents that one rule may reject in one stratum
-DELTA = 0.05  # chance that any of these limits is broken
+RISK = 0.03  # largest share of clean documents that all rules together may reject in one stratum
+DELTA = 0.05  # chance that the limit is broken in any stratum
+PROPOSING = "4"  # labelled documents whose id has an MD5 below this hex digit propose cutoffs: a quarter
 WEIGHT = 10  # rejected clean documents count so many times as much as rejected junk
 MAX_BROADCAST_STRATA = 10_000
 
@@ -118,63 +120,87 @@ def binomial_tail(n: int, risk: float) -> np.ndarray:
     return np.minimum(1.0, np.cumsum(np.exp(logs)))
 
 
-def certified(clean: np.ndarray, junk: np.ndarray, risk: float, error: float) -> int | None:
-    """The cutoff chosen from the counts of clean and junk documents at each grid step, or None."""
-    n = int(clean.sum())
+def proposed(clean: np.ndarray, junk: np.ndarray) -> int | None:
+    """The cutoff of best balance from the counts of clean and junk documents at each grid step; None if none is positive."""
+    balance = np.cumsum(junk[::-1])[::-1] - WEIGHT * np.cumsum(clean[::-1])[::-1]
+    last = GRID - 1 - int(np.argmax(balance[:0:-1]))  # the most lenient of equals
+    return last if balance[last] > 0 else None
+
+
+def certified(margins: np.ndarray, n: int, risk: float, error: float) -> int | None:
+    """The smallest raise t for which `risk` holds, from the counts of clean documents at each margin, among `n`; None if none."""
     if not n:
         return None
     tail = binomial_tail(n, risk)
-    clean_above, junk_above = np.cumsum(clean[::-1])[::-1], np.cumsum(junk[::-1])[::-1]
-    best, cutoff = 0, None
-    for j in range(len(clean) - 1, 0, -1):
-        c = int(clean_above[j])
-        if c >= len(tail) or tail[c] > error:
+    above, found = np.cumsum(margins[::-1])[::-1], None
+    for t in range(len(margins) - 1, -1, -1):
+        if above[t] >= len(tail) or tail[above[t]] > error:
             break
-        balance = int(junk_above[j]) - WEIGHT * c
-        if balance > best:
-            best, cutoff = balance, j
-    return cutoff
+        found = t
+    return found
 
 
 def cutoffs(counted: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """One row (stratum, one cutoff per rule or null) per stratum with labelled documents.
+    """One row (stratum, one cutoff per rule or null) per stratum with labelled documents of both parts.
 
     Labels: doc_id and quality, 1 for clean. A document labelled twice counts with its smallest label; null
-    ids and labels are ignored. A null stratum is a stratum of its own.
+    ids and labels are ignored. Rows of one id in one stratum are one trial, with the largest step of each rule.
+    A null stratum is a stratum of its own.
     """
-    marks = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    held = counted.where(~base_failed()).select("doc_id", F.col(stratum).alias("stratum"), *(step(r).alias(r) for r in RULES))
-    held = held.join(marks, "doc_id")
+    marks = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg((F.min("quality") == 1).alias("clean"))
+    held = counted.where(~base_failed()).groupBy("doc_id", F.col(stratum).alias("stratum")).agg(*(F.max(step(r)).alias(r) for r in RULES))
+    held = stored(held.join(marks, "doc_id").withColumn("proposes", F.substr(F.md5(F.col("doc_id").cast("string")), F.lit(1), F.lit(1)) < PROPOSING))
+    kind = counted.schema[stratum].dataType.simpleString()
     rules = F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).alias("step")) for r in RULES))
-    error = delta / (len(RULES) * max(1, held.select("stratum").distinct().count()))
     grid = (
-        held.select("stratum", "quality", F.inline(rules))
+        held.where("proposes")
+        .select("stratum", "clean", F.inline(rules))
         .where("step IS NOT NULL")
         .groupBy("stratum", "rule", "step")
-        .agg(F.count_if(F.col("quality") == 1).alias("clean"), F.count_if(F.col("quality") != 1).alias("junk"))
+        .agg(F.count_if("clean").alias("n_clean"), F.count_if(~F.col("clean")).alias("n_junk"))
     )
 
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+    def propose(pdf: pd.DataFrame) -> pd.DataFrame:
         clean, junk = np.zeros(GRID, np.int64), np.zeros(GRID, np.int64)
-        np.add.at(clean, pdf["step"].to_numpy(), pdf["clean"].to_numpy())
-        np.add.at(junk, pdf["step"].to_numpy(), pdf["junk"].to_numpy())
-        got = certified(clean, junk, risk, error)
-        return pd.DataFrame({"stratum": [pdf["stratum"].iloc[0]], "rule": [pdf["rule"].iloc[0]], "cutoff": pd.array([got], dtype="Int32")})
+        clean[pdf["step"]], junk[pdf["step"]] = pdf["n_clean"], pdf["n_junk"]
+        return pd.DataFrame({"stratum": [pdf["stratum"].iloc[0]], "rule": [pdf["rule"].iloc[0]], "cutoff": pd.array([proposed(clean, junk)], dtype="Int32")})
 
-    kind = counted.schema[stratum].dataType.simpleString()
-    chosen = grid.groupBy("stratum", "rule").applyInPandas(choose, f"stratum {kind}, rule string, cutoff int")
-    return chosen.groupBy("stratum").agg(*(F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cutoff_{r}") for r in RULES))
+    chosen = grid.groupBy("stratum", "rule").applyInPandas(propose, f"stratum {kind}, rule string, cutoff int")
+    chosen = stored(chosen.groupBy("stratum").agg(*(F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cutoff_{r}") for r in RULES)))
+    holdout = _with_strata(held.where("clean AND NOT proposes"), chosen, "stratum")
+    margin = F.greatest(*(F.col(r) - F.col(f"cutoff_{r}") for r in RULES))
+    margins = holdout.groupBy("of", F.when(margin >= 0, margin).alias("margin")).agg(F.count("*").alias("n"))
+    error = delta / max(1, chosen.count())
+
+    def certify(pdf: pd.DataFrame) -> pd.DataFrame:
+        counts, rejected = np.zeros(GRID, np.int64), pdf[pdf["margin"].notna()]
+        counts[rejected["margin"].astype(int)] = rejected["n"]
+        raised = certified(counts, int(pdf["n"].sum()), risk, error)
+        return pd.DataFrame({"of": [pdf["of"].iloc[0]], "raised": pd.array([raised], dtype="Int32")})
+
+    raises = margins.groupBy("of").applyInPandas(certify, f"of {kind}, raised int")
+    both = chosen.join(raises, F.col("stratum").eqNullSafe(F.col("of")))
+    return both.select("stratum", *((F.col(f"cutoff_{r}") + F.col("raised")).alias(f"cutoff_{r}") for r in RULES))
+
+
+def _with_strata(rows: DataFrame, limits: DataFrame, stratum: str) -> DataFrame:
+    """Rows with the limits of their stratum, null where it has none; `of` is their stratum."""
+    if limits.count() <= MAX_BROADCAST_STRATA:
+        limits = F.broadcast(limits)
+    rows, limits = rows.withColumnRenamed(stratum, "of"), limits.withColumnRenamed("stratum", "limits_of")
+    return rows.join(limits, F.col("of").eqNullSafe(F.col("limits_of")), "left").drop("limits_of")
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """Per document: doc_id, COUNTS, base_failed, the first certified rule that rejects it (else null), kept.
+    """Per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept; then n_lines,
+    n_upper and rejected_by, the first rule that rejects it (else null).
 
     Null and empty texts have no words and fail the base rules. Repeated rows are judged each. Documents of a
     stratum without labels are judged by the base rules alone. An empty table gives an empty result.
     """
     counted = stored(with_counts(docs, ["doc_id"] if stratum == "doc_id" else ["doc_id", stratum]))
     judged = _judged(counted, cutoffs(counted, labels, stratum, risk, delta), stratum)
-    return judged.select("doc_id", *COUNTS, "base_failed", "rejected_by", "kept")
+    return judged.select("doc_id", *COUNTS[:5], "base_failed", "kept", *COUNTS[5:], "rejected_by")
 
 
 def kept_rows(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
@@ -186,10 +212,7 @@ def kept_rows(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: f
 
 
 def _judged(counted: DataFrame, limits: DataFrame, stratum: str) -> DataFrame:
-    limits = stored(limits)
-    if limits.count() <= MAX_BROADCAST_STRATA:
-        limits = F.broadcast(limits)
-    judged = counted.join(limits, counted[stratum].eqNullSafe(limits["stratum"]), "left")
+    judged = _with_strata(counted, stored(limits), stratum)
     broken = F.coalesce(*(F.when(step(r) >= F.col(f"cutoff_{r}"), F.lit(r)) for r in RULES))
     judged = judged.withColumn("base_failed", base_failed()).withColumn("rejected_by", F.when(~F.col("base_failed"), broken))
     return judged.withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())

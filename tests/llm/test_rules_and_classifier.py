@@ -43,25 +43,37 @@ def test_binomial_tail():
     assert 0.49 < large[300_000] < 0.51
 
 
-def test_cutoffs_keep_their_promise():
-    """Clean texts are rejected within the limit, on other draws from the same distribution, in nearly all trials."""
+def test_all_rules_together_keep_their_promise():
+    """All rules together reject clean texts within the limit, on a second draw, in nearly all trials."""
     r = np.random.default_rng(4)
-    broken = 0
+    draw = lambda n: r.geometric([0.03, 0.05, 0.1], (n, 3)).clip(max=255)
+    broken = used = 0
     for _ in range(200):
-        clean = np.bincount(r.geometric(0.05, 1000).clip(max=255), minlength=R.GRID)
-        junk = np.bincount(r.integers(20, 255, 300), minlength=R.GRID)
-        cutoff = R.certified(clean, junk, 0.03, 0.05)
-        if cutoff is not None:
-            broken += (r.geometric(0.05, 20_000).clip(max=255) >= cutoff).mean() > 0.03
-    assert broken <= 20
-
-
-def test_without_enough_clean_documents_nothing_is_certified():
+        first, junk = draw(300), r.integers(20, 255, (300, 3))
+        cuts = [R.proposed(np.bincount(first[:, k], minlength=R.GRID), np.bincount(junk[:, k], minlength=R.GRID)) for k in range(3)]
+        cuts = np.array([R.GRID if c is None else c for c in cuts])
+        margins = (draw(1000) - cuts).max(axis=1)
+        raised = R.certified(np.bincount(margins[margins >= 0], minlength=R.GRID), 1000, 0.03, 0.05)
+        if raised is not None:
+            used += 1
+            broken += ((draw(20_000) - cuts).max(axis=1) >= raised).mean() > 0.03
+    assert used > 150 and broken <= 20
+
+
+def test_proposals_and_certificates():
     clean, junk = np.zeros(R.GRID, int), np.zeros(R.GRID, int)
-    clean[0], junk[200] = 50, 100
-    assert R.certified(clean, junk, 0.03, 0.0025) is None
-    clean[0] = 1000
-    assert R.certified(clean, junk, 0.03, 0.0025) == 200
+    assert R.proposed(clean, junk) is None
+    clean[3], junk[200], junk[2] = 50, 100, 1
+    assert R.proposed(clean, junk) == 200
+    junk[210] = 100
+    assert R.proposed(clean, junk) == 200
+    clean[205] = 10  # as good as 200 now, and more lenient
+    assert R.proposed(clean, junk) == 210
+    margins = np.zeros(R.GRID, int)
+    assert R.certified(margins, 50, 0.03, 0.0025) is None and R.certified(margins, 0, 0.03, 0.5) is None
+    assert R.certified(margins, 1000, 0.03, 0.0025) == 0
+    margins[7] = 100
+    assert R.certified(margins, 1000, 0.03, 0.0025) == 8
 
 
 def prose(r, n):
@@ -87,6 +99,7 @@ def test_rules_reject_junk_in_certified_strata_only(spark, documents, clashing):
     got = {}
     for row in R.judge(clashing(docs), labels).collect():
         got[row["doc_id"]] = row
+    assert R.judge(docs, labels).columns[:8] == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     assert not got[900]["kept"] and got[900]["base_failed"] and got[901]["base_failed"] and got[902]["base_failed"]
     assert got[903]["kept"]  # junk, but of a stratum without labels
     assert all(not got[i]["kept"] for i in range(900) if i % 3 == 0)
