@@ -154,10 +154,15 @@ WITH docs AS (
   SELECT doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS words FROM documents
 ), items AS (
   SELECT item_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS words FROM benchmark
-), d AS (
-  SELECT DISTINCT id, array_to_string(words[i:i + 4], ' ') AS s FROM (SELECT id, words, unnest(range(1, len(words) - 3)) AS i FROM docs WHERE len(words) >= 5)
+), sized AS (
+  SELECT id, words, least(5, len(words)) AS k FROM items WHERE len(words) > 0
 ), b AS (
-  SELECT DISTINCT id, array_to_string(words[i:i + 4], ' ') AS s FROM (SELECT id, words, unnest(range(1, len(words) - 3)) AS i FROM items WHERE len(words) >= 5)
+  SELECT DISTINCT id, array_to_string(words[i:i + k - 1], ' ') AS s FROM (SELECT id, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM sized)
+), lengths AS (
+  SELECT DISTINCT k FROM sized
+), d AS (
+  SELECT DISTINCT id, array_to_string(words[i:i + k - 1], ' ') AS s
+  FROM (SELECT id, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM docs JOIN lengths ON len(words) >= k)
 ), sizes AS (
   SELECT id, count(*) AS n FROM b GROUP BY id
 )

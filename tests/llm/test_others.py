@@ -168,7 +168,7 @@ def test_lstm_gradients():
 def test_items_in_documents_equal_brute_force(spark, documents, clashing):
     r = random.Random(12)
     words = [f"w{i}" for i in range(300)]
-    items = [(i, " ".join(r.choices(words, k=r.choice([3, 5, 12, 40])))) for i in range(30)] + [(90, None), (91, ""), (3, "w1 w2 w3 w4 w5 w6")]
+    items = [(i, " ".join(r.choices(words, k=r.choice([2, 3, 4, 5, 12, 40])))) for i in range(30)] + [(90, None), (91, ""), (3, "w1 w2 w3 w4 w5 w6"), (92, "alone")]
     rows = []
     for i in range(80):
         text = " ".join(r.choices(words, k=r.choice([2, 30, 900])))
@@ -179,17 +179,18 @@ def test_items_in_documents_equal_brute_force(spark, documents, clashing):
                 parts[r.randrange(len(parts))] = "other"
             text = f"{text} {' '.join(parts).upper()}\n{text[:30]}"
         rows.append((i, text))
-    rows += [(500, None), (501, ""), (1, rows[1][1]), (None, rows[3][1])]
+    rows += [(500, None), (501, ""), (1, rows[1][1]), (None, rows[3][1]), (502, "Alone"), (503, "w1 alone w1"), (504, "not-alone w1")]
 
-    def sets(text):
+    def sets(text, size):
         w = (text or "").lower().split()
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+        return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
 
     want = set()
     for doc, text in rows:
         for item, passage in items:
-            need = sets(passage)
-            if need and 100 * len(need & sets(text)) >= 80 * len(need):
+            size = min(5, len((passage or "").split()))
+            need = sets(passage, size) if size else set()
+            if need and 100 * len(need & sets(text, size)) >= 80 * len(need):
                 want.add((doc, item))
     table = spark.createDataFrame(items, "item_id bigint, text string")
     docs = clashing(documents(*rows))
