@@ -20,11 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwatch.llm.html_blocks import Block, blocks
+from millwatch.llm.shared import ship
 from millwatch.llm.words import slices
 
-PATH, WORD, MEASURES, STATE = 160, 24, 8, 16
+PATH, WORD, MEASURES, STATE = 256, 24, 8, 16
 INPUT = PATH + WORD + MEASURES
 SAMPLE_PAGES = 200  # whose words fill the training pages
+VOCABULARY, LONGEST_FILLER = 5_000, 40  # so many distinct words, of so many characters at most
 TRAIN_PAGES, STEPS, BATCH, RATE, SEED = 1200, 400, 32, 0.01, 11
 THRESHOLD = 0.5
 BATCH_BLOCKS = 6_000
@@ -48,15 +50,16 @@ def vectors(page: list[Block], path_memo: dict, word_memo: dict) -> np.ndarray:
             found = path_memo[b.path] = list({_bucket(w, PATH, 1) for w in b.path})
         out[i, found] = 1
         words = b.text.split()
-        for w in words[:40]:
+        places = []
+        for w in words:
             at = word_memo.get(w)
             if at is None:
                 if len(word_memo) > 200_000:
                     word_memo.clear()
-                at = word_memo[w] = PATH + _bucket(w.lower(), WORD, 2)
-            out[i, at] += 1
+                at = word_memo[w] = _bucket(w.lower(), WORD, 2)
+            places.append(at)
         if words:
-            out[i, PATH : PATH + WORD] /= np.sqrt(min(len(words), 40))
+            out[i, PATH : PATH + WORD] = np.bincount(places, minlength=WORD) / np.sqrt(len(words))
         n = len(b.text)
         out[i, PATH + WORD :] = (
             np.log1p(len(words)) / 5,
@@ -180,21 +183,42 @@ class Layouts:
                 f"<nav>{menu}</nav>", f'<div class="menu">{menu}</div>', f'<div id="navigation">{menu}</div>', f"<header>{self.words(1, 6)}{menu}</header>",
                 f"<header><h2>{self.words(1, 5)}</h2></header>", f'<div class="ad">{text}</div>', f'<div class="cookie-notice">{text}<button>{self.words(1, 2)}</button></div>',
                 f'<div class="banner">{text}</div>', f'<form class="search"><input name="q"><button>{self.words(1, 1)}</button></form>', f'<div class="notice" role="alert"><p>{text}</p></div>',
+                f'<table><tr><td>{menu}</td></tr></table>', f'<div>{menu}</div>', f"<dialog><p>{text}</p><button>{self.words(1, 2)}</button></dialog>", f'<p class="promo">{text}</p>',
+                f'<select><option>{self.words(1, 2)}<option>{self.words(1, 2)}</select>', f'<div class="topbar">{menu}</div>', f'<noscript><p>{text}</p></noscript>',
                 f'<ol class="breadcrumb"><li>{self.words(1, 1)}</li><li>{self.words(1, 2)}</li></ol>', f'<!-- x --><div class="advert"><p>{text}</p></div>',
             )
         if where == "inside":
             return self.some(
                 f'<div class="ad">{text}</div>', f'<aside><p>{text}</p></aside>', f'<div class="share">{menu}</div>', f'<form><label>{self.words(1, 3)}</label><input></form>',
-                f'<div class="related">{menu}</div>', f'<div class="sponsored"><p>{text}</p></div>', f'<div class="newsletter"><p>{text}</p><button>{self.words(1, 2)}</button></div>',
+                f'<div class="related">{menu}</div>', f'<div class="sponsored"><p>{text}</p></div>', f'<p class="advertisement">{text}</p>', f'<ul class="social"><li>{menu}</li></ul>',
+                f'<div class="newsletter"><p>{text}</p><button>{self.words(1, 2)}</button></div>',
             )
         comments = "".join(f'<{t} class="comment"><p>{self.words(2, 40)}</p></{t}>' for t in ["div"] * int(self.r.integers(1, 4)))
         return self.some(
             f"<footer>&copy; {text}</footer>", f"<footer><p>{text}</p>{menu}</footer>", f'<div class="footer">{text}</div>', f'<div id="footer"><p>{text}</p></div>',
             f"<aside><h3>{self.words(1, 3)}</h3>{menu}</aside>", f'<div class="sidebar"><p>{text}</p>{menu}</div>', f'<section id="comments"><h2>{self.words(1, 2)}</h2>{comments}</section>',
             f'<div class="comments">{comments}</div>', f"<form><p>{text}</p><textarea></textarea></form>", f'<div class="ad">{text}</div>', f'<ul class="comment-list"><li>{self.words(3, 30)}</li><li>{self.words(3, 30)}</li></ul>',
-            f'<div class="related"><h3>{self.words(1, 3)}</h3>{menu}</div>',
+            f'<div class="related"><h3>{self.words(1, 3)}</h3>{menu}</div>', self.discussion(), self.discussion(), self.legal(), self.legal(),
         )
 
+    def discussion(self) -> str:
+        """What readers say, in the markup of a widget."""
+        name = self.some("disqus_thread", "disqus", "discussion", "responses", "replies", "reply-list", "user-comments", "fb-comments", "reviews", "guestbook", "thread")
+        one = self.some("reply", "response", "comment-body", "message", "review", "")
+        label = f' class="{one}"' if one else ""
+        tag = self.some("div", "p", "li", "article", "blockquote")
+        said = "".join(f"<{tag}{label}>{self.some('', f'<b>{self.words(1, 2)}</b> ')}{self.words(2, 40)}{self.some('.', '!', '?', '')}</{tag}>" for _ in range(int(self.r.integers(1, 5))))
+        kind = self.some("id", "class")
+        return self.some(f'<div {kind}="{name}">{said}</div>', f'<section {kind}="{name}"><h3>{self.words(1, 2)}</h3>{said}</section>', f'<ul {kind}="{name}">{said}</ul>')
+
+    def legal(self) -> str:
+        """A line about rights or terms."""
+        line = self.some("All rights reserved", "Terms of use", "Privacy policy", "&copy; 2019", "Copyright 2021", "Imprint") + " " + self.words(0, 20)
+        name = self.some("legal", "copyright", "disclaimer", "terms", "colophon", "imprint", "fineprint", "")
+        label = f' class="{name}"' if name else ""
+        tag = self.some("p", "div", "section", "address") if name else "footer"
+        return f"<{tag}{label}>{self.some(line, f'<small>{line}</small>', f'<p>{line}</p>')}</{tag}>"
+
     def paragraph(self) -> tuple[str, str]:
         text = self.words(1, self.some(8, 30, 90, 200)) + self.some(".", ".", "", "!")
         if self.r.random() < 0.15:  # tables, shouting, symbols and repeats are main text all the same
@@ -223,7 +247,7 @@ class Layouts:
             markup, text = self.paragraph()
             parts.append(markup)
             texts.append(text)
-        opened, closed = self.some(("<article>", "</article>"), ("<article>", "</article>"), ("<article>", "</article>"), ("<main>", "</main>"), ("<main><article>", "</article></main>"), ('<div class="content">', "</div>"), ('<div id="main"><div class="post">', "</div></div>"), ('<div class="article-body">', "</div>"), ('<section class="entry">', "</section>"))
+        opened, closed = self.some(("<article>", "</article>"), ("<article>", "</article>"), ("<article>", "</article>"), ("<main>", "</main>"), ("<main><article>", "</article></main>"), ('<div class="content">', "</div>"), ('<div id="main"><div class="post">', "</div></div>"), ('<div class="article-body">', "</div>"), ('<section class="entry">', "</section>"), ('<table><tr><td class="body">', "</td></tr></table>"), ("<div>", "</div>"), ('<div role="main">', "</div>"), ('<div class="story text">', "</div>"))
         before = "".join(self.clutter("before") for _ in range(int(self.r.integers(0, 4))))
         after = "".join(self.clutter("after") for _ in range(int(self.r.integers(0, 4))))
         head = f'<html><head><title>{title}</title><style>p{{}}</style><script>var t="</p>";</script></head><body>'
@@ -285,14 +309,17 @@ def extract(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
     """Per page: page_id, url, text, n_chars.
 
     Null and empty pages, and pages without main text, have an empty text. Repeated rows are read each. An empty
-    table gives an empty result. The words of the training pages come from the `sample_pages` pages with
-    the smallest hash of their id; the first 20,000 characters of those are enough for that.
+    table gives an empty result. The words of the training pages come from the `sample_pages` pages with the
+    smallest hash of their id: of all their words of at most LONGEST_FILLER characters, the VOCABULARY with the
+    smallest hash.
     """
+    ship(pages.sparkSession)
     ids = pages.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages)
-    start = F.substr(F.coalesce("html", F.lit("")), F.lit(1), F.lit(20_000)).alias("html")
-    few = pages.select("page_id", start).join(F.broadcast(ids.distinct()), "page_id").limit(sample_pages).collect()
-    seen = sorted({w for row in few for b in blocks(row["html"]) for w in b.text.split()[:200]})
-    sent = pages.sparkSession.sparkContext.broadcast(train(seen[:: max(1, len(seen) // 5000)]))
+    sample = pages.select("page_id", "html").join(F.broadcast(ids.distinct()), "page_id")
+    shown = F.regexp_replace(F.coalesce("html", F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>", " ")
+    words = sample.select(F.explode(F.split(shown, r"\s+")).alias("word")).where(F.length("word").between(1, LONGEST_FILLER) & ~F.col("word").rlike("[&<>]"))
+    seen = sorted(r["word"] for r in words.distinct().orderBy(F.xxhash64("word"), "word").limit(VOCABULARY).collect())
+    sent = pages.sparkSession.sparkContext.broadcast(train(seen))
     given = pages.select("page_id", "url", "html")
     kinds = {f.name: f.dataType.simpleString() for f in given.schema}
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.shared import stored
+from millwatch.llm.shared import ship, stored
 from millwatch.llm.words import texts_of
 
 SYMBOLS = b"#*$%&|<>"
@@ -89,6 +89,7 @@ def count_text(data: bytes) -> tuple[int, ...]:
 
 def with_counts(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The columns `keep` and COUNTS of each whole text. A null text counts as empty."""
+    ship(docs.sparkSession)
     columns = docs.select(*keep, F.col(text).alias("text"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in columns.schema if f.name != "text"]
 

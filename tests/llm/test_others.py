@@ -1,5 +1,6 @@
 """Sharding, URL filter, HTML extraction, decontamination, pieces, Bloom filters."""
 
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -131,6 +132,85 @@ def test_blocks():
     assert [b.text for b in blocks("<script>never closed <p>x")] == []
 
 
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ("<datalist><option value=a><option value=b></datalist><article><p>Main text.</p></article>", ["Main text."]),
+        ("<select><option>a<option>b<p>Main</p>", ["Main"]),
+        ("<option>a<p>Main", ["Main"]),
+        ("<p>one <svg><title>t</title><text>no</text></svg> two</p>", ["one two"]),
+        ("<p>a <select><option>1</option></select> b</p>", ["a b"]),
+        ("<nav><noscript>x</nav><p>Main</p><noscript><div>y</div></noscript><p>z</p>", ["x", "Main", "z"]),
+        ("<div><svg><g>x</div><p>Main</p></svg>", ["Main"]),
+        ("<template><div><p>no</p></div></template><p>yes</p>", ["yes"]),
+        ("<template><p>Main", ["Main"]),
+        ("<svg/><p>Main</p></noscript>", ["Main"]),
+    ],
+)
+def test_elements_that_show_nothing_hide_no_more_than_themselves(page, texts):
+    assert [b.text for b in blocks(page)] == texts
+
+
+def test_lstm_equals_plain_loops():
+    r = np.random.default_rng(8)
+    w = {k: v + r.normal(0, 0.1, v.shape).astype(np.float32) for k, v in html_extraction.fresh(2).items()}
+    lengths = [5, 3]
+    pages = [r.random((n, html_extraction.INPUT)).astype(np.float32) for n in lengths]
+    got, _ = html_extraction.probabilities(*html_extraction.padded(pages), w)
+    size = html_extraction.STATE
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    for k, page in enumerate(pages):
+        both = {}
+        for way in "fb":
+            h, c = [0.0] * size, [0.0] * size
+            for t in range(len(page)) if way == "f" else range(len(page) - 1, -1, -1):
+                z = [float(w[f"{way}c"][j]) + sum(float(x) * float(v) for x, v in zip(page[t], w[f"{way}x"][:, j], strict=True)) + sum(h[i] * float(w[f"{way}h"][i, j]) for i in range(size)) for j in range(4 * size)]
+                c = [sigmoid(z[size + j]) * c[j] + sigmoid(z[j]) * math.tanh(z[3 * size + j]) for j in range(size)]
+                h = [sigmoid(z[2 * size + j]) * math.tanh(c[j]) for j in range(size)]
+                both[way, t] = h
+        for t in range(len(page)):
+            z = float(w["bias"][0]) + sum(float(a) * b for a, b in zip(w["out"], both["f", t] + both["b", t], strict=True)) + sum(float(x) * float(v) for x, v in zip(page[t], w["skip"], strict=True))
+            assert got[t, k] == pytest.approx(sigmoid(z), abs=1e-4)
+
+
+# pages that no template made: (html, blocks of main text, other blocks)
+HAND = [
+    ("""<body><div id=hdr><a href=/>Home</a> <a href=/n>News</a> <a href=/s>Sport</a></div>
+      <div class=story><h1>River rises again</h1><p>The river rose by two metres overnight, officials said on Monday.</p>
+      <p>Roads near the old bridge stay closed until the water falls.</p></div>
+      <div id='disqus_thread'><p>Great article, thanks!</p></div><p class='legal'>All rights reserved 2020</p></body>""",
+     ["River rises again", "The river rose by two metres overnight, officials said on Monday.", "Roads near the old bridge stay closed until the water falls."],
+     ["Home News Sport", "Great article, thanks!", "All rights reserved 2020"]),
+    ("""<table><tr><td><a href=a>Start</a><br><a href=b>Archive</a><br><a href=c>Contact</a></td>
+      <td><h1>How to bake bread</h1><p>Mix the flour with water and a little salt, then wait for an hour.</p><p>Bake it for forty minutes.</p></td></tr>
+      <tr><td colspan=2><small>Copyright 2004 by the author</small></td></tr></table>""",
+     ["How to bake bread", "Mix the flour with water and a little salt, then wait for an hour.", "Bake it for forty minutes."],
+     ["Start Archive Contact", "Copyright 2004 by the author"]),
+    ("""<html><body><nav role=navigation><ul><li><a href=/1>Blog</a><li><a href=/2>About</a></ul></nav><main><article class="post hentry">
+      <h2>Notes on a long walk</h2><p>We left the village at six and followed the stream up the valley.</p><blockquote>The hills are older than the maps.</blockquote>
+      <pre>day 1: 20 km</pre></article></main><section class=responses><h3>2 responses</h3><p>I was there too.</p><p>Lovely pictures!</p></section>
+      <footer><p>Imprint</p></footer></body></html>""",
+     ["Notes on a long walk", "We left the village at six and followed the stream up the valley.", "The hills are older than the maps.", "day 1: 20 km"],
+     ["Blog", "About", "2 responses", "I was there too.", "Lovely pictures!", "Imprint"]),
+    ("""<div class="cookie-banner"><p>We use cookies to make this site better.</p><button>Accept</button></div><header><h2>The Daily</h2></header>
+      <article><h1>Council votes on park</h1><p>The council voted on Tuesday to keep the park open in winter.</p><div class="ad"><p>Buy shoes now!</p></div>
+      <p>A second vote is planned for spring.</p></article><aside><h3>Most read</h3><ul><li><a href=x>Storm warning</a></ul></aside>
+      <div class="newsletter-signup"><form><p>Get our letter every week</p><input></form></div>""",
+     ["Council votes on park", "The council voted on Tuesday to keep the park open in winter.", "A second vote is planned for spring."],
+     ["We use cookies to make this site better.", "Accept", "The Daily", "Buy shoes now!", "Most read", "Storm warning", "Get our letter every week"]),
+]
+
+
+def test_extraction_of_pages_that_no_template_made(spark):
+    rows = [(i, "u", page) for i, (page, _, _) in enumerate(HAND)]
+    got = {r["page_id"]: r["text"].split("\n\n") for r in html_extraction.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    kept = sum(t in got[i] for i, (_, main, _) in enumerate(HAND) for t in main)
+    left = sum(t not in got[i] for i, (_, _, other) in enumerate(HAND) for t in other)
+    wrong = [(i, t) for i, (_, main, other) in enumerate(HAND) for t in main + other if (t in main) != (t in got[i])]
+    assert kept + left >= 0.9 * sum(len(m) + len(o) for _, m, o in HAND), wrong
+    assert wrong == []
+
+
 def test_extraction_finds_articles(spark):
     layouts = html_extraction.Layouts([f"word{i}" for i in range(300)], 77)
     made = [layouts.page() for _ in range(60)]
