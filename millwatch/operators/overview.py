@@ -60,8 +60,12 @@ def mart_vs_sensor_averages(mart: DataFrame, readings: DataFrame) -> DataFrame:
 
     Both sides are one row per machine before they meet.
     """
-    health = mart.select("machine_id", "health_status", "failure_risk_score")
-    return health.join(sensor_averages(readings), "machine_id")
+    return mart_vs_averages(mart, sensor_averages(readings))
+
+
+def mart_vs_averages(mart: DataFrame, averages: DataFrame) -> DataFrame:
+    """Health of each machine beside averages that were computed before."""
+    return mart.select("machine_id", "health_status", "failure_risk_score").join(averages, "machine_id")
 
 
 def correlation(x: Column, y: Column) -> Column:
@@ -76,8 +80,13 @@ def correlation(x: Column, y: Column) -> Column:
 
 def status_sensor_correlation(mart: DataFrame, readings: DataFrame) -> DataFrame:
     """One row: correlation of the health rank with each sensor average."""
+    return status_average_correlation(mart, sensor_averages(readings))
+
+
+def status_average_correlation(mart: DataFrame, averages: DataFrame) -> DataFrame:
+    """As status_sensor_correlation, from averages that were computed before."""
     rank = R.status_rank(F.col("health_status"))
-    return mart_vs_sensor_averages(mart, readings).agg(
+    return mart_vs_averages(mart, averages).agg(
         *[correlation(rank, F.col(c)).alias(f"corr_{c}") for c in ["avg_temp", "avg_vibration", "avg_pressure"]]
     )
 

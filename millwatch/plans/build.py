@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.operators import alerts, marts, quality
+from millwatch.operators import alerts, kept, marts, quality
 from millwatch.operators.history import load_history
 from millwatch.operators.staging import staging_readings
 from millwatch.sources.landing import good_rows, rejected_rows
@@ -19,6 +19,7 @@ LANDING, REJECTS, HISTORY = "landing", "landing_rejects", "history"
 TOTALS, MART, CHECKS = "machine_totals", "machine_health", "check_results"
 ALERTS, CRITICAL = "alerts", "critical_machines"
 DEDUPLICATED = "deduplicated"
+SENSOR_TOTALS, MACHINE_DAYS = "sensor_totals", "machine_days"
 STAGING_VIEW = "staging_readings"
 
 
@@ -46,6 +47,8 @@ def rebuild(store: Store) -> None:
     staging = staging_readings(store.read(HISTORY))
     store.replace(TOTALS, marts.machine_totals(staging))
     store.replace(MART, marts.assess(marts.merge_totals(store.read(TOTALS))))
+    if store.exists(SENSOR_TOTALS):
+        keep_figures(store, store.read(HISTORY))
     if store.exists(LANDING):
         store.replace(CHECKS, quality.table_checks(store.read(LANDING), staging))
 
@@ -57,15 +60,53 @@ def fold_totals(store: Store, keep: str) -> None:
     store.put_loads(TOTALS, old.unionByName(rows.filter(F.col(LOAD) == keep).drop(DAY)))
 
 
+def keep_figures(store: Store, readings: DataFrame, load: str | None = None) -> None:
+    """Add the sensor totals and machine sketches of a load's history rows to the stored ones; without a load, in place of all."""
+    figures = {SENSOR_TOTALS: kept.sensor_totals(readings), MACHINE_DAYS: kept.machine_days(readings)}
+    for name, rows in figures.items():
+        store.replace(name, rows) if load is None else store.append(name, rows, load)
+
+
+def fold_figures(store: Store, keep: str) -> None:
+    """One row per machine, and per day, for all loads but `keep`, the one that may yet be run again."""
+    for name, merge in ((SENSOR_TOTALS, kept.merge_sensor_totals), (MACHINE_DAYS, kept.merge_machine_days)):
+        rows = store.read(name, with_folders=True)
+        old = merge(rows.filter(F.col(LOAD) != keep).drop(DAY, LOAD)).withColumn(LOAD, F.lit(WHOLE))
+        store.put_loads(name, old.unionByName(rows.filter(F.col(LOAD) == keep).drop(DAY)))
+
+
+def sensor_averages(store: Store) -> DataFrame:
+    """Sensor averages per machine over all loads, from the stored totals."""
+    return kept.averages(kept.merge_sensor_totals(store.read(SENSOR_TOTALS)))
+
+
+def machines_between(store: Store, first: str | None = None, last: str | None = None) -> DataFrame:
+    """One row: readings and about how many machines there are from day `first` to day `last`, from the stored sketches.
+
+    None leaves a side open; without both, readings without a time count too.
+    """
+    days = store.read(MACHINE_DAYS)
+    if first is not None:
+        days = days.filter(F.col("day") >= F.lit(first).cast("date"))
+    if last is not None:
+        days = days.filter(F.col("day") <= F.lit(last).cast("date"))
+    return kept.machines_of(days)
+
+
 def check_results(store: Store) -> DataFrame:
     """Every declared check on the whole tables: stored counts of landing and staging added up, and the mart as it is."""
     return quality.added_up(store.read(CHECKS)).unionByName(quality.mart_checks(store.read(MART)))
 
 
-def run_batch(store: Store, landing: DataFrame, load: str) -> DataFrame:
-    """Land and build, publish the staging view, and return the results of the declared checks on the whole tables."""
+def run_batch(store: Store, landing: DataFrame, load: str, figures: bool = False) -> DataFrame:
+    """Land and build, publish the staging view, and return the results of the declared checks on the whole tables.
+
+    With `figures` the sensor totals and machine sketches of the load are kept too.
+    """
     store.append(LANDING, landing, load)
     build(store, store.load(LANDING, load), load)
+    if figures:
+        keep_figures(store, store.load(HISTORY, load), load)
     publish_view(staging_readings(store.read(HISTORY)), STAGING_VIEW)
     return check_results(store)
 

@@ -17,7 +17,7 @@ from millwatch import settings as S
 from millwatch.functions import readings as R
 from millwatch.functions import text as X
 from millwatch.functions.alerting import register_functions
-from millwatch.operators import alerts, history, overview, quality, staging, summaries, trends
+from millwatch.operators import alerts, history, kept, overview, quality, staging, summaries, trends
 from millwatch.operators.marts import machine_health
 from millwatch.plans import build as B
 from millwatch.session import workspace
@@ -535,6 +535,42 @@ def status_sensor_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row.withColumns(rounded(*row.columns))
 
 
+def _kept_figures(spark: SparkSession, sf_dir: str) -> Store:
+    """A store with the figures of two loads, the second of them run twice."""
+    target, rows = store(spark), history.rename_cast(readings(spark, sf_dir))
+    early = F.coalesce(F.col("event_time") < at(RUN_1_BEFORE), F.lit(False))
+    B.keep_figures(target, rows.filter(early), "load-1")
+    for _ in range(2):
+        B.keep_figures(target, rows.filter(~early), "load-2")
+    return target
+
+
+@query
+def status_correlation_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As status_sensor_correlation, from stored totals of two loads."""
+    row = overview.status_average_correlation(mart(spark, sf_dir), B.sensor_averages(_kept_figures(spark, sf_dir)))
+    return row.withColumns(rounded(*row.columns))
+
+
+@query
+def machines_per_day_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings per day from stored figures of two loads, and whether the sketched number of machines is within its error of the exact one beside it."""
+    days = kept.merge_machine_days(_kept_figures(spark, sf_dir).read(B.MACHINE_DAYS))
+    rows = history.rename_cast(readings(spark, sf_dir))
+    exact = rows.groupBy(F.to_date("event_time").alias("day")).agg(F.count_distinct("machine_id").alias("n_machines"))
+    near = kept.within_error(F.hll_sketch_estimate("machines"), F.col("n_machines")).alias("within_error")
+    return days.join(exact, days["day"].eqNullSafe(exact["day"])).select(days["day"].cast("string").alias("day"), "n_readings", "n_machines", near)
+
+
+@query
+def machines_of_all_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: the same over all days, from the union of the stored sketches."""
+    exact = readings(spark, sf_dir).agg(F.count_distinct("machine_id").alias("exact"))
+    both = B.machines_between(_kept_figures(spark, sf_dir)).withColumn("exact", exact.scalar())
+    near = kept.within_error(F.col("n_machines"), F.col("exact")).alias("within_error")
+    return both.select("n_readings", F.col("exact").alias("n_machines"), near)
+
+
 @query
 def factory_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = overview.factory_overview(mart(spark, sf_dir))
