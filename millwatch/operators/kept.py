@@ -52,6 +52,27 @@ def merge_machine_days(*parts: DataFrame) -> DataFrame:
     )
 
 
+def key_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key the number of rows. NULL is a value like others here."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("occurrences"))
+
+
+def merge_key_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key over all parts."""
+    return counts.groupBy(*keys).agg(F.sum("occurrences").alias("occurrences"))
+
+
+def day_uniqueness(counts: DataFrame, day: str) -> DataFrame:
+    """Per day, from merged key counts: rows, keys, keys with several rows, and rows beyond the first of their key."""
+    n = F.col("occurrences")
+    return counts.groupBy(day).agg(
+        F.sum(n).alias("n_rows"),
+        F.count("*").alias("n_keys"),
+        F.count_if(n > 1).alias("repeated_keys"),
+        (F.sum(n) - F.count("*")).alias("surplus_rows"),
+    )
+
+
 def machines_of(days: DataFrame) -> DataFrame:
     """One row: readings and machines of some days, machines to within SKETCH_ERROR in all but three of a thousand cases. Zeros for no day."""
     estimate = F.hll_sketch_estimate(F.hll_union_agg("machines"))

@@ -19,6 +19,8 @@ LANDING, REJECTS, HISTORY = "landing", "landing_rejects", "history"
 TOTALS, MART, CHECKS = "machine_totals", "machine_health", "check_results"
 ALERTS, CRITICAL = "alerts", "critical_machines"
 DEDUPLICATED = "deduplicated"
+KEY_COUNTS, DUPLICATE_KEYS, KEY_DAYS = "key_counts", "duplicate_keys", "key_days"
+LANDING_KEY = ["machine_id", "timestamp"]
 SENSOR_TOTALS, MACHINE_DAYS = "sensor_totals", "machine_days"
 STAGING_VIEW = "staging_readings"
 
@@ -75,6 +77,35 @@ def fold_figures(store: Store, keep: str) -> None:
         store.put_loads(name, old.unionByName(rows.filter(F.col(LOAD) == keep).drop(DAY)))
 
 
+def keep_keys(store: Store, rows: DataFrame, load: str) -> None:
+    """Bring the counts of landing keys, the repeated keys and the figures of each day up to date with the rows of a load.
+
+    A key holds its time, so it lies in one day: only days that the load touches are counted again, from the counts of all
+    loads, whatever the length of the history. Rows without a time share the missing day. A load that is run again takes the place of
+    its earlier counts. Counts combine before the shuffle, so a key with most of the rows is no single task's work.
+    """
+    store.append(KEY_COUNTS, kept.key_counts(rows, LANDING_KEY), load)
+    counts = store.read(KEY_COUNTS, with_folders=True)
+    days = store.days(counts.filter(F.col(LOAD) == load))
+    merged = kept.merge_key_counts(store.of_days(counts, days), LANDING_KEY)
+    figures = kept.day_uniqueness(merged.withColumn("timestamp", F.date_trunc("day", "timestamp").cast("timestamp_ntz")), "timestamp")
+    for name, part in ((DUPLICATE_KEYS, merged.filter(F.col("occurrences") > 1)), (KEY_DAYS, figures)):
+        if not store.exists(name):
+            store.create(name, part.schema)
+        store.put_days(name, part, days)
+
+
+def duplicate_keys(store: Store) -> DataFrame:
+    """Landing keys with several rows over all loads, with their number, as kept."""
+    return store.read(DUPLICATE_KEYS)
+
+
+def uniqueness(store: Store) -> DataFrame:
+    """One row for the whole landing table, from the kept figures of its days: rows, keys, repeated keys, rows beyond the first of their key."""
+    names = ("n_rows", "n_keys", "repeated_keys", "surplus_rows")
+    return store.read(KEY_DAYS).agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names))
+
+
 def sensor_averages(store: Store) -> DataFrame:
     """Sensor averages per machine over all loads, from the stored totals."""
     return kept.averages(kept.merge_sensor_totals(store.read(SENSOR_TOTALS)))

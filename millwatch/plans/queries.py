@@ -302,6 +302,17 @@ def type_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read(B.HISTORY)
 
 
+@query
+def schemas_of_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads with columns of their own, then a delete that looks at columns of all; loads keep the files they wrote until then."""
+    target, (first, second, third) = _three_loads(spark, sf_dir)
+    target.append(B.HISTORY, first.withColumn("pressure", F.floor("pressure")).withColumn("site", F.lit("north")), "a")
+    target.append(B.HISTORY, second, "b")
+    target.append(B.HISTORY, third.withColumn("site", F.lit("south")), "c")
+    target.delete_where(B.HISTORY, F.col("site").isNull() & (F.col("pressure") > 100))
+    return target.read(B.HISTORY)
+
+
 @query
 def table_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An empty landing table takes the place of a filled one and is then filled with the mart's rows."""
@@ -492,6 +503,26 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.duplicates(testdata.hourly_readings(spark, sf_dir), ["machine_id", "timestamp"])
 
 
+@query
+def duplicate_keys_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the kept table after two loads, the second run twice; a key may have a row in either load."""
+    rows = testdata.hourly_readings(spark, sf_dir)
+    target, half = store(spark), F.pmod(F.xxhash64("temperature", "status_code"), F.lit(2))
+    for k in (0, 1, 1):
+        B.keep_keys(target, rows.filter(half == k), f"load-{k}")
+    return B.duplicate_keys(target)
+
+
+@query
+def unique_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The uniqueness check of the landing keys from the kept counts of two loads."""
+    rows = testdata.hourly_readings(spark, sf_dir)
+    target, half = store(spark), F.pmod(F.xxhash64("temperature", "status_code"), F.lit(2))
+    for k in (0, 1):
+        B.keep_keys(target, rows.filter(half == k), f"load-{k}")
+    return B.uniqueness(target)
+
+
 @query
 def status_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.distribution(mart(spark, sf_dir), "health_status").withColumns(rounded("share"))

@@ -60,6 +60,45 @@ def test_sketches_keep_their_error(spark):
     assert all(abs(r["n"] - 60_000) <= kept.SKETCH_ERROR * 60_000 for r in days.select(F.hll_sketch_estimate("machines").alias("n")).collect())
 
 
+def landed(spark, *rows):
+    return spark.createDataFrame(list(rows), "machine_id string, timestamp timestamp_ntz, temperature double")
+
+
+def test_repeated_keys_are_kept_over_loads(spark, store):
+    day = timedelta(days=1)
+    loads = {
+        "a": [("M1", T0, 1.0), ("M1", T0, 2.0), ("M2", T0, 1.0), ("M3", T0 + day, 1.0), (None, T0, 1.0)],
+        "b": [("M2", T0, 5.0), ("M4", T0 + 2 * day, 1.0), ("M5", None, 1.0), (None, T0, 2.0)],
+        "c": [("M5", None, 2.0), ("M6", None, 1.0)],
+    }
+    seen = []
+    for load in ("a", "b", "b", "c"):
+        B.keep_keys(store, landed(spark, *loads[load]), load)
+        seen = seen if load == "b" and len(seen) > 5 else seen + loads[load]
+        counts = {}
+        for machine, at, _ in seen:
+            counts[machine, at] = counts.get((machine, at), 0) + 1
+        found = {(r["machine_id"], r["timestamp"]): r["occurrences"] for r in B.duplicate_keys(store).collect()}
+        assert found == {k: n for k, n in counts.items() if n > 1}
+        repeated = sum(n > 1 for n in counts.values())
+        assert tuple(B.uniqueness(store).first()) == (len(seen), len(counts), repeated, len(seen) - len(counts))
+
+
+def test_a_load_of_one_day_reads_and_writes_that_day_only(spark, store):
+    day = timedelta(days=1)
+    B.keep_keys(store, landed(spark, *((f"M{i % 3}", T0 + (i % 5) * day, 1.0) for i in range(30))), "a")
+    before = store.read(B.DUPLICATE_KEYS).inputFiles()
+    B.keep_keys(store, landed(spark, ("M0", T0, 1.0), ("M9", T0, 1.0)), "b")
+    gone = set(before) - set(store.read(B.DUPLICATE_KEYS).inputFiles())
+    assert gone and all("event_date=2024-05-13" in path for path in gone)
+    assert store.read(B.DUPLICATE_KEYS).where("machine_id = 'M0' AND timestamp = '2024-05-13 10:00:00'").first()["occurrences"] == 3
+
+
+def test_no_keys(spark, store):
+    B.keep_keys(store, landed(spark), "a")
+    assert B.duplicate_keys(store).isEmpty() and tuple(B.uniqueness(store).first()) == (0, 0, 0, 0)
+
+
 def test_empty_tables(store, readings):
     B.keep_figures(store, readings.limit(0), "a")
     assert B.sensor_averages(store).isEmpty() and tuple(B.machines_between(store).first()) == (0, 0)

@@ -1,5 +1,6 @@
 """Stored tables whose writes die, and readers beside a writer."""
 
+import pathlib
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millwatch.plans import build as B
 from millwatch.session import children, workspace
-from millwatch.sources import snapshots
+from millwatch.sources import snapshots, tables
 from millwatch.sources.tables import Store
 from millwatch.streaming import jobs
 
@@ -99,6 +100,83 @@ def test_a_killed_rebuild_changes_nothing(spark, store, monkeypatch, name):
     assert [r[0] for r in content(store)] == (["M9"] if name == "replace" else ["M1", "M2", "M3", "M4", "M5", "M8"])
 
 
+def typed(spark, columns, *data):
+    return spark.createDataFrame(list(data), "machine_id string, event_time timestamp_ntz, " + columns)
+
+
+def files(store, name="t"):
+    """Every stored file with its size and time."""
+    base = pathlib.Path(f"{store.root}/{name}".removeprefix("file:"))
+    return {(str(p), p.stat().st_size, p.stat().st_mtime_ns) for p in base.rglob("*.parquet")}
+
+
+def test_schemas_per_load_rewrite_nothing(spark, store):
+    steps = [
+        ("a", typed(spark, "n bigint, site string", ("M1", T0, 7, "x"), ("M2", None, None, "y"))),
+        ("b", typed(spark, "n double", ("M3", T0, 1.5))),  # a column goes, another changes its type
+        ("c", typed(spark, "n double, site string", ("M4", T0 + DAY, 2.5, "z"))),  # it comes back
+        ("d", typed(spark, "n string, site string, more int", ("M5", T0, "word", None, 5))),
+        ("e", typed(spark, "more int, n string", ("M6", T0 + DAY, 6, "7"))),  # other order
+    ]
+    stored = set()
+    for load, df in steps:
+        store.append("t", df, load)
+        assert stored <= files(store)
+        stored = files(store)
+        assert store.read("t").schema.names == df.schema.names
+        assert store.read("t").dtypes == df.dtypes
+    got = sorted((r["machine_id"], r["n"], r["more"]) for r in Store(spark, store.root).read("t").collect())
+    assert got == [("M1", "7.0", None), ("M2", None, None), ("M3", "1.5", None), ("M4", "2.5", None), ("M5", "word", 5), ("M6", "7", 6)]
+    assert [r["machine_id"] for r in store.load("t", "b").collect()] == ["M3"]
+
+
+def test_days_of_all_shapes_change_together(spark, store):
+    store.append("t", typed(spark, "n bigint, gone int", ("M1", T0, 1, 1), ("M2", T0 + DAY, 2, 2), ("M3", None, 3, 3)), "a")
+    store.append("t", typed(spark, "n double", ("M4", T0, 4.5)), "b")
+    store.upsert("t", typed(spark, "n double", ("M1", T0, 9.5)), ["machine_id", "event_time"])
+    assert [(r[0], r[2]) for r in sorted(store.read("t").collect())] == [("M1", 9.5), ("M2", 2.0), ("M3", 3.0), ("M4", 4.5)]
+    store.delete_where("t", F.col("n") < 3)
+    store.merge_loads("t", "none", 1)
+    assert [(r[0], r[2]) for r in sorted(store.read("t").collect())] == [("M1", 9.5), ("M3", 3.0), ("M4", 4.5)]
+    assert not [p for p, _, _ in files(store) if "/00000001/" in p]  # nothing is left of the first shape
+
+
+def test_a_load_of_an_earlier_shape_is_run_again(spark, store, monkeypatch):
+    store.append("t", typed(spark, "n bigint, gone int", ("M1", T0, 1, 1), ("M2", T0 + DAY, 2, 2)), "a")
+    store.append("t", typed(spark, "n bigint, gone int", ("M3", T0, 3, 3)), "b")
+    store.append("t", typed(spark, "n bigint", ("M4", T0, 4)), "c")
+    again = typed(spark, "n bigint", ("M1", T0, 10))
+    with monkeypatch.context() as m:
+        m.setattr(Store, "_fill", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            store.append("t", again, "a")
+    after = [("M1", 10), ("M3", 3), ("M4", 4)]
+    for _ in range(2):
+        assert [(r[0], r[2]) for r in sorted(store.read("t").collect())] == after
+        store.append("t", again, "a")
+    assert sorted(r[0] for r in store.load("t", "a").collect()) == ["M1"]
+
+
+def test_many_shapes_become_one(spark, store, monkeypatch):
+    monkeypatch.setattr(tables, "SHAPES", 3)
+    for i in range(8):
+        kind = "bigint" if i % 2 else "string"
+        store.append("t", typed(spark, f"n {kind}", (f"M{i}", T0, i if i % 2 else str(i))), f"l-{i}")
+        assert len({number for number, _ in store._steps("t")}) <= 3
+    assert [int(r["n"]) for r in sorted(store.read("t").collect())] == list(range(8))
+    assert len(children(spark, f"{store.root}/schemas/t")) <= 3 * (tables.GENERATIONS + 2)
+
+
+def test_a_column_of_all_shapes_is_pruned_by_day(spark, store):
+    store.append("t", typed(spark, "n bigint", ("M1", T0, 1), ("M2", T0 + DAY, 2)), "a")
+    store.append("t", typed(spark, "n double", ("M3", T0, 3.0), ("M4", T0 + DAY, 4.0)), "b")
+    rows = store.of_days(store.read("t", with_folders=True), ["2024-05-13"]).select("machine_id")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and plan.count("PartitionFilters: [") == 2 and "PartitionFilters: []" not in plan
+    assert "ReadSchema: struct<machine_id:string>" in plan
+    assert sorted(r[0] for r in rows.collect()) == ["M1", "M3"]
+
+
 def test_a_first_load_that_dies_is_no_table(spark, store, monkeypatch):
     with monkeypatch.context() as m:
         m.setattr(Store, "_set_schema", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
