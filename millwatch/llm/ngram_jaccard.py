@@ -10,8 +10,8 @@ each token a level, and tokens go by (level, hash). The sketch decides only how
 3. Hub rounds: per token a few classes are hubs; in each round every class is compared with two hubs of other
    components (the nearest and a random one). Verified links join components, so most of a large group of
    near copies is joined by a number of comparisons in proportion to its size.
-4. Group pairs that share a token and are not of one component already are filtered by size, position of the
-   token and (single members) bitmap, expanded to members, filtered by the members' bitmaps and verified.
+4. Tokens whose groups are all of one component are left out before groups are paired. Group pairs that share a token and are
+   not of one component already are filtered by size, position of the token and (single members) bitmap, expanded to members, filtered by the members' bitmaps and verified.
 
 Links inside a component are not needed for the components, so none of that is lost. Bitmaps hold the parity of the
 tokens per bit: their distance is at most the symmetric difference, so the filter loses nothing. A short bitmap
@@ -300,7 +300,9 @@ def _linked(docs: DataFrame, shingle: int, percent: int, hub_rounds: int) -> Dat
 
     rooted = stored(members.join(roots, "c"))
     grouped = rooted.groupBy("g").agg(F.min("n").alias("n"), F.count(F.lit(1)).alias("members"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("short").alias("short"))
-    at_groups = posted.select("h", "g", "pos").distinct().join(grouped, "g")
+    at_roots = posted.select("h", "g", "pos").distinct().join(grouped.select("g", "lo", "hi"), "g")
+    apart = at_roots.groupBy("h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("h")
+    at_groups = posted.select("h", "g", "pos").join(small(apart, MOST_BROADCAST_ROWS), "h", "left_semi").distinct().join(grouped, "g")
     one = (F.col("xlo") == F.col("xhi")) & (F.col("ylo") == F.col("yhi")) & (F.col("xlo") == F.col("ylo"))
     reach = F.least(F.col("xn") - F.col("xpos"), F.col("yn") - F.col("ypos")) >= overlap(percent, "x", "y")
     alike = (F.col("xmembers") > 1) | (F.col("ymembers") > 1) | close(percent, "x", "y", "short")
