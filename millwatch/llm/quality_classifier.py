@@ -5,8 +5,9 @@ of 2 * BLOCK bytes begin every BLOCK bytes, so they overlap and cover the whole
 max-pooled over a chunk. The mean and the maximum over all chunks feed a hidden layer and one probability.
 
 The network is trained on a bounded sample of labelled documents (MOST_PER_LABEL of each label, those with the
-smallest hash of their id, and of each at most TRAIN_BLOCKS blocks, spread over the document). Scoring reads every
-byte, in tasks, in groups of bounded size.
+smallest hash of their id). Every step draws BATCH of them and of each the whole text or, from DRAWN characters on, stretches at
+places drawn anew from the whole text; the cuts are made in tasks, so the driver holds STEPS * BATCH of them and no whole long text.
+Scoring reads every byte, in tasks, in groups of bounded size.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from millwatch.llm.words import slices, texts_of
 
 EMBED, WIDTH, STRIDE, FILTERS, HIDDEN, BLOCK = 6, 8, 4, 24, 16, 128
 MOST_PER_LABEL = 1500
-TRAIN_BLOCKS = 24
+DRAWN = 24 * BLOCK  # characters of a text in one step; a multiple of four
 STEPS, BATCH, RATE, SEED = 260, 64, 0.005, 5
 THRESHOLD = 0.7
 GROUP = 1 << 18  # bytes looked at together
@@ -155,29 +156,20 @@ def gradients(texts: list[bytes], y: np.ndarray, w: Weights) -> tuple[Weights, f
     return g, float(-np.mean(np.log(np.where(y > 0, p, 1 - p) + 1e-9)))
 
 
-def spread_blocks(text: bytes, most: int = TRAIN_BLOCKS) -> bytes:
-    """At most `most` blocks in a few stretches spread over the text; training only."""
-    if len(text) <= most * BLOCK:
-        return text
-    part = most // 4 * BLOCK
-    return b"".join(text[int(i * (len(text) - part) / 3) : int(i * (len(text) - part) / 3) + part] for i in range(4))
+def drawn(labels: list[int], steps: int = STEPS, seed: int = SEED) -> list[np.ndarray]:
+    """The texts of every step, by their places in `labels`: as many of either label."""
+    r = np.random.default_rng(seed)
+    kinds = [k for k in (np.flatnonzero(np.array(labels) == kind) for kind in (0, 1)) if len(k)]
+    return [np.concatenate([r.choice(k, BATCH // len(kinds)) for k in kinds]) for _ in range(steps)] if kinds else []
 
 
-def train(texts: list[bytes], labels: list[int], steps: int = STEPS, seed: int = SEED) -> Weights:
-    """Adam over batches with as many texts of either label."""
+def train(batches: list[tuple[list[bytes], np.ndarray]], seed: int = SEED) -> Weights:
+    """Adam, one step for each batch of texts and labels; without batches the network as it begins."""
     w = fresh(seed)
-    r = np.random.default_rng(seed)
-    y = np.array(labels, np.float32)
-    texts = [spread_blocks(t) for t in texts]
-    if not len(texts):
-        return w
     first, second = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
-    kinds = [np.flatnonzero(y == k) for k in (0, 1)]
-    kinds = [k for k in kinds if len(k)]
-    for t in range(1, steps + 1):
-        pick = np.concatenate([r.choice(k, BATCH // len(kinds)) for k in kinds])
-        g, _ = gradients([texts[i] for i in pick], y[pick], w)
-        rate = RATE * min(1.0, t / 20, 3 * (1 - t / (steps + 1)))
+    for t, (texts, y) in enumerate(batches, 1):
+        g, _ = gradients(texts, y.astype(np.float32), w)
+        rate = RATE * min(1.0, t / 20, 3 * (1 - t / (len(batches) + 1)))
         for k in w:
             first[k] = 0.9 * first[k] + 0.1 * g[k]
             second[k] = 0.999 * second[k] + 0.001 * g[k] ** 2
@@ -185,6 +177,21 @@ def train(texts: list[bytes], labels: list[int], steps: int = STEPS, seed: int =
     return w
 
 
+def drawn_texts(docs: DataFrame, ids: list, picks: list[np.ndarray]) -> list[list[bytes]]:
+    """The texts of every step, as pieces(): at most STEPS * BATCH of them, cut in tasks. Of repeated ids the smallest cut counts."""
+    spark, places = docs.sparkSession, np.concatenate(picks)
+    of_id: dict[int, list[int]] = {}
+    for draw, place in enumerate(places.tolist()):
+        of_id.setdefault(place, []).append(draw)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    wanted = spark.createDataFrame([(ids[place], draws) for place, draws in of_id.items()], f"doc_id {kind}, draws array<int>")
+    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
+    rows = docs.select("doc_id", text).join(F.broadcast(wanted), "doc_id").select("text", F.explode("draws").alias("draw"))
+    cut = {r["draw"]: r["cut"].encode() for r in rows.select("draw", pieces("text", "draw").alias("cut")).groupBy("draw").agg(F.min("cut").alias("cut")).collect()}
+    ends = np.cumsum([0, *map(len, picks)]).tolist()
+    return [[cut[d] for d in range(a, b)] for a, b in zip(ends, ends[1:], strict=False)]
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted.
 
@@ -198,11 +205,11 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     marks = marks.where(part != 2)
     ids = [marks.where((F.col("quality") == 1) if k else (F.col("quality") != 1)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_PER_LABEL) for k in (0, 1)]
     chosen = F.broadcast(ids[0].unionByName(ids[1]))  # 2 * MOST_PER_LABEL rows at most
-    edge = 4 * TRAIN_BLOCKS * BLOCK
-    text = F.coalesce(F.col("text"), F.lit(""))
-    sample = docs.select("doc_id", text.alias("text")).join(chosen, "doc_id").select("doc_id", "quality", spread_sql("text", edge).alias("text"))
-    rows = sample.dropDuplicates(["doc_id"]).orderBy("doc_id").limit(2 * MOST_PER_LABEL).collect()
-    trained = train([r["text"].encode() for r in rows], [int(r["quality"] == 1) for r in rows])
+    rows = docs.select("doc_id").join(chosen, "doc_id").select("doc_id", "quality").distinct().orderBy("doc_id").collect()
+    y = np.array([int(r["quality"] == 1) for r in rows])
+    picks = drawn(y.tolist(), STEPS)
+    texts = drawn_texts(docs, [r["doc_id"] for r in rows], picks) if picks else []
+    trained = train([(t, y[p]) for t, p in zip(texts, picks, strict=True)])
     totals = marks.agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") != 1).alias("bad")).first()
     if totals["good"] and totals["bad"]:  # trained on equal shares, used on these
         trained["out_bias"] += np.float32(np.log(totals["good"] / totals["bad"]))
@@ -216,10 +223,18 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     return scored.select("doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def spread_sql(column: str, edge: int):
-    """A text no longer than `edge` characters: whole, or four stretches spread over it (training only)."""
-    c = F.col(column)
-    part = edge // 4
-    at = lambda i: F.floor((F.length(c) - part) * i / 3).cast("int") + 1
-    pieces = F.concat(*(F.substr(c, at(i), F.lit(part)) for i in range(4)))
-    return F.when(F.length(c) <= edge, c).otherwise(pieces)
+def pieces(text: str, draw: str):
+    """What one draw of a text trains on: the whole if it has at most DRAWN characters, else a stretch that begins at a random place of each quarter.
+
+    A stretch that meets the end goes on at the beginning, so every character is as likely to be met. The places depend on the text's
+    length and the draw: each draw of a text is another cut.
+    """
+    c, n, part = F.col(text), F.length(text), DRAWN // 4
+
+    def stretch(i: int):
+        first = F.floor(n * i / 4)
+        start = first + F.pmod(F.xxhash64(draw, F.lit(i)), F.floor(n * (i + 1) / 4) - first) + 1
+        beyond = F.greatest(start + part - 1 - n, F.lit(0))
+        return F.concat(F.substr(c, start.cast("int"), F.lit(part)), F.substr(c, F.lit(1), beyond.cast("int")))
+
+    return F.when(n <= DRAWN, c).otherwise(F.concat(*map(stretch, range(4))))

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from millwatch.llm import quality_classifier as Q
 from millwatch.llm import quality_rules as R
@@ -136,6 +137,61 @@ def test_long_texts_score_like_whole_ones(monkeypatch):
     assert Q.scores([text, b"", b"x"], w) == pytest.approx(whole, abs=1e-5)
 
 
+def plain_score(text, w):
+    """The network by loops over single numbers."""
+    blocks = max(2, -(-len(text) // Q.BLOCK))
+    data = text + bytes(blocks * Q.BLOCK + Q.WIDTH - len(text))
+    chunks = []
+    for chunk in range(blocks - 1):
+        pooled = []
+        for f in range(Q.FILTERS):
+            best = -math.inf
+            for start in range(chunk * Q.BLOCK, (chunk + 2) * Q.BLOCK, Q.STRIDE):
+                total = 0.0
+                for i in range(Q.WIDTH):
+                    for e in range(Q.EMBED):
+                        total += float(w["embed"][data[start + i]][e]) * float(w["conv"][i * Q.EMBED + e][f])
+                best = max(best, total)
+            pooled.append(max(0.0, best + float(w["conv_bias"][f])))
+        chunks.append(pooled)
+    features = [sum(c[f] for c in chunks) / len(chunks) for f in range(Q.FILTERS)] + [max(c[f] for c in chunks) for f in range(Q.FILTERS)]
+    out = float(w["out_bias"][0])
+    for k in range(Q.HIDDEN):
+        total = float(w["hidden_bias"][k]) + sum(x * float(w["hidden"][j][k]) for j, x in enumerate(features))
+        out += max(0.0, total) * float(w["out"][k])
+    return 1 / (1 + math.exp(-out))
+
+
+def test_scores_are_those_of_plain_loops(monkeypatch):
+    w = Q.fresh(4)
+    r = np.random.default_rng(2)
+    w["conv_bias"] += r.normal(size=Q.FILTERS).astype(np.float32) * 0.3
+    w["hidden_bias"] += 0.1
+    texts = [b"", b"a", "ü€ text".encode(), *(bytes(r.integers(0, 256, n).astype(np.uint8)) for n in (127, 128, 129, 256, 257, 500))]
+    want = [plain_score(t, w) for t in texts]
+    assert Q.scores(texts, w) == pytest.approx(want, abs=1e-5)
+    monkeypatch.setattr(Q, "GROUP", 256)  # the way of very long texts
+    assert Q.scores(texts, w) == pytest.approx(want, abs=1e-5)
+
+
+def test_draws_reach_every_part_of_a_long_text(spark):
+    n = 5 * Q.DRAWN + 3
+    text = "".join(chr(0x4E00 + i) for i in range(n))
+    cuts = [r[0] for r in spark.range(400).select(F.lit(text).alias("text"), F.col("id").cast("int").alias("draw")).select(Q.pieces("text", "draw")).collect()]
+    assert {len(c) for c in cuts} == {Q.DRAWN} and len(set(cuts)) == 400
+    seen = set().union(*cuts)
+    assert seen == set(text)  # the ends of the text and of its quarters too
+    short = spark.createDataFrame([("x" * Q.DRAWN, 1), ("", 2)], "text string, draw int").select(Q.pieces("text", "draw").alias("t"))
+    assert sorted(len(r["t"]) for r in short.collect()) == [0, Q.DRAWN]
+
+
+def test_texts_of_each_step(spark, documents):
+    docs = documents((1, "one"), (2, None), (3, "b"), (3, "a"), (None, "none"))
+    got = Q.drawn_texts(docs, [1, 2, 3], [np.array([0, 2]), np.array([1, 0])])
+    assert got == [[b"one", b"a"], [b"", b"one"]]
+    assert Q.drawn([], 3) == [] and [len(p) for p in Q.drawn([1, 1], 2)] == [Q.BATCH] * 2
+
+
 def test_classifier_learns(spark, documents, clashing, monkeypatch):
     monkeypatch.setattr(Q, "STEPS", 80)
     docs, labels = labelled(spark, documents)
