@@ -8,10 +8,11 @@ words, whatever their length.
 1. The distinct words are counted. From each place of a word the substrings up to the longest piece with the same first
    three characters are exploded and equi-joined to the piece table; a single character without a piece gets an edge with the score of an
    unknown one, to be spelled in byte pieces. The edges are grouped by word (rows keep the partitioning by word, so nothing is
-   shuffled again) and folded with `aggregate`: the best score and path up to each character. Of equal scores the longer last piece wins.
+   shuffled again) and folded with `aggregate`: the best score and last edge up to each character. Of equal scores the longer last piece wins.
+   Pieces that no best path can have, because shorter ones do better on the same characters, are left out before.
 2. A word of more than MOST_CHARS characters is named by its hash and goes in chunks of CHUNK characters: edges are grouped
-   by word and chunk, and the fold over the chunks hands on the scores of the last places, as many as a piece is long. It keeps
-   back pointers instead of paths, so work and memory are linear in the word.
+   by word and chunk, and the fold over the chunks hands on the scores of the last places, as many as a piece is long. All words
+   keep back pointers instead of paths, so work and memory are linear in the word.
 3. Words go back into the texts in order. The most frequent ones, MOST_WORDS in all (a long word counts as
    several), travel as one compact broadcast; words beyond that bound are joined to the documents that have them.
 
@@ -22,12 +23,11 @@ in a text are spelled in bytes.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,7 @@ from millwatch.llm.words import slices, texts_of
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MOST_WORDS = 6_000_000  # about 25 bytes each
 UNKNOWN_PENALTY = 10.0
+ROUNDING = 1e-6  # of a score: far more than sums of doubles lose
 MOST_CHARS = 64  # of a word that is its own key and is folded in one go
 CHUNK = 32  # characters of a longer word folded together
 GROUPS = 20_000
@@ -74,29 +75,41 @@ class Pieces:
                 self.rows.append((plain, i, float(sp.get_score(i))))
         if any(" " in piece.lstrip(" ") or "\n" in piece for piece, _, _ in self.rows):
             raise ValueError("a piece crosses the words: spaces may only begin a piece")
-        self.pairs = frozenset(p[i : i + 2] for p, _, _ in self.rows for i in range(len(p) - 1))
         self.scores = [0.0] * size
-        self.bounds = sorted({len(p) for p, _, _ in self.rows})  # the lengths pieces have
         for _, i, score in self.rows:
             self.scores[i] = score
         self.unknown = min(s for _, _, s in self.rows) - UNKNOWN_PENALTY
+        self.edges = self.undominated()
+        self.pairs = frozenset(p[i : i + 2] for p, _ in self.edges for i in range(len(p) - 1))
+        self.bounds = sorted({len(p) for p, _ in self.edges})  # the lengths these pieces have
 
-    def cut(self, word: str) -> list[str]:
-        """The parts of a word between places that no piece covers."""
-        pairs = self.pairs
-        places = [i for i, pair in enumerate(map(add, word, word[1:]), 1) if pair not in pairs]
-        return [word[a:b] for a, b in zip([0, *places], [*places, len(word)])] if places else [word]
+    def undominated(self) -> list[tuple[str, int]]:
+        """The pieces that a best path can have: all but those whose own characters have a better path of shorter pieces.
+
+        Such a path would be better in any text, so leaving these pieces out changes no best path and no tie.
+        """
+        score = {p: s for p, _, s in self.rows}
+
+        def split(p: str) -> float:
+            best = [0.0]
+            for j in range(1, len(p) + 1):
+                ways = [best[i] + score.get(p[i:j], self.unknown if j - i == 1 else -math.inf) for i in range(j) if j - i < len(p)]
+                best.append(max(ways))
+            return best[-1]
+
+        return [(p, i) for p, i, s in self.rows if len(p) == 1 or split(p) <= s + ROUNDING * (1 + abs(s))]
 
     def longest_by_start(self) -> list[int]:
         """The longest piece, by a hash of its first three characters."""
         out = [2] * BUCKETS
-        for p, _, _ in self.rows:
+        for p, _ in self.edges:
             if len(p) > 2:
                 at = zlib.crc32(p[:3].encode()) % BUCKETS
                 out[at] = max(out[at], len(p))
         return out
 
-    def words(self, text: bytes) -> list[bytes]:
+    @staticmethod
+    def words(text: bytes) -> list[bytes]:
         """The words of a text before they are cut, as keys that word_of() reads.
 
         A key that begins with neither space nor line break stands for itself after one space: so most texts are
@@ -109,22 +122,52 @@ class Pieces:
             return [b" " + w for w in _WORD.findall(b" " + text)]
         return lines[1:].split(b" ")
 
-    def word_of(self, key: bytes) -> str:
+    @staticmethod
+    def word_of(key: bytes) -> str:
         return (key[1:] if key[:1] == b" " else key if key[:1] == b"\n" else b" " + key).decode("utf-8", "replace")
 
-    def spelled(self, path: list[int]) -> list[int]:
-        """The ids of a path: its pieces in order, or back pointers (length * 2^32 + piece), which are followed from the last one."""
-        if path[0] >> 32:
-            pointers, path, j = path, [], len(path)
-            while j:
-                path.append(pointers[j - 1] & 0xFFFFFFFF)
-                j -= pointers[j - 1] >> 32
-            path.reverse()
+    def spelled(self, pointers: list[int]) -> list[int]:
+        """The ids of a path, given as back pointers (length * 2^32 + piece), which are followed from the last one."""
+        path, j = [], len(pointers)
+        while j:
+            path.append(pointers[j - 1] & 0xFFFFFFFF)
+            j -= pointers[j - 1] >> 32
+        path.reverse()
         if max(path) < UNKNOWN:
             return path
         return [i for last in path for i in ([last] if last < UNKNOWN else [self.byte_ids[b] for b in chr(last - UNKNOWN).encode()])]
 
 
+class Cuts:
+    """Cuts words between two characters that no piece holds side by side; many words at once."""
+
+    def __init__(self, pairs: frozenset[str]) -> None:
+        self.chars = sorted({c for pair in pairs for c in pair})
+        number = {c: i for i, c in enumerate(self.chars, 1)}
+        self.held = np.zeros((len(self.chars) + 1, len(self.chars) + 1), bool)
+        for a, b in pairs:
+            self.held[number[a], number[b]] = True
+
+    def start(self) -> Callable[[list[str]], tuple[list[str], list[int]]]:
+        """To be called once in a task: a function that gives the parts of all words in order and, for each word, where its parts end."""
+        width, held = len(self.held), self.held.ravel()
+        numbers = np.zeros(0x110000, np.int32)  # of code points; zero: in no pair
+        numbers[[ord(c) for c in self.chars]] = np.arange(1, width)
+
+        def cut(words: list[str]) -> tuple[list[str], list[int]]:
+            joined = "".join(words)
+            kinds = numbers[np.frombuffer(joined.encode("utf-32-le"), np.uint32)]
+            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+            closed = np.ones(len(kinds), bool)
+            closed[:-1] = ~held[kinds[:-1] * width + kinds[1:]]
+            closed[ends - 1] = True
+            places = np.flatnonzero(closed) + 1
+            stops = places.tolist()
+            return [joined[a:b] for a, b in zip([0, *stops], stops)], np.searchsorted(places, ends, "right").tolist()
+
+        return cut
+
+
 def key_of(word: str) -> str:
     """What names a word in tables: itself, or its hash after a line break, which no word of several kinds of characters begins with."""
     return word if len(word) <= MOST_CHARS else "\n" + hashlib.sha256(word.encode()).hexdigest()
@@ -140,13 +183,14 @@ def counted_words(docs: DataFrame, pieces: Pieces) -> DataFrame:
 
     The length is an aggregate, so a filter on it stays above the shuffle, which all readers of the words then share.
     """
-    cut, words, word_of = pieces.cut, pieces.words, pieces.word_of
+    cuts, words, word_of = Cuts(pieces.pairs), pieces.words, pieces.word_of
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: set[bytes] = set()
+        cut = cuts.start()
 
         def send() -> pa.RecordBatch:
-            parts = {p for k in keys for p in cut(word_of(k))}
+            parts = set(cut([word_of(k) for k in keys])[0])
             keys.clear()
             return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.string())], names=["word"])
 
@@ -168,7 +212,7 @@ def edges_of(places: DataFrame, pieces: Pieces, *keep: str) -> DataFrame:
     Edges start at the first CHUNK characters of longer texts, else at all. `at` is the place of the edge's last character
     in its word, counted from zero. An edge is one number: the place of its end in its chunk, its length and its piece.
     """
-    table = places.sparkSession.createDataFrame([(p, i) for p, i, _ in pieces.rows], "piece string, id int")
+    table = places.sparkSession.createDataFrame(pieces.edges, "piece string, id int")
     longest = F.get(constant(pieces.longest_by_start(), "int"), F.pmod(F.crc32(F.left("rest", F.lit(3))), F.lit(BUCKETS)).cast("int"))
     count = F.when(F.length("text") <= MOST_CHARS, F.length("text")).otherwise(CHUNK)
     starts = places.select("key", *keep, "off", "text", F.explode(F.sequence(F.lit(1), count)).alias("start"))
@@ -188,7 +232,8 @@ def best_paths(words: DataFrame, pieces: Pieces) -> DataFrame:
     """(word, n, path): the best segmentation of each word, by the lattice; `word` is its key, spelled() reads the path.
 
     The fold goes from character to character: among the edges that end there it takes the best score, of equal ones
-    the longest piece.
+    the longest piece. A word of up to MOST_CHARS characters is one pass over its sorted edges, which carries the best scores
+    and edges of the characters before and the best edge so far to the present one.
     """
     length, last = "int(shiftright(e, 32) & 255)", "int(e & 4294967295)"
     score = f"get(best, size(best) - {length}).score + if({last} >= {UNKNOWN}, {pieces.unknown}D, get(scores, {last}))"
@@ -203,12 +248,15 @@ def best_paths(words: DataFrame, pieces: Pieces) -> DataFrame:
 
     scores = constant(pieces.scores, "double")
     short = words.where(F.col("size") <= MOST_CHARS).select(F.col("word").alias("key"), "n", F.lit(0).alias("off"), F.col("word").alias("text"))
-    lattice = edges_of(short, pieces, "n").groupBy("key").agg(F.first("n").alias("n"), F.collect_list(packed_edge(MOST_CHARS)).alias("edges"))
-    start = "array(named_struct('score', 0D, 'len', 0, 'path', cast(array() AS array<bigint>)))"  # such words are short enough to carry paths
-    before, last_piece = f"get(best, j - {length})", "e & 4294967295"
-    sum_ = f"{before}.score + if({last} >= {UNKNOWN}, {pieces.unknown}D, get(scores, {last}))"
-    ending = f"transform(filter(edges, e -> shiftright(e, 40) = j), e -> named_struct('score', {sum_}, 'len', {length}, 'path', array_append({before}.path, {last_piece})))"
-    fold = f"aggregate(sequence(1, length(key)), {start}, (best, j) -> array_append(best, array_max({ending})), best -> get(best, length(key)).path)"
+    edges = F.sort_array(F.collect_list(packed_edge(MOST_CHARS)))  # by end, then length: the first edge of each end has one character
+    lattice = edges_of(short, pieces, "n").groupBy("key").agg(F.first("n").alias("n"), edges.alias("edges"))
+    worth = f"coalesce(get(scores, int(e & 4294967295)), {pieces.unknown}D)"  # a character without a piece lies beyond the scores
+    sum_ = f"element_at(acc.best, -int(shiftright(e, 32) & 255)) + {worth}"
+    back = "array_append(acc.back, acc.e & 1099511627775)"
+    start = "named_struct('best', cast(array() AS array<double>), 'back', cast(array() AS array<bigint>), 'score', 0D, 'e', 0L)"
+    next_end = f"named_struct('best', array_append(acc.best, acc.score), 'back', if(acc.e = 0, acc.back, {back}), 'score', acc.score + {worth}, 'e', e)"
+    better = f"if({sum_} >= acc.score, named_struct('best', acc.best, 'back', acc.back, 'score', {sum_}, 'e', e), acc)"
+    fold = f"aggregate(edges, {start}, (acc, e) -> if((shiftright(e, 32) & 255) = 1, {next_end}, {better}), acc -> {back})"
     folded = lattice.withColumn("scores", scores).select(F.col("key").alias("word"), "n", F.expr(fold).alias("path"))
 
     most = pieces.bounds[-1]
@@ -225,44 +273,70 @@ def best_paths(words: DataFrame, pieces: Pieces) -> DataFrame:
     return folded.unionByName(whole.withColumn("scores", scores).select(F.col("key").alias("word"), "n", F.expr(fold).alias("path")))
 
 
-Words = tuple[np.ndarray, np.ndarray, np.ndarray]  # sorted 64-bit hashes, ends of their ids, joined ids
-
-
-def packed_words(encoded: DataFrame, spell: Callable[[list[int]], list[int]]) -> Words:
-    """Words and their ids in compact form: what travels to the tasks."""
+Words = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # sorted 64-bit hashes, where their ids start, how many, joined ids
+
+
+def followed(paths: pa.ListArray, spell: Callable[[list[int]], list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids that back pointers lead to, joined, and how many each path has. Short paths are followed together, a step at a time."""
+    flat, offsets = paths.flatten().to_numpy(), paths.offsets.to_numpy().astype(np.int64)
+    starts, at = offsets[:-1] - offsets[0], offsets[1:] - offsets[0] - 1
+    ids, sizes, taken = flat & 0xFFFFFFFF, flat >> 32, np.zeros(len(flat), bool)
+    odd = at - starts >= MOST_CHARS
+    starts_left, at = starts[~odd], at[~odd]
+    while len(at):
+        taken[at] = True
+        at = at - sizes[at]
+        going = at >= starts_left
+        starts_left, at = starts_left[going], at[going]
+    row = np.repeat(np.arange(len(starts)), np.diff(offsets))
+    odd[row[taken & (ids >= UNKNOWN)]] = True  # characters without a piece are spelled
+    lengths = np.bincount(row[taken], minlength=len(starts))
+    if not odd.any():
+        return ids[taken], lengths
+    plain = np.split(ids[taken], np.cumsum(lengths)[:-1])
+    for i in np.flatnonzero(odd).tolist():
+        plain[i] = np.array(spell(flat[offsets[i] - offsets[0] : offsets[i + 1] - offsets[0]].tolist()), np.int64)
+    return np.concatenate(plain), np.fromiter(map(len, plain), np.int64, len(plain))
+
+
+def packed_words(encoded: DataFrame, spell: Callable[[list[int]], list[int]], ids_below: int) -> Words:
+    """Words and their ids in compact form: what travels to the tasks. Only hashes and places are sorted here, the ids stay as the tasks sent them."""
+    kind = np.uint16 if ids_below <= 1 << 16 else np.int32
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            ids = [spell(p) for p in batch.column("path").to_pylist()]
-            keys = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-            flat = np.array([i for x in ids for i in x], np.int32)
-            columns = [keys.tobytes(), np.array([len(x) for x in ids], np.uint32).tobytes(), flat.tobytes()]
+            keys = np.fromiter(map(xxhash.xxh3_64_intdigest, batch.column("word").to_pylist()), np.uint64, batch.num_rows)
+            flat, lengths = followed(batch.column("path"), spell)
+            columns = [keys.tobytes(), lengths.astype(np.uint32).tobytes(), flat.astype(kind).tobytes()]
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], names=["keys", "lengths", "ids"])
 
     blocks = encoded.select("word", "path").mapInArrow(pack, "keys binary, lengths binary, ids binary")
-    parts = [(np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["lengths"], np.uint32), np.frombuffer(r["ids"], np.int32)) for r in blocks.toLocalIterator()]
-    keys = np.concatenate([np.empty(0, np.uint64), *(p[0] for p in parts)])
-    lengths = np.concatenate([np.empty(0, np.int64), *(p[1] for p in parts)]).astype(np.int64)
-    ids = np.concatenate([np.empty(0, np.int32), *(p[2] for p in parts)])
-    del parts
+    parts: tuple[list, list, list] = ([np.empty(0, np.uint64)], [np.empty(0, np.uint32)], [np.empty(0, kind)])
+    for row in blocks.toLocalIterator():
+        for into, data in zip(parts, row, strict=True):
+            into.append(np.frombuffer(data, into[0].dtype))
+    joined = []
+    for part in parts:  # one after the other, so that little is held twice
+        joined.append(np.concatenate(part))
+        part.clear()
+    keys, lengths, ids = joined
+    joined.clear()
+    starts = np.cumsum(lengths, dtype=np.uint32 if len(ids) < 1 << 32 else np.int64) - lengths
     order = np.argsort(keys)
-    starts, moved = (np.cumsum(lengths) - lengths)[order], lengths[order]
-    ends = np.cumsum(moved)
-    ids = ids[np.repeat(starts - (ends - moved), moved) + np.arange(len(ids))]
-    return keys[order], ends, ids.astype(np.uint16 if len(ids) == 0 or ids.max() < 1 << 16 else np.int32)
+    return keys[order], starts[order], lengths[order], ids
 
 
 def find_words(packed: Words, words: list[str]) -> list[bytes | None]:
     """The ids of each word as 32-bit numbers, None where it has none."""
-    all_keys, ends, ids = packed
+    all_keys, all_starts, all_lengths, ids = packed
     if not len(all_keys) or not words:
         return [None] * len(words)
-    keys = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-    at = np.minimum(np.searchsorted(all_keys, keys), len(all_keys) - 1)
+    keys = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    order = np.argsort(keys)  # neighbours are looked up one after the other
+    at = np.empty(len(keys), np.int64)
+    at[order] = np.minimum(np.searchsorted(all_keys, keys[order]), len(all_keys) - 1)
     hit = all_keys[at] == keys
-    starts = np.where(at > 0, ends[at - 1], 0)
-    lengths = ends[at] - starts
+    starts, lengths = all_starts[at].astype(np.int64), np.where(hit, all_lengths[at], 0).astype(np.int64)
     stops = np.cumsum(lengths)
     flat = ids[np.repeat(starts - (stops - lengths), lengths) + np.arange(int(stops[-1]))].astype(np.int32).tobytes()
     stops = (4 * stops).tolist()
@@ -303,8 +377,8 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
             least = row["grade"]
         common = (grade >= least) if least is not None else F.lit(False)
         frequent, rare = encoded.where(common), encoded.where(~common).select("word", "path")
-    sent = spark.sparkContext.broadcast(packed_words(frequent, pieces.spelled))
-    cut, words, word_of, spelled = pieces.cut, pieces.words, pieces.word_of, pieces.spelled
+    sent = spark.sparkContext.broadcast(packed_words(frequent, pieces.spelled, len(pieces.scores)))
+    cuts, words, word_of, spelled = Cuts(pieces.pairs), pieces.words, pieces.word_of, pieces.spelled
     base = docs.drop("ids")
     columns = list(base.schema)
     row_key, own_words = free_names(base, "row", "own")
@@ -313,10 +387,11 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
         base = base.withColumn(row_key, F.xxhash64("text"))
 
         def unknown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            cut = cuts.start()
             for batch in slices(batches, "text", SLICE):
                 rows, missing = [], []
                 for key, text in zip(batch.column(row_key).to_pylist(), texts_of(batch), strict=True):
-                    parts = sorted({key_of(p) for k in set(words(text)) for p in cut(word_of(k))})
+                    parts = sorted({key_of(p) for p in cut([word_of(k) for k in set(words(text))])[0]})
                     gone = [p for p, ids in zip(parts, find_words(sent.value, parts), strict=True) if ids is None]
                     rows += [key] * len(gone)
                     missing += gone
@@ -329,16 +404,19 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, bytes] = {}
+        cut = cuts.start()
 
         def learn(new: list[bytes], extra: dict[str, bytes]) -> dict[bytes, bytes]:
             """Ids of new keys become known, but for what only this text's own words give: that is returned."""
             own: dict[bytes, bytes] = {}
-            parts = [[key_of(p) for p in cut(word_of(k))] for k in new]
-            flat = iter(find_words(sent.value, [p for x in parts for p in x]))
-            for key, x in zip(new, parts, strict=True):
-                ids = [next(flat) for _ in x]
-                into = own if None in ids or len(key) > 1 << 10 else known
-                into[key] = b"".join([i if i is not None else extra[p] for i, p in zip(ids, x, strict=True)])
+            parts, ends = cut([word_of(k) for k in new])
+            parts = [p if len(p) <= MOST_CHARS else key_of(p) for p in parts]
+            flat = find_words(sent.value, parts)
+            for key, a, b in zip(new, [0, *ends], ends):
+                ids = flat[a:b]
+                lost = None in ids
+                into = own if lost or len(key) > 1 << 10 else known
+                into[key] = b"".join([i if i is not None else extra[p] for i, p in zip(ids, parts[a:b], strict=True)]) if lost else ids[0] if b - a == 1 else b"".join(ids)
             return own
 
         for batch in slices(batches, "text", SLICE):

@@ -356,6 +356,30 @@ def test_pieces_leave_columns_of_any_name_alone(documents, most_words):
     assert len(rows) == 2 and all(r[c] == c for r in rows for c in ["_extra", "_row", "row", "own", "_own"])
 
 
+def test_pieces_that_no_best_path_has_are_left_out(documents):
+    pieces = sentencepiece_lattice.Pieces(sentencepiece_lattice.MODEL)
+    left = {p for p, _ in pieces.edges}
+    assert len(left) < len(pieces.rows) / 2 and {p for p, _, _ in pieces.rows if len(p) == 1} <= left
+    r = random.Random(4)
+    gone = r.sample(sorted({p for p, _, _ in pieces.rows} - left), 200)  # alone, side by side and among others
+    texts = [" ".join(gone), "".join(gone), *("".join(r.choices(gone, k=3)) + r.choice(["", "é", " ", "x日", "12"]) for _ in range(60))]
+    rows = sentencepiece_lattice.encode(documents(*enumerate(texts))).collect()
+    assert {r["doc_id"]: list(r["ids"]) for r in rows} == {i: best_path(t, pieces) for i, t in enumerate(texts)}  # over all pieces
+
+
+def test_words_are_cut_together_as_one_by_one():
+    pieces = sentencepiece_lattice.Pieces(sentencepiece_lattice.MODEL)
+    r = random.Random(8)
+    words = ["".join(r.choices(" \naeinrstZ09.,-éß日🙂\0", k=r.randrange(1, 12))) for _ in range(3000)]
+    parts, ends = sentencepiece_lattice.Cuts(pieces.pairs).start()(words)
+    for word, a, b in zip(words, [0, *ends], ends, strict=False):
+        want = word[0]
+        for x, y in zip(word, word[1:], strict=False):
+            want += y if x + y in pieces.pairs else "|" + y
+        assert "|".join(parts[a:b]) == want
+    assert ends[-1] == len(parts)
+
+
 # --- bloom ------------------------------------------------------------------------------------------
 
 
