@@ -28,6 +28,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,7 @@ MOST_CHARS = 64  # of a word that is its own key and is folded in one go
 CHUNK = 32  # characters of a longer word folded together
 GROUPS = 20_000
 KEEP = 150_000  # words a task remembers; only saves time
+AT_ONCE = 20_000  # words cut together
 BUCKETS = 1 << 15
 UNKNOWN = 1 << 30  # plus the code point: a character without a piece
 SLICE = 1 << 20  # bytes of texts looked at together
@@ -126,16 +128,17 @@ class Pieces:
     def word_of(key: bytes) -> str:
         return (key[1:] if key[:1] == b" " else key if key[:1] == b"\n" else b" " + key).decode("utf-8", "replace")
 
-    def spelled(self, pointers: list[int]) -> list[int]:
-        """The ids of a path, given as back pointers (length * 2^32 + piece), which are followed from the last one."""
-        path, j = [], len(pointers)
-        while j:
-            path.append(pointers[j - 1] & 0xFFFFFFFF)
-            j -= pointers[j - 1] >> 32
-        path.reverse()
-        if max(path) < UNKNOWN:
-            return path
-        return [i for last in path for i in ([last] if last < UNKNOWN else [self.byte_ids[b] for b in chr(last - UNKNOWN).encode()])]
+
+def spelled(byte_ids: list[int], pointers: list[int]) -> list[int]:
+    """The ids of a path, given as back pointers (length * 2^32 + piece), which are followed from the last one."""
+    path, j = [], len(pointers)
+    while j:
+        path.append(pointers[j - 1] & 0xFFFFFFFF)
+        j -= pointers[j - 1] >> 32
+    path.reverse()
+    if max(path) < UNKNOWN:
+        return path
+    return [i for last in path for i in ([last] if last < UNKNOWN else [byte_ids[b] for b in chr(last - UNKNOWN).encode()])]
 
 
 class Cuts:
@@ -190,8 +193,9 @@ def counted_words(docs: DataFrame, pieces: Pieces) -> DataFrame:
         cut = cuts.start()
 
         def send() -> pa.RecordBatch:
-            parts = set(cut([word_of(k) for k in keys])[0])
-            keys.clear()
+            parts: set[str] = set()
+            while keys:  # some at a time, so that little is held twice
+                parts.update(cut([word_of(keys.pop()) for _ in range(min(len(keys), AT_ONCE))])[0])
             return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.string())], names=["word"])
 
         for batch in slices(batches, "text", SLICE):
@@ -229,7 +233,7 @@ def packed_edge(chunk: int) -> Column:
 
 
 def best_paths(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """(word, n, path): the best segmentation of each word, by the lattice; `word` is its key, spelled() reads the path.
+    """(word, n, path): the best segmentation of each word, by the lattice; `word` is its key, spelled() follows the path.
 
     The fold goes from character to character: among the edges that end there it takes the best score, of equal ones
     the longest piece. A word of up to MOST_CHARS characters is one pass over its sorted edges, which carries the best scores
@@ -377,8 +381,9 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
             least = row["grade"]
         common = (grade >= least) if least is not None else F.lit(False)
         frequent, rare = encoded.where(common), encoded.where(~common).select("word", "path")
-    sent = spark.sparkContext.broadcast(packed_words(frequent, pieces.spelled, len(pieces.scores)))
-    cuts, words, word_of, spelled = Cuts(pieces.pairs), pieces.words, pieces.word_of, pieces.spelled
+    spell = partial(spelled, pieces.byte_ids)
+    sent = spark.sparkContext.broadcast(packed_words(frequent, spell, len(pieces.scores)))
+    cuts, words, word_of = Cuts(pieces.pairs), pieces.words, pieces.word_of
     base = docs.drop("ids")
     columns = list(base.schema)
     row_key, own_words = free_names(base, "row", "own")
@@ -428,7 +433,7 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
             for found, more in zip(keys, extras, strict=True):
                 ids = known
                 if not all_frequent:
-                    extra = {e["word"]: np.array(spelled(e["path"]), np.int32).tobytes() for e in more or ()}
+                    extra = {e["word"]: np.array(spell(e["path"]), np.int32).tobytes() for e in more or ()}
                     alone = learn([k for k in set(found) if k not in known], extra)
                     ids = known if not alone else {k: alone[k] if k in alone else known[k] for k in set(found)}
                 data.append(b"".join(map(ids.__getitem__, found)))

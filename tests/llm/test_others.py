@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -380,6 +381,16 @@ def test_words_are_cut_together_as_one_by_one():
     assert ends[-1] == len(parts)
 
 
+def test_back_pointers_are_followed_together_as_one_by_one():
+    pieces, r = sentencepiece_lattice.Pieces(sentencepiece_lattice.MODEL), random.Random(9)
+    last = [300, 5000, sentencepiece_lattice.UNKNOWN + ord("é")]
+    paths = [[(r.randrange(1, min(j, 5) + 1) << 32) + r.choice(last) for j in range(1, n + 1)] for n in [1, 2, 9, 64, 65, 200, *range(1, 40)]]
+    want = [sentencepiece_lattice.spelled(pieces.byte_ids, p) for p in paths]
+    spell = lambda p: sentencepiece_lattice.spelled(pieces.byte_ids, p)
+    ids, lengths = sentencepiece_lattice.followed(pa.array([[0], *paths], pa.list_(pa.int64())).slice(1), spell)
+    assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 # --- bloom ------------------------------------------------------------------------------------------
 
 
