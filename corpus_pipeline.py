@@ -9,21 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwatch.llm import decontamination, ngram_jaccard, quality_rules, sentencepiece_lattice, suffix_dedup
-from millwatch.llm.shared import stored, table
+from millwatch.llm.shared import small_batches, stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the certified rules keep."""
+    small_batches(spark)
     return quality_rules.kept_rows(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group with a similarity of 0.8 or more on five-word shingles: the one with the smallest id."""
+    small_batches(spark)
     return ngram_jaccard.one_of_each(docs, shingle=5, percent=80)
 
 
 def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without strings of 200 bytes that also occur elsewhere; n_chars follows. Documents with nothing left go."""
+    small_batches(spark)
     cut = suffix_dedup.without_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwatch.llm.shared import free_names, release, ship, stored
+from millwatch.llm.shared import free_names, release, ship, small_batches, stored
 from millwatch.llm.words import slices, texts_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -46,7 +46,7 @@ ROUNDING = 1e-6  # of a score: far more than sums of doubles lose
 MOST_CHARS = 64  # of a word that is its own key and is folded in one go
 CHUNK = 32  # characters of a longer word folded together
 GROUPS = 20_000
-KEEP = 150_000  # words a task remembers; only saves time
+KEEP = 60_000  # words a task remembers; only saves time
 AT_ONCE = 20_000  # words cut together
 BUCKETS = 1 << 15
 UNKNOWN = 1 << 30  # plus the code point: a character without a piece
@@ -205,6 +205,7 @@ def counted_words(docs: DataFrame, pieces: Pieces) -> DataFrame:
                 yield send()
         if keys:
             yield send()
+        batch = keys = cut = None  # else they outlive the release
         release()
 
     return docs.select("text").mapInArrow(run, "word string").groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("word")).alias("size"))
@@ -216,7 +217,8 @@ def edges_of(places: DataFrame, pieces: Pieces, *keep: str) -> DataFrame:
     Edges start at the first CHUNK characters of longer texts, else at all. `at` is the place of the edge's last character
     in its word, counted from zero. An edge is one number: the place of its end in its chunk, its length and its piece.
     """
-    table = places.sparkSession.createDataFrame(pieces.edges, "piece string, id int")
+    rows = [pa.array([p for p, _ in pieces.edges], pa.string()), pa.array([i for _, i in pieces.edges], pa.int32())]
+    table = places.sparkSession.createDataFrame(pa.Table.from_arrays(rows, names=["piece", "id"]))  # a list of rows would start Python workers of another kind
     longest = F.get(constant(pieces.longest_by_start(), "int"), F.pmod(F.crc32(F.left("rest", F.lit(3))), F.lit(BUCKETS)).cast("int"))
     count = F.when(F.length("text") <= MOST_CHARS, F.length("text")).otherwise(CHUNK)
     starts = places.select("key", *keep, "off", "text", F.explode(F.sequence(F.lit(1), count)).alias("start"))
@@ -313,6 +315,8 @@ def packed_words(encoded: DataFrame, spell: Callable[[list[int]], list[int]], id
             flat, lengths = followed(batch.column("path"), spell)
             columns = [keys.tobytes(), lengths.astype(np.uint32).tobytes(), flat.astype(kind).tobytes()]
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], names=["keys", "lengths", "ids"])
+        batch = keys = flat = lengths = columns = None
+        release()
 
     blocks = encoded.select("word", "path").mapInArrow(pack, "keys binary, lengths binary, ids binary")
     parts: tuple[list, list, list] = ([np.empty(0, np.uint64)], [np.empty(0, np.uint32)], [np.empty(0, kind)])
@@ -366,6 +370,7 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
     """
     spark: SparkSession = docs.sparkSession
     ship(spark)
+    small_batches(spark)
     pieces = Pieces(model)
     with many_groups(spark):
         encoded = stored(best_paths(counted_words(docs, pieces), pieces))
@@ -445,6 +450,7 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
             ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(data), np.int32)))
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in columns), ids], names=[*(f.name for f in columns), "ids"])
         known.clear()
+        batch = keys = data = own = offsets = ids = extras = cut = None
         release()
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in columns), "ids array<int>"])

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millwatch.llm import decontamination, html_extraction, sentencepiece_lattice, sharding, url_filter
+from millwatch.llm import decontamination, html_extraction, sentencepiece_lattice, shared, sharding, url_filter
 from millwatch.llm.bloom import Bloom
 from millwatch.llm.html_blocks import blocks
 
@@ -401,3 +401,31 @@ def test_bloom_has_all_and_little_else(spark):
     other = np.array([r["h"] for r in spark.range(10_000, 30_000).select(F.xxhash64("id").alias("h")).collect()], np.int64).view(np.uint64)
     assert filled.has(own).all() and filled.has(other).mean() < 0.01
     assert not Bloom(keys.limit(0), 0).has(own).any()
+
+
+def test_the_lattice_starts_no_python_workers(spark):
+    places = spark.range(1).select(F.lit("abc").alias("key"), F.lit(0).alias("off"), F.lit("abc").alias("text"))
+    edges = sentencepiece_lattice.edges_of(places, sentencepiece_lattice.Pieces(sentencepiece_lattice.MODEL))
+    plan = edges._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" in plan and "ExistingRDD" not in plan  # rows of a list go through workers of their own kind, which stay
+
+
+def test_batches_for_workers_are_small(spark, documents):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    texts = spark.range(0, 40, 1, 1).select(F.expr("repeat('some text ', 50000)").alias("text"))  # 20 MB
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    try:
+        spark.conf.unset(name)
+        sentencepiece_lattice.encode(documents((1, "a text")))
+        found = [r["size"] for r in texts.mapInArrow(sizes, "size bigint").collect()]
+        assert sum(found) > 20_000_000 and max(found) < 2 * shared.ARROW_BYTES
+        spark.conf.set(name, "1000000")  # what the session was given stays
+        sentencepiece_lattice.encode(documents((1, "a text")))
+        assert spark.conf.get(name) == "1000000"
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
