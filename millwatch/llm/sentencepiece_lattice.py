@@ -46,6 +46,7 @@ ROUNDING = 1e-6  # of a score: far more than sums of doubles lose
 MOST_CHARS = 64  # of a word that is its own key and is folded in one go
 CHUNK = 32  # characters of a longer word folded together
 GROUPS = 20_000
+PLAN_TEXT = 20_000
 KEEP = 60_000  # words a task remembers; only saves time
 AT_ONCE = 20_000  # words cut together
 BUCKETS = 1 << 15
@@ -352,15 +353,19 @@ def find_words(packed: Words, words: list[str]) -> list[bytes | None]:
 
 
 @contextmanager
-def many_groups(spark: SparkSession) -> Iterator[None]:
-    """Lets lists be collected by hash for GROUPS groups in a task before Spark sorts: words are short, so that is little memory."""
-    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(GROUPS))
+def lattice_settings(spark: SparkSession) -> Iterator[None]:
+    """Settings for the lattice. Lists are collected by hash for GROUPS groups in a task before Spark sorts: words are short, so that
+    is little memory. Plans are shown up to PLAN_TEXT characters: the driver keeps these texts, and the piece table's arrays are in them.
+    """
+    wanted = {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": str(GROUPS), "spark.sql.maxPlanStringLength": str(PLAN_TEXT)}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) -> DataFrame:
@@ -372,7 +377,8 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
     ship(spark)
     small_batches(spark)
     pieces = Pieces(model)
-    with many_groups(spark):
+    release()  # what an earlier call left in the driver's Python
+    with lattice_settings(spark):
         encoded = stored(best_paths(counted_words(docs, pieces), pieces))
     frequent, rare = encoded, None
     room = F.sum(1 + F.floor(F.size("path") / MOST_CHARS)).alias("room")
@@ -388,6 +394,7 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
         frequent, rare = encoded.where(common), encoded.where(~common).select("word", "path")
     spell = partial(spelled, pieces.byte_ids)
     sent = spark.sparkContext.broadcast(packed_words(frequent, spell, len(pieces.scores)))
+    release()
     cuts, words, word_of = Cuts(pieces.pairs), pieces.words, pieces.word_of
     base = docs.drop("ids")
     columns = list(base.schema)

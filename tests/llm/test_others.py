@@ -429,3 +429,14 @@ def test_batches_for_workers_are_small(spark, documents):
         assert spark.conf.get(name) == "1000000"
     finally:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def test_plan_texts_of_the_lattice_are_short(spark):
+    name = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(name)
+    words = spark.range(3).select(F.lit("abc").alias("word"), F.lit(1).alias("n"), F.lit(3).alias("size"))
+    with sentencepiece_lattice.lattice_settings(spark):
+        paths = sentencepiece_lattice.best_paths(words, sentencepiece_lattice.Pieces(sentencepiece_lattice.MODEL))
+        shown = paths._jdf.queryExecution().toString()
+        assert paths.count() == 1
+    assert len(shown) < 2 * sentencepiece_lattice.PLAN_TEXT and spark.conf.get(name) == before
