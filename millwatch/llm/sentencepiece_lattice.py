@@ -47,7 +47,8 @@ MOST_CHARS = 64  # of a word that is its own key and is folded in one go
 CHUNK = 32  # characters of a longer word folded together
 GROUPS = 20_000
 PLAN_TEXT = 20_000
-KEEP = 60_000  # words a task remembers; only saves time
+KEEP = 60_000  # words a task counts before it sends them
+KNOWN = 300_000  # words a task remembers the ids of; only saves time
 AT_ONCE = 20_000  # words cut together
 BUCKETS = 1 << 15
 UNKNOWN = 1 << 30  # plus the code point: a character without a piece
@@ -451,7 +452,7 @@ def encode(docs: DataFrame, model: str = MODEL, most_words: int = MOST_WORDS) ->
                 data.append(b"".join(map(ids.__getitem__, found)))
             for key in own:
                 del known[key]
-            if len(known) > 2 * KEEP:  # those of the last texts are the likeliest to come again
+            if len(known) > KNOWN:  # those of the last texts are the likeliest to come again
                 known = {k: known[k] for k in set().union(*keys) if k in known}
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(d) // 4 for d in data])]).astype(np.int32))
             ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(data), np.int32)))
